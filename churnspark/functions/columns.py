@@ -75,7 +75,9 @@ def step_bucket(score: Column, steps: int) -> Column:
     guess = F.floor(clamp(score, 0.0, 1.0) * steps).cast("int")
     up = (score >= (guess + 1) / float(steps)).cast("int")
     down = (score < guess / float(steps)).cast("int")
-    return F.when(score.isNull() | F.isnan(score), 0).otherwise(F.least(guess + up - down, F.lit(steps - 1)))
+    return F.when(score.isNull() | F.isnan(score), 0).otherwise(
+        F.greatest(F.least(guess + up - down, F.lit(steps - 1)), F.lit(0))
+    )
 
 
 def sorted_bucket(x: Column, cuts: Sequence[float]) -> Column:

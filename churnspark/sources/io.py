@@ -61,9 +61,6 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 # ---- JSON record batches -------------------------------------------------------------------------------------------
 
-_SCALAR = "^(-?[0-9].*|\".*\"|true|false)$"
-
-
 def parse_json_records(df: DataFrame, column: str, fields: dict[str, str], key: Sequence[str] = ()) -> DataFrame:
     """One row per record of a JSON body that is a bare array or ``{"records": [...]}``.
 
