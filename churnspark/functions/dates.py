@@ -13,7 +13,7 @@ def _digits(ymd: Column) -> Column:
 def ymd_to_date(ymd: Column) -> Column:
     """Date of a YYYYMMDD number or string (20170228.0 included); NULL when there is no such day."""
     text = _digits(ymd)
-    return F.when(F.length(text) == 8, F.try_to_date(text, F.lit("yyyyMMdd")))
+    return F.when(F.length(text) == 8, F.try_to_date(text, "yyyyMMdd"))
 
 
 def date_to_ymd(date: Column) -> Column:

@@ -63,7 +63,7 @@ def _day_counts(df: DataFrame, time: str) -> DataFrame:
 
 
 def _quantile_day(days: DataFrame, q: float) -> Column:
-    return F.floor(F.percentile("day", F.lit(q), "n"))
+    return F.floor(F.percentile("day", F.lit(q), F.col("n")))
 
 
 def time_split(df: DataFrame, time: str, cutoff: str | None, quantile: float = 0.8, undated: str = "train") -> DataFrame:
@@ -102,7 +102,7 @@ def auto_cutoff(df: DataFrame, time: str, quantile: float = 0.8, min_valid_rows:
     tried = [q / 100 for q in range(start, 49, -5)]
     days = _day_counts(df, time)
     grid = tried + [0.5]
-    cuts = days.agg(F.percentile("day", F.array(*[F.lit(q) for q in grid]), "n")).scalar()
+    cuts = days.agg(F.percentile("day", F.array(*[F.lit(q) for q in grid]), F.col("n"))).scalar()
     later = [F.sum(F.when(F.col("day") > F.col("_cuts")[i], F.col("n")).otherwise(0)) for i in range(len(grid))]
     found = days.withColumn("_cuts", cuts).agg(
         F.any_value("_cuts").alias("cuts"), F.array(*later).alias("later"), F.sum("n").alias("n_dated")
