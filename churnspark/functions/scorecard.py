@@ -59,22 +59,31 @@ def _term(name: str, text: Column, points: Column, provided: Column) -> Column:
     return F.struct(F.lit(name).alias("id"), text.alias("text"), points.alias("logit"), provided.alias("provided"))
 
 
-def terms(cutoff_day: int = CUTOFF_DAY) -> Column:
-    """Array of the terms that apply to a row, in fixed order."""
-    auto, cancel = _number("auto_renew_rate"), _number("cancel_rate")
-    txn, active = _number("txn_cnt"), _number("log_active_days")
-    listed, paid = _number("plan_list_price_mean"), _number("actual_paid_mean")
-    full, secs = _number("listen_full_share"), _number("total_secs_mean_per_active_day")
+def inputs(cutoff_day: int = CUTOFF_DAY) -> dict[str, Column]:
+    """Cleaned signals, as helper columns: terms read each of them several times."""
     cutoff = ymd_to_days(F.lit(cutoff_day))
 
     def day(name: str) -> Column:
         value = _number(name)
         return F.when(value.between(FIRST_DAY, LAST_DAY), ymd_to_days(value))
 
+    numbers = {
+        "_auto": "auto_renew_rate", "_cancel": "cancel_rate", "_txn": "txn_cnt", "_active": "log_active_days",
+        "_listed": "plan_list_price_mean", "_paid": "actual_paid_mean", "_full": "listen_full_share",
+        "_secs": "total_secs_mean_per_active_day",
+    }
+    return {name: _number(column) for name, column in numbers.items()} | {
+        "_gap": (day("membership_expire_date_max") - cutoff).cast("double"),
+        "_since": (cutoff - day("log_last_date")).cast("double"),
+    }
+
+
+def terms() -> Column:
+    """Array of the terms that apply to a row, in fixed order, over the ``inputs`` columns."""
+    auto, cancel, txn, active, listed, paid, full, secs, gap, since = (F.col(c) for c in (
+        "_auto", "_cancel", "_txn", "_active", "_listed", "_paid", "_full", "_secs", "_gap", "_since"))
     a = clamp(F.coalesce(auto, F.lit(W["auto_renew_default"])), 0, 1)
     c = clamp(F.coalesce(cancel, F.lit(W["cancel_default"])), 0, 1)
-    gap = (day("membership_expire_date_max") - cutoff).cast("double")
-    since = (cutoff - day("log_last_date")).cast("double")
     t = F.coalesce(txn, F.lit(float(W["txn_default"])))
     d = F.coalesce(active, F.lit(float(W["active_default"])))
     f = clamp(full, 0, 1)
@@ -125,7 +134,9 @@ def total_logit(term_column: Column) -> Column:
 
 def with_scorecard(df: DataFrame, cutoff_day: int = CUTOFF_DAY, keep_terms: bool = False) -> DataFrame:
     """Adds ``logit`` and ``y_proba`` (four decimals); ``keep_terms`` leaves the ``terms`` array for the reasons."""
-    out = df.withColumn("terms", terms(cutoff_day)).withColumn("logit", total_logit(F.col("terms")))
+    helpers = inputs(cutoff_day)
+    out = df.withColumns(helpers).withColumn("terms", terms()).drop(*helpers)
+    out = out.withColumn("logit", total_logit(F.col("terms")))
     out = out.withColumn("y_proba", half_up(sigmoid(F.col("logit")), 4))
     return out if keep_terms else out.drop("terms")
 
@@ -140,13 +151,22 @@ def reasons(limit: int = 5) -> Column:
     z = F.col("logit")
     slope = impact_slope(z, F.lit(BASE_LOGIT), sigmoid(z), sigmoid(F.lit(BASE_LOGIT)))
     known = F.filter("terms", lambda x: x["provided"])
-    # Natural struct order: size of the impact, then the order of the terms.
-    sized = F.transform(known, lambda x, i: F.struct(
-        (-F.abs(x["logit"] * slope)).alias("size"), i.alias("place"), x["id"].alias("id"), x["text"].alias("text"),
-        (x["logit"] * slope).alias("impact")))
-    large = F.filter(sized, lambda x: x["size"] <= -MIN_IMPACT)
-    return F.transform(F.slice(F.array_sort(large), 1, limit), lambda x: F.struct(
-        x["id"].alias("id"), x["text"].alias("text"), x["impact"].alias("impact")))
+
+    def pick(value: Column) -> Column:
+        # Natural struct order: size of the impact, then the order of the terms.
+        sized = F.transform(known, lambda x, i: F.struct(
+            (-F.abs(x["logit"] * value)).alias("size"), i.alias("place"), x["id"].alias("id"),
+            x["text"].alias("text"), (x["logit"] * value).alias("impact")))
+        large = F.filter(sized, lambda x: x["size"] <= -MIN_IMPACT)
+        return F.transform(F.slice(F.array_sort(large), 1, limit), lambda x: F.struct(
+            x["id"].alias("id"), x["text"].alias("text"), x["impact"].alias("impact")))
+
+    return _with_value(slope, pick)
+
+
+def _with_value(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once per row instead of once per array element."""
+    return F.get(F.transform(F.array(value), then), 0)
 
 
 def points_text(impact: Column) -> Column:
@@ -165,9 +185,19 @@ def contribution_points(contributions: Column, base: Column, probability: Column
     """Log-odds contributions ``ARRAY<STRUCT<feature, contribution>>`` as probability points (adds ``impact``)."""
     p = clamp(probability, 1e-6, 1 - 1e-6)
     slope = impact_slope(logit(p), base, p, sigmoid(base))
-    return F.transform(contributions, lambda x: F.struct(
+    return _with_value(slope, lambda value: F.transform(contributions, lambda x: F.struct(
         x["feature"].alias("feature"), x["contribution"].alias("contribution"),
-        (x["contribution"] * slope).alias("impact")))
+        (x["contribution"] * value).alias("impact"))))
+
+
+def rows_of(df: DataFrame, keep: list[str], items: str | Column) -> DataFrame:
+    """keep..., pos and the fields of each array element.
+
+    The outer form keeps Spark from testing the array's size in a pushed-down filter, which would compute the whole
+    array expression a second time.
+    """
+    out = df.select(*keep, F.posexplode_outer(items).alias("pos", "_item")).where("pos IS NOT NULL")
+    return out.select(*keep, "pos", "_item.*")
 
 
 def top_contributions(contributions: Column, n: int = 5) -> Column:

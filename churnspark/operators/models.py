@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from churnspark import contract as C
 from churnspark.functions import columns as X
+from churnspark.functions.scorecard import rows_of
 from churnspark.operators.encode import with_balanced_weight
-from churnspark.operators.metrics import evaluate, ranking_metrics
+from churnspark.operators.metrics import evaluate, metrics_of_groups, ranking_metrics
+from churnspark.operators.rank import running_totals
 from churnspark.sources.staging import stage, stage_path
 
 STRING_FEATURES = ("gender",)
@@ -192,7 +194,7 @@ def tree_contributions(model: PipelineModel, df: DataFrame, keep: Sequence[str]
 
 def global_importance(contributions: DataFrame, column: str = "contributions", top: int | None = None) -> DataFrame:
     """Mean absolute contribution per feature, ranked."""
-    out = contributions.select(F.inline(column)).groupBy("feature").agg(
+    out = rows_of(contributions, [], column).groupBy("feature").agg(
         F.avg(F.abs("contribution")).alias("mean_abs_contribution")
     ).orderBy(F.col("mean_abs_contribution").desc(), F.col("feature"))
     return out if top is None else out.limit(top)
@@ -260,9 +262,6 @@ def weight_search(joined: DataFrame, models: Sequence[str], step: float = 0.05,
                  .alias("score"))
         for i, (w, s) in enumerate(zip(grid, sums))
     ])
-    from churnspark.operators.metrics import metrics_of_groups
-    from churnspark.operators.rank import running_totals
-
     rows = merged.select("n", "pos", F.inline(vectors)).groupBy("grid_row", "score").agg(
         F.sum("n").alias("n"), F.sum("pos").alias("pos")
     )

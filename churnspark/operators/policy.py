@@ -282,15 +282,12 @@ def sensitivity(points: DataFrame, value: float = C.VALUE_PER_SAVE, cost: float
     ])
     rows = points.select("k", "tp", base.alias("base"), F.inline(bars))
     rows = rows.withColumn("swing", F.abs(F.col("high") - F.col("low")))
-    top = F.max("swing").over(Window.partitionBy("k"))
-    leader = top - F.col("swing") < 1e-6 * F.greatest(F.lit(1.0), top)
-    larger = F.sum(F.when(~leader, 1).otherwise(0)).over(
-        Window.partitionBy("k").orderBy(F.col("swing").desc()).rangeBetween(Window.unboundedPreceding, 0))
-    # leaders share rank 1, the others follow after them
-    leaders = F.count_if(leader).over(Window.partitionBy("k"))
-    return rows.withColumn("is_leader", leader).withColumn(
-        "rank", F.when(F.col("is_leader"), F.lit(1).cast("bigint")).otherwise(leaders + larger)
-    )
+    drivers = Window.partitionBy("k")
+    tolerance = 1e-6 * F.greatest(F.lit(1.0), F.max("swing").over(drivers))
+    rows = rows.withColumns({"_all": F.collect_list("swing").over(drivers), "_tol": tolerance})
+    larger = F.filter("_all", lambda x: x - F.col("swing") >= F.col("_tol"))
+    out = rows.withColumn("rank", F.size(larger) + 1)
+    return out.withColumn("is_leader", F.col("rank") == 1).drop("_all", "_tol")
 
 
 # ---- batch results -------------------------------------------------------------------------------------------------

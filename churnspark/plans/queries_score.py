@@ -325,8 +325,8 @@ def expected_roi(t: Tables) -> DataFrame:
 @query("sensitivity", oracle(
     f"""SELECT {r6('k', 'k')}, {r6('tp', 'tp')}, {r6('base', 'base')}, driver, {r6('lo', 'low')}, {r6('hi', 'high')}, {r6('abs(hi - lo)', 'swing')},
     top - abs(hi - lo) < 1e-6 * greatest(1, top) AS is_leader,
-    CASE WHEN top - abs(hi - lo) < 1e-6 * greatest(1, top) THEN 1 ELSE 1 + (SELECT count(*) FROM bars b WHERE b.k = z.k AND
-      abs(b.hi - b.lo) > abs(z.hi - z.lo) + 1e-6 * greatest(1, top)) END AS rank FROM (SELECT *, max(abs(hi - lo)) OVER (PARTITION BY k) AS top FROM bars) z""",
+    CAST(1 + (SELECT count(*) FROM bars b WHERE b.k = z.k AND
+      abs(b.hi - b.lo) - abs(z.hi - z.lo) >= 1e-6 * greatest(1, top)) AS INT) AS rank FROM (SELECT *, max(abs(hi - lo)) OVER (PARTITION BY k) AS top FROM bars) z""",
     "scored", ctes=(RANKED, *CURVE, *_POINTS, """priced AS (SELECT k, tp, tp * 0.2e0 * 120e0 - k * 5e0 AS base FROM points)""",
                     """bars AS (SELECT k, tp, base, 'save_rate' AS driver, tp * 0.1e0 * 120e0 - k * 5e0 - base AS lo, tp * 0.30000000000000004e0 * 120e0 - k * 5e0 - base AS hi FROM priced
     UNION ALL SELECT k, tp, base, 'value_per_save', tp * 0.2e0 * 60e0 - k * 5e0 - base, tp * 0.2e0 * 180e0 - k * 5e0 - base FROM priced
@@ -417,7 +417,7 @@ def scorecard(t: Tables) -> DataFrame:
     ctes=(*_CARD, _TERMS, _REASONS)))
 def scorecard_reasons(t: Tables) -> DataFrame:
     rows = _card(t).withColumn("reasons", S.reasons(5))
-    return rows.select("msno", F.posexplode("reasons").alias("pos", "r")).select("msno", "pos", "r.id", "r.text", "r.impact")
+    return S.rows_of(rows, ["msno"], "reasons")
 
 
 def contributions(t: Tables) -> DataFrame:
@@ -430,7 +430,7 @@ def contributions(t: Tables) -> DataFrame:
     ctes=(*_CARD, _TERMS)))
 def contrib_points(t: Tables) -> DataFrame:
     pts = S.contribution_points(F.col("contributions"), F.lit(S.BASE_LOGIT), 1 / (1 + F.exp(-F.col("logit"))))
-    return contributions(t).select("msno", F.inline(pts))
+    return S.rows_of(contributions(t), ["msno"], pts).drop("pos")
 
 
 @query("contrib_topn", oracle(
@@ -438,8 +438,7 @@ def contrib_points(t: Tables) -> DataFrame:
     row_number() OVER (PARTITION BY msno ORDER BY abs(contribution) DESC, place) - 1 AS pos FROM terms) WHERE pos < 5""",
     "model_table", ctes=(*_CARD, _TERMS)))
 def contrib_topn(t: Tables) -> DataFrame:
-    rows = contributions(t).select("msno", F.posexplode(S.top_contributions(F.col("contributions"), 5)).alias("pos", "c"))
-    return rows.select("msno", "pos", "c.feature", "c.contribution")
+    return S.rows_of(contributions(t), ["msno"], S.top_contributions(F.col("contributions"), 5))
 
 
 @query("global_importance", oracle(
