@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from churnspark.plans import queries_build, queries_score  # noqa: F401
+from churnspark.plans import queries_build, queries_monitor, queries_score  # noqa: F401
 from churnspark.plans.registry import CATALOG  # noqa: F401
