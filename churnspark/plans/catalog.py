@@ -1,4 +1,10 @@
 """All registered queries."""
 
-from churnspark.plans import queries_build, queries_monitor, queries_score  # noqa: F401
+from churnspark.plans import (  # noqa: F401
+    queries_build,
+    queries_ml,
+    queries_monitor,
+    queries_score,
+    queries_stream,
+)
 from churnspark.plans.registry import CATALOG  # noqa: F401
