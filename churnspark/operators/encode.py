@@ -100,6 +100,11 @@ def encoding_bounds(encoded: DataFrame, dictionary: DataFrame, columns: Sequence
     )
 
 
+def clean_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """NULL, NaN and infinities become 0 in the given columns."""
+    return df.withColumns({c: X.finite_or_zero(F.col(c).cast("double")) for c in columns})
+
+
 # ---- scaling and weights -------------------------------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from churnspark import contract as C
 from churnspark.functions import columns as X
 from churnspark.operators.policy import action_of
-from churnspark.operators.rank import quota_cutoff, within_cutoff
+from churnspark.operators.rank import best_rows
 
 
 def sample_size(baseline: Column, mde: float, alpha: float = 0.05, power: float = 0.8) -> Column:
@@ -39,8 +39,7 @@ def assign_holdout(df: DataFrame, k: int, policy: dict = C.POLICY, share: float
 
     The arm is the hash of the id with the tier in the seed: stable on re-runs and independent between tiers.
     """
-    cutoffs = quota_cutoff(df, score, id, F.lit(k))
-    top = within_cutoff(df, cutoffs, score, id).withColumn("tier", action_of(F.col(score), policy))
+    top = best_rows(df, k, score, id).withColumn("tier", action_of(F.col(score), policy))
     draw = X.hash_fraction(F.concat(F.col(id).cast("string"), F.lit("|"), F.col("tier")), seed)
     return top.withColumn("arm", F.when(draw < share, "holdout").otherwise("treatment"))
 

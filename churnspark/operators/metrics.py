@@ -36,9 +36,12 @@ def confusion_at(df: DataFrame, threshold: float, score: str = "y_proba", label:
 
 def binary_metrics(df: DataFrame, threshold: float, score: str = "y_proba", label: str = "y_true",
                    by: Sequence[str] = ()) -> DataFrame:
-    counts = with_precision_recall(confusion_at(df, threshold, score, label, by))
+    return with_accuracy(with_precision_recall(confusion_at(df, threshold, score, label, by)))
+
+
+def with_accuracy(df: DataFrame) -> DataFrame:
     n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
-    return counts.withColumn("accuracy", X.ratio0((F.col("tp") + F.col("tn")).cast("double"), n))
+    return df.withColumn("accuracy", X.ratio0((F.col("tp") + F.col("tn")).cast("double"), n))
 
 
 def threshold_sweep(df: DataFrame, score: str = "y_proba", label: str = "y_true",
@@ -224,18 +227,33 @@ def score_histogram(df: DataFrame, score: str = "y_proba", bins: int = 20) -> Da
     )
 
 
+def confusion_of_groups(groups: DataFrame, threshold: float) -> DataFrame:
+    """Confusion counts from score groups instead of rows."""
+    hit = F.coalesce(F.col("score") >= threshold, F.lit(False))
+    pos, neg = F.col("pos"), F.col("n") - F.col("pos")
+
+    def total(when: Column, x: Column) -> Column:
+        return F.sum(F.when(when, x).otherwise(0))
+
+    return groups.agg(total(hit, pos).alias("tp"), total(hit, neg).alias("fp"),
+                      total(~hit, pos).alias("fn"), total(~hit, neg).alias("tn"))
+
+
 def evaluate(df: DataFrame, threshold: float = 0.5, ks: Sequence[int] = C.TOP_KS, score: str = "y_proba",
              label: str = "y_true", id: str = "id") -> DataFrame:
-    """Evaluation bundle: one row with rows, rate, AUC, AP, F1 at the threshold, and maps of P@K and R@K."""
-    at = binary_metrics(df, threshold, score, label).agg(F.struct(
-        F.max("precision").alias("precision"), F.max("recall").alias("recall"), F.max("f1").alias("f1"),
-        F.max("accuracy").alias("accuracy"))).scalar()
+    """Evaluation bundle: one row with rows, rate, AUC, AP, F1 at the threshold, and maps of P@K and R@K.
+
+    AUC, AP and the confusion counts all come from the one written table of score groups.
+    """
+    groups = score_groups(df, score, label)
+    at = with_accuracy(with_precision_recall(confusion_of_groups(groups, threshold))).select(
+        F.struct("precision", "recall", "f1", "accuracy")).scalar()
     tops = topk_metrics(df, ks, score, label, id).agg(F.struct(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "precision")))).alias("precision_at_k"),
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "recall")))).alias("recall_at_k"))).scalar()
-    return ranking_metrics(df, score, label).select(
-        F.col("n").alias("valid_rows"), "positives", (F.col("positives") / F.col("n")).alias("valid_churn_rate"),
-        "roc_auc", "average_precision", at.alias("_a"), tops.alias("_t"),
+    return metrics_of_groups(groups).select(
+        F.col("n").alias("valid_rows"), "positives", X.ratio(F.col("positives").cast("double"), F.col("n")).alias(
+            "valid_churn_rate"), "roc_auc", "average_precision", at.alias("_a"), tops.alias("_t"),
     ).select("*", "_a.*", "_t.*").drop("_a", "_t").withColumn("threshold", F.lit(threshold))
 
 

@@ -15,7 +15,7 @@ from churnspark import contract as C
 from churnspark.functions import columns as X
 from churnspark.functions.scorecard import reason_text, reasons, with_scorecard
 from churnspark.operators.metrics import net_value
-from churnspark.operators.rank import global_rank, top_k, within_cutoff, quota_cutoff
+from churnspark.operators.rank import best_rows, global_rank, top_k
 
 
 def action_of(score: Column, policy: dict = C.POLICY) -> Column:
@@ -297,8 +297,7 @@ def batch_summary(df: DataFrame, k: int, threshold: float = C.DEFAULT_THRESHOLD,
                   cost: float = C.COST_PER_CONTACT, save: float = C.SAVE_RATE, score: str = "y_proba",
                   id: str = "id") -> DataFrame:
     """Rows, rows at or above the threshold, rows in the top K, expected saves and net, cutoff score."""
-    cutoffs = quota_cutoff(df, score, id, F.lit(k))
-    top = within_cutoff(df.select(id, score), cutoffs, score, id).agg(F.struct(
+    top = best_rows(df.select(id, score), k, score, id).agg(F.struct(
         F.count(F.lit(1)).alias("n_top_k"), F.sum(F.col(score) * save).alias("expected_saves"),
         F.min(score).alias("cutoff"),
     )).scalar()

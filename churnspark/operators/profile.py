@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from churnspark.functions import columns as X
 from churnspark.operators.rank import exact_quantiles
 
+QUARTILES = (0.25, 0.5, 0.75)
+
 
 def label_summary(df: DataFrame, label: str = "is_churn") -> DataFrame:
     return df.agg(
@@ -59,15 +61,23 @@ def missing_profile(df: DataFrame, top: int = 15) -> DataFrame:
     return missing_rates(df).orderBy(F.col("pct_missing").desc(), F.col("feature")).limit(top)
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, sample std, min, quartiles, max per column; NULL and NaN are left out."""
+def describe_numeric(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
+    """count, mean, sample std, min, quartiles, max per column; NULL and NaN are left out.
+
+    Exact quartiles order the distinct values of each column; ``exact=False`` takes approximate ones from the same
+    aggregation as the other figures.
+    """
     rows = long_form(df, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    moments = rows.groupBy("feature").agg(
+    figures = [
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(rows, "value", (0.25, 0.5, 0.75), ["feature"])
-    return moments.join(quartiles, "feature", "left").select(
+    ]
+    if exact:
+        quartiles = exact_quantiles(rows, "value", QUARTILES, ["feature"])
+        found = rows.groupBy("feature").agg(*figures).join(quartiles, "feature", "left")
+    else:
+        found = rows.groupBy("feature").agg(*figures, F.percentile_approx("value", list(QUARTILES)).alias("quantiles"))
+    return found.select(
         "feature", "count", "mean", "std", "min",
         F.col("quantiles")[0].alias("p25"), F.col("quantiles")[1].alias("p50"), F.col("quantiles")[2].alias("p75"),
         "max",

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.sources.staging import stage
+from churnspark.sources.staging import broadcast_if_small, stage
 
 BINS = 10_000
 _PART_BITS = 33
@@ -62,7 +62,7 @@ def rank_by(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), out:
         rows = with_position(df, *order, out="_row")
         return rows.withColumn(out, F.col("_row") + 1).drop("_row")
     rows = with_position(df, *[F.col(c).asc_nulls_first() for c in by], *order, out="_row")
-    first = rows.groupBy(*by).agg(F.min("_row").alias("_first"))
+    first = broadcast_if_small(rows.groupBy(*by).agg(F.min("_row").alias("_first")), "first-rows")
     matched = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
     return (
         rows.alias("l").join(first.alias("r"), matched)
@@ -98,11 +98,13 @@ def running_totals(
         *[F.coalesce(F.sum(f"_part_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
         *[F.sum(f"_part_{c}").over(whole).alias(f"all_{c}") for c in sums],
     )
+    # Without ``by`` there is one row per part; with it, one more per value of ``by``.
+    offsets = broadcast_if_small(offsets, "offsets") if by else F.broadcast(offsets)
     # _place follows the part's order, so it also orders the rows of one ``by`` value inside the part.
     inside = Window.partitionBy("_part", *by).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     return (
         rows.select("*", *[F.sum(c).over(inside).alias(f"_inside_{c}") for c in sums])
-        .join(F.broadcast(offsets), [*by, "_part"])
+        .join(offsets, [*by, "_part"])
         .select(
             *grouped.columns,
             *[(F.col(f"_before_{c}") + F.col(f"_inside_{c}")).alias(f"cum_{c}") for c in sums],
@@ -156,8 +158,8 @@ def _bin(score: Column) -> Column:
 
 
 def quota_cutoff(df: DataFrame, score: str, id: str, quota: Column, by: Sequence[str] = ()) -> DataFrame:
-    """The row that fills the quota: per ``by`` value (few, e.g. tiers or cycles) its score and id in the order
-    score descending, id ascending. No row comes back for a ``by`` value with fewer rows than its quota.
+    """The row that fills the quota: per ``by`` value (tiers, cycles ...) its score and id in the order score
+    descending, id ascending. No row comes back for a ``by`` value with fewer rows than its quota.
 
     Counting by bin finds the bin where the quota is reached, and only the rows of that bin are put in order.
     ``quota`` may use the ``by`` columns and ``_all``, the number of rows of the ``by`` value.
@@ -175,17 +177,16 @@ def quota_cutoff(df: DataFrame, score: str, id: str, quota: Column, by: Sequence
         .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
         .select(*by, "_bin", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
     )
-    near = rows.join(F.broadcast(bins), [*by, "_bin"])
+    bins = F.broadcast(bins) if by == ["_one"] else broadcast_if_small(bins, "bins")
+    near = rows.join(bins, [*by, "_bin"])
     ranked = rank_by(near, [F.col("_score").desc_nulls_last(), F.col("_id").asc()], by, "_rank")
-    return (
-        ranked.where(F.col("_rank") == F.col("_left"))
-        .select(*by, F.col("_score").alias("cut_score"), F.col("_id").alias("cut_id"))
-    )
+    found = ranked.where(F.col("_rank") == F.col("_left"))
+    cutoffs = found.select(*by, F.col("_score").alias("cut_score"), F.col("_id").alias("cut_id"))
+    return F.broadcast(cutoffs) if by == ["_one"] else broadcast_if_small(cutoffs, "cutoffs")
 
 
-def within_cutoff(df: DataFrame, cutoffs: DataFrame, score: str, id: str, by: Sequence[str] = (),
-                  keep_short: bool = True) -> DataFrame:
-    """Rows at or before their ``by`` value's cutoff row; a value without a cutoff keeps all its rows or none."""
+def within_cutoff(df: DataFrame, cutoffs: DataFrame, score: str, id: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows at or before their ``by`` value's cutoff row; a value without a cutoff row keeps all its rows."""
     by = list(by) or ["_one"]
     base = df if by != ["_one"] else df.withColumn("_one", F.lit(0))
     value = clean_score(F.col(score).cast("double"))
@@ -194,14 +195,18 @@ def within_cutoff(df: DataFrame, cutoffs: DataFrame, score: str, id: str, by: Se
         (F.coalesce(value, F.lit(float("-inf"))) > F.coalesce(cut, F.lit(float("-inf"))))
         | (value.eqNullSafe(cut) & (F.col(id) <= cut_id))
     )
-    joined = base.join(F.broadcast(cutoffs), by, "left")
-    kept = joined.where(before | (cut_id.isNull() if keep_short else F.lit(False)))
+    joined = base.join(cutoffs, by, "left")
+    kept = joined.where(cut_id.isNull() | before)
     return kept.drop("cut_score", "cut_id", "_one")
 
 
-def top_k(df: DataFrame, k: int, score: str = "y_proba", id: str = "id", by: Sequence[str] = ()) -> DataFrame:
-    """The k best rows (per ``by`` value) with their ``rank``; only rows that make the cut are sorted."""
+def best_rows(df: DataFrame, k: int, score: str = "y_proba", id: str = "id", by: Sequence[str] = ()) -> DataFrame:
+    """The k best rows (per ``by`` value), unordered: every row is compared with the cutoff row, none is sorted."""
     if k <= 0:
         raise ValueError("k must be > 0")
-    cutoffs = quota_cutoff(df, score, id, F.lit(k), by)
-    return global_rank(within_cutoff(df, cutoffs, score, id, by), score, id, by)
+    return within_cutoff(df, quota_cutoff(df, score, id, F.lit(k), by), score, id, by)
+
+
+def top_k(df: DataFrame, k: int, score: str = "y_proba", id: str = "id", by: Sequence[str] = ()) -> DataFrame:
+    """The k best rows (per ``by`` value) with their ``rank``; only rows that make the cut are sorted."""
+    return global_rank(best_rows(df, k, score, id, by), score, id, by)

@@ -9,29 +9,30 @@ from pyspark.sql import functions as F
 
 from churnspark.functions.columns import hash_fraction
 from churnspark.functions.dates import ymd_to_date
-from churnspark.operators.rank import quota_cutoff, within_cutoff
+from churnspark.operators.rank import best_rows, quota_cutoff, within_cutoff
 
 
 def sample_fraction(df: DataFrame, fraction: float, id: str, seed: int = 42) -> DataFrame:
     return df.where(hash_fraction(F.col(id), seed) < fraction)
 
 
-def _smallest_hashes(df: DataFrame, quota: Column, id: str, by: Sequence[str], seed: int, keep_short=True) -> DataFrame:
-    scored = df.withColumn("_score", 1 - hash_fraction(F.col(id), seed))
-    cutoffs = quota_cutoff(scored, "_score", id, quota, by)
-    return within_cutoff(scored, cutoffs, "_score", id, by, keep_short).drop("_score")
+def _hashed(df: DataFrame, id: str, seed: int) -> DataFrame:
+    """``_score`` ranks the smallest hash first."""
+    return df.withColumn("_score", 1 - hash_fraction(F.col(id), seed))
 
 
 def sample_n(df: DataFrame, n: int, id: str, seed: int = 42) -> DataFrame:
     """Uniform sample of n rows: the n smallest id hashes."""
-    return _smallest_hashes(df, F.lit(n), id, [], seed)
+    return best_rows(_hashed(df, id, seed), n, "_score", id).drop("_score")
 
 
 def stratified_sample(df: DataFrame, n: int, by: str, id: str, seed: int = 42) -> DataFrame:
     """About n rows with the class mix of the table, at least one per class, then trimmed to n."""
     total = df.agg(F.count(F.lit(1))).scalar()
     quota = F.greatest(F.lit(1), F.floor(F.lit(n) * F.col("_all") / total))
-    return sample_n(_smallest_hashes(df, quota, id, [by], seed), n, id, seed)
+    scored = _hashed(df, id, seed)
+    chosen = within_cutoff(scored, quota_cutoff(scored, "_score", id, quota, [by]), "_score", id, [by])
+    return sample_n(chosen.drop("_score"), n, id, seed)
 
 
 def stratified_split(df: DataFrame, test_size: float, by: str, id: str, seed: int = 42) -> DataFrame:
@@ -39,10 +40,10 @@ def stratified_split(df: DataFrame, test_size: float, by: str, id: str, seed: in
 
     The boundary row of each class is found by counting, then each row is compared with it; nothing is sorted.
     """
-    scored = df.withColumn("_score", 1 - hash_fraction(F.col(id), seed))
+    scored = _hashed(df, id, seed)
     quota = F.floor(F.lit(test_size) * F.col("_all") + 0.5)
     cutoffs = quota_cutoff(scored, "_score", id, quota, [by])
-    joined = scored.join(F.broadcast(cutoffs), by, "left")
+    joined = scored.join(cutoffs, by, "left")
     inside = (F.col("_score") > F.col("cut_score")) | (
         (F.col("_score") == F.col("cut_score")) & (F.col(id) <= F.col("cut_id"))
     )

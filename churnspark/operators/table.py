@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from churnspark import contract as C
 from churnspark.operators.clean import clean_members, zero_fill
-from churnspark.operators.rank import quota_cutoff, within_cutoff
+from churnspark.operators.rank import best_rows
 from churnspark.functions.columns import hash_fraction
 from churnspark.sources.io import require_columns
 
@@ -83,5 +83,4 @@ def subset_by_keys(df: DataFrame, keys: DataFrame, key: str = C.KEY, limit: int
         return kept
     unique = F.concat_ws("#", *[F.col(c).cast("string") for c in (id or df.columns)])
     scored = kept.withColumn("_id", unique).withColumn("_score", 1 - hash_fraction(F.col("_id"), seed))
-    cutoffs = quota_cutoff(scored, "_score", "_id", F.lit(limit))
-    return within_cutoff(scored, cutoffs, "_score", "_id").drop("_id", "_score")
+    return best_rows(scored, limit, "_score", "_id").drop("_id", "_score")

@@ -34,10 +34,10 @@ def confusion_at(t: Tables) -> DataFrame:
 
 
 @query("binary_metrics", oracle(
-    f"""SELECT *, {r6('CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END', 'f1')}
-    FROM (SELECT tp, fp, fn, tn, {r6('tp / CAST(tp + fp + fn + tn AS DOUBLE) + tn / CAST(tp + fp + fn + tn AS DOUBLE)', 'accuracy')},
+    f"""SELECT tp, fp, fn, tn, {r6('(tp + tn) / CAST(tp + fp + fn + tn AS DOUBLE)', 'accuracy')},
     {r6('CASE WHEN tp + fp > 0 THEN tp / CAST(tp + fp AS DOUBLE) ELSE 0 END', 'precision')},
-    {r6('CASE WHEN tp + fn > 0 THEN tp / CAST(tp + fn AS DOUBLE) ELSE 0 END', 'recall')} FROM ({_CONFUSION}))""", "scored"))
+    {r6('CASE WHEN tp + fn > 0 THEN tp / CAST(tp + fn AS DOUBLE) ELSE 0 END', 'recall')},
+    {r6('CASE WHEN tp > 0 THEN 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) ELSE 0 END', 'f1')} FROM ({_CONFUSION})""", "scored"))
 def binary_metrics(t: Tables) -> DataFrame:
     return metrics.binary_metrics(scored_table(t), 0.31)
 

@@ -10,7 +10,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+# Rows of a few small columns: at most some ten megabytes per executor.
+BROADCAST_ROWS = 100_000
 _local_dir: str | None = None
 
 
@@ -27,8 +30,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def _session_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/churnspark/{spark.sparkContext.applicationId}"
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/churnspark/{uuid.uuid4().hex}/{name}"
+    return f"{_session_dir(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -36,3 +43,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = stage_path(df.sparkSession, name)
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application staged. Call it when the results are written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def broadcast_if_small(df: DataFrame, name: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint when the written table has at most ``rows`` rows; beyond that Spark joins it as it likes."""
+    written = stage(df, name)
+    return F.broadcast(written) if written.limit(rows + 1).count() <= rows else written
