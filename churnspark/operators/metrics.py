@@ -227,7 +227,7 @@ def score_histogram(df: DataFrame, score: str = "y_proba", bins: int = 20) -> Da
     )
 
 
-def confusion_of_groups(groups: DataFrame, threshold: float) -> DataFrame:
+def confusion_of_groups(groups: DataFrame, threshold: float, by: Sequence[str] = ()) -> DataFrame:
     """Confusion counts from score groups instead of rows."""
     hit = F.coalesce(F.col("score") >= threshold, F.lit(False))
     pos, neg = F.col("pos"), F.col("n") - F.col("pos")
@@ -235,26 +235,30 @@ def confusion_of_groups(groups: DataFrame, threshold: float) -> DataFrame:
     def total(when: Column, x: Column) -> Column:
         return F.sum(F.when(when, x).otherwise(0))
 
-    return groups.agg(total(hit, pos).alias("tp"), total(hit, neg).alias("fp"),
-                      total(~hit, pos).alias("fn"), total(~hit, neg).alias("tn"))
+    return groups.groupBy(*by).agg(total(hit, pos).alias("tp"), total(hit, neg).alias("fp"),
+                                   total(~hit, pos).alias("fn"), total(~hit, neg).alias("tn"))
 
 
 def evaluate(df: DataFrame, threshold: float = 0.5, ks: Sequence[int] = C.TOP_KS, score: str = "y_proba",
-             label: str = "y_true", id: str = "id") -> DataFrame:
-    """Evaluation bundle: one row with rows, rate, AUC, AP, F1 at the threshold, and maps of P@K and R@K.
+             label: str = "y_true", id: str = "id", by: Sequence[str] = ()) -> DataFrame:
+    """Evaluation bundle per ``by`` value: rows, rate, AUC, AP, F1 at the threshold, and maps of P@K and R@K.
 
     AUC, AP and the confusion counts all come from the one written table of score groups.
     """
-    groups = score_groups(df, score, label)
-    at = with_accuracy(with_precision_recall(confusion_of_groups(groups, threshold))).select(
-        F.struct("precision", "recall", "f1", "accuracy")).scalar()
-    tops = topk_metrics(df, ks, score, label, id).agg(F.struct(
+    by = list(by) or ["_all"]
+    rows = df.select(*[c for c in by if c in df.columns], id, score, label)
+    rows = rows.withColumn("_all", F.lit(0)) if by == ["_all"] else rows
+    groups = score_groups(rows, score, label, by)
+    at = with_accuracy(with_precision_recall(confusion_of_groups(groups, threshold, by)))
+    tops = topk_metrics(rows, ks, score, label, id, by).groupBy(*by).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "precision")))).alias("precision_at_k"),
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "recall")))).alias("recall_at_k"))).scalar()
-    return metrics_of_groups(groups).select(
-        F.col("n").alias("valid_rows"), "positives", X.ratio(F.col("positives").cast("double"), F.col("n")).alias(
-            "valid_churn_rate"), "roc_auc", "average_precision", at.alias("_a"), tops.alias("_t"),
-    ).select("*", "_a.*", "_t.*").drop("_a", "_t").withColumn("threshold", F.lit(threshold))
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "recall")))).alias("recall_at_k"))
+    quality = metrics_of_groups(groups, by).select(
+        *by, F.col("n").alias("valid_rows"), "positives",
+        X.ratio(F.col("positives").cast("double"), F.col("n")).alias("valid_churn_rate"), "roc_auc", "average_precision",
+    )
+    bundle = quality.join(at.select(*by, "precision", "recall", "f1", "accuracy"), by).join(tops, by)
+    return bundle.withColumn("threshold", F.lit(threshold)).drop("_all")
 
 
 def majority_baseline(train: DataFrame, valid: DataFrame, label: str = "is_churn", id: str = C.KEY) -> DataFrame:

@@ -351,13 +351,12 @@ def rolling_backtest(df: DataFrame, cutoffs: Sequence[int], time: str, predict:
                      threshold: float = 0.5, ks: Sequence[int] = C.TOP_KS, id: str = C.KEY) -> DataFrame:
     """For each cutoff (YYYYMMDD): train on rows up to it, score the rows up to the next one, evaluate.
 
-    ``predict(train, valid)`` returns (id, y_true, y_proba) of the valid rows.
+    ``predict(train, valid)`` returns (id, y_true, y_proba) of the valid rows. All windows are evaluated in one pass.
     """
-    out = None
+    scored = None
     for i, cutoff in enumerate(cutoffs):
         after = df.where(F.col(time) > cutoff)
         valid = after if i + 1 == len(cutoffs) else after.where(F.col(time) <= cutoffs[i + 1])
-        scored = predict(df.where(F.col(time) <= cutoff), valid)
-        row = evaluate(scored, threshold, ks, id=id).withColumn("cutoff", F.lit(cutoff))
-        out = row if out is None else out.unionByName(row)
-    return out
+        part = predict(df.where(F.col(time) <= cutoff), valid).withColumn("cutoff", F.lit(cutoff))
+        scored = part if scored is None else scored.unionByName(part)
+    return evaluate(stage(scored, "backtest"), threshold, ks, id=id, by=["cutoff"])
