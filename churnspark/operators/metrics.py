@@ -152,7 +152,7 @@ def topk_metrics(df: DataFrame, ks: Sequence[int] = C.TOP_KS, score: str = "y_pr
     hits = ranked.select(*by, score, label, F.explode(F.filter(wanted, lambda k: k >= F.col("rank"))).alias("k"))
     counted = hits.groupBy(*by, "k").agg(
         F.count(F.lit(1)).alias("n_targeted"), F.sum(F.col(label).cast("bigint")).alias("tp"),
-        F.min(score).alias("cutoff"),
+        F.min(score).alias("cutoff_score"),
     )
     totals = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("positives")
@@ -168,7 +168,7 @@ def topk_metrics(df: DataFrame, ks: Sequence[int] = C.TOP_KS, score: str = "y_pr
         X.ratio0(F.col("tp").cast("double"), F.col("n_targeted")).alias("precision"),
         X.ratio0(F.col("tp").cast("double"), F.col("positives")).alias("recall"),
         X.ratio0(X.ratio0(F.col("tp").cast("double"), F.col("n_targeted")), base).alias("lift"),
-        "cutoff",
+        "cutoff_score",
     )
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.sources.staging import broadcast_if_small, stage
+from churnspark.sources.staging import stage
 
 BINS = 10_000
 _PART_BITS = 33
@@ -62,7 +62,7 @@ def rank_by(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), out:
         rows = with_position(df, *order, out="_row")
         return rows.withColumn(out, F.col("_row") + 1).drop("_row")
     rows = with_position(df, *[F.col(c).asc_nulls_first() for c in by], *order, out="_row")
-    first = broadcast_if_small(rows.groupBy(*by).agg(F.min("_row").alias("_first")), "first-rows")
+    first = stage(rows.groupBy(*by).agg(F.min("_row").alias("_first")), "first-rows")
     matched = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
     return (
         rows.alias("l").join(first.alias("r"), matched)
@@ -99,7 +99,7 @@ def running_totals(
         *[F.sum(f"_part_{c}").over(whole).alias(f"all_{c}") for c in sums],
     )
     # Without ``by`` there is one row per part; with it, one more per value of ``by``.
-    offsets = broadcast_if_small(offsets, "offsets") if by else F.broadcast(offsets)
+    offsets = stage(offsets, "offsets") if by else F.broadcast(offsets)
     # _place follows the part's order, so it also orders the rows of one ``by`` value inside the part.
     inside = Window.partitionBy("_part", *by).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     return (
@@ -177,12 +177,12 @@ def quota_cutoff(df: DataFrame, score: str, id: str, quota: Column, by: Sequence
         .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
         .select(*by, "_bin", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
     )
-    bins = F.broadcast(bins) if by == ["_one"] else broadcast_if_small(bins, "bins")
+    bins = F.broadcast(bins) if by == ["_one"] else stage(bins, "bins")
     near = rows.join(bins, [*by, "_bin"])
     ranked = rank_by(near, [F.col("_score").desc_nulls_last(), F.col("_id").asc()], by, "_rank")
     found = ranked.where(F.col("_rank") == F.col("_left"))
     cutoffs = found.select(*by, F.col("_score").alias("cut_score"), F.col("_id").alias("cut_id"))
-    return F.broadcast(cutoffs) if by == ["_one"] else broadcast_if_small(cutoffs, "cutoffs")
+    return F.broadcast(cutoffs) if by == ["_one"] else stage(cutoffs, "cutoffs")
 
 
 def within_cutoff(df: DataFrame, cutoffs: DataFrame, score: str, id: str, by: Sequence[str] = ()) -> DataFrame:

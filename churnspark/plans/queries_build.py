@@ -81,6 +81,11 @@ def txn_features(t: Tables) -> DataFrame:
     return features.txn_features(t.transactions)
 
 
+@query("txn_features_small_codes", oracle(f"SELECT {replaced(TXN_DOUBLES)} FROM txn_features", "txn_features"))
+def txn_features_small_codes(t: Tables) -> DataFrame:
+    return features.txn_features(t.transactions, small_codes=True)
+
+
 @query("txn_features_missing_cols", oracle(
     """SELECT msno, txn_cnt, CAST(NULL AS BIGINT) AS cancel_cnt, CAST(NULL AS DOUBLE) AS cancel_rate, auto_renew_cnt,
     round(auto_renew_rate, 6) AS auto_renew_rate, """

@@ -156,7 +156,7 @@ _TOPK = """SELECT k, count(*) AS n_targeted, CAST(sum(y_true) AS BIGINT) AS tp,
 
 @query("topk_metrics", oracle(
     f"""SELECT k, n_targeted, tp, {r6('tp / CAST(n_targeted AS DOUBLE)', 'precision')}, {r6('tp / CAST(p AS DOUBLE)', 'recall')},
-    {r6('(tp / CAST(n_targeted AS DOUBLE)) / (p / CAST(n AS DOUBLE))', 'lift')}, {r6('cutoff', 'cutoff')}
+    {r6('(tp / CAST(n_targeted AS DOUBLE)) / (p / CAST(n AS DOUBLE))', 'lift')}, {r6('cutoff', 'cutoff_score')}
     FROM ({_TOPK}), (SELECT sum(y_true) AS p, count(*) AS n FROM scored)""", "scored", ctes=(RANKED,)))
 def topk_metrics(t: Tables) -> DataFrame:
     return metrics.topk_metrics(scored_table(t), KS)

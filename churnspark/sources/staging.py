@@ -10,10 +10,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows of a few small columns: at most some ten megabytes per executor.
-BROADCAST_ROWS = 100_000
 _local_dir: str | None = None
 
 
@@ -39,7 +35,11 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet and return the written table."""
+    """Write ``df`` once as Parquet and return the written table.
+
+    Spark knows the size of a written table, so a join with it is broadcast below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffled above it.
+    """
     path = stage_path(df.sparkSession, name)
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -50,9 +50,3 @@ def release(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def broadcast_if_small(df: DataFrame, name: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint when the written table has at most ``rows`` rows; beyond that Spark joins it as it likes."""
-    written = stage(df, name)
-    return F.broadcast(written) if written.limit(rows + 1).count() <= rows else written

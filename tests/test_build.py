@@ -266,3 +266,14 @@ def test_unseen_categories(spark):
     assert {r.s: r.s_code for r in codes} == {"zzz": 0, None: 1}
     cleaned = encode.clean_numeric(new, ["x"]).collect()
     assert [r.x for r in cleaned] == [0.0, 2.0]
+
+
+def test_small_payment_codes(spark):
+    rows = [("u", c) for c in (0, 5, 5, 63, None)] + [("v", None)]
+    df = spark.createDataFrame(rows, "msno string, payment_method_id int")
+    got = features.txn_features(df, small_codes=True).select("msno", "payment_method_nunique").orderBy("msno").collect()
+    assert [tuple(r) for r in got] == [("u", 3), ("v", 0)]
+    with pytest.raises(Exception, match="0..63"):
+        features.txn_features(spark.createDataFrame([("u", 64)], "msno string, payment_method_id int"), small_codes=True).collect()
+    text = features.txn_features(df, small_codes=True)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1
