@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from churnspark import contract as C
 from churnspark.functions import columns as X
-from churnspark.operators.rank import exact_quantiles, global_rank, score_groups, top_k
+from churnspark.operators.rank import exact_quantiles, global_rank, match, score_groups, top_k
 
 STEPS = 100
 
@@ -158,7 +158,7 @@ def topk_metrics(df: DataFrame, ks: Sequence[int] = C.TOP_KS, score: str = "y_pr
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("positives")
     )
     if by:
-        joined = counted.join(totals, list(by))
+        joined = match(counted, totals, by)
     else:
         joined = counted.withColumn("_t", totals.agg(F.struct(F.max("n").alias("n"), F.max("positives").alias(
             "positives"))).scalar()).select("*", "_t.n", "_t.positives").drop("_t")
@@ -257,7 +257,7 @@ def evaluate(df: DataFrame, threshold: float = 0.5, ks: Sequence[int] = C.TOP_KS
         *by, F.col("n").alias("valid_rows"), "positives",
         X.ratio(F.col("positives").cast("double"), F.col("n")).alias("valid_churn_rate"), "roc_auc", "average_precision",
     )
-    bundle = quality.join(at.select(*by, "precision", "recall", "f1", "accuracy"), by).join(tops, by)
+    bundle = match(match(quality, at.select(*by, "precision", "recall", "f1", "accuracy"), by), tops, by)
     return bundle.withColumn("threshold", F.lit(threshold)).drop("_all")
 
 

@@ -204,18 +204,24 @@ def global_importance(contributions: DataFrame, column: str = "contributions", t
 
 
 def join_scores(scores: dict[str, DataFrame], id: str = "id", label: str | None = "y_true") -> DataFrame:
-    """One column per model, joined by id; ids must match exactly, a missing one fails the job."""
+    """One column per model by id, in one shuffle; an id that is missing or repeated in a model fails the job."""
     names = list(scores)
-    keys = [id, label] if label else [id]
-    out = None
-    for name in names:
-        part = scores[name].select(*(keys if out is None else [id]), F.col("y_proba").alias(name))
-        out = part if out is None else out.join(part, id, "full")
-    whole = F.lit(True)
-    for name in names:
-        whole = whole & F.col(name).isNotNull()
+    rows = None
+    for i, name in enumerate(names):
+        part = scores[name].select(
+            id, F.lit(i).alias("_model"), F.col("y_proba").cast("double").alias("_p"),
+            *([F.col(label) if i == 0 else F.lit(None).alias(label)] if label else []))
+        rows = part if rows is None else rows.unionByName(part)
+    wide = rows.groupBy(id).agg(
+        *([F.max(label).alias(label)] if label else []),
+        *[F.max(F.when(F.col("_model") == i, F.col("_p"))).alias(name) for i, name in enumerate(names)],
+        *[F.count_if(F.col("_model") == i).alias(f"_n{i}") for i in range(len(names))],
+    )
+    once = F.lit(True)
+    for i in range(len(names)):
+        once = once & (F.col(f"_n{i}") == 1)
     failure = F.raise_error(F.concat(F.lit("models score different ids: "), F.col(id).cast("string"))).cast("boolean")
-    return out.where(F.when(~whole, failure).otherwise(F.lit(True)))
+    return wide.where(F.when(~once, failure).otherwise(F.lit(True))).drop(*[f"_n{i}" for i in range(len(names))])
 
 
 def weighted_score(weights: dict[str, float]) -> Column:

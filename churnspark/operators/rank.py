@@ -19,6 +19,15 @@ BINS = 10_000
 _PART_BITS = 33
 
 
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join that also matches NULL with NULL; the keys come from the left side."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def clean_score(score: Column) -> Column:
     """NaN counts as missing; missing scores rank last."""
     return F.when(~F.isnan(score), score)
@@ -63,11 +72,7 @@ def rank_by(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), out:
         return rows.withColumn(out, F.col("_row") + 1).drop("_row")
     rows = with_position(df, *[F.col(c).asc_nulls_first() for c in by], *order, out="_row")
     first = stage(rows.groupBy(*by).agg(F.min("_row").alias("_first")), "first-rows")
-    matched = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
-    return (
-        rows.alias("l").join(first.alias("r"), matched)
-        .select("l.*", (F.col("l._row") - F.col("r._first") + 1).alias(out)).drop("_row")
-    )
+    return match(rows, first, by).withColumn(out, F.col("_row") - F.col("_first") + 1).drop("_row", "_first")
 
 
 def global_rank(
@@ -102,14 +107,11 @@ def running_totals(
     offsets = stage(offsets, "offsets") if by else F.broadcast(offsets)
     # _place follows the part's order, so it also orders the rows of one ``by`` value inside the part.
     inside = Window.partitionBy("_part", *by).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        rows.select("*", *[F.sum(c).over(inside).alias(f"_inside_{c}") for c in sums])
-        .join(offsets, [*by, "_part"])
-        .select(
-            *grouped.columns,
-            *[(F.col(f"_before_{c}") + F.col(f"_inside_{c}")).alias(f"cum_{c}") for c in sums],
-            *[f"all_{c}" for c in sums],
-        )
+    summed = rows.select("*", *[F.sum(c).over(inside).alias(f"_inside_{c}") for c in sums])
+    return match(summed, offsets, [*by, "_part"]).select(
+        *grouped.columns,
+        *[(F.col(f"_before_{c}") + F.col(f"_inside_{c}")).alias(f"cum_{c}") for c in sums],
+        *[f"all_{c}" for c in sums],
     )
 
 
@@ -178,7 +180,7 @@ def quota_cutoff(df: DataFrame, score: str, id: str, quota: Column, by: Sequence
         .select(*by, "_bin", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
     )
     bins = F.broadcast(bins) if by == ["_one"] else stage(bins, "bins")
-    near = rows.join(bins, [*by, "_bin"])
+    near = match(rows, bins, [*by, "_bin"])
     ranked = rank_by(near, [F.col("_score").desc_nulls_last(), F.col("_id").asc()], by, "_rank")
     found = ranked.where(F.col("_rank") == F.col("_left"))
     cutoffs = found.select(*by, F.col("_score").alias("cut_score"), F.col("_id").alias("cut_id"))
@@ -195,7 +197,7 @@ def within_cutoff(df: DataFrame, cutoffs: DataFrame, score: str, id: str, by: Se
         (F.coalesce(value, F.lit(float("-inf"))) > F.coalesce(cut, F.lit(float("-inf"))))
         | (value.eqNullSafe(cut) & (F.col(id) <= cut_id))
     )
-    joined = base.join(cutoffs, by, "left")
+    joined = match(base, cutoffs, by, "left")
     kept = joined.where(cut_id.isNull() | before)
     return kept.drop("cut_score", "cut_id", "_one")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from churnspark.functions.columns import hash_fraction
 from churnspark.functions.dates import ymd_to_date
-from churnspark.operators.rank import best_rows, quota_cutoff, within_cutoff
+from churnspark.operators.rank import best_rows, match, quota_cutoff, within_cutoff
 
 
 def sample_fraction(df: DataFrame, fraction: float, id: str, seed: int = 42) -> DataFrame:
@@ -43,7 +43,7 @@ def stratified_split(df: DataFrame, test_size: float, by: str, id: str, seed: in
     scored = _hashed(df, id, seed)
     quota = F.floor(F.lit(test_size) * F.col("_all") + 0.5)
     cutoffs = quota_cutoff(scored, "_score", id, quota, [by])
-    joined = scored.join(cutoffs, by, "left")
+    joined = match(scored, cutoffs, [by], "left")
     inside = (F.col("_score") > F.col("cut_score")) | (
         (F.col("_score") == F.col("cut_score")) & (F.col(id) <= F.col("cut_id"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark import contract as C
@@ -36,15 +36,11 @@ def warn_duplicate_key(df: DataFrame, key: Sequence[str] | str, what: str = "tab
 def one_row_per_key(df: DataFrame, key: str, what: str = "table") -> DataFrame:
     """The same rows, failing the job when a key occurs twice.
 
-    The check runs inside the plan: grouping by the key is the shuffle that the following join on it needs anyway.
+    The check runs inside the plan: the shuffle and sort by key it needs are the ones a following join on the key uses.
     """
-    rest = [c for c in df.columns if c != key]
-    grouped = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*rest)).alias("_row")
-    )
     failure = F.raise_error(F.concat(F.lit(f"{what} has a duplicate {key}: "), F.col(key).cast("string")))
-    unique = grouped.where(F.when(F.col("_n") > 1, failure.cast("boolean")).otherwise(F.lit(True)))
-    return unique.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    counted = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    return counted.where(F.when(F.col("_n") > 1, failure.cast("boolean")).otherwise(F.lit(True))).drop("_n")
 
 
 def build_spine(labels: DataFrame, members: DataFrame, validate: bool = True) -> DataFrame:

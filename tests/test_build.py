@@ -277,3 +277,17 @@ def test_small_payment_codes(spark):
         features.txn_features(spark.createDataFrame([("u", 64)], "msno string, payment_method_id int"), small_codes=True).collect()
     text = features.txn_features(df, small_codes=True)._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1
+
+
+def test_model_table_shuffles_each_input_once_per_grouping(spark, tables):
+    """At scale (no broadcast) the three joins share one partitioning: labels 1, members 1, billing 2, logs 2."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = tables
+        df = feature_build.model_table(raw.train, raw.members, raw.transactions, raw.user_logs)
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert text.count("Exchange hashpartitioning") == 6 and text.count("SortMergeJoin") == 3
+    assert "SinglePartition" not in text

@@ -157,3 +157,22 @@ def test_no_single_task_sort_over_rows(spark, scored):
     assert "_rows" in before_window and "SinglePartition" in text
     assert "y_proba" not in before_window.split("Exchange SinglePartition")[1].split("HashAggregate")[0]
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
+
+
+def test_null_groups_are_groups(spark):
+    rows = spark.range(300).select("id", (F.col("id") % 100 / 100.0).alias("y_proba"), (F.col("id") % 2).alias("y_true"),
+                                   F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"))
+    got = rank.top_k(rows, 10, by=["g"]).groupBy("g").agg(F.count("*").alias("n"), F.max("rank").alias("m")).collect()
+    assert {r.g: (r.n, r.m) for r in got} == {None: (10, 10), 1: (10, 10), 2: (10, 10)}
+    assert metrics.ranking_metrics(rows, by=["g"]).count() == 3
+    assert metrics.evaluate(rows, 0.5, [10], by=["g"]).count() == 3
+
+
+def test_release_deletes_what_was_staged(spark):
+    from churnspark.sources import staging
+
+    written = staging.stage(spark.range(3), "x")
+    assert written.count() == 3
+    staging.release(spark)
+    with pytest.raises(Exception):
+        written.count()
