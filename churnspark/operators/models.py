@@ -261,21 +261,21 @@ def weight_search(joined: DataFrame, models: Sequence[str], step: float = 0.05,
     merged = joined.groupBy(*models).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos")
     )
-    sums = [sum(w.values()) for w in grid]
-    vectors = F.array(*[
-        F.struct(F.lit(i).alias("grid_row"),
-                 sum((F.lit(w[m] / s) * F.col(m) for m in models[1:]), F.lit(w[models[0]] / s) * F.col(models[0]))
-                 .alias("score"))
-        for i, (w, s) in enumerate(zip(grid, sums))
-    ])
-    rows = merged.select("n", "pos", F.inline(vectors)).groupBy("grid_row", "score").agg(
+    # Weights are looked up by grid row in constant arrays, which keeps the generated code small.
+    row = F.col("grid_row")
+    factors = {m: F.array(*[F.lit(w[m] / sum(w.values())) for w in grid]) for m in models}
+    # A fixed number of partitions: adaptive merging looks at the size before each row becomes a whole grid of rows.
+    parts = int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = merged.repartition(parts, *models).select("*", F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("grid_row"))
+    score = sum((F.get(factors[m], row) * F.col(m) for m in models[1:]), F.get(factors[models[0]], row) * F.col(models[0]))
+    rows = every.select("grid_row", score.alias("score"), "n", "pos").groupBy("grid_row", "score").agg(
         F.sum("n").alias("n"), F.sum("pos").alias("pos")
     )
     groups = running_totals(rows, [F.col("score").desc_nulls_last()], ["n", "pos"], ["grid_row"])
     tried = metrics_of_groups(groups, ["grid_row"])
     weights = {m: F.array(*[F.lit(w[m]) for w in grid]) for m in models}
     return tried.select(
-        "grid_row", *[F.get(weights[m], F.col("grid_row")).alias(f"w_{m}") for m in models], "average_precision"
+        "grid_row", *[F.get(weights[m], row).alias(f"w_{m}") for m in models], "average_precision"
     )
 
 
