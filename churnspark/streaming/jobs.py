@@ -11,11 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from churnspark import contract as C
 from churnspark.functions.dates import date_to_ymd
+from churnspark.operators.features import log_features
 from churnspark.operators.monitor import tier_psi
 from churnspark.operators.policy import assign_action
+from churnspark.sources.staging import stage
 
 DAY_SUMS = [f"{m}_sum_d" for m in C.LOG_METRICS]
 
@@ -57,10 +60,12 @@ def sessions(events: DataFrame, ts: str = "ts", gap: str = "30 minutes", delay:
 
 
 def _read_or_none(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    there = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-    return spark.read.schema(schema).parquet(path) if there else None
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def upsert_days(batch: DataFrame, path: str) -> None:
@@ -69,14 +74,12 @@ def upsert_days(batch: DataFrame, path: str) -> None:
     The new content of a day is written to a side folder first, so a failure never leaves a day half written, and a
     replayed batch writes the same rows again.
     """
-    from churnspark.sources.staging import stage
-
     spark = batch.sparkSession
     batch = stage(batch, "daily-update")
     old = _read_or_none(spark, path, batch.schema)
     merged = batch
     if old is not None:
-        days = batch.select("date").distinct()
+        days = batch.select("date").distinct()  # as many rows as calendar days in the batch
         touched = old.join(F.broadcast(days), "date", "left_semi")
         untouched_rows = touched.join(batch.select(C.KEY, "date"), [C.KEY, "date"], "left_anti")
         merged = stage(untouched_rows.unionByName(batch), "daily-merged")
@@ -119,8 +122,6 @@ def late_rows(batch_daily: DataFrame, stream_daily: DataFrame) -> DataFrame:
 
 def refresh_features(daily: DataFrame, touched: DataFrame) -> DataFrame:
     """Stage-two features of the users in a batch, recomputed from their daily rows."""
-    from churnspark.operators.features import log_features
-
     users = touched.select(C.KEY).distinct()
     return log_features(daily.join(users, C.KEY, "left_semi"))
 
@@ -128,8 +129,6 @@ def refresh_features(daily: DataFrame, touched: DataFrame) -> DataFrame:
 def run_scoring(rows: DataFrame, predict: Callable[[DataFrame], DataFrame], path: str, psi_path: str, checkpoint: str,
                 policy: dict = C.POLICY) -> StreamingQuery:
     """Score a stream (``predict`` adds ``y_proba``), assign tiers, and log the tier drift of every micro-batch."""
-    from churnspark.sources.staging import stage
-
     def write(batch: DataFrame, number: int) -> None:
         # One folder per micro-batch: a replay overwrites its own output.
         scored = stage(batch, "scored")

@@ -176,3 +176,15 @@ def test_release_deletes_what_was_staged(spark):
     staging.release(spark)
     with pytest.raises(Exception):
         written.count()
+
+
+def test_a_hot_tie_spreads_over_the_parts(spark):
+    """A third of the rows share one score; no part of the order grows with it."""
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(0, 60_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 0.9).otherwise(F.rand(1)).alias("y_proba"))
+        parts = rank.ordered(rows, F.col("y_proba").desc(), F.col("id").asc()).groupBy("_part").count().toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(parts) == 8 and parts["count"].max() < 2 * 60_000 / 8
