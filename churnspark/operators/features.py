@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark import contract as C
@@ -125,3 +125,39 @@ def recency_trend(daily: DataFrame, as_of: int, windows: Sequence[int] = (7, 30,
         per_day_long = F.col(f"total_secs_{long}d") / long
         out = out.withColumn(f"trend_{short}_{long}", X.ratio(per_day_short, per_day_long))
     return out
+
+
+def sessions(events: DataFrame, ts: str = "ts", gap_seconds: int = 1800, slice_seconds: int = 86_400) -> DataFrame:
+    """Sessions per user: start, end (last event plus the gap), events, listening time.
+
+    Built in two steps so that a user with very many events is not one task: runs of events inside each (user, slice of
+    time), then joining across slices. Only the first and the last run of a slice can continue in a neighbour, so the
+    second step sees at most two rows per user and slice.
+    """
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    gap = gap_seconds * 1_000_000
+    rows = events.select(C.KEY, micros.alias("_t"), F.floor(micros / (slice_seconds * 1_000_000)).alias("_slice"),
+                         F.col("total_secs").cast("double").alias("total_secs"))
+
+    def numbered(df: DataFrame, keys: list[str], start: str, previous_end: str) -> DataFrame:
+        """``_run``: how many breaks longer than the gap come up to this row."""
+        in_order = Window.partitionBy(*keys).orderBy(start)
+        new = F.coalesce(F.col(start) - F.lag(previous_end).over(in_order) > gap, F.lit(True)).cast("int")
+        upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn("_new", new).withColumn("_run", F.sum("_new").over(upto)).drop("_new")
+
+    keys = [C.KEY, "_slice"]
+    runs = numbered(rows, keys, "_t", "_t").groupBy(*keys, "_run").agg(
+        F.min("_t").alias("_start"), F.max("_t").alias("_end"), F.count(F.lit(1)).alias("n_events"),
+        F.sum("total_secs").alias("total_secs"),
+    ).withColumn("_runs", F.max("_run").over(Window.partitionBy(*keys)))
+    at_edge = (F.col("_run") == 1) | (F.col("_run") == F.col("_runs"))
+    joined = numbered(runs.where(at_edge).drop("_run"), [C.KEY], "_start", "_end").groupBy(C.KEY, "_run").agg(
+        F.min("_start").alias("_start"), F.max("_end").alias("_end"), F.sum("n_events").alias("n_events"),
+        F.sum("total_secs").alias("total_secs"),
+    )
+    columns = [C.KEY, "_start", "_end", "n_events", "total_secs"]
+    return joined.select(*columns).unionByName(runs.where(~at_edge).select(*columns)).select(
+        C.KEY, F.timestamp_micros("_start").alias("session_start"),
+        F.timestamp_micros(F.col("_end") + gap).alias("session_end"), "n_events", "total_secs",
+    )

@@ -67,17 +67,19 @@ def feature_psi(baseline: DataFrame, current: DataFrame, features: Sequence[str]
     """PSI per feature over the baseline's quantile bins; missing values form their own bin. One pass per table."""
     cuts = edges or baseline_edges(baseline, features, bins)
 
-    def binned(df: DataFrame, name: str) -> DataFrame:
+    def binned(df: DataFrame, is_baseline: int) -> DataFrame:
         pairs = []
         for f in features:
             x = F.col(f).cast("double")
             bucket = F.when(x.isNull() | F.isnan(x), -1).otherwise(X.sorted_bucket(x, cuts.get(f, [])))
             pairs.append(F.struct(F.lit(f).alias("feature"), bucket.alias("bin")))
-        return df.select(F.inline(F.array(*pairs))).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias(name))
+        return df.select(F.inline(F.array(*pairs)), F.lit(is_baseline).alias("e"), F.lit(1 - is_baseline).alias("o"))
 
-    both = binned(baseline, "e").join(binned(current, "o"), ["feature", "bin"], "full")
+    both = binned(baseline, 1).unionByName(binned(current, 0)).groupBy("feature", "bin").agg(
+        F.sum("e").alias("e"), F.sum("o").alias("o")
+    )
     whole = Window.partitionBy("feature")
-    share = [F.coalesce(F.col(c), F.lit(0)) / F.sum(c).over(whole) for c in ("e", "o")]
+    share = [X.ratio(F.col(c).cast("double"), F.sum(c).over(whole)) for c in ("e", "o")]
     terms = both.select("feature", psi_term(*share).alias("term"))
     psi = terms.groupBy("feature").agg(F.sum("term").alias("psi"))
     return psi.withColumns({"alert": F.col("psi") > 0.20, "retrain": F.col("psi") > 0.25})

@@ -9,6 +9,7 @@ from churnspark.plans.adapters import Tables
 from churnspark.plans.queries_build import DAILY_DOUBLES
 from churnspark.plans.registry import LOG_DOUBLES, oracle, query, r6, replaced
 from churnspark.plans.queries_score import action_sql
+from churnspark.operators import features
 from churnspark.sources.staging import stage_path
 from churnspark.streaming import jobs
 
@@ -63,7 +64,7 @@ def log_features_stream(t: Tables) -> DataFrame:
       SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events))
     GROUP BY msno, s"""))
 def session_features(t: Tables) -> DataFrame:
-    out = jobs.sessions(activity(t.raw("events")))
+    out = features.sessions(activity(t.raw("events")))
     return out.select("msno", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"),
                       "n_events", "total_secs")
 

@@ -51,7 +51,7 @@ def daily_windows(events: DataFrame, ts: str = "ts", delay: str | None = "2 days
 
 
 def sessions(events: DataFrame, ts: str = "ts", gap: str = "30 minutes", delay: str = "2 days") -> DataFrame:
-    """Sessions per user: start, end (last event plus the gap), events, listening time."""
+    """Sessions per user on a stream; the batch form, safe for very active users, is ``features.sessions``."""
     rows = events.withWatermark(ts, delay) if events.isStreaming else events
     return rows.groupBy(C.KEY, F.session_window(ts, gap)).agg(
         F.count(F.lit(1)).alias("n_events"), F.sum(F.col("total_secs").cast("double")).alias("total_secs")

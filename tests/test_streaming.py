@@ -119,3 +119,13 @@ def test_sessions_stream_equals_batch(spark, folder, tmp_path):
     query.awaitTermination()
     want = jobs.sessions(events(spark, 0, 30), gap="4 hours").where(F.col("session_end") <= events(spark, 0, 30).agg(F.max("ts")).first()[0])
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "s")).collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("slice_seconds", [600, 3600, 86_400])
+def test_sliced_sessions_equal_session_windows(spark, slice_seconds):
+    df = spark.range(3000).select(
+        F.concat(F.lit("u"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5)).alias("msno"),
+        F.timestamp_seconds(1_704_067_200 + F.pmod(F.xxhash64("id"), F.lit(400_000))).alias("ts"), F.lit(1.0).alias("total_secs"))
+    want = sorted(map(tuple, jobs.sessions(df, gap="10 minutes").collect()))
+    got = sorted(map(tuple, features.sessions(df, gap_seconds=600, slice_seconds=slice_seconds).collect()))
+    assert [g[:2] + g[3:] for g in got] == [w[:2] + w[3:] for w in want]
