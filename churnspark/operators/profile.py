@@ -67,16 +67,17 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], exact: bool = True)
     Exact quartiles order the distinct values of each column; ``exact=False`` takes approximate ones from the same
     aggregation as the other figures.
     """
-    rows = long_form(df, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    figures = [
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    ]
+    def figures(c: str):
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        found = [
+            F.lit(c).alias("feature"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"), F.max(x).alias("max"),
+        ]
+        return F.struct(*found, *([] if exact else [F.percentile_approx(x, list(QUARTILES)).alias("quantiles")]))
+
+    found = df.agg(F.array(*[figures(c) for c in columns]).alias("_f")).select(F.inline("_f"))
     if exact:
-        quartiles = exact_quantiles(rows, "value", QUARTILES, ["feature"])
-        found = rows.groupBy("feature").agg(*figures).join(quartiles, "feature", "left")
-    else:
-        found = rows.groupBy("feature").agg(*figures, F.percentile_approx("value", list(QUARTILES)).alias("quantiles"))
+        found = found.join(exact_quantiles(long_form(df, columns), "value", QUARTILES, ["feature"]), "feature", "left")
     return found.select(
         "feature", "count", "mean", "std", "min",
         F.col("quantiles")[0].alias("p25"), F.col("quantiles")[1].alias("p50"), F.col("quantiles")[2].alias("p75"),
