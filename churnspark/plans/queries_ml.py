@@ -98,7 +98,22 @@ def batch_score(t: Tables) -> DataFrame:
     return policy.assign_action(rows.select(C.KEY, C.TIME, F.col(C.LABEL).alias("y_true"), "y_proba"))
 
 
-@query("calibrate")
+# Isotonic regression in closed form: the largest, over starts at or before a point, of the smallest mean up to an end at
+# or after it; between fitted points, linear.
+_ISOTONIC = (
+    "pts AS (SELECT y_proba AS x, count(*) AS n, sum(y_true) AS s FROM scored WHERE cycle < 20240116 GROUP BY 1)",
+    """o AS (SELECT x, n, s, row_number() OVER (ORDER BY x) AS k, sum(n) OVER (ORDER BY x) AS cn, sum(s) OVER (ORDER BY x) AS cs FROM pts)""",
+    """m AS (SELECT a.k AS i, b.k AS k, min((b.cs - a.cs + a.s) / CAST(b.cn - a.cn + a.n AS DOUBLE)) OVER (PARTITION BY a.k ORDER BY b.k DESC) AS v
+      FROM o a JOIN o b ON b.k >= a.k)""",
+    "fitted AS (SELECT o.x, max(m.v) AS g FROM m JOIN o ON o.k = m.k GROUP BY o.x)",
+    "later AS (SELECT id, y_true, y_proba FROM scored WHERE cycle >= 20240116)",
+)
+
+
+@query("calibrate", oracle(
+    f"""SELECT id, y_true, {r6('y_proba', 'y_proba')}, {r6("""CASE WHEN lo.x IS NULL THEN hi.g WHEN hi.x IS NULL OR hi.x = lo.x THEN lo.g
+      ELSE lo.g + (hi.g - lo.g) * (y_proba - lo.x) / (hi.x - lo.x) END""", 'calibrated')}
+    FROM later ASOF LEFT JOIN fitted lo ON y_proba >= lo.x ASOF LEFT JOIN fitted hi ON y_proba <= hi.x""", "scored", ctes=_ISOTONIC))
 def calibrate(t: Tables) -> DataFrame:
     """Fit on the earlier window, apply to the later one."""
     rows = t.scored.withColumn("y_proba", F.col("y_proba").cast("double"))
