@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -22,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnspark import contract as C
-from churnspark.functions import columns as X
 from churnspark.functions.scorecard import rows_of
 from churnspark.operators.encode import with_balanced_weight
 from churnspark.operators.metrics import evaluate, metrics_of_groups, ranking_metrics

@@ -171,7 +171,7 @@ def equiv_threshold(t: Tables) -> DataFrame:
 
 _CURVE_KS = (50, 126, 148, 500, 1000, 2000)
 CURVE = ("""curve AS (SELECT DISTINCT * FROM (SELECT CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS tp, CAST(NULL AS DOUBLE) AS threshold UNION ALL
-  SELECT count(*), CAST(sum(y_true) AS BIGINT), min(y_proba) FROM ranked, (SELECT unnest([50,126,148,500,1000,2000]) AS kk UNION ALL
+  SELECT count(*), CAST(sum(y_true) AS BIGINT), min(y_proba) FROM ranked, (SELECT unnest([50,126,148,500,1000,2000]) AS kk UNION
   SELECT count(*) FROM scored) WHERE rank <= kk GROUP BY kk))""",)
 
 
