@@ -8,7 +8,7 @@ Three shuffles, none of which sends a row per window:
 3. A run joins its repeats to intervals, one row per document, which a join brings to the text.
 
 A window, line or whole text that a third of all documents share arrives at its code range once per run, not once per
-occurrence. Codes have 80 bits (two independent polynomials); n windows give about n**2 / 2**81 false repeats.
+occurrence. Codes have 72 bits (two independent polynomials); n windows give about n**2 / 2**73 false repeats.
 
 Rules for odd rows: a null text has no words; a null id sorts after every id; rows with one id are one document for the
 order (the same start is a tie and removes nothing), but each row's own text decides its windows; an empty table gives an
@@ -23,6 +23,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,26 +31,40 @@ from churnspark.llm import textcode as tc
 from churnspark.llm.tables import computed, doc_order, fresh, keyed, parts, small_batches, text_key
 
 LENGTH = 20
-RUN_BYTES = 32 << 20
+RUN_BYTES = 16 << 20
 
-ENTRIES = "part int, run long, code binary, extra binary, place binary, size int, docs binary, local binary"
+ENTRIES = "part int, run long, size int, entries binary, docs binary, local binary"
 REPEATS = "run long, docs binary, places binary"
 INTERVALS = "doc long, key long, begins binary, ends binary"
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Byte planes of unsigned integers: the shuffle's compression removes planes that are all zero."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T).tobytes()
+    """Unsigned integers as compressed byte planes; high planes of small numbers take no room."""
+    data = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(data)
 
 
 def unplanes(data: bytes, dtype) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(data)
     width = np.dtype(dtype).itemsize
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).ravel()
 
 
-def sorted_out(codes: np.ndarray) -> bytes:
-    """Ascending codes as differences, in planes."""
-    return planes(np.diff(codes, prepend=np.uint64(0)))
+def packed(*arrays: np.ndarray) -> bytes:
+    """Several arrays as one value: sizes of the packed arrays, then the arrays."""
+    data = [planes(a) for a in arrays]
+    return np.array([len(d) for d in data], np.int64).tobytes() + b"".join(data)
+
+
+def unpacked(data: bytes, *dtypes) -> list[np.ndarray]:
+    ends = np.cumsum(np.frombuffer(data[: 8 * len(dtypes)], np.int64)) + 8 * len(dtypes)
+    begins = [8 * len(dtypes), *ends[:-1]]
+    return [unplanes(data[x:y], t) for x, y, t in zip(begins, ends, dtypes)]
+
+
+def ascending(values: np.ndarray) -> np.ndarray:
+    """Differences of ascending unsigned integers; ``np.cumsum`` undoes it."""
+    return np.diff(values, prepend=values.dtype.type(0))
 
 
 def _runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -64,134 +79,127 @@ def _runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
-def _codes(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """(code, extra 16 bits, text index, start) of all windows, text by text."""
-    out, done = [], 0
+def _codes(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code and second code of all windows, text by text, and the number of windows of each text."""
+    codes, seconds, sizes = [], [], []
     frame = pd.DataFrame(index=range(len(texts)))
-    for _, some in tc.chunks(frame, texts):
+    for _, some in tc.chunks(frame, texts, 2 << 20):
         w = tc.Words(some)
         code, text, at = w.windows(length)
-        second = tc.windows(tc.mixed(w.code ^ np.uint64(0xA5A5A5A55A5A5A5B)), length, tc._BYTES)[at] if len(at) else at
-        out.append((code, (second >> np.uint64(48)).astype(np.uint16), text + done, (at - w.first[text]).astype(np.int64)))
-        done += len(some)
-    return tuple(np.concatenate(c) for c in zip(*out))
+        second = tc.windows(tc.mixed(w.code ^ np.uint64(0xA5A5A5A55A5A5A5B)), length, tc._BYTES)[at] if len(at) else code
+        codes.append(code >> np.uint64(8))
+        seconds.append((second >> np.uint64(48)).astype(np.uint16))
+        sizes.append(np.bincount(text, minlength=len(some)))
+    return np.concatenate(codes), np.concatenate(seconds), np.concatenate(sizes).astype(np.uint64)
+
+
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """For sorted columns, the index at which the group of each row begins."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+
+
+def _repeated(doc: np.ndarray, start: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """Rows, ordered by window, id and start, that are later than the first of their window."""
+    return (doc != doc[head]) | (start != start[head])
 
 
 def _entries(frames: Iterator[pd.DataFrame], length: int, n_parts: int) -> Iterator[pd.DataFrame]:
     for run in _runs(frames):
         run = run.sort_values("doc", kind="stable", ignore_index=True)
-        code, extra, text, start = _codes(tc.encoded(run["text"]), length)
+        code, second, sizes = _codes(tc.encoded(run["text"]), length)
         if not len(code):
             continue
-        doc = run["doc"].to_numpy()
-        # Equal ids: starts of their rows interleave, so that the order within a code is (id, start).
-        if len(np.unique(doc)) < len(doc):
-            o = np.lexsort((start, doc[text]))
-            code, extra, text, start = code[o], extra[o], text[o], start[o]
-        place = (text.astype(np.uint64) << np.uint64(32)) | start.astype(np.uint64)
-        o = np.argsort(code, kind="stable")
-        c, x = code[o], extra[o]
-        new = np.r_[True, (c[1:] != c[:-1])]
-        if (~new[1:] & (x[1:] != x[:-1])).any():  # one code, two windows: order by the second code as well
-            o = np.lexsort((np.arange(len(code)), extra, code))
-            c, x = code[o], extra[o]
-            new = np.r_[True, (c[1:] != c[:-1]) | (x[1:] != x[:-1])]
-        p = place[o]
-        head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        d, s = doc[(p >> np.uint64(32)).astype(np.int64)], p & np.uint64(0xFFFFFFFF)
-        tie = (d == d[head]) & (s == s[head])
-        local = p[~tie]
-        sent = np.flatnonzero(tie)  # the earliest place, and rows that tie with it
-        c, x, p = c[sent], x[sent], p[sent]
-        table = np.stack([doc, run["key"].to_numpy(np.int64)])
-        name = int.from_bytes(hashlib.blake2b(table.tobytes(), digest_size=8).digest(), "little", signed=True)
-        part = ((c >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32)
+        doc, ends = run["doc"].to_numpy(np.int64), np.cumsum(sizes)
+        docs = packed(ascending(doc.view(np.uint64)), sizes)
+        key = run["key"].to_numpy(np.int64)
+        name = int.from_bytes(hashlib.blake2b(doc.tobytes() + key.tobytes(), digest_size=8).digest(), "little", signed=True)
+        order = np.argsort(code, kind="stable").astype(np.uint32)
+        code, second = code[order], second[order]
+        # What shares its code with another window of the run, in the order (window, id, start).
+        twin = np.zeros(len(code) + 1, bool)
+        twin[1:-1] = code[1:] == code[:-1]
+        twin = np.flatnonzero(twin[1:] | twin[:-1])
+        local = np.empty(0, np.uint32)
+        if len(twin):
+            place = order[twin]
+            text = np.searchsorted(ends, place, side="right")
+            d, s = doc[text], place - np.r_[np.uint64(0), ends][text]
+            o = np.lexsort((s, d, second[twin], code[twin]))
+            order[twin], second[twin] = place[o], second[twin][o]
+            gone = _repeated(d[o], s[o], _heads(code[twin], second[twin]))
+            local = order[twin[gone]]
+            left = np.ones(len(code), bool)
+            left[twin[gone]] = False
+            code, second, order = code[left], second[left], order[left]
+        part = (((code >> np.uint64(24)) * np.uint64(n_parts)) >> np.uint64(32)).astype(np.int64)
         cut = np.searchsorted(part, np.arange(n_parts + 1))
-        rows, home = [], abs(name) % n_parts
+        home, rows = name % n_parts, []
         for k in range(n_parts):
             a, b = cut[k], cut[k + 1]
-            if a == b and k != home:
-                continue
-            used, index = np.unique((p[a:b] >> np.uint64(32)).astype(np.uint32), return_inverse=True)
-            rows.append((
-                k, name, sorted_out(c[a:b]), planes(x[a:b]),
-                planes(index.astype(np.uint32)) + planes((p[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32)),
-                int(b - a), used.tobytes() + doc[used].tobytes(),
-                table.tobytes() + np.sort(local).tobytes() + len(doc).to_bytes(8, "little") if k == home else None,
-            ))
-            if len(rows) == 64:
-                yield pd.DataFrame(rows, columns=["part", "run", "code", "extra", "place", "size", "docs", "local"])
+            if a < b or k == home:
+                own = packed(doc.view(np.uint64), key.view(np.uint64), sizes, np.sort(local)) if k == home else None
+                rows.append((k, name, int(b - a), packed(ascending(code[a:b]), second[a:b], order[a:b]), docs, own))
+            if rows and (len(rows) == 32 or k == n_parts - 1):
+                yield pd.DataFrame(rows, columns=["part", "run", "size", "entries", "docs", "local"])
                 rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=["part", "run", "code", "extra", "place", "size", "docs", "local"])
 
 
 def _repeats(chunk: pd.DataFrame) -> pd.DataFrame:
-    """All entries of one code range: places that are not the earliest of their code, per run."""
-    codes, extras, docs, starts, places, runs = [], [], [], [], [], []
-    echoed, names = [], []
-    for i, r in enumerate(chunk.itertuples()):
-        names.append(r.run)
-        if r.local is not None:
-            echoed.append((r.run, r.local, None))
-        if not r.size:
-            continue
-        both = unplanes(r.place[: 4 * r.size], np.uint32), unplanes(r.place[4 * r.size:], np.uint32)
-        n = len(r.docs) // 12
-        used, ids = np.frombuffer(r.docs[: 4 * n], np.uint32), np.frombuffer(r.docs[4 * n:], np.int64)
-        codes.append(np.cumsum(unplanes(r.code, np.uint64), dtype=np.uint64))
-        extras.append(unplanes(r.extra, np.uint16))
-        docs.append(ids[both[0]])
-        starts.append(both[1])
-        places.append((used[both[0]].astype(np.uint64) << np.uint64(32)) | both[1].astype(np.uint64))
-        runs.append(np.full(r.size, i, np.int32))
-    out = [(run, data, None) for run, data, _ in echoed]
-    if codes:
-        code = np.concatenate(codes)
-        o = np.argsort(code, kind="stable")
-        c = code[o]
-        near = np.zeros(len(c), bool)
-        same = c[1:] == c[:-1]
-        near[1:] |= same
-        near[:-1] |= same
-        o = o[near]  # codes of one entry are done
-        if len(o):
-            x, d, s = np.concatenate(extras)[o], np.concatenate(docs)[o], np.concatenate(starts)[o]
-            again = np.lexsort((s, d, x, code[o]))
-            c, x, d, s, o = code[o][again], x[again], d[again], s[again], o[again]
-            new = np.r_[True, (c[1:] != c[:-1]) | (x[1:] != x[:-1])]
-            head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            gone = o[(d != d[head]) | (s != s[head])]
-            place, run = np.concatenate(places)[gone], np.concatenate(runs)[gone]
-            for i in np.unique(run):
-                out.append((names[i], None, np.sort(place[run == i]).tobytes()))
+    """All entries of one code range: places that are not the earliest of their window, per run."""
+    names = chunk["run"].to_numpy()
+    out = [(run, data, None) for run, data in zip(names, chunk["local"]) if data is not None]
+    entries = [unpacked(e, np.uint64, np.uint16, np.uint32) for e in chunk["entries"]]
+    runs = np.repeat(np.arange(len(chunk), dtype=np.int32), [len(e[0]) for e in entries])
+    code = np.concatenate([np.cumsum(e[0], dtype=np.uint64) for e in entries])
+    order = np.argsort(code, kind="stable")
+    twin = np.zeros(len(code) + 1, bool)
+    twin[1:-1] = code[order[1:]] == code[order[:-1]]
+    order = order[twin[1:] | twin[:-1]]  # a window of one run only is done
+    if len(order):
+        code, runs = code[order], runs[order]
+        second = np.concatenate([e[1] for e in entries])[order]
+        place = np.concatenate([e[2] for e in entries])[order]
+        doc, start = np.empty(len(order), np.int64), np.empty(len(order), np.uint64)
+        for i in np.unique(runs):
+            ids, sizes = unpacked(chunk["docs"].iloc[i], np.uint64, np.uint64)
+            ids, ends = np.cumsum(ids, dtype=np.uint64).view(np.int64), np.cumsum(sizes)
+            at = np.flatnonzero(runs == i)
+            text = np.searchsorted(ends, place[at], side="right")
+            doc[at], start[at] = ids[text], place[at] - np.r_[np.uint64(0), ends][text]
+        o = np.lexsort((start, doc, second, code))
+        gone = o[_repeated(doc[o], start[o], _heads(code[o], second[o]))]
+        place, runs = place[gone], runs[gone]
+        for i in np.unique(runs):
+            out.append((names[i], None, planes(ascending(np.sort(place[runs == i])))))
     return pd.DataFrame(out, columns=["run", "docs", "places"])
 
 
 def _intervals(chunk: pd.DataFrame, length: int) -> pd.DataFrame:
     """All repeats of one run as maximal intervals [begin, end) of words, one row per document."""
     data = next(d for d in chunk["docs"] if d is not None)
-    marks = [np.frombuffer(p, np.uint64) for p in chunk["places"] if p is not None]
-    # The echoed row holds ids, keys, the run's own repeats and the number of documents.
-    n = int.from_bytes(data[-8:], "little")
-    table = np.frombuffer(data[: 16 * n], np.int64).reshape(2, n)
-    marks.append(np.frombuffer(data[16 * n: -8], np.uint64))
-    place = np.unique(np.concatenate(marks))
+    doc, key, sizes, local = unpacked(data, np.uint64, np.uint64, np.uint64, np.uint32)
+    marks = [np.cumsum(unplanes(p, np.uint32), dtype=np.uint32) for p in chunk["places"] if p is not None]
+    place = np.unique(np.concatenate([local, *marks])).astype(np.int64)
     columns = ["doc", "key", "begins", "ends"]
     if not len(place):
         return pd.DataFrame([], columns=columns)
-    text, start = (place >> np.uint64(32)).astype(np.int64), (place & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    ends = np.cumsum(sizes).astype(np.int64)
+    text = np.searchsorted(ends, place, side="right")
+    start = place - np.r_[0, ends][text]
     new = np.r_[True, (text[1:] != text[:-1]) | (start[1:] > start[:-1] + length)]
     at = np.flatnonzero(new)
     begin, end, owner = start[at], start[np.r_[at[1:] - 1, len(start) - 1]] + length, text[at]
     first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     last = np.r_[first[1:], len(owner)]
-    rows = [
-        (int(table[0, owner[a]]), int(table[1, owner[a]]),
-         begin[a:b].astype(np.uint32).tobytes(), end[a:b].astype(np.uint32).tobytes())
+    doc, key = doc.view(np.int64), key.view(np.int64)
+    return pd.DataFrame([
+        (doc[owner[a]], key[owner[a]], begin[a:b].astype(np.uint32).tobytes(), end[a:b].astype(np.uint32).tobytes())
         for a, b in zip(first, last)
-    ]
-    return pd.DataFrame(rows, columns=columns)
+    ], columns=columns)
 
 
 def repeated_intervals(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
