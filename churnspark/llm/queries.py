@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from churnspark.llm import substrings
+from churnspark.llm import bayes_join, decontaminate, mixing, substrings, token_counts, toxicity
 from churnspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +34,78 @@ kept AS (SELECT doc_id, unnest(range(len(words))) AS i, unnest(words) AS word FR
 SELECT w.doc_id, CAST(len(any_value(w.words)) AS BIGINT) AS n_words, count(g.i) AS n_removed,
   sha256(coalesce(string_agg(k.word, ' ' ORDER BY k.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256
 FROM w LEFT JOIN kept k USING (doc_id) LEFT JOIN gone g ON g.doc_id = k.doc_id AND g.i = k.i GROUP BY w.doc_id"""
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"coalesce(regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+SQL["op3_benchmark_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS words FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS.format('text')} AS words FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(words), 13) AS n,
+    array_to_string(words[s + 1 : s + least(len(words), 13)], ' ') AS key
+  FROM (SELECT *, unnest(range(greatest(1, len(words) - 12))) AS s FROM b WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+starts AS (SELECT doc_id, n, unnest(range(len(words) - n + 1)) AS s, words FROM d, sizes WHERE len(words) >= n),
+hits AS (SELECT x.doc_id, x.s, x.n, win.item_id
+  FROM (SELECT doc_id, n, s, array_to_string(words[s + 1 : s + n], ' ') AS key FROM starts) x
+  JOIN win ON win.n = x.n AND win.key = x.key),
+hit_words AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, s + unnest(range(n)) AS i FROM hits) GROUP BY 1),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
+
+
+@query
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bayes_join.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+_CLOSE = """p{k} AS (SELECT t.*, m + coalesce(CAST(t.doc_id = b.doc_id AS BIGINT), 0) AS m2 FROM p{j} t LEFT JOIN (
+  SELECT x.sid, x.doc_id FROM p{j} x JOIN (SELECT sid, any_value(open) - sum(m * size) AS gap FROM p{j} GROUP BY sid) USING (sid)
+  WHERE m = 0 AND p > 0 AND size > 0 AND size <= gap
+  QUALIFY row_number() OVER (PARTITION BY x.sid ORDER BY size DESC, r, CAST(x.doc_id AS VARCHAR)) = 1) b USING (sid)),
+p{k}0 AS (SELECT * EXCLUDE (m, m2), m2 AS m FROM p{k})"""
+SQL["op10_source_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS sid
+  FROM d GROUP BY source),
+s1 AS (SELECT *, CAST((sid - 1) % 3 + 1 AS BIGINT) AS w FROM s0),
+s2 AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / CAST(sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level FROM s1
+  WINDOW o AS (ORDER BY CAST(3 * source_size AS DOUBLE) / w, sid)),
+s3 AS (SELECT *, (SELECT level FROM s2 WHERE 3 * source_size >= level * w ORDER BY CAST(3 * source_size AS DOUBLE) / w, sid LIMIT 1) AS share
+  FROM s2),
+s4 AS (SELECT sid, source, source_size, least(CAST(3 * source_size AS DOUBLE),
+  CASE WHEN 3 * source_size < level * w THEN CAST(3 * source_size AS DOUBLE) ELSE w * share END) AS target FROM s3),
+s5 AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS f FROM s4),
+s AS (SELECT *, CAST(floor(f) AS BIGINT) AS whole, target - floor(f) * source_size AS open, f - floor(f) AS p FROM s5),
+x AS (SELECT d.doc_id, d.size, s.* EXCLUDE (source), CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '#42'), 1, 13) AS BIGINT) AS DOUBLE)
+  / 4503599627370496 AS u FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+r0 AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS odds FROM x),
+r AS (SELECT *, odds / (1 + odds) AS r FROM r0),
+p10 AS (SELECT *, CAST(p > 0 AND size > 0 AND sum(size) OVER (PARTITION BY sid ORDER BY r, CAST(doc_id AS VARCHAR)) <= open AS BIGINT) AS m FROM r),
+""" + ",\n".join([_CLOSE.format(j="10", k="2"), _CLOSE.format(j="20", k="3")]) + """
+SELECT doc_id, size, source_size, target, CAST(size * (whole + m) AS BIGINT) AS taken FROM p30"""
