@@ -4,7 +4,8 @@ Sizes are words. The sources' targets share the words of all documents by weight
 and pass what is left on by weight (water filling). A document of a source with target / size = f is taken floor(f) times for
 certain and once more with probability f - floor(f). Pareto order sampling decides about that copy: documents are ranked by
 random odds u / (1 - u) over inclusion odds p / (1 - p), and the first ones are taken until their sizes fill the source's
-open words. The gap left then is smaller than one document; ``closing`` more picks of the largest document that fits narrow it.
+open words. The gap left then is smaller than one document; ``CLOSING`` more picks of the largest document that fits narrow it
+(one that has its extra copy already may get another, up to ``cap`` in all).
 
 The order of a source is never sorted as a whole: sizes are summed by rank bin, the bin in which the quota is reached is
 split again, three times 1024-fold, and only the few documents of the last bin are ordered. A source with a third of all
@@ -74,8 +75,8 @@ def _picked(units: DataFrame, sources: DataFrame) -> DataFrame:
     """``units`` with m, the rows of the unit that get one more copy: a prefix of the Pareto order."""
     state = sources.select("sid", F.col("open").alias("quota"), F.lit(0).cast("long").alias("bin"), F.lit(0).cast("long").alias("base"))
     for level in range(1, LEVELS + 1):
-        state = _crossing(units, state, level)
-    state = written(state, "crossing")
+        # Written, so that Spark knows how small it is and does not deal the units out by source.
+        state = written(_crossing(units, state, level), "crossing")
     leaf = F.floor(F.col("rank") * BINS ** LEVELS)
     rows = units.join(state, "sid", "left")
     inside = rows.filter(leaf == F.col("bin"))
@@ -88,13 +89,14 @@ def _picked(units: DataFrame, sources: DataFrame) -> DataFrame:
     return inside.withColumn("m", fit).unionByName(outside.withColumn("m", all_or_none)).drop("bin", "base", "quota")
 
 
-def _closed(units: DataFrame) -> DataFrame:
-    """One more pick per source: rows of the largest unit that still fits into the gap, the first of these by rank."""
-    gap = units.groupBy("sid").agg((F.first("open") - F.sum(F.col("m") * F.col("size"))).alias("gap"))
-    best = (units.filter((F.col("m") < F.col("n")) & (F.col("p") > 0)).join(gap, "sid").filter(F.col("size") <= F.col("gap"))
-            .groupBy("sid").agg(F.min(F.struct((-F.col("size")).alias("s"), "rank", "doc", "key",
-                                                F.least(F.col("n") - F.col("m"), F.floor(F.col("gap") / F.col("size"))).alias("add"))).alias("b")))
-    joined = units.join(best, "sid", "left")
+def _closed(units: DataFrame, cap: int) -> DataFrame:
+    """One more pick per source: copies of the largest unit that still fits into the gap, the first of these by rank."""
+    gap = written(units.groupBy("sid").agg((F.first("open") - F.sum(F.col("m") * F.col("size"))).alias("gap")), "gap")
+    room = F.col("n") * (F.lit(cap) - F.col("whole")) - F.col("m")
+    best = (units.filter(room > 0).join(gap, "sid").filter(F.col("size") <= F.col("gap"))
+            .groupBy("sid").agg(F.min(F.struct((-F.col("size")).alias("s"), (F.col("m") >= F.col("n")).alias("again"), "rank", "doc", "key",
+                                                F.least(room, F.floor(F.col("gap") / F.col("size"))).alias("add"))).alias("b")))
+    joined = units.join(written(best, "best"), "sid", "left")
     own = (F.col("doc") == F.col("b.doc")) & (F.col("key") == F.col("b.key"))
     return joined.withColumn("m", F.col("m") + F.when(own, F.col("b.add")).otherwise(0)).drop("b")
 
@@ -103,7 +105,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, se
          text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per unit of equal rows: doc, key, source, n, size, source_size, target, whole, m.
 
-    Every row of the unit is taken ``whole`` times, ``m`` of its ``n`` rows once more.
+    Every row of the unit is taken ``whole`` times; ``m`` more copies are dealt out over its ``n`` rows in turn.
     """
     doc = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
     rows = docs.select(doc.alias("doc"), F.coalesce(text_key(text_col), F.lit(0)).alias("key"),
@@ -118,7 +120,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, se
     some = ranked.filter((F.col("size") > 0) & (F.col("p") > 0))
     picks = _picked(some, sources.filter(F.col("p") > 0))
     for _ in range(CLOSING):
-        picks = _closed(written(picks, "picks"))
+        picks = _closed(written(picks, "picks"), cap)
     rest = ranked.filter((F.col("size") <= 0) | (F.col("p") <= 0)).withColumn("m", F.lit(0).cast("long"))
     return picks.unionByName(rest).select("doc", "key", "source", "n", "size", "source_size", "target", "whole", "m")
 
@@ -127,7 +129,7 @@ def digest(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken: one row per document."""
     units = plan(docs)
     each = units.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("nth"))
-    copies = F.col("whole") + (F.col("nth") <= F.col("m")).cast("long")
+    copies = F.col("whole") + F.floor(F.col("m") / F.col("n")) + (F.col("nth") <= F.col("m") % F.col("n")).cast("long")
     return each.select(F.when(F.col("doc") != "", F.col("doc")).cast("long").alias("doc_id"), "size", "source_size", "target",
                        (F.col("size") * copies).alias("taken"))
 
@@ -142,8 +144,9 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     both = rows.join(units.select("doc", "key", F.col("source").alias("unit_source"), "n", "whole", "m"),
                      (doc == F.col("doc")) & (key == F.col("key"))
                      & F.col(names["source"]).cast("string").eqNullSafe(F.col("unit_source")))
-    part = (F.col("m") > 0) & (F.col("m") < F.col("n"))  # at most a few units of equal rows in each source
+    part = F.col("m") % F.col("n") > 0  # at most a few units of equal rows in each source
     nth = F.row_number().over(W.partitionBy("doc", "key", "unit_source").orderBy(F.lit(1)))
-    out = both.filter(~part).withColumn("copies", F.col("whole") + (F.col("m") > 0).cast("long")).unionByName(
-        both.filter(part).withColumn("copies", F.col("whole") + (nth <= F.col("m")).cast("long")))
+    every = F.col("whole") + F.floor(F.col("m") / F.col("n"))
+    out = both.filter(~part).withColumn("copies", every).unionByName(
+        both.filter(part).withColumn("copies", every + (nth <= F.col("m") % F.col("n")).cast("long")))
     return out.filter(F.col("copies") > 0).select(*[F.col(v).alias(c) for c, v in names.items()], "copies")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from churnspark.llm import bayes_join, decontaminate, mixing, substrings, token_counts, toxicity
+from churnspark.llm import bayes_join, chat, decontaminate, licenses, mixing, shared_bytes, substrings, token_counts, toxicity, voronoi
 from churnspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,25 @@ SELECT w.doc_id, CAST(len(any_value(w.words)) AS BIGINT) AS n_words, count(g.i)
 FROM w LEFT JOIN kept k USING (doc_id) LEFT JOIN gone g ON g.doc_id = k.doc_id AND g.i = k.i GROUP BY w.doc_id"""
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_voronoi_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.digest(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op2_voronoi_knn_join"] = """
+WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5"""
+
+
 @query
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -62,6 +81,28 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
 
 
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_bytes.digest(table(spark, sf_dir, "documents"))
+
+
+SQL["op4_suffix_array_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, unnest(range(length(h) // 2 - 49)) AS s, h FROM d WHERE length(h) >= 100),
+win AS (SELECT doc_id, s, md5(substr(h, 2 * s + 1, 100)) AS key FROM starts),
+rep AS (SELECT doc_id, s FROM win QUALIFY doc_id > min(doc_id) OVER (PARTITION BY key)),
+ordered AS (SELECT doc_id, s, s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS gap FROM rep),
+numbered AS (SELECT doc_id, s, sum(CASE WHEN gap IS NULL OR gap > 50 THEN 1 ELSE 0 END)
+  OVER (PARTITION BY doc_id ORDER BY s) AS span FROM ordered),
+spans AS (SELECT doc_id, span, min(s) AS b, max(s) + 50 AS e FROM numbered GROUP BY doc_id, span),
+kept AS (SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS after FROM spans),
+cut AS (SELECT doc_id, count(*) AS n_spans, sum(e - b) AS n_removed, max(e) AS last,
+  string_agg(substr(h, 2 * after + 1, 2 * (b - after)), '' ORDER BY b) AS head FROM kept JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)"""
+
+
 @query
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bayes_join.digest(table(spark, sf_dir, "documents"))
@@ -77,15 +118,20 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
-_CLOSE = """p{k} AS (SELECT t.*, m + coalesce(CAST(t.doc_id = b.doc_id AS BIGINT), 0) AS m2 FROM p{j} t LEFT JOIN (
-  SELECT x.sid, x.doc_id FROM p{j} x JOIN (SELECT sid, any_value(open) - sum(m * size) AS gap FROM p{j} GROUP BY sid) USING (sid)
-  WHERE m = 0 AND p > 0 AND size > 0 AND size <= gap
-  QUALIFY row_number() OVER (PARTITION BY x.sid ORDER BY size DESC, r, CAST(x.doc_id AS VARCHAR)) = 1) b USING (sid)),
+_CLOSE = """p{k} AS (SELECT t.*, m + coalesce(CAST(t.doc_id = b.doc_id AS BIGINT), 0) * least(3 - whole - m, CAST(floor(b.gap / greatest(size, 1)) AS BIGINT)) AS m2 FROM p{j} t LEFT JOIN (
+  SELECT x.sid, x.doc_id, gap FROM p{j} x JOIN (SELECT sid, any_value(open) - sum(m * size) AS gap FROM p{j} GROUP BY sid) USING (sid)
+  WHERE m < 3 - whole AND p > 0 AND size > 0 AND size <= gap
+  QUALIFY row_number() OVER (PARTITION BY x.sid ORDER BY size DESC, m >= 1, r, CAST(x.doc_id AS VARCHAR)) = 1) b USING (sid)),
 p{k}0 AS (SELECT * EXCLUDE (m, m2), m2 AS m FROM p{k})"""
 SQL["op10_source_mixing"] = r"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size

@@ -207,9 +207,13 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, id_col: str = "doc
     spark = docs.sparkSession
     small_batches(spark)
     n = parts(spark)
+
+    def intervals(chunk: pd.DataFrame) -> pd.DataFrame:
+        return _intervals(chunk, length)
+
     entries = keyed(docs, id_col, text_col).mapInPandas(partial(_entries, length=length, n_parts=n), ENTRIES)
     repeats = entries.groupBy("part").applyInPandas(_repeats, REPEATS)
-    return repeats.groupBy("run").applyInPandas(partial(_intervals, length=length), INTERVALS).dropDuplicates(["doc", "key"])
+    return repeats.groupBy("run").applyInPandas(intervals, INTERVALS).dropDuplicates(["doc", "key"])
 
 
 def _cut(texts: list, begins: list, ends: list) -> list[list]:
