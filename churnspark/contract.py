@@ -30,6 +30,7 @@ _LONG = {
 }
 FEATURE_TYPES = {f: "string" if f == "gender" else "bigint" if f in _LONG else "double" for f in FEATURES}
 
+# Column names of key, label and split date.
 KEY, LABEL, TIME = "msno", "is_churn", "txn_last_date"
 
 # Raw table schemas (DDL).
@@ -43,6 +44,7 @@ RAW_SCHEMAS = {
                  "num_unq int, total_secs double",
 }
 
+# Activity metrics, the age range, the name of an unknown value.
 PLAY_BUCKETS = ["num_25", "num_50", "num_75", "num_985", "num_100"]
 LOG_METRICS = ["total_secs", "num_unq", *PLAY_BUCKETS]
 
@@ -82,13 +84,6 @@ SCENARIOS = {
     "offer": {"value_per_save": 60.0, "cost_per_contact": 10.0, "save_rate": 0.20},
     "outreach": {"value_per_save": 80.0, "cost_per_contact": 0.50, "save_rate": 0.12},
 }
-SCENARIO_BOUNDS = {
-    "k": (100, 50_000),
-    "value_per_save": (10.0, 500.0),
-    "cost_per_contact": (0.1, 50.0),
-    "save_rate": (0.01, 0.6),
-    "subscribers": (100_000, 50_000_000),
-}
 # Published holdout figures used by the lift and economics checks.
 HOLDOUT = {"valid_churn_rate": 0.012432390465049041, "pr_auc": 0.5392, "precision_at_5000": 0.269,
            "precision_at_10000": 0.1801}

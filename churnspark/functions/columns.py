@@ -40,7 +40,8 @@ def ratio0(num: Column, den: Column) -> Column:
 
 
 def clamp(x: Column, low: float, high: float) -> Column:
-    return F.least(F.greatest(x, F.lit(low)), F.lit(high))
+    """x forced into [low, high]; a missing x (NULL, NaN) stays missing."""
+    return F.when(x.isNotNull() & ~F.isnan(x.cast("double")), F.least(F.greatest(x, F.lit(low)), F.lit(high)))
 
 
 def sigmoid(z: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 from churnspark.functions import columns as X
 from churnspark.operators.profile import long_form
 from churnspark.operators.rank import exact_quantiles, rank_by
+from churnspark.sources.staging import stage
 
 NA = "__NA__"
-MAX_CATEGORIES = 1000
 
 
 @dataclass(frozen=True)
 class Encoding:
-    """Fitted values: medians, most frequent strings, one-hot categories."""
+    """Fitted values: medians, most frequent strings, and the dictionary (feature, value, slot) of one-hot slots."""
 
     medians: dict[str, float]
     modes: dict[str, str]
-    categories: dict[str, list[str]] = field(default_factory=dict)
+    slots: DataFrame | None = None
 
 
 def long_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -31,33 +31,31 @@ def long_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_encoding(train: DataFrame, numeric: Sequence[str], strings: Sequence[str]) -> Encoding:
-    """Exact medians, modes (smallest value on ties) and the categories seen in training.
+    """Exact medians, modes (smallest value on ties) and the categories seen in training, numbered in value order.
 
-    Categories become columns, so their number is checked; use ``ordinal_encode`` beyond it.
+    The categories stay a table, so a column may have any number of them.
     """
     medians: dict[str, float] = {}
     if numeric:
         rows = exact_quantiles(long_form(train, numeric), "value", [0.5], ["feature"]).collect()
         medians = {r["feature"]: r["quantiles"][0] for r in rows}
     modes: dict[str, str] = {}
-    categories: dict[str, list[str]] = {}
+    slots = None
     if strings:
         counts = long_strings(train, strings).where("value IS NOT NULL").groupBy("feature", "value").agg(
             F.count(F.lit(1)).alias("n")
         )
-        wide = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > MAX_CATEGORIES).take(1)
-        if wide:
-            raise ValueError(f"{wide[0]['feature']} has {wide[0]['c']} categories; use ordinal_encode")
-        for r in counts.groupBy("feature").agg(
-            F.min_by("value", F.struct((-F.col("n")).alias("a"), F.col("value").alias("b"))).alias("mode"),
-            F.sort_array(F.collect_list("value")).alias("values"),
-        ).collect():
-            modes[r["feature"]], categories[r["feature"]] = r["mode"], list(r["values"])
-    return Encoding(medians, modes, categories)
+        counts = stage(counts, "categories")
+        best = F.min_by("value", F.struct((-F.col("n")).alias("a"), F.col("value").alias("b")))
+        modes = {r["feature"]: r["mode"] for r in counts.groupBy("feature").agg(best.alias("mode")).collect()}
+        numbered = rank_by(counts.select("feature", "value"), [F.col("value").asc()], ["feature"], out="slot")
+        slots = stage(numbered.withColumn("slot", (F.col("slot") - 1).cast("int")), "slots")
+    return Encoding(medians, modes, slots)
 
 
 def apply_encoding(df: DataFrame, encoding: Encoding, keep: Sequence[str] = ()) -> DataFrame:
-    """Imputed numerics with ``<c>_missing`` indicators, one-hot strings (all zero for an unseen value)."""
+    """Imputed numerics with ``<c>_missing`` indicators; one-hot strings as a sparse vector of length ``<c>_size`` with a
+    one at ``<c>_slot`` (no slot for an unseen value)."""
     kinds = dict(df.dtypes)
     out = [F.col(c) for c in keep]
     for c, median in encoding.medians.items():
@@ -65,8 +63,11 @@ def apply_encoding(df: DataFrame, encoding: Encoding, keep: Sequence[str] = ())
         out += [F.when(missing, median).otherwise(F.col(c).cast("double")).alias(c),
                 missing.cast("int").alias(f"{c}_missing")]
     for c, mode in encoding.modes.items():
-        value = F.coalesce(F.col(c).cast("string"), F.lit(mode))
-        out += [(value == v).cast("int").alias(f"{c}={v}") for v in encoding.categories[c]]
+        own = encoding.slots.where(F.col("feature") == c)
+        size = own.agg(F.count(F.lit(1)).cast("int").alias("n")).scalar()
+        df = df.join(own.select(F.col("value").alias(f"_v_{c}"), F.col("slot").alias(f"_slot_{c}")),
+                     F.coalesce(F.col(c).cast("string"), F.lit(mode)) == F.col(f"_v_{c}"), "left")
+        out += [F.col(f"_slot_{c}").alias(f"{c}_slot"), size.alias(f"{c}_size")]
     return df.select(*out)
 
 

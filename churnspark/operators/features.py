@@ -22,12 +22,13 @@ def before(df: DataFrame, date: str, as_of: int | None) -> DataFrame:
 
 
 def txn_features(transactions: DataFrame, as_of: int | None = None, real_days: bool = False,
-                 small_codes: bool = False) -> DataFrame:
+                 one_shuffle: bool = False) -> DataFrame:
     """16 billing features per user. A column the table lacks yields typed NULLs; only the key is required.
 
     ``txn_tenure_days_approx`` is the difference of the YYYYMMDD integers; ``real_days`` adds the calendar days.
     The count of distinct payment methods costs a second shuffle, of partial rows per (user, method). With
-    ``small_codes`` the methods are a set of bits in the one aggregation: exact for codes 0..63, an error for others.
+    ``one_shuffle`` each user's methods are collected as a set in the one aggregation, whatever the codes: better where
+    users have few methods.
     """
     require_columns(transactions, [C.KEY], "transactions")
     have = set(transactions.columns)
@@ -47,13 +48,7 @@ def txn_features(transactions: DataFrame, as_of: int | None = None, real_days: b
         for how, fn in (("mean", F.avg), ("max", F.max), ("min", F.min)):
             aggregates.append(given(price, fn(amount), "double", f"{name}_{how}"))
     methods = F.col("payment_method_id")
-    if small_codes:
-        failure = F.raise_error(F.lit("small_codes needs payment_method_id in 0..63")).cast("bigint")
-        bit = F.when(methods.between(0, 63), F.call_function("shiftleft", F.lit(1).cast("bigint"), methods.cast("int"))).when(
-            methods.isNotNull(), failure)
-        n_methods = F.bit_count(F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")))
-    else:
-        n_methods = F.count_distinct(methods)
+    n_methods = F.size(F.collect_set(methods)) if one_shuffle else F.count_distinct(methods)
     first, last = F.min("transaction_date"), F.max("transaction_date")
     aggregates += [
         given("payment_method_id", n_methods, "bigint", "payment_method_nunique"),

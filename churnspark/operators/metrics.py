@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from churnspark import contract as C
 from churnspark.functions import columns as X
-from churnspark.operators.rank import exact_quantiles, global_rank, match, score_groups, top_k
+from churnspark.operators.rank import clean_score, exact_quantiles, match, quota_points, reaches, score_groups, top_k
 
 STEPS = 100
 
@@ -27,7 +27,7 @@ def with_precision_recall(df: DataFrame) -> DataFrame:
 
 def confusion_at(df: DataFrame, threshold: float, score: str = "y_proba", label: str = "y_true",
                  by: Sequence[str] = ()) -> DataFrame:
-    hit, true = F.coalesce(F.col(score) >= threshold, F.lit(False)), F.col(label) == 1
+    hit, true = reaches(F.col(score), threshold), F.col(label) == 1
     return df.groupBy(*by).agg(
         F.count_if(hit & true).alias("tp"), F.count_if(hit & ~true).alias("fp"),
         F.count_if(~hit & true).alias("fn"), F.count_if(~hit & ~true).alias("tn"),
@@ -184,15 +184,7 @@ def equiv_threshold(df: DataFrame, k: int, score: str = "y_proba", id: str = "id
 def operating_curve(df: DataFrame, ks: Sequence[int], score: str = "y_proba", label: str = "y_true",
                     id: str = "id") -> DataFrame:
     """(k, tp, threshold) at each K up to n, the point (0, 0), and the whole base as last point."""
-    ranked = global_rank(df.select(id, score, label), score, id)
-    cuts = sorted({int(k) for k in ks if k > 0})
-    # bucket i holds ranks cuts[i-1] < rank <= cuts[i]
-    bucket = X.sorted_bucket(F.col("rank") - 1, [float(k) for k in cuts])
-    parts = ranked.groupBy(bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos"), F.min(score).alias("threshold")
-    )
-    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    points = parts.select(F.sum("n").over(upto).alias("k"), F.sum("pos").over(upto).alias("tp"), "threshold")
+    points = quota_points(df, ks, score, label, id)
     zero = df.sparkSession.range(1).select(
         F.lit(0).cast("bigint").alias("k"), F.lit(0).cast("bigint").alias("tp"), F.lit(None).cast("double").alias("threshold")
     )
@@ -203,6 +195,7 @@ def operating_curve(df: DataFrame, ks: Sequence[int], score: str = "y_proba", la
 
 
 def score_summary(df: DataFrame, score: str = "y_proba") -> DataFrame:
+    df = df.select(clean_score(F.col(score)).alias(score))
     quantiles = exact_quantiles(df, score, (0.01, 0.05, 0.5, 0.95, 0.99))
     names = ("p01", "p05", "p50", "p95", "p99")
     basic = df.agg(F.struct(
@@ -216,14 +209,14 @@ def score_summary(df: DataFrame, score: str = "y_proba") -> DataFrame:
 
 
 def score_histogram(df: DataFrame, score: str = "y_proba", bins: int = 20) -> DataFrame:
-    """Rows per equal-width bin of [0, 1]; empty bins come with 0."""
-    spark = df.sparkSession
+    """Rows per equal-width bin of [0, 1]; empty bins come with 0, missing scores (if any) as bin -1 without a center."""
+    spark, value = df.sparkSession, clean_score(F.col(score))
     grid = spark.range(0, bins, 1, 1).select(F.col("id").cast("int").alias("bin"), F.lit(0).cast("bigint").alias("n"))
     counted = df.groupBy(
-        F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int").alias("bin")
+        F.when(value.isNull(), -1).otherwise(X.clamp(F.floor(value * bins), 0, bins - 1)).cast("int").alias("bin")
     ).agg(F.count(F.lit(1)).alias("n"))
     return grid.unionByName(counted).groupBy("bin").agg(F.sum("n").alias("n")).select(
-        "bin", ((F.col("bin") + 0.5) / bins).alias("center"), "n"
+        "bin", F.when(F.col("bin") >= 0, (F.col("bin") + 0.5) / bins).alias("center"), "n"
     )
 
 
@@ -240,10 +233,10 @@ def confusion_of_groups(groups: DataFrame, threshold: float, by: Sequence[str] =
 
 
 def evaluate(df: DataFrame, threshold: float = 0.5, ks: Sequence[int] = C.TOP_KS, score: str = "y_proba",
-             label: str = "y_true", id: str = "id", by: Sequence[str] = ()) -> DataFrame:
+             label: str = "y_true", id: str = "id", by: Sequence[str] = (), split: tuple[str, str] | None = None) -> DataFrame:
     """Evaluation bundle per ``by`` value: rows, rate, AUC, AP, F1 at the threshold, and maps of P@K and R@K.
 
-    AUC, AP and the confusion counts all come from the one written table of score groups.
+    ``split`` (method, cutoff date) of the validation rows is recorded beside the figures. AUC, AP and the confusion counts all come from the one written table of score groups.
     """
     by = list(by) or ["_all"]
     rows = df.select(*[c for c in by if c in df.columns], id, score, label)
@@ -258,6 +251,8 @@ def evaluate(df: DataFrame, threshold: float = 0.5, ks: Sequence[int] = C.TOP_KS
         X.ratio(F.col("positives").cast("double"), F.col("n")).alias("valid_churn_rate"), "roc_auc", "average_precision",
     )
     bundle = match(match(quality, at.select(*by, "precision", "recall", "f1", "accuracy"), by), tops, by)
+    if split:
+        bundle = bundle.withColumns({"split_method": F.lit(split[0]), "cutoff_date": F.lit(split[1])})
     return bundle.withColumn("threshold", F.lit(threshold)).drop("_all")
 
 

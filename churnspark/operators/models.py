@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import combinations
 
 import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -14,41 +15,67 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Imputer,
+    ImputerModel,
+    OneHotEncoder,
+    OneHotEncoderModel,
+    SQLTransformer,
+    StandardScaler,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnspark import contract as C
+from churnspark.functions import columns as X
 from churnspark.functions.scorecard import rows_of
 from churnspark.operators.encode import with_balanced_weight
 from churnspark.operators.metrics import evaluate, metrics_of_groups, ranking_metrics
-from churnspark.operators.rank import running_totals
+from churnspark.operators.rank import clean_score, running_totals
 from churnspark.sources.staging import stage, stage_path
 
-STRING_FEATURES = ("gender",)
+
+# The parameters of the champion model.
+CHAMPION = {"maxIter": 146, "stepSize": 0.03583753342568752, "maxBins": 1023, "minInstancesPerNode": 28,
+            "featureSubsetStrategy": "0.784575377162775"}
+
+
+def string_features(df: DataFrame, features: Sequence[str]) -> list[str]:
+    kinds = dict(df.dtypes)
+    return [f for f in features if kinds[f] == "string"]
 
 
 def as_model_input(df: DataFrame, features: Sequence[str] = tuple(C.FEATURES)) -> DataFrame:
-    """Numeric features as doubles, as pyspark.ml expects them."""
-    return df.withColumns({f: F.col(f).cast("double") for f in features if f not in STRING_FEATURES})
-
-
-def feature_stages(features: Sequence[str] = tuple(C.FEATURES), scale: bool = False) -> list:
-    """Median imputation, one-hot strings (an unseen value keeps its own slot), assembly, optional scaling."""
-    strings = [f for f in features if f in STRING_FEATURES]
-    numeric = [f for f in features if f not in STRING_FEATURES]
-    stages = [
-        Imputer(strategy="median", inputCols=numeric, outputCols=[f"{f}_imp" for f in numeric]),
-        *[StringIndexer(inputCol=f, outputCol=f"{f}_idx", handleInvalid="keep") for f in strings],
-        *[OneHotEncoder(inputCol=f"{f}_idx", outputCol=f"{f}_hot", dropLast=False, handleInvalid="keep") for f in strings],
-        VectorAssembler(inputCols=[f"{f}_imp" for f in numeric] + [f"{f}_hot" for f in strings],
-                        outputCol="features_raw" if scale else "features", handleInvalid="keep"),
-    ]
-    if scale:
-        stages.append(StandardScaler(inputCol="features_raw", outputCol="features", withMean=False, withStd=True))
-    return stages
+    """Numeric features as doubles, as pyspark.ml expects them, each with a ``<f>_missing`` indicator."""
+    kinds, strings = dict(df.dtypes), string_features(df, features)
+    numeric = [f for f in features if f not in strings]
+    marked = df.withColumns({f"{f}_missing": X.is_missing(F.col(f), kinds[f]).cast("double") for f in numeric})
+    return marked.withColumns({f: F.col(f).cast("double") for f in numeric})
+
+
+def feature_stages(numeric: Sequence[str], strings: Sequence[str], scale: bool = False) -> list:
+    """Median imputation with indicators, most frequent strings, one slot per training category, assembly.
+
+    An unseen string has no slot. ``scale`` divides the numeric features by their deviation, not the rest.
+    """
+    stages = []
+    if numeric:
+        stages = [Imputer(strategy="median", inputCols=list(numeric), outputCols=[f"{f}_imp" for f in numeric]),
+                  VectorAssembler(inputCols=[f"{f}_imp" for f in numeric], outputCol="numeric_raw" if scale else "numeric", handleInvalid="keep")]
+        if scale:
+            stages.append(StandardScaler(inputCol="numeric_raw", outputCol="numeric", withMean=False, withStd=True))
+    for f in strings:
+        # Index 0 is the most frequent value; a missing one takes it, an unseen one is past the last slot.
+        stages += [StringIndexer(inputCol=f, outputCol=f"{f}_idx", handleInvalid="keep", stringOrderType="frequencyDesc"),
+                   SQLTransformer(statement=f"SELECT *, CASE WHEN `{f}` IS NULL THEN 0D ELSE `{f}_idx` END AS `{f}_at` FROM __THIS__"),
+                   OneHotEncoder(inputCol=f"{f}_at", outputCol=f"{f}_hot", dropLast=True, handleInvalid="keep")]
+    inputs = (["numeric"] if numeric else []) + [f"{f}_missing" for f in numeric] + [f"{f}_hot" for f in strings]
+    return [*stages, VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")]
 
 
 def logistic_regression(**params) -> Estimator:
@@ -67,10 +94,11 @@ def random_forest(**params) -> Estimator:
 
 
 def boosted_trees(**params) -> Estimator:
-    """Gradient boosting; pass ``validationIndicatorCol`` for early stopping on marked rows."""
-    defaults = {"maxIter": 146, "stepSize": 0.03583753342568752, "maxBins": 1023, "minInstancesPerNode": 28,
-                "featureSubsetStrategy": "0.784575377162775", "labelCol": C.LABEL, "seed": 42}
-    return GBTClassifier(**(defaults | params))
+    """Gradient boosting; pass ``validationIndicatorCol`` for early stopping on marked rows.
+
+    Trees grow level by level here; ten levels hold about as many leaves as the reference model's 1,212.
+    """
+    return GBTClassifier(**({"maxDepth": 10, "labelCol": C.LABEL, "seed": 42} | CHAMPION | params))
 
 
 def fit(train: DataFrame, estimator: Estimator, features: Sequence[str] = tuple(C.FEATURES),
@@ -79,9 +107,10 @@ def fit(train: DataFrame, estimator: Estimator, features: Sequence[str] = tuple(
     columns = [*features, C.LABEL]
     if estimator.hasParam("validationIndicatorCol") and estimator.isDefined("validationIndicatorCol"):
         columns.append(estimator.getOrDefault("validationIndicatorCol"))
-    weighted = with_balanced_weight(train.select(*columns), C.LABEL)
-    prepared = stage(as_model_input(weighted, features), "train")
-    return Pipeline(stages=[*feature_stages(features, scale), estimator]).fit(prepared)
+    rows = stage(as_model_input(train.select(*columns), features), "train")
+    strings = string_features(rows, features)
+    stages = feature_stages([f for f in features if f not in strings], strings, scale)
+    return Pipeline(stages=[*stages, estimator]).fit(with_balanced_weight(rows, C.LABEL))
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (C.KEY,),
@@ -95,19 +124,25 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (C.KEY,),
 # ---- importance and contributions ----------------------------------------------------------------------------------
 
 
-def slot_names(transformed: DataFrame, column: str = "features") -> list[str]:
-    """Names of the vector slots from the column's ML attributes."""
-    attrs = transformed.schema[column].metadata["ml_attr"]["attrs"]
-    named = sorted((a["idx"], a["name"]) for group in attrs.values() for a in group)
-    return [name.replace("_imp", "") for _, name in named]
+def slot_names(model: PipelineModel) -> list[str]:
+    """Names of the vector slots: numeric features, their indicators, string=value."""
+    names = []
+    for stage_ in model.stages:
+        if isinstance(stage_, ImputerModel):
+            names = [*stage_.getInputCols(), *[f"{f}_missing" for f in stage_.getInputCols()]]
+    sizes = {s.getInputCol(): s.categorySizes[0] for s in model.stages if isinstance(s, OneHotEncoderModel)}
+    for stage_ in model.stages:
+        if isinstance(stage_, StringIndexerModel):
+            f = stage_.getInputCol()
+            names += [f"{f}={v}" for v in stage_.labels[: sizes[f"{f}_at"]]]
+    return names
 
 
 def model_importance(model: PipelineModel, df: DataFrame, top: int = 20,
                      features: Sequence[str] = tuple(C.FEATURES)) -> DataFrame:
     """Ranked importances of a tree model: at most as many rows as there are vector slots."""
-    assembled = PipelineModel(model.stages[:-1]).transform(as_model_input(df, features))
     values = model.stages[-1].featureImportances.toArray()
-    rows = [(n, float(v)) for n, v in zip(slot_names(assembled), values)]
+    rows = [(n, float(v)) for n, v in zip(slot_names(model), values)]
     table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
     return table.orderBy(F.col("importance").desc(), F.col("feature")).limit(top)
 
@@ -116,8 +151,7 @@ def linear_contributions(model: PipelineModel, df: DataFrame, keep: Sequence[str
                          features: Sequence[str] = tuple(C.FEATURES)) -> DataFrame:
     """Exact contributions of a linear model: weight x value per slot; base value = intercept; the sum is the log-odds."""
     out = model.transform(as_model_input(df, features))
-    names = slot_names(PipelineModel(model.stages[:-2]).transform(as_model_input(df, features)), "features_raw") \
-        if "features_raw" in out.columns else slot_names(out)
+    names = slot_names(model)
     last = model.stages[-1]
     weights = F.array(*[F.lit(float(w)) for w in last.coefficients.toArray()])
     labels = F.array(*[F.lit(n) for n in names])
@@ -153,7 +187,7 @@ def tree_contributions(model: PipelineModel, df: DataFrame, keep: Sequence[str]
     """
     spark = df.sparkSession
     out = model.transform(as_model_input(df, features))
-    names = slot_names(out)
+    names = slot_names(model)
     trees = spark.sparkContext.broadcast(_tree_nodes(model.stages[-1], spark))
     base = float(sum(2 * t["weight"] * t["value"][0] for t in trees.value))
     width = len(names)
@@ -237,16 +271,18 @@ def ap_weights(joined: DataFrame, models: Sequence[str], label: str = "y_true")
 
 
 def weight_grid(models: Sequence[str], step: float = 0.05) -> list[dict[str, float]]:
-    """Weights that sum to 1 on a grid, in search order; two or three models."""
-    if len(models) not in (2, 3) or not 0 < step <= 1:
-        raise ValueError("grid search takes two or three models and a step in (0, 1]")
-    steps = int((1.0 + 1e-9) / step)
-    grid = [i * step for i in range(steps + 1)]
-    if len(models) == 2:
-        return [dict(zip(models, (a, 1.0 - a))) for a in grid]
-    return [
-        dict(zip(models, (a, b, max(1.0 - a - b, 0.0)))) for a in grid for b in grid if 1.0 - a - b >= -1e-9
-    ]
+    """All weights that sum to 1 in whole steps of 1 / round(1 / step), in search order, for any number of models."""
+    if not models or not 0 < step <= 1:
+        raise ValueError("grid search takes models and a step in (0, 1]")
+    parts = max(1, round(1 / step))
+    # Dividers among parts + models - 1 places: the gaps between them are the shares.
+    width = parts + len(models) - 1
+    out = []
+    for cut in combinations(range(width), len(models) - 1):
+        places = (-1, *cut, width)
+        shares = [b - a - 1 for a, b in zip(places, places[1:])]
+        out.append({m: k / parts for m, k in zip(models, shares)})
+    return out
 
 
 def weight_search(joined: DataFrame, models: Sequence[str], step: float = 0.05, label: str = "y_true") -> DataFrame:
@@ -261,7 +297,7 @@ def weight_search(joined: DataFrame, models: Sequence[str], step: float = 0.05,
     )
     # Weights are looked up by grid row in constant arrays, which keeps the generated code small.
     row = F.col("grid_row")
-    factors = {m: F.array(*[F.lit(w[m] / sum(w.values())) for w in grid]) for m in models}
+    factors = {m: F.array(*[F.lit(w[m]) for w in grid]) for m in models}
     # A fixed number of partitions: adaptive merging looks at the size before each row becomes a whole grid of rows.
     parts = int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     every = merged.repartition(parts, *models).select("*", F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("grid_row"))
@@ -328,7 +364,8 @@ def model_search(train: DataFrame, valid: DataFrame, trials: Sequence[tuple[str,
 
 
 def fit_calibration(df: DataFrame, score_col: str = "y_proba", label: str = "y_true"):
-    """Isotonic regression of the label on the score, on one weighted row per distinct score."""
+    """Isotonic regression of the label on the score, on one weighted row per distinct score; missing scores are left out."""
+    df = df.withColumn(score_col, clean_score(F.col(score_col))).where(F.col(score_col).isNotNull())
     grouped = df.groupBy(F.col(score_col).alias("score")).agg(
         F.count(F.lit(1)).cast("double").alias("weight"), F.avg(F.col(label).cast("double")).alias("rate")
     )
@@ -336,17 +373,18 @@ def fit_calibration(df: DataFrame, score_col: str = "y_proba", label: str = "y_t
 
 
 def calibrate(df: DataFrame, model, score_col: str = "y_proba") -> DataFrame:
-    """Adds ``calibrated``: interpolated between the fitted points."""
-    return model.setFeaturesCol("_s").setPredictionCol("calibrated").transform(
-        df.withColumn("_s", F.col(score_col))
-    ).drop("_s")
+    """Adds ``calibrated``: interpolated between the fitted points, NULL for a missing score."""
+    value = clean_score(F.col(score_col))
+    out = model.setFeaturesCol("_s").setPredictionCol("calibrated").transform(df.withColumn("_s", F.coalesce(value, F.lit(0.0))))
+    return out.withColumn("calibrated", F.when(value.isNotNull(), F.col("calibrated"))).drop("_s")
 
 
 def reliability_table(df: DataFrame, score_col: str = "y_proba", label: str = "y_true", bins: int = 10) -> DataFrame:
-    """Mean score and observed rate per equal-width score bin."""
-    b = F.least(F.floor(F.col(score_col) * bins), F.lit(bins - 1)).cast("int")
+    """Mean score and observed rate per equal-width score bin; missing scores are bin -1, without a mean."""
+    value = clean_score(F.col(score_col))
+    b = F.when(value.isNull(), -1).otherwise(X.clamp(F.floor(value * bins), 0, bins - 1)).cast("int")
     return df.groupBy(b.alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(score_col).alias("mean_score"),
+        F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_score"),
         F.avg(F.col(label).cast("double")).alias("observed_rate"),
     )
 

@@ -12,7 +12,7 @@ from churnspark.functions import columns as X
 from churnspark.operators.metrics import topk_metrics
 from churnspark.operators.policy import action_of
 from churnspark.operators.profile import long_form, missing_rates
-from churnspark.operators.rank import exact_quantiles, running_totals
+from churnspark.operators.rank import clean_score, exact_quantiles, running_totals
 
 FLOOR = 1e-6
 
@@ -93,7 +93,10 @@ def drift_decision(psi: DataFrame, features: int = 3) -> DataFrame:
 
 
 def feature_ks(baseline: DataFrame, current: DataFrame, features: Sequence[str], alpha: float = 0.01) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov per feature: the largest gap of the two running shares, asymptotic p-value."""
+    """Two-sample Kolmogorov-Smirnov per feature: the largest gap of the two running shares, asymptotic p-value.
+
+    A feature without values on one side has no statistic: ks, p_value and drifted are NULL.
+    """
     both = long_form(baseline, features).withColumns({"a": F.lit(1), "b": F.lit(0)}).unionByName(
         long_form(current, features).withColumns({"a": F.lit(0), "b": F.lit(1)})
     ).where(F.col("value").isNotNull() & ~F.isnan("value"))
@@ -103,7 +106,9 @@ def feature_ks(baseline: DataFrame, current: DataFrame, features: Sequence[str],
     stats = totals.groupBy("feature").agg(
         F.max("all_a").alias("n_baseline"), F.max("all_b").alias("n_current"), F.max(gap).alias("ks")
     )
-    return with_ks_p_value(stats).withColumn("drifted", F.col("p_value") < alpha)
+    named = baseline.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, features))).alias("feature"))
+    every = named.join(stats, "feature", "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in ("n_baseline", "n_current")})
+    return with_ks_p_value(every).withColumn("drifted", F.col("p_value") < alpha)
 
 
 def with_ks_p_value(stats: DataFrame) -> DataFrame:
@@ -145,10 +150,14 @@ def volume_anomaly(df: DataFrame, cycle: str, window: int = 3, tolerance: float
 
 def score_shift(df: DataFrame, cycle: str, threshold: float = 0.5, score: str = "y_proba",
                 baseline: tuple[float, float, float] | None = None) -> DataFrame:
-    """Per-cycle mean score and predicted rate against a baseline (mean, std, rate), by default the first cycle's."""
+    """Per-cycle mean score and predicted rate against a baseline (mean, std, rate), by default the first cycle's.
+
+    Missing scores count as rows only.
+    """
+    value = clean_score(F.col(score))
     stats = df.groupBy(cycle).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"), F.stddev_pop(score).alias("std_score"),
-        F.avg((F.col(score) >= threshold).cast("double")).alias("predicted_rate"),
+        F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_score"), F.stddev_pop(value).alias("std_score"),
+        F.avg((value >= threshold).cast("double")).alias("predicted_rate"),
     )
     if baseline is None:
         first = Window.orderBy(cycle).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

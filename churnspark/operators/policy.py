@@ -15,12 +15,12 @@ from churnspark import contract as C
 from churnspark.functions import columns as X
 from churnspark.functions.scorecard import reason_text, reasons, with_scorecard
 from churnspark.operators.metrics import net_value
-from churnspark.operators.rank import best_rows, global_rank, top_k
+from churnspark.operators.rank import best_rows, clean_score, global_rank, reaches, top_k
 
 
 def action_of(score: Column, policy: dict = C.POLICY) -> Column:
-    """Action of the first tier whose minimum the score reaches; the last tier otherwise."""
-    tiers = policy["tiers"]
+    """Action of the first tier whose minimum the score reaches; the last tier otherwise, and for a missing score."""
+    tiers, score = policy["tiers"], clean_score(score)
     out = F.when(score >= float(tiers[0]["min_score"]), tiers[0]["action"])
     for tier in tiers[1:]:
         out = out.when(score >= float(tier["min_score"]), tier["action"])
@@ -41,7 +41,7 @@ def assign_action(df: DataFrame, policy: dict = C.POLICY, score: str = "y_proba"
 
 
 def apply_threshold(df: DataFrame, threshold: float = C.DEFAULT_THRESHOLD, score: str = "y_proba") -> DataFrame:
-    hit = F.coalesce(F.col(score) >= threshold, F.lit(False))
+    hit = reaches(F.col(score), threshold)
     return df.withColumns({
         "churn_label": hit.cast("int"), "action": F.when(hit, "target").otherwise("no_target"),
         "threshold_used": F.lit(threshold), "policy_used": F.lit("threshold"),
@@ -124,10 +124,11 @@ def tier_economics(counts: DataFrame, value_per_save: float = C.VALUE_PER_SAVE)
 
 
 def policy_compare(counts: DataFrame, value_per_save: float = C.VALUE_PER_SAVE,
-                   subscribers: float | None = None) -> DataFrame:
+                   subscribers: float | None = None, capacity: DataFrame | None = None) -> DataFrame:
     """Threshold only (first tier), fixed capacity through one channel, and tiered: contacts, churners, spend, net.
 
-    ``subscribers`` scales the figures from the counted base to another base size.
+    ``capacity`` is one row (n_targeted, tp) of the top K, as ``metrics.topk_metrics`` gives it; without it the capacity is
+    what the paid tiers contact. ``subscribers`` scales the figures from the counted base to another base size.
     """
     first = F.col("tier") == 0
     contacted = F.col("cost_per_contact") > 0
@@ -143,7 +144,12 @@ def policy_compare(counts: DataFrame, value_per_save: float = C.VALUE_PER_SAVE,
         F.sum(F.col("churners") * F.col("assumed_save_rate") * value_per_save).alias("gain3"),
         c0.alias("c0"), s0.alias("s0"),
     )
+    top = F.struct("nk", "tk")
+    if capacity is not None:
+        top = capacity.agg(F.struct(F.max("n_targeted").alias("nk"), F.max("tp").alias("tk"))).scalar()
+    one = one.withColumn("top", top)
     n1, t1, nk, tk, c, s = (F.col(x) for x in ("n1", "t1", "nk", "tk", "c0", "s0"))
+    n_top, t_top = F.col("top.nk"), F.col("top.tk")
 
     def row(name: str, n: Column, t: Column, spend: Column, net: Column) -> Column:
         return F.struct(F.lit(name).alias("policy"), n.alias("contacts"), t.alias("churners"),
@@ -151,7 +157,7 @@ def policy_compare(counts: DataFrame, value_per_save: float = C.VALUE_PER_SAVE,
 
     rows = one.select("base", F.inline(F.array(
         row("threshold_only", n1, t1, n1 * c, net_value(t1, n1, value_per_save, c, s)),
-        row("top_k_single_channel", nk, tk, nk * c, net_value(tk, nk, value_per_save, c, s)),
+        row("top_k_single_channel", n_top, t_top, n_top * c, net_value(t_top, n_top, value_per_save, c, s)),
         row("tiered", nk, tk, F.col("spend3"), F.col("gain3") - F.col("spend3")),
     )))
     best = F.max("net").over(Window.partitionBy(F.lit(0)))
@@ -209,11 +215,11 @@ def tp_at_k(curve: DataFrame, ks: DataFrame) -> DataFrame:
     return rows.select("k", value.alias("tp"))
 
 
-def clamp_scenario(scenario: dict[str, float]) -> dict[str, float]:
-    """Scenario parameters forced into their allowed ranges; K and subscribers rounded."""
+def clamp_scenario(scenario: dict[str, float], bounds: dict[str, tuple[float, float]]) -> dict[str, float]:
+    """Scenario parameters forced into the caller's ranges (a slider's, for instance); K and subscribers rounded."""
     out = {}
     for name, value in scenario.items():
-        low, high = C.SCENARIO_BOUNDS[name]
+        low, high = bounds.get(name, (value, value))
         value = min(high, max(low, value))
         out[name] = float(int(value + 0.5)) if name in ("k", "subscribers") else float(value)
     return out
@@ -222,12 +228,11 @@ def clamp_scenario(scenario: dict[str, float]) -> dict[str, float]:
 def scenario_grid(points: DataFrame, base: DataFrame, scenarios: Sequence[dict[str, float]]) -> DataFrame:
     """Economics of every (k, tp) point under every scenario.
 
-    ``base`` is one row (n, positives) of the scored table. Undefined ratios are NULL.
+    ``base`` is one row (n, positives) of the scored table. Scenarios count as given. Undefined ratios are NULL.
     """
-    clean = [clamp_scenario(s) for s in scenarios]
     table = F.array(*[
-        F.struct(*[F.lit(s[c]).alias(c) for c in ("value_per_save", "cost_per_contact", "save_rate", "subscribers")])
-        for s in clean
+        F.struct(*[F.lit(float(s[c])).alias(c) for c in ("value_per_save", "cost_per_contact", "save_rate", "subscribers")])
+        for s in scenarios
     ])
     total = base.agg(F.struct(F.max("n").cast("double").alias("n"), F.max("positives").cast("double").alias("p"))).scalar()
     rows = points.withColumn("_b", total).select("k", "tp", "_b.n", "_b.p", F.inline(table))
@@ -297,7 +302,8 @@ def batch_summary(df: DataFrame, k: int, threshold: float = C.DEFAULT_THRESHOLD,
                   cost: float = C.COST_PER_CONTACT, save: float = C.SAVE_RATE, score: str = "y_proba",
                   id: str = "id") -> DataFrame:
     """Rows, rows at or above the threshold, rows in the top K, expected saves and net, cutoff score."""
-    top = best_rows(df.select(id, score), k, score, id).agg(F.struct(
+    df = df.select(id, clean_score(F.col(score)).alias(score))
+    top = best_rows(df, k, score, id).agg(F.struct(
         F.count(F.lit(1)).alias("n_top_k"), F.sum(F.col(score) * save).alias("expected_saves"),
         F.min(score).alias("cutoff"),
     )).scalar()
@@ -316,16 +322,24 @@ def campaign_table(df: DataFrame, k: int, policy: dict = C.POLICY, score: str =
     inputs = [c for c in df.columns if c not in (id, score)]
     return ranked.select(
         id, "rank", F.col(score).alias("churn_probability"),
-        (F.col(score) >= C.DEFAULT_THRESHOLD).cast("int").alias("label_at_threshold"),
+        reaches(F.col(score), C.DEFAULT_THRESHOLD).cast("int").alias("label_at_threshold"),
         (F.col("rank") <= k).cast("int").alias("in_top_k"), action.alias("risk_band"),
         tier_attribute(action, "channel", policy).alias("suggested_action"), *inputs,
     )
 
 
-def decide_batch(features: DataFrame, k: int, policy: dict = C.POLICY, id: str = C.KEY, n_reasons: int = 3) -> DataFrame:
-    """Score a feature table with the scorecard and produce the campaign table with reasons."""
-    scored = with_scorecard(features, keep_terms=True).withColumn("top_reasons", reason_text(reasons(n_reasons)))
-    return campaign_table(scored.select(id, "y_proba", "top_reasons"), k, policy, "y_proba", id)
+def decide_batch(features: DataFrame, k: int, policy: dict = C.POLICY, id: str = C.KEY, n_reasons: int = 3,
+                 cutoff_day: int | None = None) -> DataFrame:
+    """Score a feature table with the scorecard: the campaign table with reasons and the input columns.
+
+    Only id and score are put in order; texts and inputs meet the ranks by id.
+    """
+    card = {} if cutoff_day is None else {"cutoff_day": cutoff_day}
+    scored = with_scorecard(features, keep_terms=True, **card)
+    ranked = campaign_table(scored.select(id, "y_proba"), k, policy, "y_proba", id)
+    texts = scored.select(F.col(id).alias("_id"), reason_text(reasons(n_reasons)).alias("top_reasons"),
+                          *[c for c in features.columns if c != id])
+    return ranked.join(texts, F.col(id) == F.col("_id")).drop("_id")
 
 
 def table_of_top(df: DataFrame, limit: int = 100, score: str = "y_proba", id: str = "id") -> DataFrame:

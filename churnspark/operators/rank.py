@@ -29,8 +29,13 @@ def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
 
 
 def clean_score(score: Column) -> Column:
-    """NaN counts as missing; missing scores rank last."""
-    return F.when(~F.isnan(score), score)
+    """NaN counts as missing; missing scores rank last, reach no threshold and belong to no bin."""
+    return F.when(~F.isnan(score.cast("double")), score)
+
+
+def reaches(score: Column, threshold: float | Column) -> Column:
+    """Whether a score is at or above the threshold; a missing one never is."""
+    return F.coalesce(clean_score(score) >= threshold, F.lit(False))
 
 
 def ordered(df: DataFrame, *order: Column, name: str = "ordered") -> DataFrame:
@@ -169,7 +174,8 @@ def quota_cutoff(df: DataFrame, score: str, id: str, quota: Column, by: Sequence
     by = list(by) or ["_one"]
     value = clean_score(F.col(score).cast("double"))
     base = df if by != ["_one"] else df.withColumn("_one", F.lit(0))
-    rows = base.select(*by, value.alias("_score"), F.col(id).alias("_id"), _bin(value).alias("_bin"))
+    # Counted, matched and ordered below: the narrow rows are written once instead of evaluating ``df`` for each.
+    rows = stage(base.select(*by, value.alias("_score"), F.col(id).alias("_id"), _bin(value).alias("_bin")), "narrow")
     whole = Window.partitionBy(*by)
     bins = (
         rows.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
@@ -187,6 +193,31 @@ def quota_cutoff(df: DataFrame, score: str, id: str, quota: Column, by: Sequence
     return F.broadcast(cutoffs) if by == ["_one"] else stage(cutoffs, "cutoffs")
 
 
+def quota_points(df: DataFrame, ks: Sequence[int], score: str = "y_proba", label: str = "y_true", id: str = "id") -> DataFrame:
+    """(k, tp, threshold): positives and lowest score among the k best rows, for every k up to the number of rows and for
+    all rows. Rows are counted by score bin; only rows of bins in which a k falls are put in order.
+    """
+    value = clean_score(F.col(score).cast("double"))
+    rows = stage(df.select(value.alias("_score"), F.col(id).alias("_id"), F.col(label).cast("bigint").alias("_pos"),
+                           _bin(value).alias("_bin")), "narrow")
+    down = Window.orderBy(F.col("_bin").desc())
+    bins = rows.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n"), F.sum("_pos").alias("_pos"), F.min("_score").alias("_low"))
+    bins = bins.select("_bin", "_n", "_low", F.sum("_n").over(down).alias("_upto"), F.sum("_pos").over(down).alias("_found"),
+                       F.col("_pos").alias("_own"), F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_all"))
+    wanted = F.array_union(F.array(*[F.lit(int(k)).cast("bigint") for k in sorted(set(ks)) if k > 0]), F.array("_all"))
+    inside = F.filter(wanted, lambda k: (k <= F.col("_upto")) & (k > F.col("_upto") - F.col("_n")))
+    hits = stage(bins.select("*", F.explode(inside).alias("k")), "quota-bins")  # one row for each k
+    full = hits.where(F.col("k") == F.col("_upto")).select("k", F.col("_found").alias("tp"), F.col("_low").alias("threshold"))
+    cut = hits.where(F.col("k") < F.col("_upto")).select(
+        F.col("_bin").alias("_b"), "k", (F.col("k") - F.col("_upto") + F.col("_n")).alias("_left"),
+        (F.col("_found") - F.col("_own")).alias("_before"))
+    near = rows.join(F.broadcast(cut.select(F.col("_b").alias("_bin")).distinct()), "_bin")
+    ranked = rank_by(near, [F.col("_score").desc_nulls_last(), F.col("_id").asc()], ["_bin"], "_rank")
+    part = ranked.join(F.broadcast(cut), (F.col("_bin") == F.col("_b")) & (F.col("_rank") <= F.col("_left")))
+    points = part.groupBy("k").agg((F.max("_before") + F.sum("_pos")).alias("tp"), F.min("_score").alias("threshold"))
+    return full.unionByName(points)
+
+
 def within_cutoff(df: DataFrame, cutoffs: DataFrame, score: str, id: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows at or before their ``by`` value's cutoff row; a value without a cutoff row keeps all its rows."""
     by = list(by) or ["_one"]

@@ -30,24 +30,28 @@ def ingest_csv(t: Tables) -> DataFrame:
     )
     root = stage_path(t.spark, "ingest")
     io.write_csv(rows, f"{root}/notes.csv")
+    # A part with broken lines: a key that is no number, a line with too few and one with too many columns.
+    broken = ["msno,note,balance", "none,a,1.0", "7,b", "8,c,2.0,3.0"]
+    t.spark.createDataFrame([(x,) for x in broken], "value string").coalesce(1).write.mode("append").text(f"{root}/notes.csv")
     return io.csv_to_parquet(t.spark, f"{root}/notes.csv", f"{root}/notes.parquet", rows.schema)
 
 
 @query("ingest_json_records", """SELECT o_orderkey AS body, CAST(i AS INT) AS record_index, o_custkey + i AS msno,
   round(o_totalprice, 6) + CAST(0 AS DOUBLE) AS paid, CASE WHEN i = 0 THEN CAST(o_orderstatus = 'O' AS INT) END AS auto_renew,
-  CASE WHEN i = 1 AND o_orderkey % 5 = 0 THEN 'field must be a number, string, boolean or null' END AS _error
+  CASE WHEN i = 1 AND o_orderkey % 5 = 0 THEN 'field must be a number, string, boolean or null' END AS _error,
+  CASE i WHEN 0 THEN '[vip] x' ELSE 'true' END AS note
   FROM orders, range(2) r(i)""")
 def ingest_json_records(t: Tables) -> DataFrame:
     first = F.to_json(F.struct(
         F.col("o_custkey").alias("msno"), F.col("o_totalprice").alias("paid"),
-        (F.col("o_orderstatus") == "O").alias("auto_renew"), F.lit(None).cast("string").alias("gender")))
+        (F.col("o_orderstatus") == "O").alias("auto_renew"), F.lit(None).cast("string").alias("gender"), F.lit("[vip] x").alias("note")))
     nested = F.when(F.col("o_orderkey") % 5 == 0, F.array(F.lit(1)))
     second = F.to_json(F.struct((F.col("o_custkey") + 1).alias("msno"), F.col("o_totalprice").alias("paid"),
-                                nested.alias("gender")))
+                                F.lit("true").alias("auto_renew"), nested.alias("gender"), F.lit("true").alias("note")))
     records = F.concat(F.lit("["), first, F.lit(", "), second, F.lit("]"))
     body = F.when(F.col("o_orderkey") % 2 == 0, records).otherwise(F.concat(F.lit('{"records": '), records, F.lit("}")))
     bodies = t.raw("orders").select(F.col("o_orderkey").alias("body"), body.alias("json"))
-    return io.parse_json_records(bodies, "json", {"msno": "bigint", "paid": "double", "auto_renew": "int"}, ["body"])
+    return io.parse_json_records(bodies, "json", {"msno": "bigint", "paid": "double", "auto_renew": "int", "note": "string"}, ["body"])
 
 
 # ---- clean and features --------------------------------------------------------------------------------------------
@@ -83,7 +87,7 @@ def txn_features(t: Tables) -> DataFrame:
 
 @query("txn_features_small_codes", oracle(f"SELECT {replaced(TXN_DOUBLES)} FROM txn_features", "txn_features"))
 def txn_features_small_codes(t: Tables) -> DataFrame:
-    return features.txn_features(t.transactions, small_codes=True)
+    return features.txn_features(t.transactions, one_shuffle=True)
 
 
 @query("txn_features_missing_cols", oracle(
@@ -314,11 +318,14 @@ def auto_cutoff(t: Tables) -> DataFrame:
     f"""SELECT msno, {r6("coalesce(bd, (SELECT median(bd) FROM spine WHERE msno % 5 <> 0))", "bd")},
     CAST(bd IS NULL AS INT) AS bd_missing,
     {r6("coalesce(city, (SELECT median(city) FROM spine WHERE msno % 5 <> 0))", "city")}, CAST(city IS NULL AS INT) AS city_missing,
-    CAST(coalesce(gender, g) = 'female' AS INT) AS "gender=female", CAST(coalesce(gender, g) = 'male' AS INT) AS "gender=male"
-    FROM spine, (SELECT gender AS g FROM spine WHERE gender IS NOT NULL AND msno % 5 <> 0 GROUP BY gender
-      ORDER BY count(*) DESC, gender LIMIT 1)""", "train", "members",
+    CAST(v.slot AS INT) AS gender_slot, CAST((SELECT count(*) FROM cats) AS INT) AS gender_size
+    FROM spine LEFT JOIN cats v ON v.gender = coalesce(spine.gender, (SELECT g FROM common))""", "train", "members",
     ctes=("""spine AS (SELECT t.msno, CASE WHEN bd BETWEEN 10 AND 100 THEN CAST(bd AS DOUBLE) END AS bd,
-      CAST(city AS DOUBLE) AS city, gender FROM train t LEFT JOIN members USING (msno))""",)))
+      CAST(city AS DOUBLE) AS city, gender FROM train t LEFT JOIN members USING (msno))""",
+          """common AS (SELECT gender AS g FROM spine WHERE gender IS NOT NULL AND msno % 5 <> 0 GROUP BY gender
+             ORDER BY count(*) DESC, gender LIMIT 1)""",
+          """cats AS (SELECT gender, row_number() OVER (ORDER BY gender) - 1 AS slot FROM (SELECT DISTINCT gender FROM spine
+             WHERE gender IS NOT NULL AND msno % 5 <> 0))""")))
 def encode_features(t: Tables) -> DataFrame:
     members = t.members.withColumn("bd", X.in_range_or_null(F.col("bd"), C.AGE_MIN, C.AGE_MAX))
     rows = t.train.join(members, C.KEY, "left")

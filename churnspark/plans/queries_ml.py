@@ -39,20 +39,20 @@ def ml_logreg(t: Tables) -> DataFrame:
 @query("ml_tree")
 def ml_tree(t: Tables) -> DataFrame:
     train, valid = _split(t)
-    return _scored(models.fit(train, models.decision_tree(minInstancesPerNode=50)), valid)
+    return _scored(models.fit(train, models.decision_tree()), valid)
 
 
 @query("ml_forest")
 def ml_forest(t: Tables) -> DataFrame:
     train, valid = _split(t)
-    return _scored(models.fit(train, models.random_forest(numTrees=60, maxDepth=10, minInstancesPerNode=50)), valid)
+    return _scored(models.fit(train, models.random_forest()), valid)
 
 
 def _boosted(t: Tables):
     train, valid = _split(t)
     # A hash-chosen tenth of the training rows stops the boosting early.
     marked = sampling.stratified_split(train, 0.1, C.LABEL, C.KEY).withColumn("held", F.col("split") == "valid").drop("split")
-    return models.fit(marked, models.boosted_trees(maxIter=10, maxBins=255, validationIndicatorCol="held")), valid
+    return models.fit(marked, models.boosted_trees(validationIndicatorCol="held")), valid
 
 
 @query("ml_gbt")
@@ -78,22 +78,23 @@ def contrib_linear(t: Tables) -> DataFrame:
 @query("model_importance")
 def model_importance(t: Tables) -> DataFrame:
     train, _ = _split(t)
-    return models.model_importance(models.fit(train, models.decision_tree(minInstancesPerNode=50)), train, 20)
+    return models.model_importance(models.fit(train, models.decision_tree()), train, 20)
 
 
 @query("model_search")
 def model_search(t: Tables) -> DataFrame:
     train, valid = _split(t)
-    trials = [(f"tree depth {d}", models.decision_tree(maxDepth=d, minInstancesPerNode=20)) for d in (2, 4)]
-    trials.append(("logistic regression", models.logistic_regression(maxIter=20)))
+    grid = [(d, n) for d in (3, 5, 7) for n in (100, 500)]
+    trials = [(f"tree depth {d}, leaf {n}", models.decision_tree(maxDepth=d, minInstancesPerNode=n)) for d, n in grid]
+    trials.append(("logistic regression", models.logistic_regression()))
     return models.model_search(train, valid, trials)
 
 
-@query("batch_score", oracle(
+@query("scorecard_batch", oracle(
     f"""SELECT msno, txn_last_date, is_churn AS y_true, {r6('floor(p * 10000 + 0.5) / 10000', 'y_proba')},
     {action_sql('floor(p * 10000 + 0.5) / 10000')} AS action FROM explained JOIN (SELECT msno, txn_last_date, is_churn FROM model_table) USING (msno)
     WHERE txn_last_date > 20010531""", "model_table", ctes=_CARD))
-def batch_score(t: Tables) -> DataFrame:
+def scorecard_batch(t: Tables) -> DataFrame:
     rows = S.with_scorecard(t.model_table, CARD_DAY).where("txn_last_date > 20010531")
     return policy.assign_action(rows.select(C.KEY, C.TIME, F.col(C.LABEL).alias("y_true"), "y_proba"))
 
@@ -101,7 +102,7 @@ def batch_score(t: Tables) -> DataFrame:
 # Isotonic regression in closed form: the largest, over starts at or before a point, of the smallest mean up to an end at
 # or after it; between fitted points, linear.
 _ISOTONIC = (
-    "pts AS (SELECT y_proba AS x, count(*) AS n, sum(y_true) AS s FROM scored WHERE cycle < 20240116 GROUP BY 1)",
+    "pts AS (SELECT y_proba AS x, count(*) AS n, sum(y_true) AS s FROM scored WHERE cycle < 20240116 AND y_proba IS NOT NULL GROUP BY 1)",
     """o AS (SELECT x, n, s, row_number() OVER (ORDER BY x) AS k, sum(n) OVER (ORDER BY x) AS cn, sum(s) OVER (ORDER BY x) AS cs FROM pts)""",
     """m AS (SELECT a.k AS i, b.k AS k, min((b.cs - a.cs + a.s) / CAST(b.cn - a.cn + a.n AS DOUBLE)) OVER (PARTITION BY a.k ORDER BY b.k DESC) AS v
       FROM o a JOIN o b ON b.k >= a.k)""",
@@ -122,28 +123,137 @@ def calibrate(t: Tables) -> DataFrame:
 
 
 @query("reliability_table", oracle(
-    f"""SELECT CAST(least(floor(y_proba * 10), 9) AS INT) AS bin, count(*) AS n, {r6('avg(y_proba)', 'mean_score')},
+    f"""SELECT CASE WHEN y_proba IS NULL THEN -1 ELSE CAST(least(floor(y_proba * 10), 9) AS INT) END AS bin, count(*) AS n, {r6('avg(y_proba)', 'mean_score')},
     {r6('avg(CAST(y_true AS DOUBLE))', 'observed_rate')} FROM scored GROUP BY 1""", "scored"))
 def reliability_table(t: Tables) -> DataFrame:
     return models.reliability_table(scored_table(t))
 
 
+# ---- fits with a closed form -----------------------------------------------------------------------------------------
+# With one string feature every value has a slot of its own, and an unregularised fit gives each value its (weighted) share
+# of positives. The whole path is the one of any model: preparation, fit, a PipelineModel, its transform.
+
+GROUP = ["segment"]
+DAY = 20240116
+
+
+def _grouped(t: Tables) -> DataFrame:
+    return t.scored.select("id", "segment", "cycle", F.col("y_true").alias(C.LABEL))
+
+
+def _share_sql(where: str) -> str:
+    """Balanced share of positives by segment among the training rows."""
+    return f"""(SELECT segment, (pos / CAST(P AS DOUBLE)) / (pos / CAST(P AS DOUBLE) + (n - pos) / CAST(A - P AS DOUBLE)) AS p FROM
+      (SELECT segment, count(*) AS n, sum(y_true) AS pos FROM scored WHERE {where} GROUP BY segment),
+      (SELECT count(*) AS A, sum(y_true) AS P FROM scored WHERE {where}))"""
+
+
+def _group_oracle(digits: int) -> str:
+    return oracle(f"SELECT id, y_true, CAST(round(p, {digits}) AS DOUBLE) AS y_proba FROM scored JOIN {_share_sql(f'cycle < {DAY}')} USING (segment) "
+                  f"WHERE cycle >= {DAY}", "scored")
+
+
+def _saturated():
+    """Logistic regression that runs until nothing moves."""
+    return models.logistic_regression(tol=1e-12, maxIter=500)
+
+
+def _group_scores(t: Tables, estimator, digits: int = 6) -> DataFrame:
+    rows = _grouped(t)
+    model = models.fit(rows.where(f"cycle < {DAY}"), estimator, GROUP)
+    out = models.score(model, rows.where(f"cycle >= {DAY}"), ["id", C.LABEL], GROUP)
+    return out.select("id", F.col(C.LABEL).alias("y_true"), F.round("y_proba", digits).alias("y_proba"))
+
+
+@query("ml_logreg_groups", _group_oracle(4))
+def ml_logreg_groups(t: Tables) -> DataFrame:
+    return _group_scores(t, _saturated(), 4)
+
+
+# Trees merge leaves of one class, so the class of a group is what they fix, not its share.
+_CLASSES = oracle(f"SELECT id, y_true, CAST(p > 0.5 AS INT) AS predicted FROM scored JOIN {_share_sql(f'cycle < {DAY}')} USING (segment) "
+                  f"WHERE cycle >= {DAY}", "scored")
+
+
+def _group_classes(t: Tables, estimator) -> DataFrame:
+    return _group_scores(t, estimator).select("id", "y_true", (F.col("y_proba") > 0.5).cast("int").alias("predicted"))
+
+
+@query("ml_tree_groups", _CLASSES)
+def ml_tree_groups(t: Tables) -> DataFrame:
+    return _group_classes(t, models.decision_tree(minInstancesPerNode=1))
+
+
+@query("ml_forest_groups", _CLASSES)
+def ml_forest_groups(t: Tables) -> DataFrame:
+    """Without resampling every tree is the same."""
+    return _group_classes(t, models.random_forest(numTrees=5, minInstancesPerNode=1, bootstrap=False, featureSubsetStrategy="all"))
+
+
+@query("ml_gbt_groups", oracle(
+    f"""SELECT id, y_true, CAST(round(1 / (1 + exp(-2 * f)), 5) AS DOUBLE) AS y_proba FROM scored JOIN steps USING (segment)
+    WHERE cycle >= {DAY} AND m = {models.CHAMPION["maxIter"]}""", "scored", ctes=(
+        f"share AS (SELECT segment, avg(CAST(y_true AS DOUBLE)) AS p FROM scored WHERE cycle < {DAY} GROUP BY segment)",
+        f"""steps AS (WITH RECURSIVE s AS (SELECT segment, p, 1 AS m, 2 * p - 1 AS f FROM share UNION ALL
+          SELECT segment, p, m + 1, f + {models.CHAMPION["stepSize"]!r} * (p * 4 / (1 + exp(2 * f)) - (1 - p) * 4 / (1 + exp(-2 * f)))
+          FROM s WHERE m < {models.CHAMPION["maxIter"]}) SELECT * FROM s)""")))
+def ml_gbt_groups(t: Tables) -> DataFrame:
+    """Boosting with a leaf for every group: each step moves a group by its mean residual."""
+    return _group_scores(t, models.boosted_trees(featureSubsetStrategy="all", minInstancesPerNode=1), 5)
+
+
+@query("contrib_groups", oracle(
+    f"""SELECT id, CAST(round(p, 4) AS DOUBLE) AS y_proba, TRUE AS adds_up, CAST(5 AS BIGINT) AS n_slots
+    FROM scored JOIN {_share_sql(f'cycle < {DAY}')} USING (segment) WHERE cycle >= {DAY}""", "scored"))
+def contrib_groups(t: Tables) -> DataFrame:
+    """Contributions and base value add up to the log-odds of the score, row by row."""
+    rows = _grouped(t)
+    model = models.fit(rows.where(f"cycle < {DAY}"), _saturated(), GROUP)
+    out = models.linear_contributions(model, rows.where(f"cycle >= {DAY}"), ["id"], GROUP)
+    total = F.aggregate("contributions", F.col("base_value"), lambda a, c: a + c["contribution"])
+    return out.select("id", F.round("y_proba", 4).alias("y_proba"), (F.abs(1 / (1 + F.exp(-total)) - F.col("y_proba")) < 1e-9).alias("adds_up"),
+                      F.size("contributions").cast("bigint").alias("n_slots"))
+
+
+@query("batch_score", oracle(
+    f"""SELECT id, segment, cycle, y_true, CAST(round(p, 4) AS DOUBLE) AS y_proba, {action_sql('round(p, 4)')} AS action FROM scored
+    JOIN {_share_sql(f'cycle < {DAY}')} USING (segment) WHERE cycle >= {DAY}""", "scored"))
+def batch_score(t: Tables) -> DataFrame:
+    """Fit, score the later rows with their inputs beside the score, assign actions."""
+    rows = _grouped(t)
+    model = models.fit(rows.where(f"cycle < {DAY}"), _saturated(), GROUP)
+    out = models.score(model, rows.where(f"cycle >= {DAY}"), ["id", "segment", "cycle", C.LABEL], GROUP)
+    return policy.assign_action(out.withColumnRenamed(C.LABEL, "y_true").withColumn("y_proba", F.round("y_proba", 4)))
+
+
 _WINDOWS = ((20240110, 20240115), (20240115, 20240120), (20240120, 99999999))
 
 
-@query("rolling_backtest", oracle(
-    " UNION ALL ".join(
-        f"""SELECT CAST({a} AS INT) AS cutoff, CAST(count(*) AS BIGINT) AS valid_rows, CAST(sum(y_true) AS BIGINT) AS positives,
-        {r6('avg(y_proba)', 'mean_score')}, (SELECT {r6('sum(y_true) / 50e0', 'x')} FROM (SELECT y_true FROM scored WHERE cycle > {a} AND cycle <= {b}
-        ORDER BY y_proba DESC, id LIMIT 50)) AS precision_at_50 FROM scored WHERE cycle > {a} AND cycle <= {b}""" for a, b in _WINDOWS), "scored"))
+def _backtest_sql(a: int, b: int) -> str:
+    rows = f"(SELECT id, y_true, round(p, 4) AS p FROM scored JOIN {_share_sql(f'cycle <= {a}')} USING (segment) WHERE cycle > {a} AND cycle <= {b})"
+    return f"""SELECT CAST({a} AS INT) AS cutoff, CAST(count(*) AS BIGINT) AS valid_rows, CAST(sum(y_true) AS BIGINT) AS positives,
+        {r6('avg(p)', 'mean_score')}, (SELECT {r6('sum(y_true) / 50e0', 'x')} FROM (SELECT y_true FROM {rows} ORDER BY p DESC, id LIMIT 50)) AS precision_at_50
+        FROM {rows}"""
+
+
+@query("rolling_backtest", oracle(" UNION ALL ".join(_backtest_sql(a, b) for a, b in _WINDOWS), "scored"))
 def rolling_backtest(t: Tables) -> DataFrame:
-    rows = t.scored.withColumn("y_proba", F.col("y_proba").cast("double"))
-    out = models.rolling_backtest(
-        rows, [a for a, _ in _WINDOWS], "cycle", lambda train, valid: valid.select("id", "y_true", "y_proba"), ks=[50], id="id")
-    means = rows.withColumn("cutoff", F.when(F.col("cycle") > 20240120, 20240120).when(F.col("cycle") > 20240115, 20240115)
-                            .when(F.col("cycle") > 20240110, 20240110)).groupBy("cutoff").agg(F.avg("y_proba").alias("mean_score"))
-    return out.join(means, "cutoff").select("cutoff", "valid_rows", "positives", "mean_score",
-                                            F.col("precision_at_k")[50].alias("precision_at_50"))
+    """A model for each cutoff, from the rows up to it."""
+    rows = _grouped(t).withColumn("y_true", F.col(C.LABEL))
+    means = []
+
+    def predict(train: DataFrame, valid: DataFrame) -> DataFrame:
+        out = models.score(models.fit(train, _saturated(), GROUP), valid, ["id", "y_true"], GROUP)
+        out = out.withColumn("y_proba", F.round("y_proba", 4))
+        means.append(out.agg(F.avg("y_proba").alias("mean_score")))
+        return out
+
+    out = models.rolling_backtest(rows, [a for a, _ in _WINDOWS], "cycle", predict, ks=[50], id="id")
+    mean = None
+    for (a, _), one in zip(_WINDOWS, means):
+        one = one.withColumn("cutoff", F.lit(a))
+        mean = one if mean is None else mean.unionByName(one)
+    return out.join(mean, "cutoff").select("cutoff", "valid_rows", "positives", "mean_score", F.col("precision_at_k")[50].alias("precision_at_50"))
 
 
 @query("evaluate_logreg")

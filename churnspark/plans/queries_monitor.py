@@ -167,7 +167,7 @@ def _candidate(t: Tables) -> DataFrame:
     f"""SELECT check_name AS "check", passed, {r6('computed', 'computed')}, {r6('expected', 'expected')}, 'error' AS severity FROM (
     SELECT 'roc_auc' AS check_name, v >= 0.956e0 AS passed, v AS computed, 0.966e0 - 0.01e0 AS expected FROM (SELECT {AUC} AS v FROM cum)
     UNION ALL SELECT 'average_precision', v >= 0.5392e0 - 0.02e0, v, 0.5392e0 - 0.02e0 FROM (SELECT {AP} AS v FROM cum)
-    UNION ALL SELECT 'null_rate', TRUE, 0, 5 UNION ALL SELECT 'roi', max(roi) >= 15000, max(roi), 15000 FROM sweep)""",
+    UNION ALL SELECT 'null_rate', v <= 5, v, 5 FROM (SELECT (count(*) - count(y_proba)) * 100e0 / count(*) AS v FROM scored) UNION ALL SELECT 'roi', max(roi) >= 15000, max(roi), 15000 FROM sweep)""",
     "scored", ctes=(GROUPS, *_sweep_sql())))
 def promotion_gates(t: Tables) -> DataFrame:
     return monitor.promotion_gates(_candidate(t), 0.966, 0.5392)

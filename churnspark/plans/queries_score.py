@@ -24,8 +24,9 @@ def scored_table(t: Tables) -> DataFrame:
 
 # ---- confusion, sweep ----------------------------------------------------------------------------------------------
 
-_CONFUSION = """SELECT count(*) FILTER (y_proba >= 0.31e0 AND y_true = 1) AS tp, count(*) FILTER (y_proba >= 0.31e0 AND y_true = 0) AS fp,
-  count(*) FILTER (y_proba < 0.31e0 AND y_true = 1) AS fn, count(*) FILTER (y_proba < 0.31e0 AND y_true = 0) AS tn FROM scored"""
+_CONFUSION = """SELECT count(*) FILTER (s >= 0.31e0 AND y_true = 1) AS tp, count(*) FILTER (s >= 0.31e0 AND y_true = 0) AS fp,
+  count(*) FILTER (s < 0.31e0 AND y_true = 1) AS fn, count(*) FILTER (s < 0.31e0 AND y_true = 0) AS tn
+  FROM (SELECT y_true, coalesce(y_proba, -1) AS s FROM scored)"""
 
 
 @query("confusion_at", oracle(_CONFUSION, "scored"))
@@ -46,7 +47,7 @@ def _sweep_sql(v: float = 120.0, c: float = 5.0, s: float = 0.2) -> tuple[str, .
     return ("""counts AS (SELECT CAST(i AS DOUBLE)/100 AS threshold,
         count(*) FILTER (y_proba >= CAST(i AS DOUBLE)/100 AND y_true = 1) AS tp,
         count(*) FILTER (y_proba >= CAST(i AS DOUBLE)/100 AND y_true = 0) AS fp,
-        count(*) FILTER (y_proba < CAST(i AS DOUBLE)/100 AND y_true = 1) AS fn,
+        count(*) FILTER (coalesce(y_proba, -1) < CAST(i AS DOUBLE)/100 AND y_true = 1) AS fn,
         count(*) FILTER (y_proba >= CAST(i AS DOUBLE)/100) AS n_targeted
         FROM scored, range(1, 100) g(i) GROUP BY i)""",
         """pr AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / CAST(tp + fp AS DOUBLE) ELSE 0 END AS precision,
@@ -120,7 +121,8 @@ def score_summary(t: Tables) -> DataFrame:
 
 @query("score_histogram", oracle(
     f"""SELECT CAST(b AS INT) AS bin, {r6('(b + 0.5e0) / 20', 'center')}, count(id) AS n FROM range(20) g(b)
-    LEFT JOIN scored ON least(floor(y_proba * 20), 19) = b GROUP BY b""", "scored"))
+    LEFT JOIN scored ON y_proba IS NOT NULL AND least(floor(y_proba * 20), 19) = b GROUP BY b
+    UNION ALL SELECT -1, NULL, count(*) FROM scored WHERE y_proba IS NULL HAVING count(*) > 0""", "scored"))
 def score_histogram(t: Tables) -> DataFrame:
     return metrics.score_histogram(scored_table(t))
 
@@ -193,9 +195,9 @@ def operating_curve(t: Tables) -> DataFrame:
     (SELECT {r6('(tp + (SELECT count(*) FROM scored) - tp - fp - fn) / CAST((SELECT count(*) FROM scored) AS DOUBLE)', 'x')} FROM pr WHERE threshold = 0.5e0) AS accuracy,
     (SELECT {r6('sum(y_true) / 1000e0', 'x')} FROM ranked WHERE rank <= 1000) AS precision_at_1000,
     (SELECT {r6('sum(y_true) / CAST((SELECT sum(y_true) FROM scored) AS DOUBLE)', 'x')} FROM ranked WHERE rank <= 1000) AS recall_at_1000,
-    {r6('0.5', 'threshold')} FROM cum""", "scored", ctes=(RANKED, GROUPS, *_sweep_sql()[:2])))
+    {r6('0.5', 'threshold')}, 'fixed_date' AS split_method, '2001-05-31' AS cutoff_date FROM cum""", "scored", ctes=(RANKED, GROUPS, *_sweep_sql()[:2])))
 def evaluate(t: Tables) -> DataFrame:
-    return metrics.evaluate(scored_table(t), 0.5, KS).withColumns({
+    return metrics.evaluate(scored_table(t), 0.5, KS, split=("fixed_date", "2001-05-31")).withColumns({
         "precision_at_1000": F.col("precision_at_k")[K], "recall_at_1000": F.col("recall_at_k")[K],
     }).drop("precision_at_k", "recall_at_k")
 
@@ -220,7 +222,7 @@ TIERS = (f"""tiers AS (SELECT * FROM (VALUES (0, 'contact_now', 0.68e0, 1.0e0, 5
 
 
 @query("apply_threshold", oracle(
-    f"""SELECT id, y_true, {r6('y_proba', 'y_proba')}, CAST(y_proba >= 0.68e0 AS INT) AS churn_label,
+    f"""SELECT id, y_true, {r6('y_proba', 'y_proba')}, CAST(coalesce(y_proba, -1) >= 0.68e0 AS INT) AS churn_label,
     CASE WHEN y_proba >= 0.68e0 THEN 'target' ELSE 'no_target' END AS action, {r6('0.68', 'threshold_used')},
     'threshold' AS policy_used FROM scored""", "scored"))
 def apply_threshold(t: Tables) -> DataFrame:
@@ -257,11 +259,12 @@ def tier_economics(t: Tables) -> DataFrame:
     {r6('spend * (1000000e0 / base)', 'spend')}, {r6('net * (1000000e0 / base)', 'net')}, net = max(net) OVER () AND net > 0 AS is_best FROM (
       SELECT 'threshold_only' AS policy, n AS contacts, churners, n * 5e0 AS spend, churners * 0.2e0 * 120e0 - n * 5e0 AS net
         FROM tiers WHERE tier = 0
-      UNION ALL SELECT 'top_k_single_channel', sum(n), sum(churners), sum(n) * 5e0, sum(churners) * 0.2e0 * 120e0 - sum(n) * 5e0 FROM tiers WHERE tier < 2
+      UNION ALL SELECT 'top_k_single_channel', count(*), sum(y_true), count(*) * 5e0, sum(y_true) * 0.2e0 * 120e0 - count(*) * 5e0 FROM ranked WHERE rank <= 1000
       UNION ALL SELECT 'tiered', sum(n), sum(churners), sum(n * cost), sum({_NET}) FROM tiers WHERE tier < 2),
-    (SELECT count(*) AS base FROM scored)""", "scored", ctes=TIERS))
+    (SELECT count(*) AS base FROM scored)""", "scored", ctes=(*TIERS, RANKED)))
 def policy_compare(t: Tables) -> DataFrame:
-    return policy.policy_compare(policy.tier_counts(scored_table(t)), subscribers=1_000_000)
+    rows = scored_table(t)
+    return policy.policy_compare(policy.tier_counts(rows), subscribers=1_000_000, capacity=metrics.topk_metrics(rows, [K]))
 
 
 @query("contact_plan", oracle(
@@ -302,7 +305,7 @@ _SCENARIOS = ({"value_per_save": 120.0, "cost_per_contact": 5.0, "save_rate": 0.
         "break_even_save_rate": "CASE WHEN tp > 0 THEN (k * c) / (tp * v) END", "break_even_cost": "(tp * s * v) / k",
         "revenue_at_risk": "p * v * subs / n", "net_scaled": "(tp * s * v - k * c) * subs / n"}.items())
     + """ FROM points, (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(y_true) AS DOUBLE) AS p FROM scored),
-    (VALUES (120e0, 5e0, 0.2e0, 1000000e0), (10e0, 0.1e0, 0.6e0, 100000e0)) z(v, c, s, subs)""",
+    (VALUES (120e0, 5e0, 0.2e0, 1000000e0), (5e0, 0.01e0, 0.9e0, 10e0)) z(v, c, s, subs)""",
     "scored", ctes=(RANKED, *CURVE, *_POINTS)))
 def scenario_grid(t: Tables) -> DataFrame:
     base = scored_table(t).agg(F.count(F.lit(1)).alias("n"), F.sum("y_true").alias("positives"))
@@ -382,6 +385,7 @@ _CARD = (
     """explained AS (SELECT *, 1 / (1 + exp(-z)) AS p, CASE WHEN abs(z + 3) < 1e-9 THEN (1 / (1 + exp(-z))) * (1 - 1 / (1 + exp(-z)))
       ELSE (1 / (1 + exp(-z)) - 1 / (1 + exp(3e0))) / (z + 3) END AS slope FROM card)""",
 )
+# The reason texts.
 _TEXTS = {
     "auto_renew_rate": (0, f"'Auto-renew on ' || {_pct_sql(_cl('ar', 0, 1))} || ' of payments'"),
     "cancel_rate": (1, f"'Cancelled ' || {_pct_sql(_cl('cr', 0, 1))} || ' of transactions'"),
@@ -457,11 +461,14 @@ def global_importance(t: Tables) -> DataFrame:
       WHEN 'nudge' THEN 'low-cost email or in-app nudge' ELSE 'none; re-score next cycle' END AS suggested_action,
     coalesce((SELECT string_agg(text || ' (' || CASE WHEN impact >= 0 THEN '+' ELSE '−' END || CASE WHEN floor(abs(impact) * 100 + 0.5) = 0
       THEN '<1 pt' ELSE CAST(CAST(floor(abs(impact) * 100 + 0.5) AS BIGINT) AS VARCHAR) || ' pts' END || ')', '; ' ORDER BY pos)
-      FROM reasons r WHERE r.msno = e.msno AND pos < 3), '') AS top_reasons FROM explained e""", "model_table",
+      FROM reasons r WHERE r.msno = e.msno AND pos < 3), '') AS top_reasons, {r6('auto_renew_rate', 'auto_renew_rate')}, txn_cnt, gender
+    FROM explained e JOIN (SELECT msno, auto_renew_rate, txn_cnt, gender FROM model_table) USING (msno)""", "model_table",
     ctes=(*_CARD, _TERMS, _REASONS)))
 def campaign_export(t: Tables) -> DataFrame:
-    scored = _card(t).select("msno", "y_proba", S.reason_text(S.reasons(3)).alias("top_reasons"))
-    return policy.campaign_table(scored, K, id="msno")
+    rows = t.model_table.select("msno", *[c for c in t.model_table.columns if c != "msno"])
+    out = policy.decide_batch(rows, K, id="msno", cutoff_day=CARD_DAY)
+    return out.select("msno", "rank", "churn_probability", "label_at_threshold", "in_top_k", "risk_band", "suggested_action", "top_reasons",
+                      "auto_renew_rate", "txn_cnt", "gender")
 
 
 # ---- ensembles -----------------------------------------------------------------------------------------------------
@@ -500,16 +507,18 @@ def softvote_by_ap(t: Tables) -> DataFrame:
     return models.soft_vote(_joined(t), ["a", "b", "c"], "prauc_proportional")
 
 
-def _grid_sql(names: list[str]) -> str:
-    rows = []
-    for i, w in enumerate(models.weight_grid(names)):
-        total = sum(w.values())
-        rows.append(f"({i}, " + ", ".join(f"CAST('{w[m]!r}' AS DOUBLE), CAST('{w[m] / total!r}' AS DOUBLE)" for m in names) + ")")
-    return "grid AS (SELECT * FROM (VALUES " + ", ".join(rows) + ") g(grid_row, " + ", ".join(f"w_{m}, f_{m}" for m in names) + "))"
+def _grid_sql(names: list[str], steps: int = 20) -> str:
+    """All tuples of twentieths that sum to one, in lexicographic order, the last weight being the rest."""
+    free = names[:-1]
+    rest = f"{steps} - " + " - ".join(f"i_{m}" for m in free)
+    every = ", ".join(f"range({steps + 1}) g_{m}(i_{m})" for m in free)
+    weights = ", ".join(f"CAST(i_{m} AS DOUBLE) / {steps} AS w_{m}" for m in free) + f", CAST({rest} AS DOUBLE) / {steps} AS w_{names[-1]}"
+    return (f"grid AS (SELECT CAST(row_number() OVER (ORDER BY {', '.join(f'i_{m}' for m in free)}) - 1 AS INT) AS grid_row, {weights} "
+            f"FROM {every} WHERE {rest} >= 0)")
 
 
 def _search_sql(names: list[str]) -> str:
-    score = " + ".join(f"f_{m} * {m}" for m in names)
+    score = " + ".join(f"w_{m} * {m}" for m in names)
     return oracle(
         "SELECT grid_row, " + ", ".join(r6(f"w_{m}", f"w_{m}") for m in names) + f", {r6('ap', 'average_precision')} "
         "FROM grid JOIN ap ON grid_row = m", "model_a", "model_b", "model_c",

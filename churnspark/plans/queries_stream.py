@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnspark import contract as C
 from churnspark.plans.adapters import Tables
 from churnspark.plans.queries_build import DAILY_DOUBLES
 from churnspark.plans.registry import LOG_DOUBLES, oracle, query, r6, replaced
+from churnspark.plans.queries_ml import DAY, GROUP, _saturated, _share_sql
 from churnspark.plans.queries_score import action_sql
-from churnspark.operators import features
+from churnspark.operators import features, models
 from churnspark.sources.staging import stage_path
 from churnspark.streaming import jobs
 
@@ -26,7 +28,7 @@ def activity(events: DataFrame) -> DataFrame:
 
 
 def _stream(t: Tables) -> DataFrame:
-    return activity(jobs.read_events(t.spark, t.sf_dir, t.raw("events").schema, "events.parquet"))
+    return activity(jobs.read_table_events(t.spark, f"{t.sf_dir}/events.parquet", t.raw("events").schema))
 
 
 @query("log_daily_stream", oracle(f"SELECT {replaced(DAILY_DOUBLES)} FROM log_daily", "log_daily"))
@@ -51,11 +53,10 @@ def log_features_stream(t: Tables) -> DataFrame:
     root = stage_path(t.spark, "stream")
 
     def refresh(batch: DataFrame) -> None:
-        live = t.spark.read.parquet(f"{root}/daily")
-        jobs.refresh_features(live, batch).write.mode("append").parquet(f"{root}/features")
+        jobs.upsert_users(jobs.refresh_features(t.spark.read.parquet(f"{root}/daily"), batch), f"{root}/features")
 
     jobs.run_daily(_stream(t), f"{root}/daily", f"{root}/state", then=refresh).awaitTermination()
-    return t.spark.read.parquet(f"{root}/features")
+    return jobs.read_users(t.spark, f"{root}/features")
 
 
 @query("session_features", oracle(
@@ -69,15 +70,36 @@ def session_features(t: Tables) -> DataFrame:
                       "n_events", "total_secs")
 
 
-@query("score_stream", oracle(
-    f"""SELECT event_id AS id, {r6('y_proba', 'y_proba')}, {action_sql()} AS action FROM (SELECT id AS event_id, y_proba FROM scored)""", "scored"))
-def score_stream(t: Tables) -> DataFrame:
+def _score_stream(t: Tables) -> str:
+    """Fit on the earlier batch rows, score the stream with the model; the folder with scores and drift logs."""
     root = stage_path(t.spark, "stream")
-    rows = jobs.read_events(t.spark, t.sf_dir, t.raw("events").schema, "events.parquet")
+    known = t.scored.where(f"cycle < {DAY}").select("segment", F.col("y_true").alias(C.LABEL))
+    model = models.fit(known, _saturated(), GROUP)
+    rows = jobs.read_table_events(t.spark, f"{t.sf_dir}/events.parquet", t.raw("events").schema)
+    events = rows.select(F.col("event_id").alias("id"), F.col("event_type").alias("segment"))
 
     def predict(df: DataFrame) -> DataFrame:
-        score = F.when(F.col("value") >= 200, 1.0).otherwise(F.floor(F.col("value") * 5) / 1000)
-        return df.select(F.col("event_id").alias("id"), score.alias("y_proba"))
+        return models.score(model, df, ["id"], GROUP).withColumn("y_proba", F.round("y_proba", 4))
+
+    jobs.run_scoring(events, predict, f"{root}/scored", f"{root}/psi", f"{root}/state").awaitTermination()
+    return root
+
+
+@query("score_stream", oracle(
+    f"""SELECT id, CAST(round(p, 4) AS DOUBLE) AS y_proba, {action_sql('round(p, 4)')} AS action FROM scored JOIN {_share_sql(f'cycle < {DAY}')} USING (segment)""", "scored"))
+def score_stream(t: Tables) -> DataFrame:
+    return t.spark.read.parquet(f"{_score_stream(t)}/scored").drop("batch")
+
+
+_TIER_SHARES = (("contact_now", 1478), ("nudge", 8522), ("monitor", 183205))
+
 
-    jobs.run_scoring(rows, predict, f"{root}/scored", f"{root}/psi", f"{root}/state").awaitTermination()
-    return t.spark.read.parquet(f"{root}/scored").drop("batch")
+@query("score_stream_psi", oracle(
+    "SELECT n, " + ", ".join(f"n_{a}" for a, _ in _TIER_SHARES) + f""", {r6('CASE WHEN n >= 1000 THEN psi END', 'psi')}, CASE WHEN n < 1000 THEN NULL WHEN psi < 0.1 THEN 'stable'
+    WHEN psi < 0.25 THEN 'moderate_shift' ELSE 'significant_shift' END AS status FROM (SELECT *, """
+    + " + ".join(f"(greatest(n_{a} / CAST(n AS DOUBLE), 1e-6) - {c / 193205!r}) * ln(greatest(n_{a} / CAST(n AS DOUBLE), 1e-6) / {c / 193205!r})" for a, c in _TIER_SHARES)
+    + " AS psi FROM (SELECT count(*) AS n, " + ", ".join(f"count(*) FILTER (action = '{a}') AS n_{a}" for a, _ in _TIER_SHARES)
+    + f" FROM (SELECT {action_sql('round(p, 4)')} AS action FROM scored JOIN {_share_sql(f'cycle < {DAY}')} USING (segment))))", "scored"))
+def score_stream_psi(t: Tables) -> DataFrame:
+    """The drift log of the micro-batches (one, as the table is read at once)."""
+    return t.spark.read.parquet(f"{_score_stream(t)}/psi").drop("batch")

@@ -39,8 +39,9 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame) -> DataFrame:
+    """Doubles to six places; NaN is NULL, the one missing value."""
     return df.select(*[
-        F.round(F.col(f"`{n}`") + SHIFT, DIGITS).alias(n) if t == "double" else F.col(f"`{n}`")
+        F.when(~F.isnan(F.col(f"`{n}`")), F.round(F.col(f"`{n}`") + SHIFT, DIGITS)).alias(n) if t == "double" else F.col(f"`{n}`")
         for n, t in df.dtypes
     ])
 

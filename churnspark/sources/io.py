@@ -12,11 +12,40 @@ from pyspark.sql.utils import AnalysisException
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """Header CSV with ``""`` escapes; malformed rows are dropped. Without a schema Spark infers the types."""
-    reader = (
-        spark.read.option("header", True).option("quote", '"').option("escape", '"').option("mode", "DROPMALFORMED")
-    )
-    return reader.csv(path, schema=schema) if schema is not None else reader.option("inferSchema", True).csv(path)
+    """Header CSV with ``""`` escapes; broken rows are left out, the same ones whatever columns are read later
+    (``csv_quality`` counts them). Without a schema Spark infers the types, and no row is broken."""
+    if schema is None:
+        return _csv_reader(spark).option("inferSchema", True).csv(path)
+    rows, names = _checked_csv(spark, path, schema)
+    return rows.where(~F.col(_BROKEN)).select(*names)
+
+
+_BROKEN = "_broken_line"
+
+
+def _csv_reader(spark: SparkSession):
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+
+
+def _checked_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> tuple[DataFrame, list[str]]:
+    """Typed columns and whether the line is broken: another number of columns, or a value that its type cannot hold.
+
+    Values are read as text and cast here, so the verdict needs every column and cannot depend on a projection.
+    """
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted] + [T.StructField(_BROKEN, T.StringType())])
+    raw = _csv_reader(spark).option("columnNameOfCorruptRecord", _BROKEN).option("columnPruning", False).schema(text).csv(path)
+    broken = F.col(_BROKEN).isNotNull()
+    for f in wanted:
+        broken = broken | (F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull())
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted]
+    return raw.select(*typed, broken.alias(_BROKEN)), [f"`{f.name}`" for f in wanted]
+
+
+def csv_quality(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """One row: lines and broken lines of a CSV source."""
+    rows, _ = _checked_csv(spark, path, schema)
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(_BROKEN).alias("n_broken"))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -64,32 +93,32 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 def parse_json_records(df: DataFrame, column: str, fields: dict[str, str], key: Sequence[str] = ()) -> DataFrame:
     """One row per record of a JSON body that is a bare array or ``{"records": [...]}``.
 
-    ``fields`` maps the wanted keys to Spark types. Booleans become 1/0, null and absent keys become NULL, and a record
-    that is not an object or holds a non-scalar field comes back with ``_error`` set instead of stopping the job.
+    ``fields`` maps the wanted keys to Spark types. JSON booleans become 1/0, null and absent keys become NULL, strings stay
+    strings whatever they look like, and a record that is not an object or holds a non-scalar field comes back with
+    ``_error`` set instead of stopping the job.
     """
-    body = F.trim(F.col(column))
-    items = F.coalesce(
-        F.from_json(F.when(body.startswith("["), body), "array<string>"),
-        F.from_json(F.get_json_object(body, "$.records"), "array<string>"),
-    )
+    body = F.try_parse_json(F.col(column))
+    items = F.coalesce(F.try_variant_get(body, "$", "array<variant>"), F.try_variant_get(body, "$.records", "array<variant>"))
     records = df.select(*key, F.posexplode_outer(items).alias("record_index", "_item"))
-    raw = F.from_json("_item", "map<string,string>")
-    nested = F.exists(F.map_values("_rec"), lambda v: F.substring(F.trim(v), 1, 1).isin("{", "["))
-    parsed = records.withColumn("_rec", raw)
+    parsed = records.withColumn("_kind", F.schema_of_variant("_item")).withColumn(
+        "_rec", F.try_variant_get("_item", "$", "map<string,variant>"))
+    nested = F.exists(F.map_values("_rec"), lambda v: F.schema_of_variant(v).rlike("^(ARRAY|OBJECT)"))
     error = (
         F.when(F.col("_item").isNull(), "expected an array of records or an object with records")
-        .when(~F.trim("_item").startswith("{"), "record is not an object")
+        .when(~F.col("_kind").startswith("OBJECT"), "record is not an object")
         .when(nested, "field must be a number, string, boolean or null")
     )
     return parsed.select(
         *key, "record_index",
-        *[_json_scalar(F.element_at("_rec", F.lit(name))).try_cast(kind).alias(name) for name, kind in fields.items()],
+        *[_json_scalar(F.try_element_at("_rec", F.lit(name))).try_cast(kind).alias(name) for name, kind in fields.items()],
         error.alias("_error"),
     )
 
 
 def _json_scalar(value: Column) -> Column:
-    return F.when(value == "true", "1").when(value == "false", "0").otherwise(value)
+    """Text of a scalar; a JSON boolean as 1/0."""
+    flag = F.try_variant_get(value, "$", "boolean").cast("int").cast("string")
+    return F.when(F.schema_of_variant(value) == "BOOLEAN", flag).otherwise(F.try_variant_get(value, "$", "string"))
 
 
 def read_json_records(spark: SparkSession, path: str, fields: dict[str, str]) -> DataFrame:

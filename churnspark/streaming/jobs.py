@@ -6,7 +6,7 @@ start goes on where the last one ended.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from churnspark.operators.monitor import tier_psi
 from churnspark.operators.policy import assign_action
 from churnspark.sources.staging import stage
 
+USER_PARTS = 64
 DAY_SUMS = [f"{m}_sum_d" for m in C.LOG_METRICS]
 
 
@@ -33,6 +34,15 @@ def read_events(spark: SparkSession, path: str, schema, pattern: str | None = No
     return reader.parquet(path)
 
 
+def read_table_events(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    """A table as a stream, whether it is one Parquet file or a folder of parts."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.getFileStatus(where).isDirectory():
+        return read_events(spark, path, schema, max_files=max_files)
+    return read_events(spark, path.rsplit("/", 1)[0], schema, path.rsplit("/", 1)[1], max_files)
+
+
 def distinct_events(events: DataFrame, id: str = "event_id", ts: str = "ts", delay: str = "2 days") -> DataFrame:
     """Drops replayed events; ids are remembered for the watermark delay."""
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([id])
@@ -68,35 +78,52 @@ def _read_or_none(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
-def upsert_days(batch: DataFrame, path: str) -> None:
-    """Replace the (user, day) rows that the batch updates, rewriting only the days it touches.
+def upsert(batch: DataFrame, path: str, keys: Sequence[str], part: str) -> None:
+    """Replace the rows of the batch's keys in a table that is partitioned by ``part``, rewriting only the parts it touches.
 
-    The new content of a day is written to a side folder first, so a failure never leaves a day half written, and a
-    replayed batch writes the same rows again.
+    ``batch`` is a written table with one row per key. The new content of the touched parts is written to a side folder
+    first and then moved in by one dynamic partition overwrite, so a replayed batch writes the same rows again. The
+    overwrite itself is as safe as the file system's renames: on an object store a failure in its middle is mended by the
+    replay, not hidden from readers.
     """
-    spark = batch.sparkSession
-    batch = stage(batch, "daily-update")
-    old = _read_or_none(spark, path, batch.schema)
+    old = _read_or_none(batch.sparkSession, path, batch.schema)
     merged = batch
     if old is not None:
-        days = batch.select("date").distinct()  # as many rows as calendar days in the batch
-        touched = old.join(F.broadcast(days), "date", "left_semi")
-        untouched_rows = touched.join(batch.select(C.KEY, "date"), [C.KEY, "date"], "left_anti")
-        merged = stage(untouched_rows.unionByName(batch), "daily-merged")
+        touched = batch.select(part).distinct()  # as many rows as parts in the batch
+        kept = old.join(F.broadcast(touched), part, "left_semi").join(batch.select(*keys), list(keys), "left_anti")
+        merged = stage(kept.unionByName(batch), "merged")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
-        "compression", "zstd").partitionBy("date").parquet(path)
+        "compression", "zstd").partitionBy(part).parquet(path)
+
+
+def upsert_days(batch: DataFrame, path: str) -> None:
+    """Replace the (user, day) rows that the batch updates, rewriting only the days it touches."""
+    upsert(stage(batch, "daily-update"), path, [C.KEY, "date"], "date")
+
+
+def upsert_users(features: DataFrame, path: str, parts: int = USER_PARTS) -> None:
+    """Replace the feature rows of the users in ``features``: the table has one row per user, in ``parts`` hash parts."""
+    part = F.pmod(F.xxhash64(C.KEY), F.lit(parts)).cast("int")
+    upsert(stage(features.withColumn("user_part", part), "feature-update"), path, [C.KEY], "user_part")
+
+
+def read_users(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``upsert_users`` keeps."""
+    return spark.read.parquet(path).drop("user_part")
 
 
 def run_daily(events: DataFrame, path: str, checkpoint: str, delay: str | None = "2 days",
               then: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     """Live daily table: update mode, every batch upserts the days it changed.
 
-    ``then`` receives the updated (user, day) rows of the batch, e.g. to refresh the features of those users.
+    ``then`` receives the updated (user, day) rows of the batch, e.g. to refresh the features of those users. The batch is
+    written once; both steps read what was written.
     """
     def write(batch: DataFrame, _: int) -> None:
-        upsert_days(batch, path)
+        days = stage(batch, "daily-update")
+        upsert(days, path, [C.KEY, "date"], "date")
         if then is not None:
-            then(batch)
+            then(days)
 
     return (
         daily_windows(events, delay=delay).writeStream.outputMode("update").option("checkpointLocation", checkpoint)

@@ -77,8 +77,9 @@ def test_scenario_golden_numbers(spark):
     for name, (value, tolerance) in expected.items():
         assert a[name] == pytest.approx(value, abs=tolerance), name
     assert b.net == pytest.approx(-6776, abs=1) and b.lift == pytest.approx(14.5, abs=0.05)
-    clamped = policy.clamp_scenario({"k": 7.6, "save_rate": 0.9, "cost_per_contact": 0.0})
-    assert clamped == {"k": 100.0, "save_rate": 0.6, "cost_per_contact": 0.1}
+    bounds = {"k": (100, 50_000), "save_rate": (0.01, 0.6), "cost_per_contact": (0.1, 50.0)}
+    clamped = policy.clamp_scenario({"k": 7.6, "save_rate": 0.9, "cost_per_contact": 0.0, "value_per_save": 900.0}, bounds)
+    assert clamped == {"k": 100.0, "save_rate": 0.6, "cost_per_contact": 0.1, "value_per_save": 900.0}
 
 
 def test_sensitivity_ties(spark):
@@ -210,7 +211,9 @@ def test_models_must_score_the_same_ids(spark):
     with pytest.raises(ValueError):
         models.soft_vote(joined, ["a", "b"], "manual", {"a": 0.0, "b": 0.0})
     with pytest.raises(ValueError):
-        models.weight_grid(["a"])
+        models.weight_grid([])
+    assert models.weight_grid(["a"]) == [{"a": 1.0}] and len(models.weight_grid(["a", "b", "c", "d"])) == 1771
+    assert all(abs(sum(w.values()) - 1) < 1e-12 for w in models.weight_grid(["a", "b", "c", "d"]))
     assert len(models.weight_grid(["a", "b", "c"])) == 231 and len(models.weight_grid(["a", "b"])) == 21
 
 

@@ -188,3 +188,60 @@ def test_a_hot_tie_spreads_over_the_parts(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
     assert len(parts) == 8 and parts["count"].max() < 2 * 60_000 / 8
+
+
+# ---- missing scores ------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def gaps(spark):
+    rows = [(i, i % 3 == 0, None if i % 7 == 0 else float("nan") if i % 11 == 0 else (i * 37 % 101) / 100) for i in range(400)]
+    return spark.createDataFrame([(i, int(y), p) for i, y, p in rows], "id long, y_true int, y_proba double")
+
+
+def test_confusion_equals_the_sweep_row(gaps):
+    sweep = {round(r.threshold * 100): r for r in metrics.threshold_sweep(gaps).collect()}
+    for k in (1, 31, 50, 99):
+        r = metrics.confusion_at(gaps, k / 100).first()
+        assert (r.tp, r.fp, r.fn) == (sweep[k].tp, sweep[k].fp, sweep[k].fn)
+
+
+def test_missing_scores_are_no_risk(spark, gaps):
+    from churnspark.operators import models, monitor, policy
+
+    missing = gaps.where("y_proba IS NULL OR isnan(y_proba)")
+    n = missing.count()
+    assert policy.assign_action(missing).where("action <> 'monitor'").isEmpty()
+    assert policy.apply_threshold(missing, 0.0).where("churn_label = 1").isEmpty()
+    assert policy.batch_summary(gaps, 400, 0.0).first().n_above_threshold == 400 - n
+    s = metrics.score_summary(gaps).first()
+    assert s.proba_max <= 1 and s.proba_mean == s.proba_mean
+    for table in (metrics.score_histogram(gaps), models.reliability_table(gaps)):
+        assert table.where("bin = -1").first().n == n and table.agg(F.sum("n")).first()[0] == 400
+    shift = monitor.score_shift(gaps.withColumn("cycle", F.col("id") % 2), "cycle").collect()
+    assert all(r.mean_score == r.mean_score and r.predicted_rate < 0.7 for r in shift)
+    out = models.calibrate(gaps, models.fit_calibration(gaps))
+    assert out.where("calibrated IS NULL").count() == n
+    ks = monitor.feature_ks(gaps.select(F.lit(None).cast("double").alias("x"), F.col("id").cast("double").alias("z"), F.lit(None).cast("double").alias("w")),
+                            gaps.select(F.lit(1.0).alias("x"), F.col("id").cast("double").alias("z"), F.lit(None).cast("double").alias("w")), ["x", "z", "w"])
+    got = {r.feature: r for r in ks.collect()}
+    assert got["x"].ks is None and got["x"].drifted is None and got["w"].n_baseline == 0 and got["z"].ks == 0
+
+
+def test_curve_points_are_those_of_a_full_order(gaps):
+    rows = sorted(gaps.collect(), key=lambda r: (-(r.y_proba if r.y_proba is not None and r.y_proba == r.y_proba else -1), r.id))
+    for r in metrics.operating_curve(gaps, [1, 17, 200, 399, 1000]).collect():
+        assert r.tp == sum(x.y_true for x in rows[: r.k])
+
+
+def test_a_scope_leaves_nothing_behind(spark, gaps):
+    import os
+
+    from churnspark.sources import staging
+
+    root = staging._session_dir(spark)
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    with staging.scope(spark):
+        assert metrics.evaluate(gaps, 0.5, [10]).count() == 1
+        assert set(os.listdir(root)) - before
+    assert set(os.listdir(root)) == before

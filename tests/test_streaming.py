@@ -129,3 +129,36 @@ def test_sliced_sessions_equal_session_windows(spark, slice_seconds):
     want = sorted(map(tuple, jobs.sessions(df, gap="10 minutes").collect()))
     got = sorted(map(tuple, features.sessions(df, gap_seconds=600, slice_seconds=slice_seconds).collect()))
     assert [g[:2] + g[3:] for g in got] == [w[:2] + w[3:] for w in want]
+
+
+def test_refreshed_features_have_one_row_per_user(spark, folder, tmp_path):
+    """A folder table, several micro-batches and a replay: the stream's features are the batch job's."""
+    parts = [events(spark, 0, 40), events(spark, 40, 40), events(spark, 80, 40), events(spark, 40, 40)]
+    for part in parts:
+        drop(part, folder)
+    daily, out, batches = str(tmp_path / "daily"), str(tmp_path / "features"), []
+
+    def refresh(batch):
+        batches.append(batch.count())
+        jobs.upsert_users(jobs.refresh_features(spark.read.parquet(daily), batch), out)
+
+    stream = jobs.distinct_events(jobs.read_table_events(spark, folder, SCHEMA, max_files=1))
+    jobs.run_daily(stream, daily, str(tmp_path / "state"), delay=None, then=refresh).awaitTermination()
+    assert len(batches) >= 3
+    got = jobs.read_users(spark, out)
+    want = features.log_features(daily_of(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_table_streams_as_file_and_as_folder(spark, tmp_path):
+    import shutil
+
+    drop(events(spark, 0, 30), str(tmp_path / "folder"))
+    part = next((tmp_path / "folder").glob("part-*.parquet"))
+    (tmp_path / "single").mkdir()
+    shutil.copy(part, tmp_path / "single" / "events.parquet")
+    for path in (tmp_path / "folder", tmp_path / "single" / "events.parquet"):
+        stream = jobs.read_table_events(spark, str(path), SCHEMA)
+        name = f"t_{abs(hash(str(path)))}"
+        stream.writeStream.format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
+        assert spark.table(name).count() == 30
