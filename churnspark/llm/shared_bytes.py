@@ -124,7 +124,8 @@ class Run:
             count = np.diff(np.r_[heads, n])
             keep = whole[heads]
             heads, count = heads[keep], count[keep]
-            code = grams[at[heads]] >> np.uint64(16)
+            # A minimizer is a small code by its nature; mixed once more, codes fill their range evenly.
+            code = tc.mixed(grams[at[heads]]) >> np.uint64(16)
             name = tc.mixed((sums[heads + count + LENGTH - 1] - sums[heads]) * down[heads] + count.astype(np.uint64))
             yield heads + a, count, code, name >> np.uint64(16)
 
@@ -270,21 +271,21 @@ def _results(runs: pd.DataFrame, verdicts: pd.DataFrame, n_parts: int) -> Iterat
     ids = run.ids[run.text]
     later = ids > ids[run.first][run.number]  # the run itself has the string in an earlier document
     whole = later | (state[run.number] == COPY)
-    marks = np.zeros(len(run.data) + 1, np.int64)  # windows that go, by their start
-    np.add.at(marks, run.begin[whole], 1)
-    np.add.at(marks, run.begin[whole] + run.count[whole], -1)
-    start = np.cumsum(marks)[:-1] > 0
+    marks = np.zeros(len(run.data) + 1, np.int32)  # windows that go, by their start
+    marks[run.begin[whole]] += 1  # strings begin at different places, and end at different ones
+    marks[run.begin[whole] + run.count[whole]] -= 1
+    start = np.cumsum(marks, dtype=np.int32)[:-1] > 0
+    del marks
     some = np.flatnonzero(~whole & (bits[run.number] > 0))
     own = bits[run.number[some]]
     for k in range(LENGTH - GRAM + 1):
         hit = (own >> np.uint64(k)) & np.uint64(1) > 0
         start[run.begin[some[hit]] + k] = True
     # Bytes covered by a window that goes; windows end within their document.
-    gone = np.flatnonzero(start)
-    cover = np.zeros(len(run.data) + 1, np.int32)
-    cover[gone] += 1
-    np.add.at(cover, np.minimum(gone + LENGTH, len(run.data)), -1)
-    covered = np.cumsum(cover)[:-1] > 0
+    cover = np.zeros(len(run.data) + LENGTH + 1, np.int8)
+    cover[: len(run.data)] += start
+    cover[LENGTH:LENGTH + len(run.data)] -= start
+    covered = np.cumsum(cover, dtype=np.int32)[: len(run.data)] > 0
     begin = 0
     for doc, key, end in zip(run.ids.tolist(), run.key.tolist(), run.ends.tolist()):
         c = covered[begin:end]
