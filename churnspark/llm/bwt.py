@@ -36,11 +36,12 @@ def transform(data: np.ndarray, lengths: np.ndarray, group: np.ndarray) -> np.nd
     cuts = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
     for a, b in zip(cuts[:-1], cuts[1:]):
         x, y = (0 if a == 0 else ends[a - 1] + 1), ends[b - 1] + 1
-        o = np.argsort(word[x:y], kind="stable") + x
+        o = np.argsort(word[x:y]) + x  # equal words share a rank, so their order does not matter
+        o[: b - a] = ends[a:b]  # but for the terminators, which come first, in the order of the strings
         order[x:y] = o
         w = word[o]
         new = np.r_[True, w[1:] != w[:-1]]
-        new[: b - a] = True  # the terminators come first, in the order of the strings
+        new[: b - a] = True
         rank[o] = np.maximum.accumulate(np.where(new, np.arange(x, y), 0))
     step = 8
     place = np.arange(n)
@@ -98,3 +99,30 @@ def merge(bwt: np.ndarray, step: np.ndarray, length: int) -> tuple[np.ndarray, n
         part = now
         block = np.cumsum(now, dtype=np.int32)
     return rows, block, prefix
+
+
+def repeats(bwt: np.ndarray, step: np.ndarray, length: int, owner: np.ndarray,
+            looks: tuple[int, ...] = (5, 6, 7, 8, 9, 10, 12, 14, 16, 19, 22, 26, 30, 34, 38, 42, 46)) -> tuple[np.ndarray, np.ndarray]:
+    """The blocks of ``merge`` that hold rows of several owners: (rows in order, block of each place).
+
+    ``owner`` is one number per row, the same for all rows of a string. The same refinement, but rows that cannot matter
+    leave it: what precedes a block of one owner has that owner too, so such blocks are irrelevant from then on; and a
+    suffix shorter than the pass is no start of a repeat. Blocks are looked at in the passes ``looks`` and the last one.
+    """
+    rows, block = np.arange(len(bwt), dtype=np.int32), np.zeros(len(bwt), np.int32)
+    for h in range(1, length + 1):
+        before = bwt[rows]
+        if not before.all():  # the first row of a string has nothing before it
+            live = before != 0
+            rows, block, before = rows[live], block[live], before[live]
+        dealt = np.argsort(before, kind="stable")
+        rows, old, byte = step[rows[dealt]], block[dealt], before[dealt]
+        new = np.ones(len(rows), bool)
+        new[1:] = (old[1:] != old[:-1]) | (byte[1:] != byte[:-1])
+        block = np.cumsum(new, dtype=np.int32)
+        if (h in looks or h == length) and len(rows):
+            heads, own = np.flatnonzero(new), owner[rows]
+            several = np.minimum.reduceat(own, heads) != np.maximum.reduceat(own, heads)
+            live = several[block - 1]
+            rows, block = rows[live], block[live]
+    return rows, block

@@ -5,7 +5,8 @@ Documents travel in ``runs``: bounded pieces of the input, compressed. Four step
 1. Anchors. The 50-byte windows of a document are cut into strings by their minimizers (the least 16-byte code in a window),
    a code that depends on the window alone, so equal windows have equal minimizers. A code range sees all strings of
    its minimizers as codes: strings whose minimizer is in one document only share nothing and are done. Equal strings become
-   one, the one with the smallest id (within a run before anything is sent): a copy loses what that one keeps.
+   one, the one with the smallest id (within a run before anything is sent): a copy loses all that one holds. That one is
+   done as well if no other string has its minimizer.
 2. Shards. Each run makes Burrows-Wheeler transforms of the strings that are left, one for each range of minimizers.
 3. Merge. For each range the shards' transforms are merged by interleave refinement, 50 passes, without sorting their
    suffixes again. Blocks of rows with a common prefix of 50 bytes are the repeated strings; the smallest id in a block
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.llm import textcode as tc
-from churnspark.llm.bwt import back_steps, merge, transform
+from churnspark.llm.bwt import back_steps, repeats, transform
 from churnspark.llm.substrings import ascending, packed, planes, unpacked, unplanes
 from churnspark.llm.tables import keyed, parts, small_batches, written
 
@@ -40,7 +41,7 @@ LENGTH = 50
 GRAM = 16
 RUN_BYTES = 12 << 20
 SLICE = 1 << 20
-SUB = 8  # pieces of a range that are merged on their own
+SUB = 32  # pieces of a range that are merged on their own: small enough for a processor's cache
 SOLVED, COPY, SENT = 0, 1, 2
 LAST = 2**63 - 1
 
@@ -173,8 +174,11 @@ def _states(chunk: pd.DataFrame) -> pd.DataFrame:
         several = np.minimum.reduceat(doc, heads) != np.maximum.reduceat(doc, heads)
         string = group | np.r_[True, name[1:] != name[:-1]]
         first = doc[np.maximum.accumulate(np.where(string, np.arange(len(c)), 0))]
-        found = np.where(doc == first, SENT, COPY).astype(np.uint8)
-        state[order] = np.where(several[np.cumsum(group) - 1], found, SOLVED)
+        # The first of a string that alone has its minimizer shares windows with its own copies only.
+        other = np.add.reduceat(string.astype(np.int64), heads) > 1
+        of = np.cumsum(group) - 1
+        found = np.where(doc != first, COPY, np.where(other[of], SENT, SOLVED)).astype(np.uint8)
+        state[order] = np.where(several[of], found, SOLVED)
     cuts = np.cumsum([0, *sizes])
     return pd.DataFrame([(run, part, 0, planes(state[a:b])) for run, part, a, b in zip(chunk["run"], chunk["part"], cuts[:-1], cuts[1:])],
                         columns=["run", "part", "kind", "data"])
@@ -230,25 +234,25 @@ def _merged(chunk: pd.DataFrame) -> pd.DataFrame:
         bwt = np.concatenate([shards[i][0][bounds[i][sub]:bounds[i][sub + 1]] for i in mine])
         sizes = np.array([bounds[i][sub + 1] - bounds[i][sub] for i in mine])
         step = back_steps(bwt, sizes)
-        rows, block, _ = merge(bwt, step, LENGTH)
         # Walk every string backwards from its terminator: row by row, the place of each suffix.
         size = np.concatenate([shards[i][2][w] for i, w in zip(mine, which)]).astype(np.int64)
         at = np.concatenate([np.arange(len(w)) + x for w, x in zip(which, np.r_[0, np.cumsum(sizes)[:-1]])])
-        owner = np.full(len(bwt), LAST, np.int64)
-        seen = []
-        for t in range(1, int(size.max()) + 1):
+        rank = np.unique(doc, return_inverse=True)[1].astype(np.int32)
+        owner, string, place = np.empty(len(bwt), np.int32), np.empty(len(bwt), np.int32), np.empty(len(bwt), np.uint8)
+        for t in range(int(size.max()) + 1):
             live = np.flatnonzero(size >= t)
-            at[live] = step[at[live]]
-            if t >= LENGTH:
-                owner[at[live]] = doc[live]
-                seen.append((t, live, at[live]))
-        owners = owner[rows]
-        least = np.minimum.reduceat(owners, np.flatnonzero(np.r_[True, block[1:] != block[:-1]]))[block]
-        gone = np.zeros(len(bwt), bool)
-        gone[rows] = least < owners
+            if t:
+                at[live] = step[at[live]]
+            row = at[live]
+            owner[row], string[row], place[row] = rank[live], live, size[live] - t
+        rows, block = repeats(bwt, step, LENGTH, owner)
         flags = np.zeros(len(size), np.uint64)
-        for t, live, row in seen:
-            flags[live] |= gone[row].astype(np.uint64) << (size[live] - t).astype(np.uint64)
+        if len(rows):
+            heads = np.r_[True, block[1:] != block[:-1]]
+            own = owner[rows]
+            least = np.minimum.reduceat(own, np.flatnonzero(heads))[np.cumsum(heads) - 1]
+            gone = rows[own > least]
+            np.bitwise_or.at(flags, string[gone], np.uint64(1) << place[gone].astype(np.uint64))
         for i, w, a in zip(mine, which, np.cumsum([0, *[len(w) for w in which]])):
             bits[i][w] = flags[a:a + len(w)]
     out = []

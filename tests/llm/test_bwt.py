@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from churnspark.llm.bwt import back_steps, merge, transform
+from churnspark.llm.bwt import back_steps, merge, repeats, transform
 
 
 def collection(rng, n, letters=3, most=90):
@@ -50,3 +50,25 @@ def test_merge_orders_by_the_first_bytes_and_finds_common_prefixes(seed):
             if k and k - 1 in long:
                 a, b = flat[rows[k - 1]], flat[rows[k]]
                 assert prefix[k] == next((i for i in range(length) if a[i] != b[i]), length)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_repeats_are_the_blocks_of_several_owners(seed):
+    rng = np.random.default_rng(seed)
+    common = collection(rng, 8, letters=4)
+    parts = [[*collection(rng, 5, letters=2), *[common[i] for i in rng.permutation(8)[:4]]] for _ in range(4)]
+    bwts = [built(p, [0] * len(p)) for p in parts]
+    flat = [(s, (k * 7 + string) % 5) for k, p in enumerate(parts) for s, string, _ in naive(p)]
+    owner = np.array([o for _, o in flat], np.int32)
+    bwt = np.concatenate(bwts)
+    for length in (3, 20, 50):
+        rows, block = repeats(bwt, back_steps(bwt, np.array([len(b) for b in bwts])), length, owner)
+        got = {}
+        for r, b in zip(rows.tolist(), block.tolist()):
+            got.setdefault(b, set()).add(r)
+        want = {}
+        for r, (s, _) in enumerate(flat):
+            if len(s) >= length:
+                want.setdefault(s[:length], set()).add(r)
+        want = [w for w in want.values() if len({owner[r] for r in w}) > 1]
+        assert sorted(map(sorted, got.values())) == sorted(map(sorted, want))
