@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from churnspark.functions import columns as X
 from churnspark.operators.rank import exact_quantiles
+from churnspark.sources.staging import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -22,11 +23,9 @@ def label_summary(df: DataFrame, label: str = "is_churn") -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows and share per value, NULL included."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "share", F.col("n") / total
-    )
+    """Rows and share per value, NULL included. The table is read once; the counts are written and summed up."""
+    counts = stage(df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
 
 
 def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:

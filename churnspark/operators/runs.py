@@ -52,8 +52,11 @@ def next_run_number(runs: DataFrame) -> DataFrame:
 
 
 def number_runs(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """Numbers a batch of new runs (model_name, started_at_utc, ...) after the ones already logged."""
-    order = Window.partitionBy("model_name").orderBy("started_at_utc")
+    """Numbers a batch of new runs (model_name, started_at_utc, ...) after the ones already logged.
+
+    Runs that started at the same time are numbered by their content, so that a rerun gives the same numbers.
+    """
+    order = Window.partitionBy("model_name").orderBy("started_at_utc", F.to_json(F.struct(*sorted(new.columns))))
     start = next_run_number(existing)
     numbered = new.withColumn("_i", F.row_number().over(order)).join(start, "model_name", "left")
     out = numbered.withColumn("run_number", F.col("_i") - 1 + F.coalesce("next_run_number", F.lit(1)))
