@@ -180,10 +180,10 @@ def candidate_components(classes: DataFrame, needed: list[int]) -> DataFrame:
 
 
 def _verified(frame: pd.DataFrame, threshold: float, needed: list[int]) -> Iterator[tuple]:
-    """(class, links, root) of every row of one component's pair of blocks."""
+    """(class, links, root) of every row of one component's pair of blocks; links are counted in documents."""
     frame = frame.sort_values("class", ignore_index=True)
     sets = shingle_sets(tc.encoded(frame["text"]))
-    sig, n = signatures(sets), np.array([len(s) for s in sets])
+    sig, n, size = signatures(sets), np.array([len(s) for s in sets]), frame["size"].to_numpy(np.int64)
     codes, flat = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(n)])
     block, cross = frame["block"].to_numpy(), frame["i"].iloc[0] != frame["j"].iloc[0]
@@ -204,8 +204,8 @@ def _verified(frame: pd.DataFrame, threshold: float, needed: list[int]) -> Itera
         present[own] = 0
         # Integers decide: common / union >= threshold, threshold in hundredths.
         ok = b[100 * common >= round(100 * threshold) * (n[a] + n[b] - common)]
-        links[a] += len(ok)
-        links[ok] += 1
+        links[a] += size[ok].sum()
+        links[ok] += size[a]
         ours_a.append(np.full(len(ok), a))
         ours_b.append(ok)
     label = roots(len(n), np.concatenate(ours_a), np.concatenate(ours_b))
@@ -215,10 +215,11 @@ def _verified(frame: pd.DataFrame, threshold: float, needed: list[int]) -> Itera
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """One row per document: doc, key, class_id, class_size, n_links, group_id.
+    """One row per document: doc, key, class_id, n_links, copy_id, copies, has_words.
 
-    class_id is the smallest id with the same shingle set, class_size their number, n_links the number of other classes that
-    are similar enough, group_id the smallest id that chains of links reach. Ids are longs, a null id is 2**63 - 1.
+    class_id is the smallest id that chains of links reach, n_links the number of other documents that are similar enough
+    (those with the same shingle set included), copy_id the smallest id with the same shingle set, copies their number.
+    Ids are longs, a null id is 2**63 - 1.
     """
     small_batches(docs.sparkSession)
     needed = least_matches(threshold, tolerance)
@@ -228,7 +229,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
         F.min(F.struct("doc", "key")).alias("first"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"),
         F.first("sig").alias("sig")).select("class", F.col("first.doc").alias("rep"), F.col("first.key").alias("rep_key"), "size", "n", "sig"), "classes")
     near = written(candidate_components(classes, needed).withColumnRenamed("node", "class"), "near")
-    weight = near.join(classes.select("class", "n", "rep", "rep_key"), "class")
+    weight = near.join(classes.select("class", "n", "size", "rep", "rep_key"), "class")
     total = weight.groupBy("root").agg(F.sum("n").alias("total"))
     units = weight.join(total, "root")
     units = keyed(docs, id_col, text_col).join(units.hint("shuffle_hash"), (F.col("doc") == F.col("rep")) & (F.col("key") == F.col("rep_key")))
@@ -239,7 +240,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
         rows = [r for _, unit in frame.groupby(["root", "i", "j"], sort=False) for r in _verified(unit, threshold, needed)]
         return pd.DataFrame(rows, columns=["class", "links", "root"])
 
-    checked = written(units.select("bin", "root", "class", "text", "block", "i", "j").groupBy("bin").applyInPandas(
+    checked = written(units.select("bin", "root", "class", "size", "text", "block", "i", "j").groupBy("bin").applyInPandas(
         verify, "class binary, links long, root binary"), "checked")
     links = checked.groupBy("class").agg(F.sum("links").alias("n_links"))
     groups = connected(checked.select(F.col("class").alias("a"), F.col("root").alias("b")))
@@ -247,16 +248,16 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
     grouped = ids.join(groups, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     least = grouped.groupBy("root").agg(F.min("rep").alias("group_id"))
     info = grouped.join(least, "root").join(links, "class", "left").select(
-        F.col("class").alias("c"), "rep", "size", F.coalesce("n_links", F.lit(0)).alias("n_links"), "group_id")
+        F.col("class").alias("c"), "rep", "size", (F.coalesce("n_links", F.lit(0)) + F.col("size") - 1).alias("n_links"), "group_id")
     out = base.select("doc", "key", "class").join(info, F.col("class") == F.col("c"), "left")
-    return out.select("doc", "key", F.coalesce("rep", "doc").alias("class_id"), F.coalesce("size", F.lit(1)).alias("class_size"),
-                      F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("group_id", "doc").alias("group_id"),
+    return out.select("doc", "key", F.coalesce("group_id", "doc").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+                      F.coalesce("rep", "doc").alias("copy_id"), F.coalesce("size", F.lit(1)).alias("copies"),
                       F.col("class").isNotNull().alias("has_words"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
     out = join(docs)
-    return out.select(F.when(F.col("doc") < 2**63 - 1, F.col("doc")).alias("doc_id"), "class_id", "class_size", "n_links", "group_id")
+    return out.select(F.when(F.col("doc") < 2**63 - 1, F.col("doc")).alias("doc_id"), "class_id", "n_links", "copy_id", "copies")
 
 
 def filtered(docs: DataFrame) -> DataFrame:
@@ -265,7 +266,7 @@ def filtered(docs: DataFrame) -> DataFrame:
     rows = docs.toDF(*names.values())
     # Of several rows with the group's smallest id (ids should be unique) the smallest text code stays.
     out = join(rows, id_col=names["doc_id"], text_col=names["text"])
-    kept = out.filter(F.col("has_words") & (F.col("doc") == F.col("group_id"))).groupBy("doc").agg(F.min("key").alias("key"))
+    kept = out.filter(F.col("has_words") & (F.col("doc") == F.col("class_id"))).groupBy("doc").agg(F.min("key").alias("key"))
     free = out.filter(~F.col("has_words")).select("doc", "key").distinct()
     order, code, word = fresh("order"), fresh("code"), fresh("word")
     both = rows.withColumn(order, doc_order(names["doc_id"])).withColumn(code, text_key(names["text"]))

@@ -122,7 +122,7 @@ def shingles(text, size=5):
 
 
 def joined(docs, threshold=80):
-    """{(doc_id, text): (class_id, class_size, n_links, group_id)} of op5, ids with null as the largest."""
+    """{(doc_id, text): (class_id, n_links, copy_id, copies)} of op5, ids with null as the largest."""
     sets = {}
     for d, t in docs:
         s = shingles(t)
@@ -141,8 +141,8 @@ def joined(docs, threshold=80):
             if isinstance(x, frozenset) and isinstance(y, frozenset):
                 common = len(x & y)
                 if 100 * common >= threshold * (len(x) + len(y) - common):
-                    links[a] += 1
-                    links[b] += 1
+                    links[a] += len(sets[y])
+                    links[b] += len(sets[x])
                     parent[root(a)] = root(b)
     least = {}
     for k, name in enumerate(names):
@@ -154,5 +154,5 @@ def joined(docs, threshold=80):
         name = s if s else (order(d), t)
         k = where[name]
         size = len(sets[name]) if s else 1
-        out[d, t] = (min(sets[name]), size, links[k], least[root(k)])
+        out[d, t] = (least[root(k)], links[k] + size - 1, min(sets[name]), size)
     return out

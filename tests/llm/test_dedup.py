@@ -151,7 +151,7 @@ def near_copies(seed, n=50):
 
 
 def links(df):
-    return {(r["doc_id"], r["text"]): (r["class_id"], r["class_size"], r["n_links"], r["group_id"]) for r in df.collect()}
+    return {(r["doc_id"], r["text"]): (r["class_id"], r["n_links"], r["copy_id"], r["copies"]) for r in df.collect()}
 
 
 def joined_with_text(docs):
@@ -162,7 +162,7 @@ def joined_with_text(docs):
     out = bayes_join.join(docs)
     k = keyed(docs).dropDuplicates(["doc", "key"])
     return out.join(k, ["doc", "key"]).select(F.when(F.col("doc") < 2**63 - 1, F.col("doc")).alias("doc_id"), "text", "class_id",
-                                              "class_size", "n_links", "group_id")
+                                              "n_links", "copy_id", "copies")
 
 
 @pytest.mark.parametrize("seed", [0, 1])
@@ -182,7 +182,7 @@ def test_jaccard_join_odd_rows(spark):
     assert bayes_join.filtered(odd.empty(spark)).count() == 0
     kept = [(r["doc_id"], r["text"]) for r in bayes_join.filtered(docs).collect()]
     want = odd.joined(odd.pairs(docs))
-    groups = {v[3] for k, v in want.items() if odd.shingles(k[1])}
+    groups = {v[0] for k, v in want.items() if odd.shingles(k[1])}
     assert sorted(odd.order(d) for d, t in kept if odd.shingles(t)) == sorted(groups)
     assert sum(1 for _, t in kept if not odd.shingles(t)) == sum(1 for _, t in odd.pairs(docs) if not odd.shingles(t))
 
