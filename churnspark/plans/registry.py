@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from churnspark.plans.adapters import Tables, adapter_cte
 
 DIGITS = 6
-# Averages of money land on exact decimal ties, which two engines may round differently; a small shift breaks the tie.
+# Averages of money land on exact decimal ties: the mean of 32 amounts in cents can end in 5 at the seventh place (0.01 / 32 =
+# 0.0003125). One engine rounds the decimal text half up, the other the binary product; a small shift breaks the tie.
 SHIFT = 1.2345e-8
 
 
