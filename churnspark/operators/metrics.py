@@ -146,8 +146,10 @@ def metrics_of_groups(groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def topk_metrics(df: DataFrame, ks: Sequence[int] = C.TOP_KS, score: str = "y_proba", label: str = "y_true",
                  id: str = "id", by: Sequence[str] = ()) -> DataFrame:
     """TP, precision, recall, lift and cutoff score in the top min(K, n), one row per K (and ``by`` value)."""
-    ranked = top_k(df.select(*by, id, score, label), max(ks), score, id, by)
     wanted = F.array(*[F.lit(int(k)) for k in sorted(ks)])
+    if not by:
+        return _topk_of_points(quota_points(df, ks, score, label, id), wanted)
+    ranked = top_k(df.select(*by, id, score, label), max(ks), score, id, by)
     # A row counts for every K at or above its rank; the list of Ks is short.
     hits = ranked.select(*by, score, label, F.explode(F.filter(wanted, lambda k: k >= F.col("rank"))).alias("k"))
     counted = hits.groupBy(*by, "k").agg(
@@ -157,11 +159,21 @@ def topk_metrics(df: DataFrame, ks: Sequence[int] = C.TOP_KS, score: str = "y_pr
     totals = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("positives")
     )
-    if by:
-        joined = match(counted, totals, by)
-    else:
-        joined = counted.withColumn("_t", totals.agg(F.struct(F.max("n").alias("n"), F.max("positives").alias(
-            "positives"))).scalar()).select("*", "_t.n", "_t.positives").drop("_t")
+    return _topk_rates(match(counted, totals, by), by)
+
+
+def _topk_of_points(points: DataFrame, wanted: Column) -> DataFrame:
+    """Top-K rows from the points of ``quota_points``; the last point holds all rows and stands for larger Ks."""
+    whole = Window.partitionBy(F.lit(0))  # one row per K
+    n = F.max("k").over(whole)
+    rows = points.select("k", "tp", "threshold", n.alias("n"), F.max("tp").over(whole).alias("positives"))
+    asked = F.filter(wanted, lambda w: F.least(w.cast("bigint"), F.col("n")) == F.col("k"))
+    return _topk_rates(rows.select(
+        F.explode(asked).alias("_asked"), F.col("k").alias("n_targeted"), "tp", F.col("threshold").alias("cutoff_score"), "n", "positives",
+    ).withColumnRenamed("_asked", "k"), ())
+
+
+def _topk_rates(joined: DataFrame, by: Sequence[str]) -> DataFrame:
     base = X.ratio0(F.col("positives").cast("double"), F.col("n"))
     return joined.select(
         *by, "k", "n_targeted", "tp",
@@ -243,7 +255,9 @@ def evaluate(df: DataFrame, threshold: float = 0.5, ks: Sequence[int] = C.TOP_KS
     rows = rows.withColumn("_all", F.lit(0)) if by == ["_all"] else rows
     groups = score_groups(rows, score, label, by)
     at = with_accuracy(with_precision_recall(confusion_of_groups(groups, threshold, by)))
-    tops = topk_metrics(rows, ks, score, label, id, by).groupBy(*by).agg(
+    tops = topk_metrics(rows, ks, score, label, id).withColumn("_all", F.lit(0)) if by == ["_all"] else \
+        topk_metrics(rows, ks, score, label, id, by)
+    tops = tops.groupBy(*by).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "precision")))).alias("precision_at_k"),
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "recall")))).alias("recall_at_k"))
     quality = metrics_of_groups(groups, by).select(
