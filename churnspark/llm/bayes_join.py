@@ -215,11 +215,12 @@ def _verified(frame: pd.DataFrame, threshold: float, needed: list[int]) -> Itera
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """One row per document: doc, key, class_id, n_links, copy_id, copies, has_words.
+    """One row per document: doc, key, class_id, class_key, n_links, copy_id, copy_key, copies, has_words.
 
     class_id is the smallest id that chains of links reach, n_links the number of other documents that are similar enough
     (those with the same shingle set included), copy_id the smallest id with the same shingle set, copies their number.
-    Ids are longs, a null id is 2**63 - 1.
+    Ids are longs, a null id is 2**63 - 1. Ids may be null or repeated, so (class_id, class_key) names a class and
+    (copy_id, copy_key) a shingle set: the smallest (id, text code) of its documents.
     """
     small_batches(docs.sparkSession)
     needed = least_matches(threshold, tolerance)
@@ -244,29 +245,34 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
         verify, "class binary, links long, root binary"), "checked")
     links = checked.groupBy("class").agg(F.sum("links").alias("n_links"))
     groups = connected(checked.select(F.col("class").alias("a"), F.col("root").alias("b")))
-    ids = classes.select("class", "rep", "size")
+    ids = classes.select("class", "rep", "rep_key", "size")
     grouped = ids.join(groups, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
-    least = grouped.groupBy("root").agg(F.min("rep").alias("group_id"))
+    least = grouped.groupBy("root").agg(F.min(F.struct("rep", "rep_key")).alias("group"))
     info = grouped.join(least, "root").join(links, "class", "left").select(
-        F.col("class").alias("c"), "rep", "size", (F.coalesce("n_links", F.lit(0)) + F.col("size") - 1).alias("n_links"), "group_id")
+        F.col("class").alias("c"), "rep", "rep_key", "size", (F.coalesce("n_links", F.lit(0)) + F.col("size") - 1).alias("n_links"), "group")
     out = base.select("doc", "key", "class").join(info, F.col("class") == F.col("c"), "left")
-    return out.select("doc", "key", F.coalesce("group_id", "doc").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                      F.coalesce("rep", "doc").alias("copy_id"), F.coalesce("size", F.lit(1)).alias("copies"),
+    return out.select("doc", "key", F.coalesce("group.rep", "doc").alias("class_id"), F.coalesce("group.rep_key", "key").alias("class_key"),
+                      F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("rep", "doc").alias("copy_id"),
+                      F.coalesce("rep_key", "key").alias("copy_key"), F.coalesce("size", F.lit(1)).alias("copies"),
                       F.col("class").isNotNull().alias("has_words"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
     out = join(docs)
-    return out.select(F.when(F.col("doc") < 2**63 - 1, F.col("doc")).alias("doc_id"), "class_id", "n_links", "copy_id", "copies")
+    return out.select(F.when(F.col("doc") < 2**63 - 1, F.col("doc")).alias("doc_id"), "class_id", "class_key", "n_links", "copy_id",
+                      "copy_key", "copies")
 
 
 def filtered(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id; texts without words stay. Same columns."""
+    """``docs`` with one document of each group, the one with the smallest (id, text code); texts without words stay.
+
+    Same columns. Unlike texts with one id, or without an id, are groups of their own.
+    """
     names = {c: fresh(c) for c in docs.columns}
     rows = docs.toDF(*names.values())
-    # Of several rows with the group's smallest id (ids should be unique) the smallest text code stays.
     out = join(rows, id_col=names["doc_id"], text_col=names["text"])
-    kept = out.filter(F.col("has_words") & (F.col("doc") == F.col("class_id"))).groupBy("doc").agg(F.min("key").alias("key"))
+    kept = out.filter(F.col("has_words") & (F.col("doc") == F.col("class_id")) & (F.col("key") == F.col("class_key")))
+    kept = kept.select("doc", "key").distinct()
     free = out.filter(~F.col("has_words")).select("doc", "key").distinct()
     order, code, word = fresh("order"), fresh("code"), fresh("word")
     both = rows.withColumn(order, doc_order(names["doc_id"])).withColumn(code, text_key(names["text"]))

@@ -187,6 +187,20 @@ def test_jaccard_join_odd_rows(spark):
     assert sum(1 for _, t in kept if not odd.shingles(t)) == sum(1 for _, t in odd.pairs(docs) if not odd.shingles(t))
 
 
+def test_unlike_texts_without_or_with_one_id_stay(spark):
+    def text(k):
+        return " ".join(f"w{k}x{i}" for i in range(30))
+
+    rows = [(None, text(0)), (None, text(1)), (None, text(2)), (None, text(2)), (7, text(3)), (7, text(4)), (8, text(4)), (9, text(4) + " end"),
+            (None, text(5)), (10, text(5) + " end"), (None, None), (None, "")]
+    docs = spark.createDataFrame(odd.rows([(d, t, "en", "a") for d, t in rows]), odd.SCHEMA).repartition(3)
+    kept = sorted(odd.pairs(bayes_join.filtered(docs)), key=str)
+    want = [(None, text(0)), (None, text(1)), (None, text(2)), (7, text(3)), (7, text(4)), (10, text(5) + " end"), (None, None), (None, "")]
+    assert kept == sorted(want, key=str)
+    classes = bayes_join.digest(docs).filter("n_links > 0 or class_id = 9223372036854775807 or doc_id = 7").select("class_id", "class_key")
+    assert classes.distinct().count() == 8
+
+
 def test_signature_bands_find_pairs_at_the_threshold():
     """Sets with similarity of just 0.8 share a band, in 200 trials."""
     rng = np.random.default_rng(5)
