@@ -9,8 +9,11 @@ A transcript of any length is worked off in segments: each segment gives the bes
 state at its end (max-plus products, 7 x 6 numbers); chaining these small tables fixes the states at the segments' ends;
 each segment is then traced on its own. Turn numbers are running counts over segments. No task sees a whole transcript.
 
-Rules for odd rows: null lines are empty; empty lines end nothing and belong to no turn, but mark the next line; a transcript
-without other lines has no turns; equal (segment, pos) are ordered by line; a null id is an id of its own.
+A marker is cut from a line only where the path begins a turn; its name, as written, is the turn's speaker. Every other line
+stays as it is, whatever it looks like.
+
+Rules for odd rows: null lines are empty; empty lines end nothing and mark the next line, those between lines of one turn
+stay in its text, others belong to no turn and none is counted; a transcript without other lines has no turns; equal (segment, pos) are ordered by line; a null id is an id of its own.
 """
 
 from __future__ import annotations
@@ -50,18 +53,19 @@ MARKER = re.compile(
     r"|\*\*(?P<star>[^\W\d_]+(?: [^\W\d_]+)?):?\*\*\s*:?|(?P<plain>[^\W\d_]+(?: [^\W\d_]+)?)\s*:)(?:\s+|$)", re.UNICODE)
 
 
-def marker(line: str) -> tuple[int, str]:
-    """(class, rest of the line): 0 none, 1 to 3 a role, 4 an unknown name, 5 a name alone on its line (role classes win)."""
+def marker(line: str) -> tuple[int, str, str | None]:
+    """(class, rest of the line, name): 0 none, 1 to 3 a role, 4 an unknown name, 5 a name alone on its line (role classes win)."""
     m = MARKER.match(line)
     if not m:
-        return 0, line
-    role = ALIASES.get(next(g for g in m.groupdict().values() if g).lower())
+        return 0, line, None
+    name = next(g for g in m.groupdict().values() if g)
+    role = ALIASES.get(name.lower())
     rest = line[m.end():]
-    return (1 + ROLES.index(role) if role else 4 if rest.strip() else 5), rest
+    return (1 + ROLES.index(role) if role else 4 if rest.strip() else 5), rest, name
 
 
-def line_features(lines: list[str], opens: bool) -> tuple[list[int], np.ndarray, list[str]]:
-    """Places of the lines that are not empty, their features and what they say without markers.
+def line_features(lines: list[str], opens: bool) -> tuple[list[int], np.ndarray, list[tuple[str, str | None]]]:
+    """Places of the lines that are not empty, their features and (what they say without a marker, the marker's name).
 
     ``opens`` tells whether the first line is the first one of the transcript.
     """
@@ -70,14 +74,14 @@ def line_features(lines: list[str], opens: bool) -> tuple[list[int], np.ndarray,
         if not line.strip():
             gap = True
             continue
-        kind, rest = marker(line)
+        kind, rest, name = marker(line)
         text = rest.strip() or line.strip()
         end = {"?": 1, ":": 2, ".": 0}.get(text[-1], 3)
         case = 0 if text[0].isupper() else 1 if text[0].islower() else 2
         before = 2 if opens and previous < 0 else 1 if gap else 0
         rows.append((kind, before, end, int(np.searchsorted(LENGTHS, len(text), side="right")), case))
         at.append(i)
-        said.append(rest.strip() if kind else line.rstrip())
+        said.append((rest, name))
         gap, previous = False, i
     return at, np.array(rows, int).reshape(-1, len(FEATURES)), said
 
@@ -158,10 +162,10 @@ def _units(frame: pd.DataFrame) -> Iterator[tuple]:
 
 
 def parse(lines: DataFrame, model: Model) -> DataFrame:
-    """Turns (id, turn, role, n_lines, text, rendered) of transcripts given as (id string, segment, pos, line).
+    """Turns (id, turn, role, n_lines, speaker, text, rendered) of transcripts given as (id string, segment, pos, line).
 
     Lines are ordered by (segment, pos); segment 0 holds the first lines of a transcript, and numbers have no gaps that
-    matter. rendered is the canonical form of a turn.
+    matter. speaker is the name in the marker that begins the turn, null without one; rendered is the canonical form of a turn.
     """
     spark = lines.sparkSession
     small_batches(spark, 4096)
@@ -197,30 +201,39 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
         known = {(None if pd.isna(i) else i, s): (b, e) for i, s, b, e in zip(right["id"], right["segment"], right["before"], right["last"])}
         out = []
         for (name, segment), f in _units(left):
-            at, features, said = line_features(f["line"].tolist(), bool(f["opens"].iloc[0]))
-            if not at:
-                continue
-            before, last = known[None if pd.isna(name) else name, segment]
-            path = trace(model, model.emissions(features), before, last)
-            turn = np.cumsum([s % 2 == 0 for s in path])
+            whole = f["line"].tolist()
+            at, features, said = line_features(whole, bool(f["opens"].iloc[0]))
             name = None if pd.isna(name) else name
-            out += [(name, segment, p, k, t, ROLES[s // 2], w)
-                    for k, (p, t, s, w) in enumerate(zip(f["pos"].to_numpy()[at].tolist(), turn.tolist(), path, said))]
-        return pd.DataFrame(out, columns=["id", "segment", "pos", "nth", "local", "role", "said"], dtype=object)
+            path = trace(model, model.emissions(features), *known[name, segment]) if at else []
+            found, turn = dict(zip(at, zip(path, said))), 0
+            for k, line in enumerate(whole):
+                if k not in found:  # an empty line, kept with the turn before it
+                    out.append((name, segment, k, turn, None, None, line, False))
+                    continue
+                state, (rest, speaker) = found[k]
+                begins = state % 2 == 0
+                turn += begins
+                text = rest if begins else line
+                out.append((name, segment, k, turn, ROLES[state // 2], speaker if begins else None, text, bool(text.strip())))
+        return pd.DataFrame(out, columns=["id", "segment", "nth", "local", "role", "speaker", "said", "filled"], dtype=object)
 
     traced = rows.groupBy("bin").cogroup(ends.withColumn("bin", spread).groupBy("bin")).applyInPandas(
-        states, "id string, segment long, pos long, nth long, local long, role string, said string")
+        states, "id string, segment long, nth long, local long, role string, speaker string, said string, filled boolean")
     traced = written(traced, "traced")
     per = traced.groupBy("id", "segment").agg(F.max("local").alias("turns"))
     done = W.partitionBy("id").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
     per = per.withColumn("done", F.coalesce(F.sum("turns").over(done), F.lit(0))).drop("turns").toDF("i", "s", "done")
     both = traced.join(per, traced["id"].eqNullSafe(per["i"]) & (traced["segment"] == per["s"]))
     turn = (F.col("done") + F.col("local") - 1).alias("turn")
-    turns = both.select("id", turn, "role", "segment", "nth", "said").groupBy("id", "turn").agg(
-        F.min("role").alias("role"), F.count(F.lit(1)).alias("n_lines"),
-        F.sort_array(F.collect_list(F.struct("segment", "nth", "said"))).alias("all"))
-    text = F.array_join(F.filter(F.transform("all", lambda x: x["said"]), lambda x: x != ""), "\n")
-    turns = turns.withColumn("text", text).drop("all")
+    # Empty lines before the first turn have number -1.
+    turns = both.select("id", turn, "role", "speaker", "segment", "nth", "said", "filled").filter("turn >= 0").groupBy("id", "turn").agg(
+        F.min("role").alias("role"), F.count("role").alias("n_lines"), F.min("speaker").alias("speaker"),
+        F.sort_array(F.collect_list(F.struct("segment", "nth", "said", "filled"))).alias("all"))
+    filled = F.transform("all", lambda x: x["filled"])
+    turns = turns.withColumn("first", F.array_position(filled, True)).withColumn("after", F.array_position(F.reverse(filled), True))
+    inner = F.slice("all", F.greatest("first", F.lit(1)).cast("int"), (F.size("all") - F.col("first") - F.col("after") + 2).cast("int"))
+    text = F.when(F.col("first") > 0, F.array_join(F.transform(inner, lambda x: x["said"]), "\n")).otherwise("")
+    turns = turns.withColumn("text", text).drop("all", "first", "after")
     return turns.withColumn("rendered", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n<|end|>")))
 
 
@@ -318,10 +331,10 @@ def fold(id_col: str) -> Column:
 def digest(turns: DataFrame) -> DataFrame:
     """Transcripts made from ``turns``, parsed with a model from two thirds of the conversations.
 
-    conv_id, held_out (not used for the model), turn, role, n_lines, rendered: one row per recovered turn.
+    conv_id, held_out (not used for the model), turn, role, n_lines, speaker, rendered: one row per recovered turn.
     """
     lines = written(transcripts(turns), "transcripts")
     known = lines.filter(fold("id") != 1)
     model = learn(known, state_moves(known))
     out = parse(lines.select("id", "segment", "pos", "line"), model)
-    return out.select(F.col("id").cast("long").alias("conv_id"), (fold("id") == 1).alias("held_out"), "turn", "role", "n_lines", "rendered")
+    return out.select(F.col("id").cast("long").alias("conv_id"), (fold("id") == 1).alias("held_out"), "turn", "role", "n_lines", "speaker", "rendered")

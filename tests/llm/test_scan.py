@@ -268,6 +268,23 @@ def test_best_path_is_the_best_of_all_paths():
     assert tuple(chat.trace(m, e[:2], b0, l0) + chat.trace(m, e[2:], b1, l1)) == best
 
 
+def test_lines_that_look_like_markers_stay_in_their_turn(spark, monkeypatch):
+    inside = ["Note: be careful  ", "", "# My long heading here", "**Warning:** hot", "    else:", "", " ", "Ingredients:", "## Results", "a: b", "end."]
+    said = "first.\n" + "\n".join(inside)
+    lines = ["", "User: what is it?", "", "Assistant: " + said, "", "", "### Human:", "", "why?", "Alice: so", ""]
+    texts = spark.createDataFrame([("x", "\n".join(lines))], "name string, t string")
+    # Unmarked and unknown names hardly ever begin a turn in this model, but after a question they do.
+    moves = {(chat.START, 2): 50, (2, 4): 50, (2, 3): 20, (4, 5): 500, (5, 5): 500, (5, 2): 50, (3, 4): 50}
+    emits = {(0, 2, 2): 900, (0, 4, 3): 900, (0, 4, 4): 30, (0, 3, 0): 100, **{(0, 5, v): 300 for v in (0, 3, 4, 5)},
+             **{(2, 3, v): 300 for v in (1,)}, **{(2, 5, v): 300 for v in (0, 2, 3)}}
+    model = chat.Model.of(moves, emits)
+    for size in (3, 1000):
+        monkeypatch.setattr(chat, "SEGMENT", size)
+        got = chat.parse(chat.transcript_lines(texts, "name", "t"), model).orderBy("turn").collect()
+        assert [(r["role"], r["speaker"], r["text"], r["n_lines"]) for r in got] == [
+            ("user", "User", "what is it?", 1), ("assistant", "Assistant", said, 9), ("user", "Human", "why?", 2), ("assistant", "Alice", "so", 1)]
+
+
 def test_chat_odd_rows(spark):
     rows = [("1", 0, "user", None, "x"), (None, 0, "user", "hi", "x"), ("2", None, "assistant", "", "x"), ("3", 0, None, "text", "x"), ("4", 0, "robot", "a", "x"),
             ("5", 0, "user", "same", "x"), ("5", 0, "user", "same", "x"), ("6", 0, "USER", odd.LONG, "x")]
