@@ -246,6 +246,7 @@ def transcript_lines(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def learn(lines: DataFrame, moves: DataFrame) -> Model:
     """Model from lines with known states (id, segment, pos, line, state) and moves (a, b, n) between states.
 
+    Lines whose state is null are not learned from.
     Lines of one (id, segment) need not be whole transcripts; counts are added up in the tasks first.
     """
     spread = F.pmod(F.xxhash64("id", "segment"), F.lit(4 * parts(lines.sparkSession)))
@@ -255,7 +256,8 @@ def learn(lines: DataFrame, moves: DataFrame) -> Model:
         for _, f in _units(frame):
             at, features, _ = line_features(f["line"].tolist(), bool(f["opens"].iloc[0]))
             for s, row in zip(f["state"].to_numpy()[at].tolist(), features.tolist()):
-                seen.update((k, s, v) for k, v in enumerate(row))
+                if not pd.isna(s):
+                    seen.update((k, int(s), v) for k, v in enumerate(row))
         return pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["feature", "state", "value", "n"])
 
     emits = lines.withColumn("bin", spread).groupBy("bin").applyInPandas(count, "feature int, state int, value int, n long")
@@ -282,28 +284,32 @@ def transcripts(turns: DataFrame) -> DataFrame:
     """Turns (conv_id, turn, role, text) as lines of transcripts with known states.
 
     The style follows the hash of conv_id; one marker in eight is missing, in the sixth style the names tell nothing.
+    Roles are known by their names and aliases, in any case and with spaces around. A turn of another role (tool, function)
+    is shown with its own name in the marker, one of a null or empty role without a marker; both have no state.
     """
-    role = F.array_position(F.array(*map(F.lit, ROLES)), F.lower("role")) - 1
+    named = F.regexp_replace(F.col("role").cast("string"), r"(?U)^\s+|\s+$", "")
+    role = F.create_map(*[F.lit(x) for alias, r in ALIASES.items() for x in (alias, ROLES.index(r))])[F.lower(named)]
     rows = turns.select(F.col("conv_id").cast("string").alias("id"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"),
-                        role.cast("int").alias("r"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter("r >= 0")
+                        role.cast("int").alias("r"), F.when(named != "", named).alias("named"),
+                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     style = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.lit("style")), F.lit(len(STYLES)))
     bare = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), "turn", F.lit("bare")), F.lit(8)) == 0
 
     def shown(form: str, names: tuple[str, ...]) -> Column:
-        name = F.element_at(F.array(*map(F.lit, names)), F.col("r") + 1)
+        name = F.when(F.col("r").isNull(), F.col("named")).otherwise(F.element_at(F.array(*map(F.lit, names)), F.col("r") + 1))
         head, tail = form.split("{1}")[0].split("{0}")
         return F.concat(F.lit(head), name, F.lit(tail), "text")
 
     text = F.lit(None).cast("string")
     for k, (form, names) in enumerate(STYLES):
         text = F.when(style == k, shown(form, names)).otherwise(text)
-    text = F.when(bare, F.col("text")).otherwise(text)
+    text = F.when(bare | (F.col("r").isNull() & F.col("named").isNull()), F.col("text")).otherwise(text)
     lines = rows.withColumn("shown", F.split(F.concat(text, F.lit("\n")), "\n")).select(
-        "id", "turn", "r", F.posexplode("shown").alias("k", "line"))
+        "id", "turn", "r", "named", F.posexplode("shown").alias("k", "line"))
     filled = F.length(F.trim("line")) > 0
     # The first line that is not empty begins the turn; a turn always has at least one.
-    first = lines.filter(filled).groupBy("id", "turn", "r").agg(F.min("k").alias("first")).toDF("i", "t", "q", "first")
-    same = lines["id"].eqNullSafe(first["i"]) & (lines["turn"] == first["t"]) & (lines["r"] == first["q"])
+    first = lines.filter(filled).groupBy("id", "turn", "r", "named").agg(F.min("k").alias("first")).toDF("i", "t", "q", "own", "first")
+    same = lines["id"].eqNullSafe(first["i"]) & (lines["turn"] == first["t"]) & lines["r"].eqNullSafe(first["q"]) & lines["named"].eqNullSafe(first["own"])
     state = F.when(F.col("k") == F.col("first"), 2 * F.col("r")).otherwise(2 * F.col("r") + 1)
     return lines.join(first, same).select(
         "id", F.floor(F.col("turn") / TURNS).alias("segment"), (F.col("turn") * (1 << 24) + F.col("k")).alias("pos"), "line",
@@ -312,7 +318,7 @@ def transcripts(turns: DataFrame) -> DataFrame:
 
 def state_moves(lines: DataFrame) -> DataFrame:
     """(a, b, n): how often state b follows state a on the lines of known turns."""
-    own = lines.filter(F.length(F.trim("line")) > 0).groupBy("id", "turn").agg(
+    own = lines.filter((F.length(F.trim("line")) > 0) & F.col("state").isNotNull()).groupBy("id", "turn").agg(
         F.min("state").alias("s"), F.count(F.lit(1)).alias("n"))
     first = F.col("s") - F.col("s") % 2
     inside = own.select(first.alias("a"), (first + 1).alias("b"), (F.col("n") > 1).cast("long").alias("n")).unionByName(

@@ -285,6 +285,21 @@ def test_lines_that_look_like_markers_stay_in_their_turn(spark, monkeypatch):
             ("user", "User", "what is it?", 1), ("assistant", "Assistant", said, 9), ("user", "Human", "why?", 2), ("assistant", "Alice", "so", 1)]
 
 
+def test_turns_of_other_roles_stay(spark):
+    roles = ["user", " User ", "human", "gpt", "tool", "function", None, "", "system", "assistant"]
+    rows = [(str(c), k, role, f"text {c} of {k}\n\nmore {c} of {k}") for c in range(12) for k, role in enumerate(roles)]
+    turns = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    lines = chat.transcripts(turns).cache()
+    states = {r["turn"]: r["state"] for r in lines.filter("line like '%text %'").select("turn", "state").distinct().collect()}
+    assert {t for t, s in states.items() if s is None} == {4, 5, 6, 7} and {s // 2 for t, s in states.items() if t < 3} == {1}
+    assert states[3] // 2 == 2 and lines.filter("line like '%tool%'").count() > 0
+    known = lines.filter("turn < 4 or turn > 7")
+    assert str(chat.state_moves(lines).groupBy("a", "b").sum("n").orderBy("a", "b").collect()) == str(
+        chat.state_moves(known).groupBy("a", "b").sum("n").orderBy("a", "b").collect())
+    out = "\n".join(r["rendered"] for r in chat.digest(turns).collect())
+    assert all(f"text {c} of {k}" in out and f"more {c} of {k}" in out for c in range(12) for k in range(len(roles)))
+
+
 def test_chat_odd_rows(spark):
     rows = [("1", 0, "user", None, "x"), (None, 0, "user", "hi", "x"), ("2", None, "assistant", "", "x"), ("3", 0, None, "text", "x"), ("4", 0, "robot", "a", "x"),
             ("5", 0, "user", "same", "x"), ("5", 0, "user", "same", "x"), ("6", 0, "USER", odd.LONG, "x")]
