@@ -5,7 +5,8 @@ and pass what is left on by weight (water filling). A document of a source with
 certain and once more with probability f - floor(f). Pareto order sampling decides about that copy: documents are ranked by
 random odds u / (1 - u) over inclusion odds p / (1 - p), and the first ones are taken until their sizes fill the source's
 open words. The gap left then is smaller than one document; ``CLOSING`` more picks of the largest document that fits narrow it
-(one that has its extra copy already may get another, up to ``cap`` in all).
+(one that has its extra copy already may get another, up to ``cap`` in all). Then the order goes on round by round with the
+documents that fit into the gap, first those without an extra copy, until none with copies left fits (``fill``).
 
 The order of a source is never sorted as a whole: sizes are summed by rank bin, the bin in which the quota is reached is
 split again, three times 1024-fold, and only the few documents of the last bin are ordered. A source with a third of all
@@ -101,11 +102,33 @@ def _closed(units: DataFrame, cap: int) -> DataFrame:
     return joined.withColumn("m", F.col("m") + F.when(own, F.col("b.add")).otherwise(0)).drop("b")
 
 
+def _filled(units: DataFrame, cap: int) -> DataFrame:
+    """More copies in Pareto order for units that fit into their source's gap, until none fits.
+
+    A round takes a prefix of the fitting units with the fewest copies; the gap is then smaller than the unit that ended it.
+    """
+    layer, room = F.floor(F.col("m") / F.col("n")), F.col("n") * (F.lit(cap) - F.col("whole")) - F.col("m")
+    while True:
+        units = written(units, "picks")
+        gap = written(units.groupBy("sid").agg((F.first("open") - F.sum(F.col("m") * F.col("size"))).alias("gap")), "gap")
+        fits = (room > 0) & (F.col("size") <= F.col("gap"))
+        layers = written(units.join(gap, "sid").filter(fits).groupBy("sid", "gap").agg(F.min(layer).alias("layer")), "layers")
+        if layers.isEmpty():
+            return units
+        mine = F.coalesce(fits & (layer == F.col("layer")), F.lit(False))
+        rows = units.join(layers, "sid", "left").withColumn("mine", mine)
+        some = rows.filter("mine").withColumns({"all": F.col("n"), "had": F.col("m"), "n": F.least(room, F.col("n") * (F.col("layer") + 1) - F.col("m"))})
+        more = _picked(some, layers.select("sid", F.col("gap").alias("open")))
+        more = more.withColumns({"m": F.col("had") + F.col("m"), "n": F.col("all")})
+        units = more.select(units.columns).unionByName(rows.filter(~F.col("mine")).select(units.columns))
+
+
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, id_col: str = "doc_id",
-         text_col: str = "text", source_col: str = "source") -> DataFrame:
+         text_col: str = "text", source_col: str = "source", fill: bool = True) -> DataFrame:
     """One row per unit of equal rows: doc, key, source, n, size, source_size, target, whole, m.
 
-    Every row of the unit is taken ``whole`` times; ``m`` more copies are dealt out over its ``n`` rows in turn.
+    Every row of the unit is taken ``whole`` times; ``m`` more copies are dealt out over its ``n`` rows in turn. Without
+    ``fill`` a source's words end with the closing picks, as in the SQL of op10.
     """
     doc = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
     rows = docs.select(doc.alias("doc"), F.coalesce(text_key(text_col), F.lit(0)).alias("key"),
@@ -121,13 +144,15 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, se
     picks = _picked(some, sources.filter(F.col("p") > 0))
     for _ in range(CLOSING):
         picks = _closed(written(picks, "picks"), cap)
+    if fill:
+        picks = _filled(picks, cap)
     rest = ranked.filter((F.col("size") <= 0) | (F.col("p") <= 0)).withColumn("m", F.lit(0).cast("long"))
     return picks.unionByName(rest).select("doc", "key", "source", "n", "size", "source_size", "target", "whole", "m")
 
 
-def digest(docs: DataFrame) -> DataFrame:
+def digest(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken: one row per document."""
-    units = plan(docs)
+    units = plan(docs, **options)
     each = units.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("nth"))
     copies = F.col("whole") + F.floor(F.col("m") / F.col("n")) + (F.col("nth") <= F.col("m") % F.col("n")).cast("long")
     return each.select(F.when(F.col("doc") != "", F.col("doc")).cast("long").alias("doc_id"), "size", "source_size", "target",

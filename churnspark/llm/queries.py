@@ -125,7 +125,8 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.digest(table(spark, sf_dir, "documents"))
+    # Its SQL ends with two closing picks.
+    return mixing.digest(table(spark, sf_dir, "documents"), fill=False)
 
 
 _CLOSE = """p{k} AS (SELECT t.*, m + coalesce(CAST(t.doc_id = b.doc_id AS BIGINT), 0) * least(3 - whole - m, CAST(floor(b.gap / greatest(size, 1)) AS BIGINT)) AS m2 FROM p{j} t LEFT JOIN (

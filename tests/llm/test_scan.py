@@ -363,6 +363,19 @@ def test_mix_odd_rows(spark):
     assert sum(r["copies"] * size[r["doc_id"], r["text"]] for r in mixed.collect()) == sum(r["taken"] for r in got)
 
 
+def test_a_document_that_does_not_fit_stops_no_other(spark):
+    """Source a: 200 documents of 4 words, 20 equal rows and one of 10,000 words, more than are open."""
+    texts = [(k, "one two three four", "en", "a") for k in range(200)] + [(500, "one " * 7, "en", "a")] * 20 + [(999, "long " * 10_000, "en", "a")]
+    texts += [(1000 + k, "ten " * 10, "en", "b") for k in range(875)]
+    texts += [(3000 + k, "some " * (k % 90 + 1), "en", "c") for k in range(300)] + [(4000, "more " * 2_000, "en", "c")]
+    units = mixing.plan(spark.createDataFrame(odd.rows(texts), odd.SCHEMA)).collect()
+    for source in "abc":
+        mine = [u for u in units if u["source"] == source]
+        gap = mine[0]["target"] - sum(u["size"] * (u["n"] * u["whole"] + u["m"]) for u in mine)
+        assert gap >= -1e-6 and all(u["n"] * u["whole"] + u["m"] <= 3 * u["n"] for u in mine)
+        assert not [u for u in mine if u["n"] * (3 - u["whole"]) > u["m"] and 0 < u["size"] <= gap]
+
+
 def test_equal_rows_share_the_open_words(spark):
     """A third of all rows are one row: only as many of them as fit are taken once more."""
     texts = [(1, "one two three four five", "en", "a")] * 300 + [(10 + i, "x " * (i % 7 + 1), "en", "ab"[i % 2]) for i in range(600)]
