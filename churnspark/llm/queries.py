@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from churnspark.llm import bayes_join, chat, decontaminate, licenses, mixing, shared_bytes, substrings, token_counts, toxicity, voronoi
+from churnspark.llm import (
+    bayes_join, chat, decontaminate, licenses, mixing, resampling, sharding, shared_bytes, substrings, token_counts, toxicity, voronoi,
+)
 from churnspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +158,81 @@ r AS (SELECT *, odds / (1 + odds) AS r FROM r0),
 p10 AS (SELECT *, CAST(p > 0 AND size > 0 AND sum(size) OVER (PARTITION BY sid ORDER BY r, CAST(doc_id AS VARCHAR)) <= open AS BIGINT) AS m FROM r),
 """ + ",\n".join([_CLOSE.format(j="10", k="2"), _CLOSE.format(j="20", k="3")]) + """
 SELECT doc_id, size, source_size, target, CAST(size * (whole + m) AS BIGINT) AS taken FROM p30"""
+
+
+# CRC-32 in SQL: the byte table by eight steps of the polynomial, then byte after byte. {0}: a text without nulls.
+_CRC_TABLE = """crc_table AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([CAST(i AS BIGINT)] || [0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)))"""
+_CRC = """xor(4294967295, list_reduce([4294967295] || [CAST('0x' || p AS BIGINT) FOR p IN regexp_extract_all(hex(encode({0})), '..')],
+  lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])))"""
+
+
+def _fraction(key: str, seed: str) -> str:
+    return f"(CAST(CAST('0x' || substr(md5({key} || '#{seed}'), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496)"
+
+
+@query
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
+# Logarithm of the weight of k marked ones.
+_LOG_WEIGHT = "-(lgamma({0} + 1) + lgamma(marked - {0} + 1) + lgamma(drawn - {0} + 1) + lgamma(total - marked - drawn + {0} + 1))"
+SQL["op12_sharding"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, {_CRC.format("coalesce(text, '')")} AS text_crc32
+  FROM documents, crc_table),
+named AS (SELECT *, concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), 'null'), size, text_crc32,
+  row_number() OVER (PARTITION BY doc_id, size, text_crc32) - 1) AS name FROM d),
+p AS (SELECT count(*) AS n, CAST(greatest(32, 2 ** ceil(log2(greatest(1, ceil(count(*) / 1048576e0))))) AS BIGINT) AS parts FROM d),
+rows AS (SELECT named.*, parts, CAST(floor({_fraction('name', 'shuffle part')} * parts) AS BIGINT) AS part,
+  {_fraction('name', 'shuffle first')} AS first, {_fraction('name', 'shuffle second')} AS second FROM named, p),
+nodes AS (SELECT level, part // (parts >> level) AS node, count(*) AS n
+  FROM rows, range(32) l(level) WHERE 1 << level <= parts GROUP BY ALL),
+tree AS (SELECT 0 AS level, CAST(0 AS BIGINT) AS node, 0 AS s, [CAST(n // 16 AS BIGINT) + CAST(i < n % 16 AS BIGINT) FOR i IN range(16)] AS room,
+    CAST([] AS BIGINT[]) AS got FROM p
+  UNION ALL
+  SELECT CASE WHEN s = 15 THEN level + 1 ELSE level END, CASE WHEN s = 15 THEN 2 * node + side ELSE node END, (s + 1) % 16,
+    CASE WHEN s < 15 THEN room WHEN side = 0 THEN got || [x] ELSE [a[1] - a[2] FOR a IN list_zip(room, got || [x])] END,
+    CASE WHEN s < 15 THEN got || [x] ELSE [] END
+  FROM (SELECT *, CAST(ks[1 + least(len(ks) - 1, len([i FOR i IN range(1, len(ws) + 1) IF list_sum(ws[1:i]) <= u * list_sum(ws)]))] AS BIGINT) AS x
+    FROM (SELECT *, [CASE WHEN k BETWEEN low AND high THEN exp({_LOG_WEIGHT.format('k')} - ({_LOG_WEIGHT.format('mode')})) ELSE 0 END FOR k IN ks] AS ws
+      FROM (SELECT *, [CAST(mode AS DOUBLE)] || flatten([[mode + i, mode - i] FOR i IN range(1, CAST(high - low AS BIGINT) + 1)]) AS ks
+        FROM (SELECT *, greatest(low, least(high, floor((drawn + 1) * (marked + 1) / (total + 2)))) AS mode,
+            {_fraction("(level || ':' || node || ':' || s)", 'shuffle')} AS u
+          FROM (SELECT *, greatest(0e0, drawn + marked - total) AS low, least(marked, drawn) AS high
+            FROM (SELECT tree.*, CAST(list_sum(room[s + 1:]) AS DOUBLE) AS total, CAST(room[s + 1] AS DOUBLE) AS marked,
+                CAST(coalesce(c.n, 0) - coalesce(list_sum(got), 0) AS DOUBLE) AS drawn
+              FROM tree LEFT JOIN nodes c ON c.level = tree.level + 1 AND c.node = 2 * tree.node
+              WHERE 1 << tree.level < (SELECT parts FROM p))))))), range(2) r(side)
+  WHERE s = 15 OR side = 0),
+counts AS (SELECT node AS part, [CAST(list_sum(room[1:i]) AS BIGINT) FOR i IN range(1, 17)] AS until FROM tree
+  WHERE s = 0 AND 1 << level = (SELECT parts FROM p)),
+dealt AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY first, name) AS place FROM rows)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY second, name) - 1 AS slot,
+  CAST(NULL AS INT) AS grown_shard
+FROM (SELECT dealt.*, CAST(len([c FOR c IN until IF c < place]) AS INT) AS shard FROM dealt JOIN counts USING (part))"""
+
+
+@query
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op13_target_resampling"] = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, {_WORDS.format('text')} AS words FROM documents),
+b AS (SELECT unnest({_WORDS.format('text')}) AS word FROM benchmark),
+w AS (SELECT doc_id, unnest(words) AS word FROM d),
+codes AS (SELECT word, {_CRC.format('word')} % 10000 AS bucket FROM (SELECT word FROM w UNION SELECT word FROM b), crc_table),
+s AS (SELECT bucket, count(*) AS s FROM w JOIN codes USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN codes USING (word) GROUP BY bucket),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM w) + 10000)) /
+    (CAST(s + 1 AS DOUBLE) * ((SELECT count(*) FROM b) + 10000)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT doc_id, sum(gain) AS weight FROM w JOIN codes USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5e0) / 4294967296e0))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM ranked) * 10 // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)"""

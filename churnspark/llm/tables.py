@@ -58,6 +58,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return stage(df, name)
 
 
+# Equal rows are written out in runs of this many, each run by whichever task it is dealt to.
+RUN = 4096
+
+
+def expanded(units: DataFrame, n: str, nth: str, by: list[str]) -> DataFrame:
+    """Every unit ``n`` times, numbered by ``nth`` from 0. A unit of very many rows is written out by many tasks; ``by`` names
+    columns that tell units apart."""
+    runs = units.filter(F.col(n) > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(RUN).cast("long"))).alias("_begin"))
+    dealt = runs.repartition(parts(units.sparkSession), *by, "_begin")
+    end = F.least(F.col(n), F.col("_begin") + RUN) - 1
+    return dealt.select("*", F.explode(F.sequence("_begin", end)).alias(nth)).drop("_begin")
+
+
 def computed(df: DataFrame, inputs: list[Column], fn: Callable[..., list[list]], made: str,
              keep: list[str] | None = None) -> DataFrame:
     """``keep`` (all columns unless given) and the ``made`` columns, computed by ``fn`` from lists of the input values.
