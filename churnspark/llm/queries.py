@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from churnspark.llm import (
-    bayes_join, chat, decontaminate, licenses, mixing, resampling, sharding, shared_bytes, substrings, token_counts, toxicity, voronoi,
+    bayes_join, chat, decontaminate, licenses, mixing, repair, resampling, sharding, shared_bytes, substrings, token_counts, toxicity, voronoi,
 )
 from churnspark.llm.tables import table
 
@@ -236,3 +236,68 @@ scored AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, CAST(coalesc
 ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM ranked) * 10 // 100 THEN rank END AS rank
 FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digest(table(spark, sf_dir, "conversations"))
+
+
+def _edit(state: str, cost: str, letter: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}'}}"
+
+
+def _least(*ways: str) -> str:
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+# Forward, the cheapest and then least edits to each state: s0 nothing yet, s1 after system, s2 after user, s3 after assistant;
+# u and e are s2 and s3 after insertions. A way that does not exist costs 2^40.
+_BEFORE_USER = ("s0", "s1", "e")
+_NO = "{'c': CAST(1099511627776 AS BIGINT), 'a': ''}"
+_INSERTED = f"""(SELECT *, {_least('s3', _edit('u', '2', 'I'))} AS e FROM (SELECT *,
+  {_least('s2', *[_edit(s, '2', 'I') for s in ('s0', 's1', 's3')])} AS u FROM way))"""
+
+
+def _kept(state: str, initial: str) -> str:
+    return f"CASE WHEN keeps AND initial = '{initial}' THEN {_edit(state, 'extra', 'K')} ELSE {_NO} END"
+
+
+def _reroled(state: str) -> str:
+    return f"CASE WHEN keeps THEN {_edit(state, '2 + extra', 'R')} ELSE {_NO} END"
+
+
+SQL["op11_conversation_repair"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+kinds AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_CRC.format("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind FROM conversations, crc_table),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) FROM kinds WHERE kind <> 0),
+lined AS (SELECT *, regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS bare, left(role, 1) AS initial, row_number() OVER o AS i,
+  lag(left(role, 1)) OVER o AS previous
+  FROM damaged WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(concat_ws(':', length(role), role, text)))),
+rows AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  FROM lined),
+facts AS (SELECT *, coalesce(fault, '') NOT IN ('blank', 'duplicate') AS keeps, CAST(coalesce(fault, '') = 'truncated' AS BIGINT) AS extra FROM rows),
+way AS (SELECT conv_id AS conv, CAST(0 AS BIGINT) AS done, {{'c': CAST(0 AS BIGINT), 'a': ''}} AS s0, {_NO} AS s1, {_NO} AS s2, {_NO} AS s3
+    FROM (SELECT DISTINCT conv_id FROM rows)
+  UNION ALL
+  SELECT conv, i, {_edit('s0', '3', 'D')}, {_least(_edit('s1', '3', 'D'), _kept('s0', 's'))},
+    {_least(_edit('u', '3', 'D'), *[_kept(s, 'u') for s in _BEFORE_USER], *[_reroled(s) for s in _BEFORE_USER])},
+    {_least(_edit('e', '3', 'D'), _kept('u', 'a'), _reroled('u'))}
+  FROM {_INSERTED} JOIN facts ON conv IS NOT DISTINCT FROM conv_id AND i = done + 1),
+best AS (SELECT conv, {_least('s0', 'e')} AS best FROM {_INSERTED} QUALIFY row_number() OVER (PARTITION BY conv ORDER BY done DESC) = 1),
+letters AS (SELECT conv, unnest(range(1, length(best.a) + 1)) AS p, best.a AS audit FROM best),
+steps AS (SELECT conv, p, audit[p] AS letter, count(*) FILTER (audit[p] <> 'I') OVER o AS i, count(*) FILTER (audit[p] <> 'D') OVER o AS j,
+  count(*) FILTER (audit[p] <> 'D') OVER (PARTITION BY conv) % 2 AS odd FROM letters WINDOW o AS (PARTITION BY conv ORDER BY p)),
+bodies AS (SELECT conv, string_agg(CASE WHEN letter = 'K' THEN role WHEN (j - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+    CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS body
+  FROM steps LEFT JOIN facts ON conv IS NOT DISTINCT FROM conv_id AND facts.i = steps.i AND letter <> 'I' WHERE letter <> 'D' GROUP BY conv),
+counts AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (i > 1 AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM facts GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts ON o.conv_id IS NOT DISTINCT FROM counts.conv_id
+LEFT JOIN best ON o.conv_id IS NOT DISTINCT FROM best.conv LEFT JOIN bodies ON o.conv_id IS NOT DISTINCT FROM bodies.conv"""
