@@ -68,6 +68,19 @@ def hash_fraction(key: Column, seed: int | str) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(2 ** 52)
 
 
+def order_code(x: Column) -> Column:
+    """A long that orders like the double: sign, exponent and mantissa as one number. 0 and -0 are 0; NaN has no code."""
+    a = F.abs(x)
+    guess = F.floor(F.log2(a))  # may be off by one next to a power of two
+    power = F.pow(F.lit(2.0), guess)
+    exponent = guess + (a >= 2 * power).cast("bigint") - (a < power).cast("bigint")
+    mantissa = (a / F.pow(F.lit(2.0), exponent) - 1) * float(2 ** 52)
+    normal = (exponent + 1023) * F.lit(2 ** 52) + mantissa.cast("bigint")
+    size = (F.when(F.isnan(x), None).when(a == 0, 0).when(a == float("inf"), 2047 * 2 ** 52)
+            .when(a < 2.0 ** -1022, (a * 2.0 ** 537 * 2.0 ** 537).cast("bigint")).otherwise(normal))
+    return F.when(x < 0, -size).otherwise(size).cast("bigint")
+
+
 def step_bucket(score: Column, steps: int) -> Column:
     """How many of the thresholds 1/steps, 2/steps ... (steps-1)/steps the score reaches.
 

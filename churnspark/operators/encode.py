@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from churnspark.functions import columns as X
 from churnspark.operators.profile import long_form
-from churnspark.operators.rank import exact_quantiles, rank_by
+from churnspark.operators.rank import rank_by
+from churnspark.operators.select import exact_quantiles
 from churnspark.sources.staging import stage
 
 NA = "__NA__"

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from churnspark import contract as C
 from churnspark.functions import columns as X
-from churnspark.operators.rank import clean_score, exact_quantiles, match, quota_points, reaches, score_groups, top_k
+from churnspark.operators.rank import clean_score, match, quota_points, reaches, score_groups, top_k
+from churnspark.operators.select import exact_quantiles
 
 STEPS = 100
 

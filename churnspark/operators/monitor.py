@@ -12,7 +12,8 @@ from churnspark.functions import columns as X
 from churnspark.operators.metrics import topk_metrics
 from churnspark.operators.policy import action_of
 from churnspark.operators.profile import long_form, missing_rates
-from churnspark.operators.rank import clean_score, exact_quantiles, running_totals
+from churnspark.operators.rank import clean_score
+from churnspark.operators.select import exact_quantiles, largest_gap
 
 FLOOR = 1e-6
 
@@ -98,14 +99,9 @@ def feature_ks(baseline: DataFrame, current: DataFrame, features: Sequence[str],
     A feature without values on one side has no statistic: ks, p_value and drifted are NULL.
     """
     both = long_form(baseline, features).withColumns({"a": F.lit(1), "b": F.lit(0)}).unionByName(
-        long_form(current, features).withColumns({"a": F.lit(0), "b": F.lit(1)})
-    ).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    values = both.groupBy("feature", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    totals = running_totals(values, [F.col("value").asc()], ["a", "b"], ["feature"])
-    gap = F.abs(X.ratio(F.col("cum_a").cast("double"), F.col("all_a")) - X.ratio(F.col("cum_b").cast("double"), F.col("all_b")))
-    stats = totals.groupBy("feature").agg(
-        F.max("all_a").alias("n_baseline"), F.max("all_b").alias("n_current"), F.max(gap).alias("ks")
-    )
+        long_form(current, features).withColumns({"a": F.lit(0), "b": F.lit(1)}))
+    gaps = largest_gap(both, "value", "a", "b", ["feature"])
+    stats = gaps.select("feature", F.col("all_a").alias("n_baseline"), F.col("all_b").alias("n_current"), F.col("gap").alias("ks"))
     named = baseline.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, features))).alias("feature"))
     every = named.join(stats, "feature", "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in ("n_baseline", "n_current")})
     return with_ks_p_value(every).withColumn("drifted", F.col("p_value") < alpha)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.functions import columns as X
-from churnspark.operators.rank import exact_quantiles
+from churnspark.operators.select import exact_quantiles
 from churnspark.sources.staging import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -63,8 +63,8 @@ def missing_profile(df: DataFrame, top: int = 15) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per column; NULL and NaN are left out.
 
-    Exact quartiles order the distinct values of each column; ``exact=False`` takes approximate ones from the same
-    aggregation as the other figures.
+    Exact quartiles are selected by counting bins of values, without ordering them; ``exact=False`` takes approximate ones
+    from the same aggregation as the other figures.
     """
     def figures(c: str):
         x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))

@@ -1,4 +1,4 @@
-"""Global order at scale: ranks, prefix sums, exact quantiles and top-K without a single-task sort.
+"""Global order at scale: ranks, prefix sums and top-K without a single-task sort.
 
 Ordered work goes through one range shuffle, after which each written part holds a contiguous slice of the order and
 every row carries its position in the part. Ranks and running totals are then "offset of the part + place in the part";
@@ -131,30 +131,6 @@ def score_groups(
     return running_totals(grouped, [F.col("score").desc_nulls_last()], ["n", "pos"], by)
 
 
-def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact, linearly interpolated quantiles: one row per ``by`` with an array column ``quantiles`` in ``qs`` order."""
-    by = list(by)
-    values = df.groupBy(*by, F.col(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    values = values.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    totals = running_totals(values, [F.col("value").asc()], ["n"], by)
-    last = F.col("all_n") - 1
-    first_place, end_place = F.col("cum_n") - F.col("n"), F.col("cum_n")
-
-    def at(place: Column) -> Column:
-        return F.max(F.when((place >= first_place) & (place < end_place), F.col("value")))
-
-    picks = []
-    for i, q in enumerate(qs):
-        place = F.lit(float(q)) * last
-        picks += [at(F.floor(place)).alias(f"lo{i}"), at(F.ceil(place)).alias(f"hi{i}")]
-    found = totals.groupBy(*by).agg(*picks, F.max("all_n").alias("_n"))
-    out = []
-    for i, q in enumerate(qs):
-        place = F.lit(float(q)) * (F.col("_n") - 1)
-        out.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (place - F.floor(place)))
-    return found.select(*by, F.array(*out).alias("quantiles"))
-
-
 # ---- top-K ---------------------------------------------------------------------------------------------------------
 
 

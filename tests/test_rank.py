@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from churnspark.operators import metrics, rank
+from churnspark.operators import metrics, rank, select
 
 
 @pytest.fixture(scope="module")
@@ -81,7 +81,7 @@ def test_running_totals(scored):
 def test_exact_quantiles(scored):
     values = scored.toPandas().y_proba.dropna().to_numpy()
     qs = [0.0, 0.01, 0.33, 0.5, 0.999, 1.0]
-    got = rank.exact_quantiles(scored, "y_proba", qs).first()["quantiles"]
+    got = select.exact_quantiles(scored, "y_proba", qs).first()["quantiles"]
     assert np.allclose(got, np.quantile(values, qs), atol=1e-12)
 
 
