@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import combinations
+from math import factorial
 
 import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -27,7 +28,6 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -161,67 +161,141 @@ def linear_contributions(model: PipelineModel, df: DataFrame, keep: Sequence[str
                       F.lit(float(last.intercept)).alias("base_value"), pairs.alias("contributions"))
 
 
-def _tree_nodes(model: GBTClassificationModel, spark) -> list[dict]:
-    """Node arrays of every tree of a boosted model, read from its saved form (trees x nodes rows)."""
+# Nodes of the trees that go to a task at once (about 100 bytes each); a larger model passes in several slices.
+SLICE_NODES = 200_000
+
+
+def _tree_slices(model: GBTClassificationModel, spark) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Nodes of a boosted model's trees, read from its saved form, and ranges of trees of at most ``SLICE_NODES`` nodes."""
     path = stage_path(spark, "gbt")
     model.save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toPandas()
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    sizes = {r["treeID"]: r["count"] for r in nodes.groupBy("treeID").count().collect()}  # one row for each tree
+    slices, begin, size = [], 0, 0
+    for tree in range(model.getNumTrees):
+        if size and size + sizes[tree] > SLICE_NODES:
+            slices.append((begin, tree))
+            begin, size = tree, 0
+        size += sizes[tree]
+    return nodes, [*slices, (begin, model.getNumTrees)]
+
+
+def _trees(nodes: DataFrame, begin: int, end: int, weights: Sequence[float]) -> list[dict]:
+    """Arrays of the trees begin..end-1: the leaves' values in log-odds, the splits, the share of rows that goes on."""
+    rows = nodes.where(F.col("treeID").between(begin, end - 1)).toPandas()
     trees = []
-    for tree, weight in zip(range(model.getNumTrees), model.treeWeights):
-        part = nodes[nodes.treeID == tree].sort_values("id")
+    for tree in range(begin, end):
+        part = rows[rows.treeID == tree].sort_values("id")
+        left, right, count = (part[c].to_numpy(int) for c in ("leftChild", "rightChild", "rawCount"))
+        share = np.ones(len(part))  # of the parent's training rows
+        inner = np.flatnonzero(left >= 0)
+        share[left[inner]], share[right[inner]] = count[left[inner]] / count[inner], count[right[inner]] / count[inner]
         split = part["split"].tolist()
         trees.append({
-            "weight": float(weight), "value": part["prediction"].to_numpy(float),
-            "left": part["leftChild"].to_numpy(int), "right": part["rightChild"].to_numpy(int),
-            "feature": np.array([s["featureIndex"] for s in split], int),
-            "cut": [s["leftCategoriesOrThreshold"] for s in split],
-            "categorical": np.array([s["numCategories"] != -1 for s in split], bool),
+            "value": 2 * weights[tree] * part["prediction"].to_numpy(float), "left": left, "right": right, "share": share,
+            "feature": [s["featureIndex"] for s in split], "cut": [s["leftCategoriesOrThreshold"] for s in split],
+            "categorical": [s["numCategories"] != -1 for s in split],
         })
     return trees
 
 
+def _leaf_paths(tree: dict) -> list[tuple[int, list[tuple[int, bool]]]]:
+    """Every leaf with the splits above it and whether the way to it goes left."""
+    found, open_ = [], [(0, [])]
+    while open_:
+        node, path = open_.pop()
+        if tree["left"][node] < 0:
+            found.append((node, path))
+        else:
+            open_ += [(tree["left"][node], [*path, (node, True)]), (tree["right"][node], [*path, (node, False)])]
+    return found
+
+
+def _expected(tree: dict) -> float:
+    """Mean of the leaves by their share of the training rows."""
+    reach = np.ones(len(tree["left"]))
+    total = 0.0
+    for leaf, path in _leaf_paths(tree):
+        reach[leaf] = np.prod([tree["share"][tree["left" if went else "right"][n]] for n, went in path])
+        total += reach[leaf] * tree["value"][leaf]
+    return float(total)
+
+
+def _shapley_of_patterns(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Shapley values of a leaf of value 1. ``zero[j]``: share of rows that take the way of feature j when it is unknown;
+    ``one[p, j]``: whether a row of pattern p takes it. A set of known features reaches the leaf with the product of its
+    ones and the others' zeros; the weights k! (d-1-k)! / d! run over the sets without j by their size k.
+    """
+    patterns, d = one.shape
+    weight = np.array([factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)])
+    out = np.empty((patterns, d))
+    for j in range(d):
+        sums = np.zeros((patterns, d))  # by size of the known set
+        sums[:, 0] = 1
+        for i in range(d):
+            if i != j:
+                sums[:, 1:] = sums[:, 1:] * zero[i] + sums[:, :-1] * one[:, i:i + 1]
+                sums[:, 0] *= zero[i]
+        out[:, j] = (one[:, j] - zero[j]) * (sums @ weight)
+    return out
+
+
+def _add_shapley(total: np.ndarray, x: np.ndarray, tree: dict) -> None:
+    """Adds a tree's Shapley values of a batch. Per leaf, rows with the same pattern of splits met are worked off once."""
+    inner = np.flatnonzero(tree["left"] >= 0)
+    goes_left = {}
+    for n in inner:
+        value = x[:, tree["feature"][n]]
+        goes_left[n] = np.isin(value, tree["cut"][n]) if tree["categorical"][n] else value <= tree["cut"][n][0]
+    for leaf, path in _leaf_paths(tree):
+        if not path:
+            continue
+        features = sorted({tree["feature"][n] for n, _ in path})
+        zero, met = np.ones(len(features)), np.ones((len(features), len(x)), bool)
+        for n, went in path:
+            j = features.index(tree["feature"][n])
+            zero[j] *= tree["share"][tree["left" if went else "right"][n]]
+            met[j] &= goes_left[n] if went else ~goes_left[n]
+        codes = np.zeros(len(x), np.int64)
+        for row in met:
+            codes = codes * 2 + row
+        _, at, pattern = np.unique(codes, return_index=True, return_inverse=True)
+        values = tree["value"][leaf] * _shapley_of_patterns(zero, met[:, at].T.astype(float))
+        total[:, features] += values[pattern]
+
+
 def tree_contributions(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (C.KEY,),
                        features: Sequence[str] = tuple(C.FEATURES)) -> DataFrame:
-    """Additive contributions of a boosted-tree model in log-odds: each split passes the change of the node value to its
-    feature. They sum, with ``base_value``, to the model's log-odds. Rows stay in place; the trees go to the tasks.
+    """Shapley values of a boosted-tree model in log-odds, per vector slot: the mean change of the expected score when the
+    slot's value becomes known, over all orders; unknown splits follow the training rows' shares. With ``base_value``, the
+    expected score, they sum to the model's log-odds. Rows stay in place; the trees go to the tasks in slices of bounded size.
     """
-    spark = df.sparkSession
+    spark, last = df.sparkSession, model.stages[-1]
     out = model.transform(as_model_input(df, features))
     names = slot_names(model)
-    trees = spark.sparkContext.broadcast(_tree_nodes(model.stages[-1], spark))
-    base = float(sum(2 * t["weight"] * t["value"][0] for t in trees.value))
-    width = len(names)
+    nodes, slices = _tree_slices(last, spark)
+    rows = out.select(*keep, vector_to_array("probability")[1].alias("y_proba"), vector_to_array("features").alias("_x"),
+                      F.array_repeat(F.lit(0.0), len(names)).alias("_c"))
+    schema, base = rows.schema, 0.0
+    for begin, end in slices:
+        found = _trees(nodes, begin, end, last.treeWeights)
+        base += sum(_expected(t) for t in found)
+        rows = rows.mapInPandas(_attributed(spark.sparkContext.broadcast(found), len(names)), schema)
+    labels = F.array(*[F.lit(n) for n in names])
+    pairs = F.zip_with(labels, "_c", lambda n, c: F.struct(n.alias("feature"), c.alias("contribution")))
+    return rows.select(*keep, "y_proba", F.lit(base).alias("base_value"), pairs.alias("contributions"))
 
+
+def _attributed(trees, width: int):
     def attribute(batches):
         for batch in batches:
             x = np.array(batch["_x"].tolist(), dtype=float).reshape(len(batch), width)
-            total = np.zeros_like(x)
-            for t in trees.value:
-                node = np.zeros(len(x), dtype=int)
-                active = np.flatnonzero(t["left"][node] >= 0)
-                while len(active):
-                    here = node[active]
-                    going = np.empty(len(active), dtype=int)
-                    for n in np.unique(here):
-                        rows = here == n
-                        value = x[active[rows], t["feature"][n]]
-                        left = np.isin(value, t["cut"][n]) if t["categorical"][n] else value <= t["cut"][n][0]
-                        going[rows] = np.where(left, t["left"][n], t["right"][n])
-                    change = 2 * t["weight"] * (t["value"][going] - t["value"][here])
-                    np.add.at(total, (active, t["feature"][here]), change)
-                    node[active] = going
-                    active = active[t["left"][going] >= 0]
-            result = batch.drop(columns="_x")
-            result["_c"] = list(total)
-            yield result
-
-    rows = out.select(*keep, vector_to_array("probability")[1].alias("y_proba"), vector_to_array("features").alias("_x"))
-    kept = rows.drop("_x").schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    labels = F.array(*[F.lit(n) for n in names])
-    return rows.mapInPandas(attribute, f"{kept}, _c array<double>").select(
-        *keep, "y_proba", F.lit(base).alias("base_value"),
-        F.zip_with(labels, "_c", lambda n, c: F.struct(n.alias("feature"), c.alias("contribution"))).alias("contributions"),
-    )
+            total = np.array(batch["_c"].tolist(), dtype=float).reshape(len(batch), width)
+            for tree in trees.value:
+                _add_shapley(total, x, tree)
+            yield batch.assign(_c=list(total))
+
+    return attribute
 
 
 def global_importance(contributions: DataFrame, column: str = "contributions", top: int | None = None) -> DataFrame:
@@ -321,23 +395,26 @@ def best_weights(searched: DataFrame) -> DataFrame:
     ).select("r.*")
 
 
+def _searched_weights(joined: DataFrame, models: Sequence[str], step: float, label: str) -> dict[str, float]:
+    best = best_weights(weight_search(joined, models, step, label)).first()
+    return {m: best[f"w_{m}"] for m in models}
+
+
 def soft_vote(joined: DataFrame, models: Sequence[str], mode: str = "equal", manual: dict[str, float] | None = None,
               step: float = 0.05, label: str = "y_true", id: str = "id") -> DataFrame:
-    """Weighted mean of the models' scores: equal, manual, prauc_proportional or grid_search weights."""
-    if mode == "equal":
-        weights = {m: 1.0 for m in models}
-    elif mode == "manual":
-        weights = {m: float((manual or {}).get(m, 1.0)) for m in models}
-    elif mode == "prauc_proportional":
-        found = ap_weights(joined, models, label)
-        weights = {m: found[m] for m in models}
-    elif mode == "grid_search":
-        best = best_weights(weight_search(joined, models, step, label)).first()
-        weights = {m: best[f"w_{m}"] for m in models}
-    else:
-        raise ValueError(f"unknown weight mode: {mode}")
+    """Weighted mean of the models' scores. Modes: the same weight for all, given weights (1 where none is given), the
+    models' average precision, or the best weights of the grid."""
+    modes = {  # fixed values: the names of the modes
+        "equal": lambda: dict.fromkeys(models, 1.0),
+        "manual": lambda: {m: float((manual or {}).get(m, 1.0)) for m in models},
+        "prauc_proportional": lambda: ap_weights(joined, models, label),
+        "grid_search": lambda: _searched_weights(joined, models, step, label),
+    }
+    if mode not in modes:
+        raise ValueError(f"no weights are defined for {mode!r}; there are {', '.join(modes)}")
+    weights = modes[mode]()
     keep = [c for c in (id, label) if c in joined.columns]
-    return joined.select(*keep, weighted_score(weights).alias("y_proba"))
+    return joined.select(*keep, weighted_score({m: weights[m] for m in models}).alias("y_proba"))
 
 
 # ---- search, calibration, backtest ---------------------------------------------------------------------------------
@@ -363,22 +440,6 @@ def model_search(train: DataFrame, valid: DataFrame, trials: Sequence[tuple[str,
     )
 
 
-def fit_calibration(df: DataFrame, score_col: str = "y_proba", label: str = "y_true"):
-    """Isotonic regression of the label on the score, on one weighted row per distinct score; missing scores are left out."""
-    df = df.withColumn(score_col, clean_score(F.col(score_col))).where(F.col(score_col).isNotNull())
-    grouped = df.groupBy(F.col(score_col).alias("score")).agg(
-        F.count(F.lit(1)).cast("double").alias("weight"), F.avg(F.col(label).cast("double")).alias("rate")
-    )
-    return IsotonicRegression(featuresCol="score", labelCol="rate", weightCol="weight").fit(grouped)
-
-
-def calibrate(df: DataFrame, model, score_col: str = "y_proba") -> DataFrame:
-    """Adds ``calibrated``: interpolated between the fitted points, NULL for a missing score."""
-    value = clean_score(F.col(score_col))
-    out = model.setFeaturesCol("_s").setPredictionCol("calibrated").transform(df.withColumn("_s", F.coalesce(value, F.lit(0.0))))
-    return out.withColumn("calibrated", F.when(value.isNotNull(), F.col("calibrated"))).drop("_s")
-
-
 def reliability_table(df: DataFrame, score_col: str = "y_proba", label: str = "y_true", bins: int = 10) -> DataFrame:
     """Mean score and observed rate per equal-width score bin; missing scores are bin -1, without a mean."""
     value = clean_score(F.col(score_col))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from churnspark import contract as C
 from churnspark.functions import scorecard as S
-from churnspark.operators import metrics, models, policy, sampling
+from churnspark.operators import calibration, metrics, models, policy, sampling
 from churnspark.plans.adapters import Tables
 from churnspark.plans.queries_score import CARD_DAY, K, _CARD, action_sql, scored_table
 from churnspark.plans.registry import oracle, query, r6
@@ -118,8 +118,8 @@ _ISOTONIC = (
 def calibrate(t: Tables) -> DataFrame:
     """Fit on the earlier window, apply to the later one."""
     rows = t.scored.withColumn("y_proba", F.col("y_proba").cast("double"))
-    fitted = models.fit_calibration(rows.where("cycle < 20240116"))
-    return models.calibrate(rows.where("cycle >= 20240116").select("id", "y_true", "y_proba"), fitted)
+    fitted = calibration.fit_calibration(rows.where("cycle < 20240116"))
+    return calibration.calibrate(rows.where("cycle >= 20240116").select("id", "y_true", "y_proba"), fitted)
 
 
 @query("reliability_table", oracle(
@@ -190,13 +190,16 @@ def ml_forest_groups(t: Tables) -> DataFrame:
     return _group_classes(t, models.random_forest(numTrees=5, minInstancesPerNode=1, bootstrap=False, featureSubsetStrategy="all"))
 
 
+_BOOSTED = (
+    f"share AS (SELECT segment, avg(CAST(y_true AS DOUBLE)) AS p FROM scored WHERE cycle < {DAY} GROUP BY segment)",
+    f"""steps AS (WITH RECURSIVE s AS (SELECT segment, p, 1 AS m, 2 * p - 1 AS f FROM share UNION ALL
+          SELECT segment, p, m + 1, f + {models.CHAMPION["stepSize"]!r} * (p * 4 / (1 + exp(2 * f)) - (1 - p) * 4 / (1 + exp(-2 * f)))
+          FROM s WHERE m < {models.CHAMPION["maxIter"]}) SELECT * FROM s)""")
+
+
 @query("ml_gbt_groups", oracle(
     f"""SELECT id, y_true, CAST(round(1 / (1 + exp(-2 * f)), 5) AS DOUBLE) AS y_proba FROM scored JOIN steps USING (segment)
-    WHERE cycle >= {DAY} AND m = {models.CHAMPION["maxIter"]}""", "scored", ctes=(
-        f"share AS (SELECT segment, avg(CAST(y_true AS DOUBLE)) AS p FROM scored WHERE cycle < {DAY} GROUP BY segment)",
-        f"""steps AS (WITH RECURSIVE s AS (SELECT segment, p, 1 AS m, 2 * p - 1 AS f FROM share UNION ALL
-          SELECT segment, p, m + 1, f + {models.CHAMPION["stepSize"]!r} * (p * 4 / (1 + exp(2 * f)) - (1 - p) * 4 / (1 + exp(-2 * f)))
-          FROM s WHERE m < {models.CHAMPION["maxIter"]}) SELECT * FROM s)""")))
+    WHERE cycle >= {DAY} AND m = {models.CHAMPION["maxIter"]}""", "scored", ctes=_BOOSTED))
 def ml_gbt_groups(t: Tables) -> DataFrame:
     """Boosting with a leaf for every group: each step moves a group by its mean residual."""
     return _group_scores(t, models.boosted_trees(featureSubsetStrategy="all", minInstancesPerNode=1), 5)
@@ -215,6 +218,19 @@ def contrib_groups(t: Tables) -> DataFrame:
                       F.size("contributions").cast("bigint").alias("n_slots"))
 
 
+@query("contrib_tree_groups", oracle(
+    f"""SELECT id, CAST(round(1 / (1 + exp(-2 * f)), 5) AS DOUBLE) AS y_proba, TRUE AS adds_up, CAST(5 AS BIGINT) AS n_slots
+    FROM scored JOIN steps USING (segment) WHERE cycle >= {DAY} AND m = 20""", "scored", ctes=_BOOSTED))
+def contrib_tree_groups(t: Tables) -> DataFrame:
+    """Shapley values of boosted trees and the expected score add up to the log-odds of the score, row by row."""
+    rows = _grouped(t)
+    model = models.fit(rows.where(f"cycle < {DAY}"), models.boosted_trees(maxIter=20, featureSubsetStrategy="all", minInstancesPerNode=1), GROUP)
+    out = models.tree_contributions(model, rows.where(f"cycle >= {DAY}"), ["id"], GROUP)
+    total = F.aggregate("contributions", F.col("base_value"), lambda a, c: a + c["contribution"])
+    return out.select("id", F.round("y_proba", 5).alias("y_proba"), (F.abs(1 / (1 + F.exp(-total)) - F.col("y_proba")) < 1e-9).alias("adds_up"),
+                      F.size("contributions").cast("bigint").alias("n_slots"))
+
+
 @query("batch_score", oracle(
     f"""SELECT id, segment, cycle, y_true, CAST(round(p, 4) AS DOUBLE) AS y_proba, {action_sql('round(p, 4)')} AS action FROM scored
     JOIN {_share_sql(f'cycle < {DAY}')} USING (segment) WHERE cycle >= {DAY}""", "scored"))

@@ -1,12 +1,16 @@
 """Training, contributions, calibration."""
 
+from itertools import combinations
+from math import factorial
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from churnspark import contract as C
-from churnspark.operators import metrics, models
+from churnspark.operators import calibration, metrics, models
 
 FEATURES = ["txn_cnt", "cancel_rate", "gender", "log_active_days"]
 
@@ -70,6 +74,49 @@ def test_contributions_reproduce_the_score(parts):
     assert {r.feature for r in ranked} == {"txn_cnt", "cancel_rate"}
 
 
+def conditional(tree, x, known, node=0):
+    """Expected score of a tree when only some slots are known."""
+    if tree["left"][node] < 0:
+        return tree["value"][node]
+    left, right = tree["left"][node], tree["right"][node]
+    if tree["feature"][node] in known:
+        value = x[tree["feature"][node]]
+        goes = value in tree["cut"][node] if tree["categorical"][node] else value <= tree["cut"][node][0]
+        return conditional(tree, x, known, left if goes else right)
+    return sum(tree["share"][n] * conditional(tree, x, known, n) for n in (left, right))
+
+
+def enumerated(trees, x):
+    """Shapley values by all subsets."""
+    d = len(x)
+    out = np.zeros(d)
+    for j in range(d):
+        rest = [i for i in range(d) if i != j]
+        for k in range(d):
+            weight = factorial(k) * factorial(d - 1 - k) / factorial(d)
+            for known in combinations(rest, k):
+                out[j] += weight * sum(conditional(t, x, {*known, j}) - conditional(t, x, set(known)) for t in trees)
+    return out
+
+
+@pytest.mark.parametrize("most", [models.SLICE_NODES, 20])
+def test_tree_contributions_are_shapley_values(spark, parts, monkeypatch, most):
+    """Two numbers and their indicators are four slots: every subset can be tried."""
+    monkeypatch.setattr(models, "SLICE_NODES", most)
+    train, valid = parts
+    names = ["txn_cnt", "cancel_rate"]
+    boosted = models.fit(train, models.boosted_trees(maxIter=4, maxDepth=4, maxBins=64, minInstancesPerNode=5, featureSubsetStrategy="all"), names)
+    nodes, slices = models._tree_slices(boosted.stages[-1], spark)
+    assert (len(slices) > 1) == (most == 20) and [a for a, _ in slices][1:] == [b for _, b in slices][:-1]
+    trees = models._trees(nodes, 0, 4, boosted.stages[-1].treeWeights)
+    rows = models.tree_contributions(boosted, valid, ["msno"], names).orderBy("msno").limit(40).collect()
+    x = {r.msno: np.array(r.v) for r in boosted.transform(models.as_model_input(valid, names)).select("msno", vector_to_array("features").alias("v")).collect()}
+    additive(rows)
+    for r in rows:
+        assert r.base_value == pytest.approx(sum(conditional(t, x[r.msno], set()) for t in trees), abs=1e-9)
+        assert [c.contribution for c in r.contributions] == pytest.approx(enumerated(trees, x[r.msno]).tolist(), abs=1e-9)
+
+
 def test_search_ranks_by_average_precision(parts):
     train, valid = parts
     got = models.model_search(train, valid, [
@@ -81,11 +128,56 @@ def test_search_ranks_by_average_precision(parts):
 def test_isotonic_calibration_on_grouped_scores(spark):
     df = spark.range(2000).select("id", (F.col("id") % 100 / 100.0).alias("y_proba"),
                                   ((F.col("id") * 37 % 100) < (F.col("id") % 100) / 4).cast("int").alias("y_true"))
-    out = models.calibrate(df, models.fit_calibration(df)).orderBy("y_proba").toPandas()
+    out = calibration.calibrate(df, calibration.fit_calibration(df)).orderBy("y_proba").toPandas()
     assert (np.diff(out.calibrated) >= -1e-12).all()
     assert out.calibrated.mean() == pytest.approx(out.y_true.mean(), abs=1e-9)
 
 
+def pooled(points):
+    """Blocks (low, high, mean) of (x, weight, rate) in order, one after another."""
+    out = []
+    for x, w, r in points:
+        out.append([x, x, w, w * r])
+        while len(out) > 1 and out[-2][3] / out[-2][2] >= out[-1][3] / out[-1][2]:
+            low, _, w0, t0 = out[-2]
+            out[-2:] = [[low, out[-1][1], w0 + out[-1][2], t0 + out[-1][3]]]
+    return [(a, b, t / w) for a, b, w, t in out]
+
+
+@pytest.mark.parametrize("shape", ["noisy", "falling", "rising", "low_end"])
+def test_isotonic_rounds_reach_the_one_solution(spark, shape):
+    """Groups of eight: pools grow across many groups, and one low point at the end pulls all before it."""
+    rng = np.random.Generator(np.random.PCG64(6))
+    n = 300
+    rate = {"noisy": np.clip(np.arange(n) / n + rng.normal(0, .3, n), 0, 1), "falling": 1 - np.arange(n) / n, "rising": np.arange(n) / n,
+            "low_end": np.where(np.arange(n) < n - 1, .5 + np.arange(n) / n / 9, 0)}[shape]
+    weight = rng.integers(1, 5, n).astype(float)
+    points = list(zip((np.arange(n) / n).tolist(), weight.tolist(), rate.tolist()))
+    want = pooled(points)
+    got = calibration.fit_isotonic(spark.createDataFrame(points, "score double, weight double, rate double"), group=8).orderBy("block").collect()
+    assert [(r.low, r.high) for r in got] == [(a, b) for a, b, _ in want]
+    assert [r.value for r in got] == pytest.approx([v for _, _, v in want])
+
+
+def test_calibration_between_and_beyond_the_blocks(spark):
+    fitted = spark.createDataFrame([(0, 0.2, 0.3, 0.1), (1, 0.5, 0.5, 0.4), (2, 0.6, 0.9, 0.8)], "block long, low double, high double, value double")
+    x = [0.0, 0.2, 0.25, 0.3, 0.4, 0.5, 0.55, 0.6, 0.7, 0.9, 1.0, None, float("nan")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "id int, y_proba double")
+    got = [r.calibrated for r in calibration.calibrate(df, fitted).orderBy("id").collect()]
+    assert got[:11] == pytest.approx([0.1, 0.1, 0.1, 0.1, 0.25, 0.4, 0.6, 0.8, 0.8, 0.8, 0.8]) and got[11:] == [None, None]
+    assert calibration.calibrate(df, fitted.limit(0)).where("calibrated IS NOT NULL").count() == 0
+
+
+def test_calibration_of_a_million_scores(spark):
+    """Every score is distinct; nothing but counts comes to the driver."""
+    df = spark.range(1_000_000).select((F.col("id") / 1e6).alias("y_proba"), (F.abs(F.xxhash64("id")) % 1000 < F.col("id") / 1000).cast("int").alias("y_true"))
+    fitted = calibration.fit_calibration(df)
+    check = fitted.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("value") - (F.col("low") + F.col("high")) / 2)).alias("far")).first()
+    assert 100 < check.n < 100_000 and check.far < 0.2
+    out = calibration.calibrate(df, fitted)
+    assert out.where("calibrated IS NULL").count() == 0
+
+
 def test_contract_order():
     assert len(C.FEATURES) == len(set(C.FEATURES)) == 38
     assert C.FEATURES[:3] == ["city", "bd", "gender"] and C.FEATURES[-1] == "listens_per_unique_track"
