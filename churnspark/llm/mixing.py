@@ -4,9 +4,9 @@ Sizes are words. The sources' targets share the words of all documents by weight
 and pass what is left on by weight (water filling). A document of a source with target / size = f is taken floor(f) times for
 certain and once more with probability f - floor(f). Pareto order sampling decides about that copy: documents are ranked by
 random odds u / (1 - u) over inclusion odds p / (1 - p), and the first ones are taken until their sizes fill the source's
-open words. The gap left then is smaller than one document; ``CLOSING`` more picks of the largest document that fits narrow it
-(one that has its extra copy already may get another, up to ``cap`` in all). Then the order goes on round by round with the
-documents that fit into the gap, first those without an extra copy, until none with copies left fits (``fill``).
+open words. Where a document does not fit into what is left, the order goes on with those that do, and when none without
+an extra copy fits, begins again with second extra ones (up to ``cap`` copies in all), until nothing with copies left fits.
+Nothing but the order and the open words decides, so a source ends less than its smallest such document below its target.
 
 The order of a source is never sorted as a whole: sizes are summed by rank bin, the bin in which the quota is reached is
 split again, three times 1024-fold, and only the few documents of the last bin are ordered. A source with a third of all
@@ -29,7 +29,6 @@ WEIGHTS = (1, 2, 3)
 CAP = 3
 SEED = 42
 BINS, LEVELS = 1024, 3
-CLOSING = 2
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -90,45 +89,37 @@ def _picked(units: DataFrame, sources: DataFrame) -> DataFrame:
     return inside.withColumn("m", fit).unionByName(outside.withColumn("m", all_or_none)).drop("bin", "base", "quota")
 
 
-def _closed(units: DataFrame, cap: int) -> DataFrame:
-    """One more pick per source: copies of the largest unit that still fits into the gap, the first of these by rank."""
-    gap = written(units.groupBy("sid").agg((F.first("open") - F.sum(F.col("m") * F.col("size"))).alias("gap")), "gap")
-    room = F.col("n") * (F.lit(cap) - F.col("whole")) - F.col("m")
-    best = (units.filter(room > 0).join(gap, "sid").filter(F.col("size") <= F.col("gap"))
-            .groupBy("sid").agg(F.min(F.struct((-F.col("size")).alias("s"), (F.col("m") >= F.col("n")).alias("again"), "rank", "doc", "key",
-                                                F.least(room, F.floor(F.col("gap") / F.col("size"))).alias("add"))).alias("b")))
-    joined = units.join(written(best, "best"), "sid", "left")
-    own = (F.col("doc") == F.col("b.doc")) & (F.col("key") == F.col("b.key"))
-    return joined.withColumn("m", F.col("m") + F.when(own, F.col("b.add")).otherwise(0)).drop("b")
+def _extra(ranked: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
+    """(sid, doc, key, size, more): copies beyond the certain ones, in Pareto order, until nothing that is left fits.
 
-
-def _filled(units: DataFrame, cap: int) -> DataFrame:
-    """More copies in Pareto order for units that fit into their source's gap, until none fits.
-
-    A round takes a prefix of the fitting units with the fewest copies; the gap is then smaller than the unit that ended it.
+    A round takes a prefix of the documents that fit into the open words; these are then fewer than the size of the document
+    that ended it. Only documents that still fit go on to the next round.
     """
-    layer, room = F.floor(F.col("m") / F.col("n")), F.col("n") * (F.lit(cap) - F.col("whole")) - F.col("m")
-    while True:
-        units = written(units, "picks")
-        gap = written(units.groupBy("sid").agg((F.first("open") - F.sum(F.col("m") * F.col("size"))).alias("gap")), "gap")
-        fits = (room > 0) & (F.col("size") <= F.col("gap"))
-        layers = written(units.join(gap, "sid").filter(fits).groupBy("sid", "gap").agg(F.min(layer).alias("layer")), "layers")
-        if layers.isEmpty():
-            return units
-        mine = F.coalesce(fits & (layer == F.col("layer")), F.lit(False))
-        rows = units.join(layers, "sid", "left").withColumn("mine", mine)
-        some = rows.filter("mine").withColumns({"all": F.col("n"), "had": F.col("m"), "n": F.least(room, F.col("n") * (F.col("layer") + 1) - F.col("m"))})
-        more = _picked(some, layers.select("sid", F.col("gap").alias("open")))
-        more = more.withColumns({"m": F.col("had") + F.col("m"), "n": F.col("all")})
-        units = more.select(units.columns).unionByName(rows.filter(~F.col("mine")).select(units.columns))
+    unit, picks = ["sid", "doc", "key", "size"], None
+    gap = written(sources.filter(F.col("p") > 0).select("sid", F.col("open").alias("gap")), "gap")
+    for copy in range(cap):
+        # What was not taken in an earlier turn did not fit and does not fit now.
+        some = ranked.filter((F.col("size") > 0) & (F.col("p") > 0) & (F.col("whole") + copy < cap))
+        while True:
+            some = written(some.join(gap, "sid").filter(F.col("size") <= F.col("gap")).drop("gap"), "candidates")
+            if some.isEmpty():
+                break
+            taken = written(_picked(some, gap.select("sid", F.col("gap").alias("open"))), "picks")
+            used = taken.groupBy("sid").agg(F.sum(F.col("m") * F.col("size")).alias("used"))
+            gap = written(gap.join(used, "sid", "left").select("sid", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")), "gap")
+            mine = taken.filter("m > 0").select(*unit, "m")
+            picks = mine if picks is None else picks.unionByName(mine)
+            some = taken.filter("m < n").withColumn("n", F.col("n") - F.col("m")).drop("m")
+    if picks is None:
+        return ranked.limit(0).select(*unit, F.lit(0).cast("long").alias("more"))
+    return picks.groupBy(*unit).agg(F.sum("m").alias("more"))
 
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, id_col: str = "doc_id",
-         text_col: str = "text", source_col: str = "source", fill: bool = True) -> DataFrame:
+         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per unit of equal rows: doc, key, source, n, size, source_size, target, whole, m.
 
-    Every row of the unit is taken ``whole`` times; ``m`` more copies are dealt out over its ``n`` rows in turn. Without
-    ``fill`` a source's words end with the closing picks, as in the SQL of op10.
+    Every row of the unit is taken ``whole`` times; ``m`` more copies are dealt out over its ``n`` rows in turn.
     """
     doc = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
     rows = docs.select(doc.alias("doc"), F.coalesce(text_key(text_col), F.lit(0)).alias("key"),
@@ -140,14 +131,10 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, se
     rank = F.when(F.col("p") > 0, odds / (1 + odds)).otherwise(0.0)
     all_units = units.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     ranked = written(all_units.withColumn("rank", rank), "ranked")
-    some = ranked.filter((F.col("size") > 0) & (F.col("p") > 0))
-    picks = _picked(some, sources.filter(F.col("p") > 0))
-    for _ in range(CLOSING):
-        picks = _closed(written(picks, "picks"), cap)
-    if fill:
-        picks = _filled(picks, cap)
-    rest = ranked.filter((F.col("size") <= 0) | (F.col("p") <= 0)).withColumn("m", F.lit(0).cast("long"))
-    return picks.unionByName(rest).select("doc", "key", "source", "n", "size", "source_size", "target", "whole", "m")
+    more = _extra(ranked, sources, cap).select(*[F.col(c).alias(f"x_{c}") for c in ("sid", "doc", "key", "size")], "more")
+    own = [F.col(c) == F.col(f"x_{c}") for c in ("sid", "doc", "key", "size")]
+    return ranked.join(more, own, "left").select("doc", "key", "source", "n", "size", "source_size", "target", "whole",
+                                                 F.coalesce("more", F.lit(0)).cast("long").alias("m"))
 
 
 def digest(docs: DataFrame, **options) -> DataFrame:

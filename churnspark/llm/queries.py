@@ -127,17 +127,12 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Its SQL ends with two closing picks.
-    return mixing.digest(table(spark, sf_dir, "documents"), fill=False)
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
 
 
-_CLOSE = """p{k} AS (SELECT t.*, m + coalesce(CAST(t.doc_id = b.doc_id AS BIGINT), 0) * least(3 - whole - m, CAST(floor(b.gap / greatest(size, 1)) AS BIGINT)) AS m2 FROM p{j} t LEFT JOIN (
-  SELECT x.sid, x.doc_id, gap FROM p{j} x JOIN (SELECT sid, any_value(open) - sum(m * size) AS gap FROM p{j} GROUP BY sid) USING (sid)
-  WHERE m < 3 - whole AND p > 0 AND size > 0 AND size <= gap
-  QUALIFY row_number() OVER (PARTITION BY x.sid ORDER BY size DESC, m >= 1, r, CAST(x.doc_id AS VARCHAR)) = 1) b USING (sid)),
-p{k}0 AS (SELECT * EXCLUDE (m, m2), m2 AS m FROM p{k})"""
 SQL["op10_source_mixing"] = r"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+WITH RECURSIVE d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS sid
   FROM d GROUP BY source),
@@ -155,9 +150,14 @@ x AS (SELECT d.doc_id, d.size, s.* EXCLUDE (source), CAST(CAST('0x' || substr(md
   / 4503599627370496 AS u FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
 r0 AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS odds FROM x),
 r AS (SELECT *, odds / (1 + odds) AS r FROM r0),
-p10 AS (SELECT *, CAST(p > 0 AND size > 0 AND sum(size) OVER (PARTITION BY sid ORDER BY r, CAST(doc_id AS VARCHAR)) <= open AS BIGINT) AS m FROM r),
-""" + ",\n".join([_CLOSE.format(j="10", k="2"), _CLOSE.format(j="20", k="3")]) + """
-SELECT doc_id, size, source_size, target, CAST(size * (whole + m) AS BIGINT) AS taken FROM p30"""
+turns AS (SELECT sid, doc_id, size, row_number() OVER (PARTITION BY sid ORDER BY copy, r, CAST(doc_id AS VARCHAR)) AS i
+  FROM r, range(3) c(copy) WHERE p > 0 AND size > 0 AND whole + copy < 3),
+walk AS (SELECT sid, CAST(0 AS BIGINT) AS i, open AS gap, CAST(NULL AS BIGINT) AS doc_id, FALSE AS fits FROM s WHERE p > 0
+  UNION ALL
+  SELECT t.sid, t.i, CASE WHEN t.size <= gap THEN gap - t.size ELSE gap END, t.doc_id, t.size <= gap
+  FROM walk JOIN turns t ON t.sid = walk.sid AND t.i = walk.i + 1),
+extra AS (SELECT doc_id, count(*) AS m FROM walk WHERE fits GROUP BY doc_id)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + coalesce(m, 0)) AS BIGINT) AS taken FROM r LEFT JOIN extra USING (doc_id)"""
 
 
 # CRC-32 in SQL: the byte table by eight steps of the polynomial, then byte after byte. {0}: a text without nulls.

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnspark.llm import repair, resampling, sharding
+from churnspark.llm import mixing, repair, resampling, sharding
 
 # ---- conversation repair -------------------------------------------------------------------------------------------
 
@@ -263,3 +263,30 @@ def test_checksums_by_length():
             assert words[i] == len(ws)
             want.update((i, zlib.crc32(b" ".join(ws[j:j + n]))) for n in range(1, most + 1) for j in range(len(ws) - n + 1))
         assert Counter(zip(text.tolist(), resampling.checksums(data, begin, end).tolist())) == want
+
+
+# ---- mixing: the whole order counts ------------------------------------------------------------------------------------
+
+
+def test_one_long_document_leaves_no_open_words(spark):
+    """A document larger than what is open stops nobody: the source ends within its smallest document of the target."""
+    texts = [(k, "word " * 40, "en", "a") for k in range(200)] + [(500, "long " * 20_000, "en", "a")]
+    texts += [(1000 + k, "ten " * 10, "en", "b") for k in range(100)]
+    rows = mixing.digest(spark.createDataFrame(odd.rows(texts), odd.SCHEMA)).collect()
+    for source in {r.source_size for r in rows}:
+        mine = [r for r in rows if r.source_size == source]
+        gap = mine[0].target - sum(r.taken for r in mine)
+        room = [r.size for r in mine if r.taken < 3 * r.size]
+        assert gap >= -1e-6 and (not room or gap < min(room))
+
+
+def test_shares_follow_the_inclusion_odds(spark):
+    """Documents of one size: over seeds each is taken as often as its source's share of open words says."""
+    texts = [(k, "w " * 5, "en", "a") for k in range(60)] + [(100 + k, "w " * 5, "en", "b") for k in range(40)]
+    docs = spark.createDataFrame(odd.rows(texts), odd.SCHEMA)
+    taken, share = Counter(), {}
+    for seed in range(6):
+        for u in mixing.plan(docs, seed=seed).collect():
+            taken[u.source] += u.whole + u.m
+            share[u.source] = u.target / u.source_size
+    assert taken["a"] / 360 == pytest.approx(share["a"], abs=0.02) and taken["b"] / 240 == pytest.approx(share["b"], abs=0.02)
