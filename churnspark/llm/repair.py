@@ -177,23 +177,26 @@ def faults(rows: DataFrame) -> DataFrame:
 # ---- blocks ----------------------------------------------------------------------------------------------------------
 
 
-def _segments(frame: pd.DataFrame) -> Iterator[tuple[str, pd.DataFrame, list[Row]]]:
-    """The conversations of a block in order, each with its rows."""
-    frame = frame.sort_values("place")
-    for conv, some in frame.groupby("conv", sort=False):
-        rows = [(i, f in ("blank", "duplicate"), f == "truncated") for i, f in zip(some["initial"], some["fault"])]
-        yield conv, some, rows
-
-
-def _ends(frame: pd.DataFrame) -> list[tuple[str, pd.DataFrame, list[Row]]]:
+def _segments(frame: pd.DataFrame) -> Iterator[tuple[str, list[Row]]]:
+    """The conversations of a block (sorted by place) in order, each with its rows."""
+    convs = frame["conv"].tolist()
+    rows = [(i, f in ("blank", "duplicate"), f == "truncated") for i, f in zip(frame["initial"].tolist(), frame["fault"].tolist())]
+    begin = 0
+    for end in range(1, len(convs) + 1):
+        if end == len(convs) or convs[end] != convs[begin]:
+            yield convs[begin], rows[begin:end]
+            begin = end
+
+
+def _ends(frame: pd.DataFrame) -> list[tuple[str, list[Row]]]:
     """The first and the last conversation of a block: no other one can go on in a neighbouring block."""
-    found = list(_segments(frame))
+    found = list(_segments(frame.sort_values("place")))
     return found if len(found) < 2 else [found[0], found[-1]]
 
 
 def _matrices(frame: pd.DataFrame) -> pd.DataFrame:
     part, block = frame["part"].iloc[0], frame["block"].iloc[0]
-    return pd.DataFrame([(conv, part, block, matrix(rows)) for conv, _, rows in _ends(frame)], columns=["conv", "part", "block", "m"])
+    return pd.DataFrame([(conv, part, block, matrix(rows)) for conv, rows in _ends(frame)], columns=["conv", "part", "block", "m"])
 
 
 def _folded(frame: pd.DataFrame, column: str, join) -> list:
@@ -256,7 +259,7 @@ def _linked(rows: DataFrame) -> DataFrame:
     def tables(frame: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
         part, block = links["part"].iloc[0], links["block"].iloc[0]
         vectors = dict(zip(links["conv"], links["behind"]))
-        out = [(conv, part, block, passage(some, tuple(vectors[conv]))) for conv, _, some in _ends(frame)]
+        out = [(conv, part, block, passage(some, tuple(vectors[conv]))) for conv, some in _ends(frame)]
         return pd.DataFrame(out, columns=["conv", "part", "block", "t"])
 
     found = rows.groupBy("part", "block").cogroup(behind.groupBy("part", "block")).applyInPandas(tables, f"{KEYS}, t array<long>")
@@ -270,16 +273,18 @@ def edited(rows: DataFrame) -> DataFrame:
     ('-' for a deleted turn). Turns inserted at the end stand behind the last row's own letter."""
     def walk(frame: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
         known = {r.conv: (tuple(r.behind), bool(r.last), int(r.state)) for r in links.itertuples()}
-        out = []
-        for conv, some, facts in _segments(frame):
+        frame = frame.sort_values("place")
+        letters, roles = [], []
+        for conv, facts in _segments(frame):
             behind, last, state = known.get(conv, (END, True, START))
-            letters, roles = [""] * len(facts), [""] * len(facts)
+            own, left = [""] * len(facts), [""] * len(facts)
             for letter, state, i in edits(facts, behind, state, last):
                 i = min(i, len(facts) - 1)
-                letters[i] += letter
-                roles[i] += "-" if letter == "D" else facts[i][0] if letter == "K" else INITIAL[state]
-            out.append(some.assign(letters=letters, roles=roles))
-        return pd.concat(out)[["conv", "part", "place", "initial", "fault", "letters", "roles"]]
+                own[i] += letter
+                left[i] += "-" if letter == "D" else facts[i][0] if letter == "K" else INITIAL[state]
+            letters += own
+            roles += left
+        return frame.assign(letters=letters, roles=roles)[["conv", "part", "place", "initial", "fault", "letters", "roles"]]
 
     return rows.groupBy("part", "block").cogroup(_linked(rows).groupBy("part", "block")).applyInPandas(
         walk, "conv string, part long, place long, initial string, fault string, letters string, roles string")
