@@ -12,7 +12,7 @@ from churnspark.plans.registry import LOG_DOUBLES, oracle, query, r6, replaced
 from churnspark.plans.queries_ml import DAY, GROUP, _saturated, _share_sql
 from churnspark.plans.queries_score import action_sql
 from churnspark.operators import features, models
-from churnspark.sources.staging import stage_path
+from churnspark.sources.staging import stage, stage_path
 from churnspark.streaming import jobs
 
 PLAYS = {"num_25": "view", "num_50": "click", "num_75": "signup", "num_985": "error", "num_100": "purchase"}
@@ -59,6 +59,22 @@ def log_features_stream(t: Tables) -> DataFrame:
     return jobs.read_users(t.spark, f"{root}/features")
 
 
+@query("log_features_state", oracle(f"SELECT {replaced(LOG_DOUBLES)} FROM log_features", "log_features"))
+def log_features_state(t: Tables) -> DataFrame:
+    """Features as running state over three micro-batches, cut in time order, and a replay of the last one."""
+    root = stage_path(t.spark, "stream")
+    rows = activity(t.raw("events"))
+    ends = rows.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    third = (F.unix_micros("b") - F.unix_micros("a")) / 3
+    cut = F.least(F.lit(2), F.floor((F.unix_micros("ts") - F.unix_micros("a")) / third)).cast("int")
+    parted = stage(rows.crossJoin(F.broadcast(ends)).withColumn("cut", cut).drop("a", "b"), "cuts")
+    for k in (0, 1, 2, 2):
+        parted.where(F.col("cut") == k).drop("cut").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    events = jobs.distinct_events(jobs.read_events(t.spark, f"{root}/in", rows.schema, max_files=1))
+    jobs.run_features(events, f"{root}/features", f"{root}/state", delay=None, part_rows=500).awaitTermination()
+    return jobs.features_of_state(jobs.read_state(t.spark, f"{root}/features/users"))
+
+
 @query("session_features", oracle(
     f"""SELECT msno, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 1800000000 AS end_us, count(*) AS n_events, {r6('sum(value)', 'total_secs')} FROM (
     SELECT user_id AS msno, ts, value, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (

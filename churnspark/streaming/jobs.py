@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from churnspark import contract as C
+from churnspark.functions.columns import ratio
 from churnspark.functions.dates import date_to_ymd
 from churnspark.operators.features import log_features
 from churnspark.operators.monitor import tier_psi
@@ -153,6 +154,129 @@ def refresh_features(daily: DataFrame, touched: DataFrame) -> DataFrame:
     return log_features(daily.join(users, C.KEY, "left_semi"))
 
 
+# ---- features kept as additive state -----------------------------------------------------------------------------------
+
+# Users of a part of the state table, about; a table that outgrows it is dealt out anew to twice as many parts.
+PART_ROWS = 1_000_000
+MAXIMA = ("total_secs", "num_unq")
+
+
+def day_changes(days: DataFrame, old: DataFrame | None) -> DataFrame:
+    """What the updated (user, day) rows change, per user: additions to counts and sums, extremes, and whether a day shrank."""
+    was = {c: F.col(f"_old_{c}") for c in ("row_cnt_d", *DAY_SUMS)}
+    if old is None:
+        both = days.withColumns({f"_old_{c}": F.lit(None).cast("double") for c in was})
+    else:
+        both = days.join(old.select(C.KEY, "date", *[F.col(c).alias(f"_old_{c}") for c in was]), [C.KEY, "date"], "left")
+    more = {c: F.col(c) - F.coalesce(was[c], F.lit(0)) for c in was}
+    shrank = [F.coalesce(F.col(f"{m}_sum_d") < was[f"{m}_sum_d"], F.lit(False)) for m in MAXIMA]
+    return both.groupBy(C.KEY).agg(
+        F.sum(more["row_cnt_d"]).cast("bigint").alias("row_cnt"), F.count_if(was["row_cnt_d"].isNull()).alias("days"),
+        F.min("date").cast("bigint").alias("first"), F.max("date").cast("bigint").alias("last"),
+        *[F.sum(more[f"{m}_sum_d"]).alias(f"{m}_sum") for m in C.LOG_METRICS],
+        *[F.max(f"{m}_sum_d").alias(f"{m}_max") for m in MAXIMA], F.bool_or(shrank[0] | shrank[1]).alias("shrank"))
+
+
+def features_of_state(state: DataFrame) -> DataFrame:
+    """The 18 engagement features, from one row of sums per user."""
+    plays = sum((F.col(f"{b}_sum") for b in C.PLAY_BUCKETS[1:]), F.col(f"{C.PLAY_BUCKETS[0]}_sum"))
+    by_day = [e for m in MAXIMA for e in (F.col(f"{m}_sum"), (F.col(f"{m}_sum") / F.col("days")).alias(f"{m}_mean_per_active_day"),
+                                          F.col(f"{m}_max").alias(f"{m}_max_per_day"))]
+    return state.select(
+        C.KEY, F.col("row_cnt").alias("log_row_cnt"), F.col("first").alias("log_first_date"), F.col("last").alias("log_last_date"),
+        F.col("days").alias("log_active_days"), (F.col("last") - F.col("first")).alias("log_span_days_approx"), *by_day,
+        *[f"{b}_sum" for b in C.PLAY_BUCKETS], ratio(F.col("num_100_sum"), plays).alias("listen_full_share"),
+        ratio(plays, F.col("num_unq_sum")).alias("listens_per_unique_track"))
+
+
+def _written(spark: SparkSession, folder: str) -> bool:
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
+def _parts_of(spark: SparkSession, path: str) -> int | None:
+    """Parts of the newest complete version of the state table, whose folders are called parts=<n>."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return None
+    names = [f.getPath().getName() for f in files.listStatus(root)]
+    return max([int(n.removeprefix("parts=")) for n in names if n.startswith("parts=") and _written(spark, f"{path}/{n}")], default=None)
+
+
+def user_part(parts: int) -> Column:
+    return F.pmod(F.xxhash64(C.KEY), F.lit(parts)).cast("int")
+
+
+def read_state(spark: SparkSession, path: str, users: DataFrame | None = None) -> DataFrame | None:
+    """The state table; with ``users`` only the parts they lie in are read."""
+    parts = _parts_of(spark, path)
+    if parts is None:
+        return None
+    state = spark.read.parquet(f"{path}/parts={parts}")
+    if users is None:
+        return state
+    touched = [r[0] for r in users.select(user_part(parts)).distinct().collect()]  # at most one number per part
+    return state.where(F.col("user_part").isin(touched))
+
+
+def merge_state(changes: DataFrame, path: str, batch: int, daily: str, part_rows: int = PART_ROWS) -> None:
+    """Adds a batch's changes to its users' rows, rewriting the parts they lie in. A row that holds this batch already stays
+    as it is, so a replay changes nothing. Users with a day that shrank are summed up anew from their daily rows."""
+    if changes.isEmpty():
+        return
+    spark = changes.sparkSession
+    parts = _parts_of(spark, path)
+    mode = "dynamic" if parts else "static"  # a new table is written whole, which marks it as complete
+    shrunk = changes.where("shrank").select(C.KEY)
+    columns = [c for c in changes.columns if c not in (C.KEY, "shrank")]
+    again = day_changes(spark.read.parquet(daily).join(shrunk, C.KEY, "left_semi"), None).select(C.KEY, *[F.col(c).alias(f"_r_{c}") for c in columns])
+    fresh = changes.join(again, C.KEY, "left")
+    old = read_state(spark, path, changes)
+    if old is None:
+        parts = max(1, -(-changes.count() // part_rows))
+        old = changes.select(C.KEY, *columns).withColumns({"batch": F.lit(-1).cast("bigint"), "user_part": F.lit(0)}).limit(0)
+    old = old.select(C.KEY, "batch", *[F.col(c).alias(f"_o_{c}") for c in columns])
+    both = old.join(fresh, C.KEY, "full")
+    join = {"first": F.least, "last": F.greatest, **{f"{m}_max": F.greatest for m in MAXIMA}}
+    keep = F.coalesce(F.col("batch") >= batch, F.lit(False)) | (F.col("days").isNull())
+
+    def merged(c: str) -> Column:
+        mine, theirs = F.col(f"_o_{c}"), F.col(c)
+        added = join[c](mine, theirs) if c in join else F.coalesce(mine, F.lit(0)) + theirs
+        return F.when(keep, mine).when(F.col("shrank"), F.col(f"_r_{c}")).otherwise(added).alias(c)
+
+    stamp = F.when(keep, F.col("batch")).otherwise(F.lit(batch)).cast("bigint").alias("batch")
+    rows = stage(both.select(C.KEY, stamp, *[merged(c) for c in columns]).withColumn("user_part", user_part(parts)), "state-update")
+    write = {"partitionOverwriteMode": mode, "compression": "zstd"}
+    rows.write.mode("overwrite").options(**write).partitionBy("user_part").parquet(f"{path}/parts={parts}")
+    users = spark.read.parquet(f"{path}/parts={parts}")
+    if users.count() > 2 * parts * part_rows:
+        more = stage(users.drop("user_part").withColumn("user_part", user_part(2 * parts)), "state-parts")
+        more.write.mode("overwrite").option("compression", "zstd").partitionBy("user_part").parquet(f"{path}/parts={2 * parts}")
+
+
+def run_features(events: DataFrame, path: str, checkpoint: str, delay: str | None = "2 days", part_rows: int = PART_ROWS) -> StreamingQuery:
+    """Daily rows and, from them, the features of every user as running state. A batch reads the days it changes and the
+    parts of its users, nothing else. Its changes are written before anything is updated, so a batch that failed half way is
+    repeated with the changes it had at first."""
+    def write(batch: DataFrame, number: int) -> None:
+        spark, pending = batch.sparkSession, f"{path}/pending/batch={number}"
+        days = stage(batch, "daily-update")
+        old = _read_or_none(spark, f"{path}/daily", days.schema)
+        if not _written(spark, pending):
+            dates = [r[0] for r in days.select("date").distinct().collect()]  # the days of one batch
+            known = None if old is None else old.where(F.col("date").isin(dates))
+            day_changes(days, known).write.mode("overwrite").parquet(pending)
+        upsert(days, f"{path}/daily", [C.KEY, "date"], "date")
+        merge_state(spark.read.parquet(pending), f"{path}/users", number, f"{path}/daily", part_rows)
+
+    return (
+        daily_windows(events, delay=delay).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+        .foreachBatch(write).trigger(availableNow=True).start()
+    )
+
+
 def run_scoring(rows: DataFrame, predict: Callable[[DataFrame], DataFrame], path: str, psi_path: str, checkpoint: str,
                 policy: dict = C.POLICY) -> StreamingQuery:
     """Score a stream (``predict`` adds ``y_proba``), assign tiers, and log the tier drift of every micro-batch."""

@@ -162,3 +162,50 @@ def test_a_table_streams_as_file_and_as_folder(spark, tmp_path):
         name = f"t_{abs(hash(str(path)))}"
         stream.writeStream.format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
         assert spark.table(name).count() == 30
+
+
+def kept(spark, path):
+    out = jobs.features_of_state(jobs.read_state(spark, f"{path}/users"))
+    return sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in out.collect())
+
+
+def wanted(df):
+    out = features.log_features(daily_of(df))
+    return sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in out.collect())
+
+
+def test_state_equals_the_batch_job_over_batches_and_replays(spark, folder, tmp_path):
+    """Batches share days; values below zero make days shrink; the table outgrows its parts."""
+    more = events(spark, 30, 30).withColumn("msno", F.concat(F.lit("v"), F.col("event_id") % 7))
+    less = events(spark, 60, 20).withColumn("total_secs", -F.col("total_secs"))
+    seen, path = None, str(tmp_path / "features")
+    for df in (events(spark, 0, 30), more, events(spark, 52, 8), less, less):
+        drop(df, folder)
+        seen = df if seen is None else seen.unionByName(df)
+        stream = jobs.distinct_events(jobs.read_events(spark, folder, SCHEMA, max_files=1))
+        jobs.run_features(stream, path, str(tmp_path / "state"), delay=None, part_rows=2).awaitTermination()
+        assert kept(spark, path) == wanted(seen.dropDuplicates(["event_id"]))
+    assert jobs._parts_of(spark, f"{path}/users") >= 4
+
+
+def test_a_batch_repeated_after_a_failure_changes_nothing(spark, tmp_path):
+    path, daily = str(tmp_path / "users"), str(tmp_path / "daily")
+    days = daily_of(events(spark, 0, 30))
+    days.write.partitionBy("date").parquet(daily)
+    changes = jobs.day_changes(days, None)
+    for _ in range(2):
+        jobs.merge_state(changes, path, 0, daily)
+        assert sorted(map(str, jobs.features_of_state(jobs.read_state(spark, path)).collect())) == sorted(map(str, features.log_features(days).collect()))
+
+
+def test_only_parts_of_touched_users_are_read(spark, tmp_path):
+    path, daily = str(tmp_path / "users"), str(tmp_path / "daily")
+    days = daily_of(events(spark, 0, 60).withColumn("msno", F.concat(F.lit("u"), F.col("event_id"))))
+    days.write.partitionBy("date").parquet(daily)
+    jobs.merge_state(jobs.day_changes(days, None), path, 0, daily, part_rows=4)
+    parts = jobs._parts_of(spark, path)
+    one = spark.createDataFrame([("u7",)], "msno string")
+    some = jobs.read_state(spark, path, one)
+    assert parts == 15 and "PartitionFilters: [isnotnull(user_part" in some._jdf.queryExecution().toString()
+    own = one.select(jobs.user_part(parts)).first()[0]
+    assert {r[0] for r in some.select("user_part").collect()} == {own}
