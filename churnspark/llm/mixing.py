@@ -9,8 +9,9 @@ an extra copy fits, begins again with second extra ones (up to ``cap`` copies in
 Nothing but the order and the open words decides, so a source ends less than its smallest such document below its target.
 
 The order of a source is never sorted as a whole: sizes are summed by rank bin, the bin in which the quota is reached is
-split again, three times 1024-fold, and only the few documents of the last bin are ordered. A source with a third of all
-rows is summed map-side like any other. Equal rows (id, source, text) are one unit with a count.
+split again, three times 1024-fold, and only the few documents of the last bin are ordered. What stays open is filled in slices
+of the order that one task per source walks as a stream. A source with a third of all rows is summed map-side like any other.
+Equal rows (id, source, text) are one unit with a count.
 
 Random numbers depend on the id and the seed alone, so reruns agree. Null texts and texts without words have size 0 and are
 never taken; a null source is a source of its own, after all others; null ids are the same id.
@@ -18,6 +19,9 @@ never taken; a null source is a source of its own, after all others; null ids ar
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,6 +33,10 @@ WEIGHTS = (1, 2, 3)
 CAP = 3
 SEED = 42
 BINS, LEVELS = 1024, 3
+# Candidates of a source that one task walks at a time, about. Steers the work only: the order goes on in the next slice.
+SLICE = 1 << 16
+WALKED = ["sid", "doc", "key", "size", "m", "gap"]
+WALKED_SCHEMA = "sid int, doc string, key long, size long, m long, gap double"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -76,7 +84,7 @@ def _picked(units: DataFrame, sources: DataFrame) -> DataFrame:
     state = sources.select("sid", F.col("open").alias("quota"), F.lit(0).cast("long").alias("bin"), F.lit(0).cast("long").alias("base"))
     for level in range(1, LEVELS + 1):
         # Written, so that Spark knows how small it is and does not deal the units out by source.
-        state = written(_crossing(units, state, level), "crossing")
+        state = written(_crossing(units, state, level).coalesce(1), "crossing")
     leaf = F.floor(F.col("rank") * BINS ** LEVELS)
     rows = units.join(state, "sid", "left")
     inside = rows.filter(leaf == F.col("bin"))
@@ -89,32 +97,74 @@ def _picked(units: DataFrame, sources: DataFrame) -> DataFrame:
     return inside.withColumn("m", fit).unionByName(outside.withColumn("m", all_or_none)).drop("bin", "base", "quota")
 
 
+def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Units in order of (sid, Pareto order): m copies of each that fit into the gap; per source a last row with the gap left."""
+    sid, gap = None, 0.0
+    for rows in batches:
+        out = []
+        for s, doc, key, size, n, open_words in rows[["sid", "doc", "key", "size", "n", "gap"]].itertuples(index=False):
+            if s != sid:
+                if sid is not None:
+                    out.append((sid, None, 0, 0, 0, gap))
+                sid, gap = s, open_words
+            m = min(n, int(gap // size))
+            if m:
+                gap -= m * size
+                out.append((sid, doc, key, size, m, None))
+        yield pd.DataFrame(out, columns=WALKED)
+    if sid is not None:
+        yield pd.DataFrame([(sid, None, 0, 0, 0, gap)], columns=WALKED)
+
+
+def _ends(some: DataFrame) -> DataFrame:
+    """Per source the rank at which the first ``SLICE`` or so of its candidates end (u is uniform), null if it has no more."""
+    first = some.groupBy("sid", "p").agg(F.count(F.lit(1)).alias("units"), F.min("u").alias("u"))
+    upto = F.col("u") + (1 - F.col("u")) * (SLICE / F.col("units"))
+    return first.select("sid", F.when(F.col("units") > SLICE, _rank(upto, F.col("p"))).alias("end"))
+
+
 def _extra(ranked: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
     """(sid, doc, key, size, more): copies beyond the certain ones, in Pareto order, until nothing that is left fits.
 
-    A round takes a prefix of the documents that fit into the open words; these are then fewer than the size of the document
-    that ended it. Only documents that still fit go on to the next round.
+    Rank bins find the prefix that fits as a whole; what stays open is then less than the one document that ended it. The
+    order goes on from there with those that still fit, a slice at a time: what a slice does not take no longer fits, so few
+    of the documents after it still do, and a handful of slices is enough for any number of documents.
     """
-    unit, picks = ["sid", "doc", "key", "size"], None
-    gap = written(sources.filter(F.col("p") > 0).select("sid", F.col("open").alias("gap")), "gap")
+    unit = ["sid", "doc", "key", "size"]
+    open_units = ranked.filter((F.col("size") > 0) & (F.col("p") > 0) & (F.col("whole") < cap))
+    gap = sources.filter(F.col("p") > 0).select("sid", F.col("open").alias("gap"))
+    some = open_units.join(gap, "sid").filter(F.col("size") <= F.col("gap")).drop("gap")
+    taken = written(_picked(some, gap.select("sid", F.col("gap").alias("open"))), "picks")
+    used = taken.groupBy("sid").agg(F.sum(F.col("m") * F.col("size")).alias("used"))
+    gap = written(gap.join(used, "sid", "left").select("sid", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap"))
+                  .coalesce(1), "gap")
+    picks = taken.filter("m > 0").select(*unit, "m")
+    some = taken.filter("m < n").withColumn("n", F.col("n") - F.col("m")).drop("m")
     for copy in range(cap):
-        # What was not taken in an earlier turn did not fit and does not fit now.
-        some = ranked.filter((F.col("size") > 0) & (F.col("p") > 0) & (F.col("whole") + copy < cap))
+        if copy:  # What was not taken in an earlier turn did not fit and does not fit now.
+            some = open_units.filter(F.col("whole") + copy < cap)
         while True:
             some = written(some.join(gap, "sid").filter(F.col("size") <= F.col("gap")).drop("gap"), "candidates")
-            if some.isEmpty():
+            ends = written(_ends(some).coalesce(1), "ends")
+            if ends.isEmpty():
+                break
+            now = some.join(ends, "sid").filter(F.col("end").isNull() | (F.col("rank") <= F.col("end"))).join(gap, "sid")
+            dealt = now.repartition("sid").sortWithinPartitions("sid", "rank", "doc", "key")
+            walked = written(dealt.select(*unit, "n", "gap").mapInPandas(_walk, WALKED_SCHEMA), "walked")
+            left = walked.filter("doc IS NULL").select("sid", F.col("gap").alias("left"))
+            gap = written(gap.join(left, "sid", "left").select("sid", F.coalesce("left", "gap").alias("gap")).coalesce(1), "gap")
+            picks = picks.unionByName(walked.filter("doc IS NOT NULL").select(*unit, "m"))
+            some = some.join(ends, "sid").filter(F.col("rank") > F.col("end")).drop("end")
+            if ends.filter(F.col("end").isNotNull()).isEmpty():
                 break
-            taken = written(_picked(some, gap.select("sid", F.col("gap").alias("open"))), "picks")
-            used = taken.groupBy("sid").agg(F.sum(F.col("m") * F.col("size")).alias("used"))
-            gap = written(gap.join(used, "sid", "left").select("sid", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")), "gap")
-            mine = taken.filter("m > 0").select(*unit, "m")
-            picks = mine if picks is None else picks.unionByName(mine)
-            some = taken.filter("m < n").withColumn("n", F.col("n") - F.col("m")).drop("m")
-    if picks is None:
-        return ranked.limit(0).select(*unit, F.lit(0).cast("long").alias("more"))
     return picks.groupBy(*unit).agg(F.sum("m").alias("more"))
 
 
+def _rank(u: Column, p: Column) -> Column:
+    odds = (u / (1 - u)) / (p / (1 - p))
+    return F.when(p > 0, odds / (1 + odds)).otherwise(0.0)
+
+
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, id_col: str = "doc_id",
          text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per unit of equal rows: doc, key, source, n, size, source_size, target, whole, m.
@@ -126,11 +176,9 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, se
                        F.col(f"`{source_col}`").cast("string").alias("source"), words(F.col(f"`{text_col}`")).alias("size"))
     units = written(rows.groupBy("doc", "key", "source", "size").agg(F.count(F.lit(1)).alias("n")), "units")
     sources = written(targets(units, weights, cap), "sources")
-    u = hash_fraction(F.col("doc"), seed)
-    odds = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
-    rank = F.when(F.col("p") > 0, odds / (1 + odds)).otherwise(0.0)
     all_units = units.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    ranked = written(all_units.withColumn("rank", rank), "ranked")
+    u = hash_fraction(F.col("doc"), seed)
+    ranked = written(all_units.withColumn("u", u).withColumn("rank", _rank(F.col("u"), F.col("p"))), "ranked")
     more = _extra(ranked, sources, cap).select(*[F.col(c).alias(f"x_{c}") for c in ("sid", "doc", "key", "size")], "more")
     own = [F.col(c) == F.col(f"x_{c}") for c in ("sid", "doc", "key", "size")]
     return ranked.join(more, own, "left").select("doc", "key", "source", "n", "size", "source_size", "target", "whole",
