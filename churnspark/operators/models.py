@@ -28,7 +28,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark import contract as C
@@ -359,44 +359,103 @@ def weight_grid(models: Sequence[str], step: float = 0.05) -> list[dict[str, flo
     return out
 
 
-def weight_search(joined: DataFrame, models: Sequence[str], step: float = 0.05, label: str = "y_true") -> DataFrame:
-    """Average precision of every weight combination (at most 231 at the default step).
+def _vectors(joined: DataFrame, models: Sequence[str], label: str) -> DataFrame:
+    """Equal score vectors merged: models..., n, pos."""
+    return joined.groupBy(*models).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos"))
 
-    Equal score vectors are merged before the grid is applied, and the grid is one ordered pass with the combination
-    as group.
-    """
-    grid = weight_grid(models, step)
-    merged = joined.groupBy(*models).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos")
-    )
+
+def _grid_scores(vectors: DataFrame, models: Sequence[str], grid: list[dict[str, float]], only: Sequence[int]) -> DataFrame:
+    """grid_row, score, n, pos: every vector under the weights of the grid rows ``only``."""
     # Weights are looked up by grid row in constant arrays, which keeps the generated code small.
     row = F.col("grid_row")
     factors = {m: F.array(*[F.lit(w[m]) for w in grid]) for m in models}
     # A fixed number of partitions: adaptive merging looks at the size before each row becomes a whole grid of rows.
-    parts = int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    every = merged.repartition(parts, *models).select("*", F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("grid_row"))
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = vectors.repartition(parts, *models).select("*", F.explode(F.array(*[F.lit(i) for i in only])).alias("grid_row"))
     score = sum((F.get(factors[m], row) * F.col(m) for m in models[1:]), F.get(factors[models[0]], row) * F.col(models[0]))
-    rows = every.select("grid_row", score.alias("score"), "n", "pos").groupBy("grid_row", "score").agg(
+    return every.select("grid_row", clean_score(score).alias("score"), "n", "pos")
+
+
+def _searched(vectors: DataFrame, models: Sequence[str], grid: list[dict[str, float]], only: Sequence[int]) -> DataFrame:
+    """grid_row, w_<model>..., average_precision of the grid rows ``only``, exactly: one ordered pass."""
+    rows = _grid_scores(vectors, models, grid, only).groupBy("grid_row", "score").agg(
         F.sum("n").alias("n"), F.sum("pos").alias("pos")
     )
     groups = running_totals(rows, [F.col("score").desc_nulls_last()], ["n", "pos"], ["grid_row"])
-    tried = metrics_of_groups(groups, ["grid_row"])
     weights = {m: F.array(*[F.lit(w[m]) for w in grid]) for m in models}
-    return tried.select(
-        "grid_row", *[F.get(weights[m], row).alias(f"w_{m}") for m in models], "average_precision"
+    return metrics_of_groups(groups, ["grid_row"]).select(
+        "grid_row", *[F.get(weights[m], F.col("grid_row")).alias(f"w_{m}") for m in models], "average_precision"
     )
 
 
+def weight_search(joined: DataFrame, models: Sequence[str], step: float = 0.05, label: str = "y_true") -> DataFrame:
+    """Average precision of every weight combination (at most 231 at the default step and three models).
+
+    Equal score vectors are merged before the grid is applied, and the grid is one ordered pass with the combination
+    as group. ``winning_weights`` finds the best row without evaluating the others.
+    """
+    grid = weight_grid(models, step)
+    return _searched(_vectors(joined, models, label), models, grid, range(len(grid)))
+
+
 def best_weights(searched: DataFrame) -> DataFrame:
-    """The first best row of the search."""
+    """The first best row of the search; figures that agree to twelve places are equal."""
     row = F.struct(*searched.columns)
-    return searched.agg(
-        F.max_by(row, F.struct("average_precision", (-F.col("grid_row")).alias("first"))).alias("r")
-    ).select("r.*")
+    order = F.struct(F.round("average_precision", 12).alias("value"), (-F.col("grid_row")).alias("first"))
+    return searched.agg(F.max_by(row, order).alias("r")).select("r.*")
+
+
+def average_precision_bounds(scores: DataFrame, bits: int, by: Sequence[str]) -> DataFrame:
+    """by..., lower, upper: what the average precision can be, from rows counted by the leading bits of the score.
+
+    ``scores`` has by..., score, n, pos; a bin is an octave cut into 2^bits parts, so the shuffle carries a row per bin and
+    task. Within a bin the precision at a positive is highest if all positives come first as one tie, and lowest if all
+    negatives come first and each positive stands alone. The sum of the latter's reciprocals is bounded by an integral.
+    """
+    by = list(by)
+    code = F.coalesce(F.shiftright(X.order_code(F.col("score") + F.lit(0.0)), 52 - bits), F.lit(-(2**63)))
+    bins = scores.groupBy(*by, code.alias("_bin")).agg(
+        F.sum("n").cast("double").alias("n"), F.sum("pos").cast("double").alias("pos"), F.min("score").alias("low"), F.max("score").alias("high"))
+    before = Window.partitionBy(*by).orderBy(F.col("_bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumns({"n0": F.coalesce(F.sum("n").over(before), F.lit(0.0)), "pos0": F.coalesce(F.sum("pos").over(before), F.lit(0.0))})
+    n, pos, n0, pos0 = (F.col(c) for c in ("n", "pos", "n0", "pos0"))
+    tied = pos * X.ratio0(pos0 + pos, n0 + n)
+    worse = n0 + n - pos  # rows ahead of the bin's positives at worst
+    lower = pos - (worse - pos0) * F.log((worse + pos + 0.5) / (worse + 0.5))
+    one_value = F.col("low").eqNullSafe(F.col("high"))
+    return bins.groupBy(*by).agg(
+        X.ratio(F.sum(F.when(one_value, tied).otherwise(lower)), F.sum("pos")).alias("lower"),
+        X.ratio(F.sum(F.when(one_value, tied).otherwise(pos * X.ratio0(pos0 + pos, n0 + pos))), F.sum("pos")).alias("upper"),
+    )
+
+
+def candidate_rows(vectors: DataFrame, models: Sequence[str], grid: list[dict[str, float]], only: Sequence[int], bits: int) -> list[int]:
+    """The grid rows of ``only`` whose upper bound reaches the best lower bound; the best row is always among them."""
+    bounds = average_precision_bounds(_grid_scores(vectors, models, grid, only), bits, ["grid_row"])
+    most = F.max("lower").over(Window.partitionBy(F.lit(0)))
+    # Bounds are sums of doubles: a margin keeps rows that differ by rounding only.
+    kept = bounds.select("grid_row", (F.col("upper") + 1e-9 >= most).alias("open")).where(F.coalesce("open", F.lit(True)))
+    return sorted(r.grid_row for r in kept.select("grid_row").collect())  # at most the rows of the grid
+
+
+def winning_weights(joined: DataFrame, models: Sequence[str], step: float = 0.05, label: str = "y_true",
+                    levels: Sequence[int] = (4, 8)) -> DataFrame:
+    """The row ``best_weights(weight_search(...))`` returns, found by bounds.
+
+    Rows counted in ever finer score bins bound every combination's average precision; only combinations that may still be
+    the best are looked at again, and only the last ones' scores are put in order. Stages the distinct score vectors.
+    """
+    grid = weight_grid(models, step)
+    vectors = stage(_vectors(joined, models, label), "vectors")
+    left = list(range(len(grid)))
+    for bits in levels:
+        if len(left) > 1:
+            left = candidate_rows(vectors, models, grid, left, bits)
+    return best_weights(_searched(vectors, models, grid, left or [0]))
 
 
 def _searched_weights(joined: DataFrame, models: Sequence[str], step: float, label: str) -> dict[str, float]:
-    best = best_weights(weight_search(joined, models, step, label)).first()
+    best = winning_weights(joined, models, step, label).first()
     return {m: best[f"w_{m}"] for m in models}
 
 

@@ -533,3 +533,16 @@ def weight_search(t: Tables) -> DataFrame:
 @query("weight_search_three", _search_sql(["a", "b", "c"]))
 def weight_search_three(t: Tables) -> DataFrame:
     return models.weight_search(_joined(t), ["a", "b", "c"])
+
+
+def _winner_sql(names: list[str]) -> str:
+    score = " + ".join(f"w_{m} * {m}" for m in names)
+    return oracle(
+        "SELECT grid_row, " + ", ".join(r6(f"w_{m}", f"w_{m}") for m in names) + f", {r6('ap', 'average_precision')} "
+        "FROM grid JOIN ap ON grid_row = m ORDER BY round(ap, 12) DESC, grid_row LIMIT 1", "model_a", "model_b", "model_c",
+        ctes=(_JOINED, _grid_sql(names), f"long AS (SELECT grid_row AS m, {score} AS s, y_true FROM joined, grid)", f"ap AS ({_AP_BY})"))
+
+
+@query("weight_search_winner", _winner_sql(["a", "b", "c"]))
+def weight_search_winner(t: Tables) -> DataFrame:
+    return models.winning_weights(_joined(t), ["a", "b", "c"])

@@ -2,10 +2,12 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from churnspark import contract as C
+from churnspark.functions import columns as X
 from churnspark.functions import scorecard as S
 from churnspark.operators import experiment, metrics, models, monitor, policy, runs
 from churnspark.plans import catalog
@@ -228,6 +230,63 @@ def test_grid_search_prefers_the_better_model(spark):
     assert metrics.ranking_metrics(voted).first().average_precision == pytest.approx(1.0)
 
 
+def voters(spark, kind, n=600):
+    rng = np.random.Generator(np.random.PCG64(len(kind)))
+    y = (rng.random(n) < 0.2).astype(int)
+    a, b, c = (np.clip(y * w + rng.random(n), 0, None) for w in (0.5, 0.1, 0.3))
+    if kind == "ties":
+        a, b, c = (np.round(x, 1) for x in (a, b, c))
+    if kind == "same":
+        a, b, c = np.full(n, 0.5), np.full(n, 0.25), np.full(n, 0.5)
+    if kind == "near_zero":
+        a, b, c = (x * 1e-9 for x in (a, b, c))
+    if kind == "negative":
+        a, b, c = a - 0.7, b - 0.7, c - 0.7
+    if kind == "no_churn":
+        y[:] = 0
+    if kind == "all_churn":
+        y[:] = 1
+    cells = [[int(t), *map(float, v)] for t, *v in zip(y, a, b, c)]
+    if kind == "missing":
+        for i, row in enumerate(cells):
+            row[1 + i % 3] = None if i % 7 == 0 else float("nan") if i % 11 == 0 else row[1 + i % 3]
+    return spark.createDataFrame(cells, "y_true int, a double, b double, c double")
+
+
+@pytest.mark.parametrize("kind", ["plain", "ties", "same", "near_zero", "negative", "no_churn", "all_churn", "missing"])
+def test_bounds_hold_and_the_winner_stays(spark, kind):
+    joined, names = voters(spark, kind), ["a", "b", "c"]
+    grid = models.weight_grid(names, 0.2)
+    searched = models.weight_search(joined, names, 0.2)
+    exact = {r.grid_row: r.average_precision for r in searched.collect()}
+    vectors = models._vectors(joined, names, "y_true")
+    for bits in (0, 3, 10):
+        scores = models._grid_scores(vectors, names, grid, range(len(grid)))
+        bounds = models.average_precision_bounds(scores, bits, ["grid_row"]).collect()
+        assert {r.grid_row for r in bounds} == set(exact)
+        for r in bounds:
+            if exact[r.grid_row] is None:
+                assert r.lower is None and r.upper is None
+            else:
+                assert r.lower - 1e-9 <= exact[r.grid_row] <= r.upper + 1e-9
+    best = models.best_weights(searched).first()
+    assert models.winning_weights(joined, names, 0.2).first() == best
+    assert best.grid_row in models.candidate_rows(vectors, names, grid, range(len(grid)), 0)
+
+
+def test_bounds_leave_few_rows_to_evaluate(spark):
+    joined, names = voters(spark, "plain", 20000), ["a", "b", "c"]
+    grid = models.weight_grid(names)
+    vectors = models._vectors(joined, names, "y_true")
+    coarse = models.candidate_rows(vectors, names, grid, range(len(grid)), 4)
+    fine = models.candidate_rows(vectors, names, grid, coarse, 8)
+    assert set(fine) <= set(coarse) and len(fine) * 10 <= len(grid)
+    # A bin per grid row takes the place of a score: far fewer rows meet in the shuffle than there are scores.
+    bins = models._grid_scores(vectors, names, grid, range(len(grid))).groupBy(
+        "grid_row", F.shiftright(X.order_code(F.col("score")), 48)).count().count()
+    assert bins * 10 <= len(grid) * vectors.count()
+
+
 def test_run_log(spark, tmp_path):
     path = str(tmp_path / "runs")
     ok = runs.run_record(spark, "gbt", 1, lambda: {"pr_auc": 0.5, "roc_auc": 0.9, "note": "x"}, params={"depth": 3})
