@@ -59,17 +59,23 @@ def log_features_stream(t: Tables) -> DataFrame:
     return jobs.read_users(t.spark, f"{root}/features")
 
 
-@query("log_features_state", oracle(f"SELECT {replaced(LOG_DOUBLES)} FROM log_features", "log_features"))
-def log_features_state(t: Tables) -> DataFrame:
-    """Features as running state over three micro-batches, cut in time order, and a replay of the last one."""
-    root = stage_path(t.spark, "stream")
+def _in_cuts(t: Tables, folder: str, order: tuple[int, ...]) -> DataFrame:
+    """Writes the thirds of the events, by time, to the folder, a file each, in this order; returns all events."""
     rows = activity(t.raw("events"))
     ends = rows.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
     third = (F.unix_micros("b") - F.unix_micros("a")) / 3
     cut = F.least(F.lit(2), F.floor((F.unix_micros("ts") - F.unix_micros("a")) / third)).cast("int")
     parted = stage(rows.crossJoin(F.broadcast(ends)).withColumn("cut", cut).drop("a", "b"), "cuts")
-    for k in (0, 1, 2, 2):
-        parted.where(F.col("cut") == k).drop("cut").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    for k in order:
+        parted.where(F.col("cut") == k).drop("cut").coalesce(1).write.mode("append").parquet(folder)
+    return rows
+
+
+@query("log_features_state", oracle(f"SELECT {replaced(LOG_DOUBLES)} FROM log_features", "log_features"))
+def log_features_state(t: Tables) -> DataFrame:
+    """Features as running state over three micro-batches, cut in time order, and a replay of the last one."""
+    root = stage_path(t.spark, "stream")
+    rows = _in_cuts(t, f"{root}/in", (0, 1, 2, 2))
     events = jobs.distinct_events(jobs.read_events(t.spark, f"{root}/in", rows.schema, max_files=1))
     jobs.run_features(events, f"{root}/features", f"{root}/state", delay=None, part_rows=500).awaitTermination()
     return jobs.features_of_state(jobs.read_state(t.spark, f"{root}/features/users"))
@@ -86,6 +92,22 @@ def session_features(t: Tables) -> DataFrame:
                       "n_events", "total_secs")
 
 
+@query("session_features_stream", oracle(
+    f"""SELECT * FROM (SELECT msno, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 1800000000 AS end_us, count(*) AS n_events, {r6('sum(value)', 'total_secs')} FROM (
+    SELECT user_id AS msno, ts, value, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (
+      SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events))
+    GROUP BY msno, s) WHERE end_us <= (SELECT (epoch_us(date_trunc('millisecond', max(ts))) - 172800000000 - 1800000000) // 86400000000 * 86400000000 FROM events)"""))
+def session_features_stream(t: Tables) -> DataFrame:
+    """Final sessions after three micro-batches: runs by user and day in the state, joined across days."""
+    root = stage_path(t.spark, "stream")
+    schema = _in_cuts(t, f"{root}/in", (0, 1, 2)).schema
+    run = jobs.run_sessions(jobs.read_events(t.spark, f"{root}/in", schema, max_files=1), f"{root}/runs", f"{root}/state")
+    run.awaitTermination()
+    out = jobs.joined_sessions(t.spark.read.parquet(f"{root}/runs"), jobs.watermark_of(run))
+    return out.select("msno", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"),
+                      "n_events", "total_secs")
+
+
 def _score_stream(t: Tables) -> str:
     """Fit on the earlier batch rows, score the stream with the model; the folder with scores and drift logs."""
     root = stage_path(t.spark, "stream")

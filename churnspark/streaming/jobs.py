@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
@@ -62,7 +63,8 @@ def daily_windows(events: DataFrame, ts: str = "ts", delay: str | None = "2 days
 
 
 def sessions(events: DataFrame, ts: str = "ts", gap: str = "30 minutes", delay: str = "2 days") -> DataFrame:
-    """Sessions per user on a stream; the batch form, safe for very active users, is ``features.sessions``."""
+    """Sessions per user on a stream, one state row per user and open session. Safe for very active users are
+    ``run_sessions`` with ``joined_sessions`` and, for tables, ``features.sessions``."""
     rows = events.withWatermark(ts, delay) if events.isStreaming else events
     return rows.groupBy(C.KEY, F.session_window(ts, gap)).agg(
         F.count(F.lit(1)).alias("n_events"), F.sum(F.col("total_secs").cast("double")).alias("total_secs")
@@ -70,6 +72,49 @@ def sessions(events: DataFrame, ts: str = "ts", gap: str = "30 minutes", delay:
              F.col("session_window.end").alias("session_end"), "n_events", "total_secs")
 
 
+def session_runs(events: DataFrame, ts: str = "ts", gap: str = "30 minutes", delay: str | None = "2 days",
+                 slice_seconds: int = 86_400) -> DataFrame:
+    """Runs: sessions cut at the borders of time slices. The state is one list of runs per user and slice, so a user who is
+    never silent is not one ever-growing state row, and a closed slice leaves the state."""
+    rows = events.withWatermark(ts, delay) if delay and events.isStreaming else events
+    slice_of = F.floor(F.unix_seconds(ts) / slice_seconds).cast("bigint").alias("slice")
+    return rows.groupBy(C.KEY, slice_of, F.session_window(ts, gap)).agg(
+        F.count(F.lit(1)).alias("n_events"), F.sum(F.col("total_secs").cast("double")).alias("total_secs")
+    ).select(C.KEY, "slice", F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"),
+             "n_events", "total_secs")
+
+
+def run_sessions(events: DataFrame, path: str, checkpoint: str, gap: str = "30 minutes", delay: str | None = "2 days",
+                 slice_seconds: int = 86_400) -> StreamingQuery:
+    """Append mode: a run is written, to the folder of its slice, when the watermark has passed its end."""
+    return (
+        session_runs(events, gap=gap, delay=delay, slice_seconds=slice_seconds).writeStream.outputMode("append")
+        .format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("slice")
+        .trigger(availableNow=True).start()
+    )
+
+
+def watermark_of(query: StreamingQuery) -> str | None:
+    """The watermark (UTC, ISO) that the query's last micro-batches worked with."""
+    return max((p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p.get("eventTime", {})), default=None)
+
+
+def joined_sessions(runs: DataFrame, watermark: str | None = None, gap_seconds: int = 1800, slice_seconds: int = 86_400) -> DataFrame:
+    """The sessions that the runs form across slices. With a watermark only those that are final: they end before the end of
+    the last slice of which every run has been written. A user has at most slice / gap runs in a slice to be put in order."""
+    ends = W.partitionBy(C.KEY).orderBy("session_start", "session_end")
+    before = F.max("session_end").over(ends.rowsBetween(W.unboundedPreceding, -1))
+    numbered = runs.withColumn("_new", F.coalesce((F.col("session_start") > before).cast("int"), F.lit(1)))
+    out = numbered.withColumn("_nth", F.sum("_new").over(ends.rowsBetween(W.unboundedPreceding, 0))).groupBy(C.KEY, "_nth").agg(
+        F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
+        F.sum("n_events").alias("n_events"), F.sum("total_secs").alias("total_secs")).drop("_nth")
+    if watermark is None:
+        return out
+    seen = F.unix_micros(F.to_timestamp(F.lit(watermark))) - gap_seconds * 1_000_000
+    closed = F.floor(seen / (slice_seconds * 1_000_000)) * slice_seconds * 1_000_000
+    return out.where(F.unix_micros("session_end") <= closed)
+
+
 def _read_or_none(spark: SparkSession, path: str, schema) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)

@@ -209,3 +209,27 @@ def test_only_parts_of_touched_users_are_read(spark, tmp_path):
     assert parts == 15 and "PartitionFilters: [isnotnull(user_part" in some._jdf.queryExecution().toString()
     own = one.select(jobs.user_part(parts)).first()[0]
     assert {r[0] for r in some.select("user_part").collect()} == {own}
+
+
+def test_streamed_sessions_join_across_slices(spark, folder, tmp_path):
+    busy = [(i, START + dt.timedelta(minutes=20 * i), "busy", 1.0) for i in range(300)]  # four days without a break
+    calm = [(1000 + i, START + dt.timedelta(hours=5 * i, minutes=i % 7 * 9), "calm", 2.0) for i in range(40)]
+    night = [(2000 + i, START + dt.timedelta(days=1 + i // 2, minutes=-10 + 25 * (i % 2)), "night", 3.0) for i in range(8)]
+    push = [(3000, START + dt.timedelta(days=9), "push", 4.0)]
+    everything = sorted(busy + calm + night, key=lambda r: r[1]) + push
+    df = spark.createDataFrame([(*r, 1, 1, 0, 0, 0, 1) for r in everything], SCHEMA)
+    out, state, got, ends = str(tmp_path / "runs"), str(tmp_path / "state"), [], []
+    for cut in range(4):
+        part = sorted(r[0] for r in everything[cut * 90:(cut + 1) * 90])
+        drop(df.where(F.col("event_id").isin(part)), folder)
+        run = jobs.run_sessions(jobs.read_events(spark, folder, SCHEMA, max_files=1), out, state)
+        run.awaitTermination()
+        runs = spark.read.schema("msno string, slice bigint, session_start timestamp, session_end timestamp, n_events bigint, total_secs double").parquet(out)
+        got.append(sorted(map(tuple, jobs.joined_sessions(runs, jobs.watermark_of(run)).collect())))
+        ends.append(runs.where("msno = 'busy'").count())
+    want = features.sessions(df)
+    batch = sorted(map(tuple, want.select("msno", "session_start", "session_end", "n_events", "total_secs").where("msno != 'push'").collect()))
+    assert got[-1] == [r for r in batch if r[2] <= START + dt.timedelta(days=6)]
+    assert {"busy", "night"} <= {r[0] for r in got[-1]} and ends[-1] == 5  # one run a day, one session
+    for earlier, later in zip(got, got[1:]):
+        assert set(earlier) <= set(later)  # what was final stays as it is
