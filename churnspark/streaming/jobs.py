@@ -23,6 +23,7 @@ from churnspark.operators.policy import assign_action
 from churnspark.sources.staging import stage
 
 USER_PARTS = 64
+PROGRESS = "batch bigint, watermark string, read_rows bigint, state_rows bigint, dropped_rows bigint"
 DAY_SUMS = [f"{m}_sum_d" for m in C.LOG_METRICS]
 
 
@@ -99,6 +100,21 @@ def watermark_of(query: StreamingQuery) -> str | None:
     return max((p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p.get("eventTime", {})), default=None)
 
 
+def progress_of(query: StreamingQuery) -> DataFrame:
+    """A row per micro-batch of this start of the query (the latest ``spark.sql.streaming.numRecentProgressUpdates`` of them):
+    batch, watermark, rows read, rows in the state, and the rows the stateful operators dropped behind the watermark.
+
+    An aggregation drops rows after its map-side sums, so events of one key that meet in a task are dropped as one row; a
+    de-duplication drops single events. Append it to a table to keep a count over restarts.
+    """
+    rows = []
+    for p in query.recentProgress:  # a few figures per micro-batch
+        state = p["stateOperators"]
+        rows.append((p["batchId"], p.get("eventTime", {}).get("watermark"), p["numInputRows"],
+                     sum(o["numRowsTotal"] for o in state), sum(o["numRowsDroppedByWatermark"] for o in state)))
+    return SparkSession.getActiveSession().createDataFrame(rows, PROGRESS)
+
+
 def joined_sessions(runs: DataFrame, watermark: str | None = None, gap_seconds: int = 1800, slice_seconds: int = 86_400) -> DataFrame:
     """The sessions that the runs form across slices. With a watermark only those that are final: they end before the end of
     the last slice of which every run has been written. A user has at most slice / gap runs in a slice to be put in order."""

@@ -211,6 +211,27 @@ def test_only_parts_of_touched_users_are_read(spark, tmp_path):
     assert {r[0] for r in some.select("user_part").collect()} == {own}
 
 
+def test_rows_behind_the_watermark_are_counted(spark, folder, tmp_path):
+    out, state = str(tmp_path / "closed"), str(tmp_path / "state")
+    on_time = events(spark, 0, 88)  # eleven days, three users
+    late = events(spark, 0, 24).where("event_id IN (2, 11, 21, 22)").withColumn("event_id", F.col("event_id") + 9000)
+    counted = None
+    for part in (on_time, late, events(spark, 88, 8)):
+        drop(part, folder)
+        run = jobs.run_closed_days(jobs.read_events(spark, folder, SCHEMA), out, state)
+        run.awaitTermination()
+        log = jobs.progress_of(run)
+        counted = log if counted is None else counted.unionByName(log)
+    got = spark.read.parquet(out)
+    closed = F.col("date") <= got.agg(F.max("date")).first()[0]
+    batch = daily_of(on_time.unionByName(late).unionByName(events(spark, 88, 8))).where(closed)
+    missing = jobs.late_rows(batch, got)
+    total = counted.agg(F.sum("dropped_rows").alias("dropped"), F.sum("read_rows").alias("read")).first()
+    assert missing.where("n_late > 1").count() == 0  # each late event is the only one of its user and day
+    assert total.dropped == missing.agg(F.sum("n_late")).first()[0] == late.count()
+    assert total.read == 88 + late.count() + 8
+
+
 def test_streamed_sessions_join_across_slices(spark, folder, tmp_path):
     busy = [(i, START + dt.timedelta(minutes=20 * i), "busy", 1.0) for i in range(300)]  # four days without a break
     calm = [(1000 + i, START + dt.timedelta(hours=5 * i, minutes=i % 7 * 9), "calm", 2.0) for i in range(40)]
