@@ -136,10 +136,19 @@ RUN_SCHEMA = (
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines run log. Blank and broken lines are skipped; a line of another shape keeps the keys it has."""
+    """JSON-lines run log. Blank and broken lines are skipped (``run_log_quality`` counts the broken ones); a line of another
+    shape keeps the keys it has."""
     return spark.read.schema(RUN_SCHEMA).option("mode", "DROPMALFORMED").json(path)
 
 
+def run_log_quality(spark: SparkSession, path: str) -> DataFrame:
+    """One row: n_lines (blank ones left out) and n_broken, the lines that ``read_run_log`` skips."""
+    lines = spark.read.schema(f"{RUN_SCHEMA}, _broken string").option("columnNameOfCorruptRecord", "_broken").json(path)
+    # Every column is asked for, because Spark judges a line by the columns that are read.
+    whole = F.to_json(F.struct(*[c for c in lines.columns if c != "_broken"]))
+    return lines.select("_broken", whole.alias("_run")).agg(F.count("_run").alias("n_lines"), F.count("_broken").alias("n_broken"))
+
+
 def append_runs(runs: DataFrame, path: str) -> None:
     runs.write.mode("append").json(path)
 

@@ -294,6 +294,7 @@ def test_run_log(spark, tmp_path):
     for r in (ok, failed):
         io.append_runs(r, path)
     (tmp_path / "runs" / "extra.json").write_text('\nnot json\n{"run_name": "search", "metrics": {"pr_auc": 0.99}}\n')
+    assert io.run_log_quality(spark, path).collect() == [(4, 1)]  # two runs, one line of another shape, one broken
     log = io.read_run_log(spark, path).where("run_id IS NOT NULL OR metrics IS NOT NULL")
     by_id = {r.run_id: r for r in log.collect() if r.run_id}
     assert by_id["gbt-0002"].status == "failed" and "ZeroDivisionError" in by_id["gbt-0002"].artifacts["error"]
