@@ -499,6 +499,50 @@ def model_search(train: DataFrame, valid: DataFrame, trials: Sequence[tuple[str,
     )
 
 
+def halving_rungs(n: int, budget: float, keep: int = 3) -> list[tuple[int, float]]:
+    """(trials, share of the training rows) of every rung: each keeps one trial in ``keep`` and spends an equal part of the budget."""
+    counts = [n]
+    while counts[-1] > 1:
+        counts.append(-(-counts[-1] // keep))
+    return [(k, min(1.0, budget / (len(counts) * k))) for k in counts]
+
+
+def halving_search(train: DataFrame, valid: DataFrame, trials: Sequence[tuple], budget: float, id: str = C.KEY, keep: int = 3,
+                   parallelism: int = 2, features: Sequence[str] = tuple(C.FEATURES), seed: int = 42) -> DataFrame:
+    """Successive halving: many trials on few rows, the best of them on more. ``budget`` bounds the rows that all fits read,
+    in training tables (2.0 = as much as two fits on everything).
+
+    A trial is (name, estimator) or (name, estimator, features of its own). A rung's sample is a share
+    of the rows by the hash of ``id``, so samples are nested and survive any repartitioning. Returns a row per trial and rung: rung, trial, share,
+    average_precision, roc_auc, kept; the winner is the trial kept on the last rung. Ties go to the smaller name.
+    """
+    spark = train.sparkSession
+    if budget <= 0 or not trials:
+        raise ValueError("a search needs trials and a budget above 0")
+    own = {t[0]: (t[1], tuple(t[2]) if len(t) > 2 else tuple(features)) for t in trials}
+    if len(own) < len(trials):
+        raise ValueError("names of trials must differ")
+    used = sorted({f for _, fs in own.values() for f in fs})
+    ready = stage(train.select(*used, C.LABEL, X.hash_fraction(F.col(id), seed).alias("_place")), "search-train")
+    held = stage(valid.select(*used, C.LABEL), "search-valid")
+    alive, rows = sorted(own), []
+    rungs = halving_rungs(len(alive), budget, keep)
+    for rung, (_, share) in enumerate(rungs):
+        sample = ready.where(F.col("_place") < share)
+
+        def run(name: str) -> tuple:
+            estimator, mine = own[name]
+            scored = score(fit(sample, estimator, mine), held, [C.LABEL], mine)
+            got = ranking_metrics(scored, "y_proba", C.LABEL).first()
+            return name, got["average_precision"], got["roc_auc"]
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            found = sorted(pool.map(run, alive), key=lambda r: (r[1] is None, -(r[1] or 0.0), r[0]))
+        alive = [r[0] for r in found[:rungs[rung + 1][0] if rung + 1 < len(rungs) else 1]]
+        rows += [(rung, name, share, ap, auc, name in alive) for name, ap, auc in found]
+    return spark.createDataFrame(rows, "rung int, trial string, share double, average_precision double, roc_auc double, kept boolean")
+
+
 def reliability_table(df: DataFrame, score_col: str = "y_proba", label: str = "y_true", bins: int = 10) -> DataFrame:
     """Mean score and observed rate per equal-width score bin; missing scores are bin -1, without a mean."""
     value = clean_score(F.col(score_col))

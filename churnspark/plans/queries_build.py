@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from churnspark import contract as C
 from churnspark.functions import columns as X
 from churnspark.functions import dates as D
-from churnspark.operators import clean, encode, features, profile, runs, sampling, table
+from churnspark.operators import clean, distinct, encode, features, profile, runs, sampling, table
+from churnspark.plans import feature_build
 from churnspark.plans.adapters import Tables
 from churnspark.plans.registry import (
     LOG_DOUBLES, TXN_DOUBLES, hash_sql, oracle, query, r6, replaced,
@@ -375,6 +376,36 @@ def class_weights(t: Tables) -> DataFrame:
     return encode.class_weights(t.train)
 
 
+# ---- stored by key, merged distinct counts -------------------------------------------------------------------------
+
+
+@query("model_table_stored", oracle(f"SELECT {replaced(TXN_DOUBLES + LOG_DOUBLES + ['bd'])} FROM model_table", "model_table"))
+def model_table_stored(t: Tables) -> DataFrame:
+    """The tables stored by user, then the model table from what is stored."""
+    root = stage_path(t.spark, "stored")
+    prefix = "stored_" + root.split("/")[-2]
+    feature_build.store_features(prefix, t.train, t.members, t.transactions, t.user_logs, root=root, bucket_bytes=1 << 14)
+    return feature_build.stored_model_table(t.spark, prefix).drop("registration_init_date")
+
+
+@query("payment_methods_merged", oracle(
+    "SELECT msno, count(DISTINCT payment_method_id) AS payment_method_id_nunique FROM transactions GROUP BY msno", "transactions"))
+def payment_methods_merged(t: Tables) -> DataFrame:
+    """Sketches per user and day, merged per user."""
+    methods = ["payment_method_id"]
+    days = distinct.sketches(t.transactions, [C.KEY, "transaction_date"], methods)
+    return distinct.counted(distinct.merged(days, [C.KEY], methods), methods)
+
+
+@query("active_users_rolling", oracle(
+    """SELECT date, (SELECT count(DISTINCT msno) FROM user_logs u WHERE strptime(CAST(u.date AS VARCHAR), '%Y%m%d')
+      BETWEEN strptime(CAST(d.date AS VARCHAR), '%Y%m%d') - INTERVAL 6 DAY AND strptime(CAST(d.date AS VARCHAR), '%Y%m%d')) AS msno_nunique
+    FROM (SELECT DISTINCT date FROM user_logs) d""", "user_logs"))
+def active_users_rolling(t: Tables) -> DataFrame:
+    """Users active in the seven days that end with each day, from a sketch per day."""
+    return distinct.rolling_distinct(distinct.sketches(t.user_logs, ["date"], [C.KEY]), [C.KEY])
+
+
 # ---- run records ---------------------------------------------------------------------------------------------------
 
 

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark import contract as C
+from churnspark.functions import columns as X
 from churnspark.functions import scorecard as S
 from churnspark.operators import calibration, metrics, models, policy, sampling
 from churnspark.plans.adapters import Tables
 from churnspark.plans.queries_score import CARD_DAY, K, _CARD, action_sql, scored_table
-from churnspark.plans.registry import oracle, query, r6
+from churnspark.plans.registry import hash_sql, oracle, query, r6
 from churnspark.sources.staging import stage
 
 CUTOFF = "2001-05-31"
@@ -272,6 +273,28 @@ def rolling_backtest(t: Tables) -> DataFrame:
     return out.join(mean, "cutoff").select("cutoff", "valid_rows", "positives", "mean_score", F.col("precision_at_k")[50].alias("precision_at_50"))
 
 
+def _halving_sql(share: float) -> str:
+    return f"(SELECT count(*) FROM scored WHERE cycle < {DAY} AND {hash_sql('id')} < {share!r})"
+
+
+@query("model_search_budget", oracle(
+    f"""SELECT CAST(0 AS INT) AS rung, 'constant' AS trial, 0.25e0 AS share, {r6('(SELECT avg(CAST(y_true AS DOUBLE)) FROM scored WHERE cycle >= ' + str(DAY) + ')', 'base_rate')},
+      {_halving_sql(0.25)} AS n_rows, FALSE AS kept
+    UNION ALL SELECT 0, 'segment', 0.25e0, NULL, {_halving_sql(0.25)}, TRUE
+    UNION ALL SELECT 1, 'segment', 0.5e0, NULL, {_halving_sql(0.5)}, TRUE""", "scored"))
+def model_search_budget(t: Tables) -> DataFrame:
+    """Successive halving within one reading of the training rows. The trial without splits scores the share of positives."""
+    rows = _grouped(t)
+    train, valid = rows.where(f"cycle < {DAY}"), rows.where(f"cycle >= {DAY}")
+    trials = [("constant", models.decision_tree(maxDepth=0)), ("segment", _saturated())]
+    found = models.halving_search(train, valid, trials, 1.0, id="id", keep=2, features=GROUP)
+    place = stage(train.select(X.hash_fraction(F.col("id"), 42).alias("p")), "places")
+    sizes = place.agg(*[F.count_if(F.col("p") < s).alias(str(s)) for s in (0.25, 0.5)])
+    n_rows = F.when(F.col("share") == 0.25, F.col("`0.25`")).otherwise(F.col("`0.5`"))
+    base = F.when(F.col("trial") == "constant", F.col("average_precision"))
+    return found.crossJoin(F.broadcast(sizes)).select("rung", "trial", "share", base.alias("base_rate"), n_rows.alias("n_rows"), "kept")
+
+
 @query("evaluate_logreg")
 def evaluate_logreg(t: Tables) -> DataFrame:
     train, valid = _split(t)

@@ -141,3 +141,28 @@ _TIER_SHARES = (("contact_now", 1478), ("nudge", 8522), ("monitor", 183205))
 def score_stream_psi(t: Tables) -> DataFrame:
     """The drift log of the micro-batches (one, as the table is read at once)."""
     return t.spark.read.parquet(f"{_score_stream(t)}/psi").drop("batch")
+
+
+def _psi_sql(min_rows: int) -> str:
+    terms = " + ".join(f"(greatest(n_{a} / CAST(n AS DOUBLE), 1e-6) - {c / 193205!r}) * ln(greatest(n_{a} / CAST(n AS DOUBLE), 1e-6) / {c / 193205!r})"
+                       for a, c in _TIER_SHARES)
+    return f"CASE WHEN n >= {min_rows} THEN {terms} END"
+
+
+@query("tier_windows_stream", oracle(
+    f"""SELECT epoch_us(day) AS start_us, n, {", ".join(f"n_{a}" for a, _ in _TIER_SHARES)}, {r6('psi', 'psi')},
+    CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'moderate_shift' WHEN psi IS NOT NULL THEN 'significant_shift' END AS status
+    FROM (SELECT *, {_psi_sql(100)} AS psi FROM (SELECT day, count(*) AS n, {", ".join(f"count(*) FILTER (action = '{a}') AS n_{a}" for a, _ in _TIER_SHARES)}
+      FROM (SELECT date_trunc('day', CAST(ts AS TIMESTAMP)) AS day, {action_sql('p')} AS action
+        FROM (SELECT ts, CASE WHEN value >= 200 THEN 1.0 ELSE floor(value * 5) / 1000 END AS p FROM events)) GROUP BY day))
+    WHERE day + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 2 DAY"""))
+def tier_windows_stream(t: Tables) -> DataFrame:
+    """Drift of the closed days after three micro-batches that cut through days."""
+    root = stage_path(t.spark, "stream")
+    schema = _in_cuts(t, f"{root}/in", (0, 1, 2)).schema
+    events = jobs.read_events(t.spark, f"{root}/in", schema, max_files=1)
+    secs = F.col("total_secs")
+    scored = events.select("ts", F.when(secs >= 200, 1.0).otherwise(F.floor(secs * 5) / 1000).alias("y_proba"))
+    jobs.run_tier_windows(scored, f"{root}/windows", f"{root}/state", min_rows=100).awaitTermination()
+    out = t.spark.read.parquet(f"{root}/windows")
+    return out.select(F.unix_micros("window_start").alias("start_us"), *[c for c in out.columns if not c.startswith("window_")])

@@ -338,6 +338,27 @@ def run_features(events: DataFrame, path: str, checkpoint: str, delay: str | Non
     )
 
 
+def tier_windows(scored: DataFrame, ts: str = "ts", size: str = "1 day", delay: str | None = "2 days", policy: dict = C.POLICY,
+                 score: str = "y_proba", min_rows: int = C.PSI_MIN_ROWS) -> DataFrame:
+    """Tier counts and their drift per window of event time: window_start, window_end, n, n_<tier>, psi, status.
+
+    The state holds one row of counts per open window, whatever the traffic; batch tables give the same rows.
+    """
+    rows = scored.withWatermark(ts, delay) if delay and scored.isStreaming else scored
+    out = tier_psi(rows, policy, score, [F.window(ts, size)], min_rows)
+    return out.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                      *[c for c in out.columns if c != "window"])
+
+
+def run_tier_windows(scored: DataFrame, path: str, checkpoint: str, ts: str = "ts", size: str = "1 day", delay: str = "2 days",
+                     policy: dict = C.POLICY, min_rows: int = C.PSI_MIN_ROWS) -> StreamingQuery:
+    """Append mode: a window's drift is written once, when the watermark has passed its end, however the stream was cut."""
+    return (
+        tier_windows(scored, ts, size, delay, policy, min_rows=min_rows).writeStream.outputMode("append").format("parquet")
+        .option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def run_scoring(rows: DataFrame, predict: Callable[[DataFrame], DataFrame], path: str, psi_path: str, checkpoint: str,
                 policy: dict = C.POLICY) -> StreamingQuery:
     """Score a stream (``predict`` adds ``y_proba``), assign tiers, and log the tier drift of every micro-batch."""

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from churnspark import contract as C
+from churnspark.functions import columns as X
 from churnspark.operators import calibration, metrics, models
 
 FEATURES = ["txn_cnt", "cancel_rate", "gender", "log_active_days"]
@@ -181,3 +182,30 @@ def test_calibration_of_a_million_scores(spark):
 def test_contract_order():
     assert len(C.FEATURES) == len(set(C.FEATURES)) == 38
     assert C.FEATURES[:3] == ["city", "bd", "gender"] and C.FEATURES[-1] == "listens_per_unique_track"
+
+
+def test_halving_spends_its_budget_and_equals_fits_on_the_samples(spark, parts):
+    assert models.halving_rungs(9, 3.0) == [(9, 1 / 9), (3, 1 / 3), (1, 1.0)]
+    assert models.halving_rungs(1, 0.5) == [(1, 0.5)]
+    for n, budget in ((2, 0.7), (10, 2.0), (40, 8.0)):
+        rungs = models.halving_rungs(n, budget)
+        assert sum(k * s for k, s in rungs) <= budget + 1e-9 and [s for _, s in rungs] == sorted(s for _, s in rungs)
+    train, valid = parts
+    trials = [("a flat", models.decision_tree(maxDepth=0)), ("b gender", models.decision_tree(maxDepth=3), ["gender"]),
+              ("c deep", models.decision_tree(maxDepth=6, minInstancesPerNode=5)), ("d stump", models.decision_tree(maxDepth=1))]
+    rows = models.halving_search(train, valid, trials, 3.0, keep=2, features=FEATURES).collect()
+    assert [(r.rung, r.share) for r in rows] == [(0, 0.25)] * 4 + [(1, 0.5)] * 2 + [(2, 1.0)]
+    assert [r.trial for r in rows if r.rung == 2 and r.kept] == ["c deep"]
+    estimators = {t[0]: (t[1], t[2] if len(t) > 2 else FEATURES) for t in trials}
+    for rung, share in ((0, 0.25), (1, 0.5)):
+        found = [r for r in rows if r.rung == rung]
+        best = sorted(found, key=lambda r: (-r.average_precision, r.trial))
+        assert {r.trial for r in found if r.kept} == {r.trial for r in best[:len(found) // 2]}
+        sample = train.where(X.hash_fraction(F.col("msno"), 42) < share)
+        for r in found:
+            estimator, mine = estimators[r.trial]
+            scored = models.score(models.fit(sample, estimator, mine), valid, ["msno", "is_churn"], mine)
+            assert metrics.ranking_metrics(scored, "y_proba", "is_churn").first().average_precision == pytest.approx(r.average_precision)
+    for bad in ((trials, 0), ([], 1.0), ([trials[0], trials[0]], 1.0)):
+        with pytest.raises(ValueError):
+            models.halving_search(train, valid, *bad, features=FEATURES)

@@ -254,3 +254,19 @@ def test_streamed_sessions_join_across_slices(spark, folder, tmp_path):
     assert {"busy", "night"} <= {r[0] for r in got[-1]} and ends[-1] == 5  # one run a day, one session
     for earlier, later in zip(got, got[1:]):
         assert set(earlier) <= set(later)  # what was final stays as it is
+
+
+def test_tier_windows_do_not_depend_on_the_cuts(spark, tmp_path):
+    rows = events(spark, 0, 80).select("ts", F.when(F.col("event_id") % 11 > 0, F.col("event_id") % 10 / 10).alias("y_proba"))
+    whole = {r.window_start: tuple(r) for r in jobs.tier_windows(rows, min_rows=4).collect()}
+    last = START + dt.timedelta(hours=3 * 79) - dt.timedelta(days=2)
+    wanted = sorted(v for v in whole.values() if v[1] <= last)
+    assert wanted and len(wanted) < len(whole)
+    for name, cuts in (("two", (0, 37, 80)), ("five", (0, 3, 20, 21, 66, 80))):
+        folder = str(tmp_path / name)
+        for a, b in zip(cuts, cuts[1:]):
+            drop(rows.where(F.col("ts").between(START + dt.timedelta(hours=3 * a), START + dt.timedelta(hours=3 * b - 1))), folder)
+        stream = jobs.read_events(spark, folder, rows.schema, max_files=1)
+        jobs.run_tier_windows(stream, str(tmp_path / f"{name}-out"), str(tmp_path / f"{name}-state"), min_rows=4).awaitTermination()
+        assert sorted(map(tuple, spark.read.parquet(str(tmp_path / f"{name}-out")).collect())) == wanted
+    assert all(r[2] == 8 for r in wanted)
