@@ -1,18 +1,25 @@
-"""License scans: text units against licence templates by the Dice coefficient over sets of word bigrams.
+"""License scans: spans of consecutive words against licence templates by the Dice coefficient over sets of word bigrams.
 
-Both sides are normalised alike: words are runs of ASCII letters (lower-cased), ASCII digits and non-ASCII characters. The
-units of a text are its lines, its paragraphs (separated by empty lines) and the text itself. With a and b distinct bigrams,
-two sets can reach the coefficient t only if a and b differ by at most the factor (2 - t) / t; templates outside these bounds
-are not compared, and a unit that has no template inside them, or shares no bigram with any, costs nothing more.
+Both sides are normalised alike: words are runs of ASCII letters (lower-cased), ASCII digits and non-ASCII characters, so line
+breaks, blank lines, comment markers and layout play no part. For every template and every word of a text the span that
+begins there and reaches the highest coefficient is looked for; spans begin and end with bigrams of the template (others would
+not raise it). Of all that reach the threshold t the best are taken, in the order of score, template and place, and spans that
+overlap a taken one are dropped.
+
+Size bounds prune this without loss. A template of s bigrams needs at least t s / (2 - t) of them in a span, and a span has
+at most s (2 - t) / t distinct bigrams, so one that crosses more than 2 s (1 - t) / t distinct foreign bigrams cannot reach t.
+The places of a template's bigrams are cut where that is certain; groups with too few distinct ones are dropped, and only the
+rest is grown, an end for each new bigram of the template.
 
 All bigrams of a batch are coded at once; the templates (a bounded parameter) go to the tasks. There is no shuffle.
 
-Rules for odd rows: a null text has no units and a unit of fewer than two words no bigrams; neither matches. Ties go to the
-higher score, then the smaller template id, then the earlier and shorter unit. Every document gives one row.
+Rules for odd rows: a null text and a text of fewer than two words have no bigrams and match nothing. Ties go to the smaller
+template id, then the earlier and shorter span; a notice that is repeated matches at each place. Equal rows give equal rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,9 +32,16 @@ from churnspark.llm.tables import computed, small_batches
 
 THRESHOLD = 0.8
 MOST_TEMPLATE_BYTES = 8 << 20
-MADE = "n_units long, matches array<struct<license:string,score:double,begin:int,end:int,kind:string>>"
+MADE = "n_words long, matches array<struct<license:string,score:double,begin:int,end:int>>"
 
 # Notices and texts of common licences.
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
+    "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+    "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+    "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
 TEMPLATES = {
     "Apache-2.0-short": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
@@ -36,6 +50,20 @@ TEMPLATES = {
         "applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
         "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
         "governing permissions and limitations under the License."),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. " + _BSD_END),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission. " + _BSD_END),
+    "BSD-3-Clause-short": "Released under the 3-Clause BSD License.",
+    "CC0-1.0-short": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0-short": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
@@ -54,6 +82,13 @@ TEMPLATES = {
         "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
         "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
         "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+        "with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+        "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means."),
     "MIT-short": "Released under the MIT License.",
     "MIT": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -76,6 +111,7 @@ class Index:
     sets: list[np.ndarray]
     sizes: np.ndarray
     codes: np.ndarray
+    member: np.ndarray  # [template, code]
 
     @staticmethod
     def of(templates: dict[str, str]) -> Index:
@@ -88,69 +124,99 @@ class Index:
                 found.append((len(codes), name, codes))
         found.sort(key=lambda x: x[:2])
         codes = np.unique(np.concatenate([c for _, _, c in found])) if found else np.empty(0, np.uint64)
-        return Index([n for _, n, _ in found], [c for _, _, c in found], np.array([k for k, _, _ in found], int), codes)
-
-    def candidates(self, size: int, threshold: float) -> range:
-        """Templates whose size allows the threshold against a unit of ``size`` bigrams."""
-        factor = (2 - threshold) / threshold
-        return range(int(np.searchsorted(self.sizes, size / factor - 1e-9)), int(np.searchsorted(self.sizes, size * factor + 1e-9, side="right")))
-
-
-def _breaks(data: bytes, empty: bool) -> np.ndarray:
-    """Offsets behind which a new line (or, after an empty line, a new paragraph) begins."""
-    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
-    if not empty:
-        return ends
-    return ends[1:][np.diff(ends) == 1]
+        member = np.array([np.isin(codes, c, assume_unique=True) for _, _, c in found]).reshape(len(found), len(codes))
+        return Index([n for _, n, _ in found], [c for _, _, c in found], np.array([k for k, _, _ in found], int), codes, member)
+
+
+def bounds(size: int, threshold: float) -> tuple[int, int, int]:
+    """For a template of ``size`` bigrams: fewest common ones, most distinct ones and most foreign ones of a span that reaches the threshold."""
+    return (int(np.ceil(threshold * size / (2 - threshold) - 1e-9)), int(size * (2 - threshold) / threshold + 1e-9),
+            int(2 * size * (1 - threshold) / threshold + 1e-9))
+
+
+def _before(code: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The place of the same bigram before each place of a text, -1 without one."""
+    order = np.argsort(code, kind="stable")
+    same = (code[order[1:]] == code[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+    before = np.full(len(code), -1)
+    before[order[1:][same]] = order[:-1][same]
+    return before
+
+
+def _grown(own: np.ndarray, before: np.ndarray, size: int, threshold: float) -> Iterator[tuple[float, int, int]]:
+    """(score, first, last bigram) of the best span from every place in ``own``, the places of a template's bigrams."""
+    low, high = int(own[0]), int(own[-1])
+    ours = np.zeros(high - low + 1, bool)
+    ours[own - low] = True
+    seen, most = before[low:high + 1], bounds(size, threshold)[1]
+    for begin in own.tolist():
+        width = 4 * size + 8
+        while True:  # until nothing more can be won: all bigrams of the template, too many distinct ones, or the end
+            end = min(begin + width, high + 1)
+            new = seen[begin - low:end - low] < begin
+            distinct = np.cumsum(new)
+            last = np.flatnonzero(new & ours[begin - low:end - low])
+            if end > high or distinct[-1] > most or len(last) == size:
+                break
+            width *= 2
+        common, all_ = np.arange(1, len(last) + 1), distinct[last] + size
+        best = int(np.argmax(common / all_))
+        if 200 * common[best] >= round(100 * threshold) * all_[best]:
+            yield float(2 * common[best] / all_[best]), begin, begin + int(last[best])
+
+
+def spans(code: np.ndarray, text: np.ndarray, index: Index, threshold: float) -> list[tuple[float, str, int, int]]:
+    """(-score, template, first, last bigram) of the best span from every place that has one."""
+    out: list[tuple[float, str, int, int]] = []
+    if not len(index.codes) or not len(code):
+        return out
+    which = np.minimum(np.searchsorted(index.codes, code), len(index.codes) - 1)
+    hits = np.flatnonzero(index.codes[which] == code)
+    which = which[hits]
+    before = _before(code, text)
+    apart = np.where(before < 0, len(code), np.arange(len(code)) - before)
+    fresh: dict[int, np.ndarray] = {}
+    for k, (name, size) in enumerate(zip(index.names, index.sizes.tolist())):
+        need, _, foreign = bounds(size, threshold)
+        at = hits[index.member[k, which]]
+        if len(at) < need:
+            continue
+        # A gap is surely too wide if more than ``foreign`` of its first bigrams do not occur before in it.
+        width = 2 * foreign + 2
+        if width not in fresh:
+            fresh[width] = np.concatenate([[0], np.cumsum(apart >= width)])
+        head = at[:-1] + 1
+        wide = (at[1:] - head >= width) & (fresh[width][np.minimum(head + width, len(code))] - fresh[width][head] > foreign)
+        heads = np.concatenate([[0], np.flatnonzero(wide | (text[at[1:]] != text[at[:-1]])) + 1])
+        tails = np.concatenate([heads[1:], [len(at)]])
+        distinct = np.add.reduceat((before[at] < np.repeat(at[heads], tails - heads)).astype(np.int64), heads)
+        for g in np.flatnonzero(distinct >= need).tolist():
+            out += [(-score, name, a, b) for score, a, b in _grown(at[heads[g]:tails[g]], before, size, threshold)]
+    return out
 
 
 def _slice(texts: list[bytes], index: Index, threshold: float) -> tuple[list[int], list[list[dict]]]:
     w = tc.Words(texts, tc.NORMAL)
-    n_units, matches = np.zeros(len(texts), int), [[] for _ in texts]
+    matches: list[list[dict]] = [[] for _ in texts]
     code, text, first = w.windows(2)
-    known = np.zeros(len(code), bool)
-    if len(index.codes) and len(code):
-        at = np.minimum(np.searchsorted(index.codes, code), len(index.codes) - 1)
-        known = index.codes[at] == code
-    owner = np.searchsorted(w.first, np.arange(len(w.begin)), side="right") - 1
-    seen: set[tuple[int, int, int]] = set()
-    for kind, cuts in (("line", _breaks(w.raw, False)), ("paragraph", _breaks(w.raw, True)), ("text", np.empty(0, np.int64))):
-        unit = np.searchsorted(cuts, w.begin) + owner  # both ascend, so their sum tells units apart
-        new = np.r_[True, unit[1:] != unit[:-1]] if len(unit) else np.empty(0, bool)
-        heads = np.flatnonzero(new)
-        n_units += np.bincount(owner[heads], minlength=len(texts))
-        inside = unit[first] == unit[first + 1] if len(first) else np.empty(0, bool)
-        touched = np.unique(np.searchsorted(heads, first[inside & known], side="right") - 1)
-        tails = np.r_[heads[1:], len(unit)]
-        for u in touched.tolist():
-            a, b = int(heads[u]), int(tails[u])
-            span = (int(owner[a]), a, b)
-            # Distinct bigrams are at most b - a - 1; at least as many are needed as the smallest template allows.
-            if span in seen or b - a - 1 < index.sizes[0] * threshold / (2 - threshold) - 1e-9:
-                continue
-            seen.add(span)
-            x, y = np.searchsorted(first, [a, b - 1])
-            own = np.unique(code[x:y])
-            best = None
-            for k in index.candidates(len(own), threshold):
-                common = int(np.isin(own, index.sets[k], assume_unique=True).sum())
-                score = 2 * common / (len(own) + len(index.sets[k]))
-                if score >= threshold and (best is None or (-score, index.names[k]) < best[:2]):
-                    best = (-score, index.names[k])
-            if best:
-                raw, begin = texts[span[0]], int(w.offset[span[0]])
-                b0, e0 = int(w.begin[a]) - begin, int(w.end[b - 1]) - begin
-                matches[span[0]].append({"license": best[1], "score": -best[0], "kind": kind,
-                                         "begin": len(raw[:b0].decode("utf-8", "replace")), "end": len(raw[:e0].decode("utf-8", "replace"))})
-    return n_units.tolist(), matches
+    taken = np.zeros(len(w.begin), bool)
+    for score, name, a, b in sorted(spans(code, text, index, threshold)):
+        one, two = int(first[a]), int(first[b]) + 1
+        if taken[one:two + 1].any():
+            continue
+        taken[one:two + 1] = True
+        i = int(text[a])
+        begin, end = int(w.begin[one] - w.offset[i]), int(w.end[two] - w.offset[i])
+        matches[i].append({"license": name, "score": -score, "begin": len(texts[i][:begin].decode("utf-8", "replace")),
+                           "end": len(texts[i][:end].decode("utf-8", "replace"))})
+    return np.diff(w.first).tolist(), matches
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, text_col: str = "text",
          keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all columns unless given) with n_units (units with words) and matches: best template, score, place, kind.
+    """``keep`` (all columns unless given) with n_words and matches: template, score and place (characters), best first.
 
-    A unit that is a line, a paragraph and a text at once is counted thrice and matched once. Columns of ``docs`` that are
-    called like the two are replaced.
+    Columns of ``docs`` that are called like the two are replaced.
     """
     small_batches(docs.sparkSession)
     index = Index.of(templates)
@@ -166,9 +232,9 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_units, n_matches, license and score of the best match (ties: smaller name), its place in the text."""
+    """doc_id, n_words, n_matches, license and score of the best match (ties: smaller name), its place in the text."""
     out = scan(docs, keep=["doc_id"])
     best = F.array_min(F.transform("matches", lambda m: F.struct(
         (-m["score"]).alias("s"), m["license"].alias("license"), m["begin"].alias("begin"), m["end"].alias("end"))))
-    return out.select("doc_id", "n_units", F.size("matches").cast("long").alias("n_matches"), best["license"].alias("license"),
+    return out.select("doc_id", "n_words", F.size("matches").cast("long").alias("n_matches"), best["license"].alias("license"),
                       F.round(-best["s"], 6).alias("score"), best["begin"].alias("begin"), best["end"].alias("end"))

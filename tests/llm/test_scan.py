@@ -22,33 +22,57 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def bigrams(data):
     w = odd.plain_words(data)
-    return {(a, b) for a, b in zip(w, w[1:])}
+    return list(zip(w, w[1:]))
+
+
+SETS = {name: set(bigrams(t)) for name, t in licenses.TEMPLATES.items()}
 
 
 def best_of(unit):
-    own = bigrams(unit)
+    own = set(bigrams(unit))
     found = []
-    for name, template in licenses.TEMPLATES.items():
-        other = bigrams(template)
+    for name, other in SETS.items():
         score = 2 * len(own & other) / (len(own) + len(other)) if own else 0
         if score >= licenses.THRESHOLD:
             found.append((-score, name))
     return min(found, default=None)
 
 
-def license_rows(docs):
-    """(doc_id, units with words, best license, score) by comparing every unit with every template."""
-    out = []
-    for d, text in docs:
-        units = []
-        if text is not None:
-            units = [*text.split("\n"), *re.split("\n\n+", text), text]
-        units = [u for u in units if odd.plain_words(u)]
-        best = min((b for b in map(best_of, units) if b), default=(None, None))
-        out.append((d, len(units), best[1], best[0] and round(-best[0], 6)))
+def unit_matches(text):
+    """The best template of the lines, paragraphs and the text as they stand: what a scan by layout would find."""
+    units = [*text.split("\n"), *re.split("\n\n+", text), text] if text else []
+    return min((b for b in map(best_of, units) if b), default=None)
+
+
+def span_matches(text, sets):
+    """(template, score, first word, last word) by trying every span of words for every template."""
+    pairs, found = bigrams(text), []
+    for name, other in sets.items():
+        for i, p in enumerate(pairs):
+            if p not in other:
+                continue
+            own, best = set(), None
+            for j in range(i, len(pairs)):
+                own.add(pairs[j])
+                if pairs[j] in other:
+                    score = 2 * len(own & other) / (len(own) + len(other))
+                    if best is None or score > best[0]:
+                        best = (score, j)
+            if best[0] >= licenses.THRESHOLD - 1e-12:
+                found.append((-best[0], name, i, best[1] + 1))
+    taken, out = set(), []
+    for score, name, a, b in sorted(found):
+        if not taken & set(range(a, b + 1)):
+            taken |= set(range(a, b + 1))
+            out.append((name, round(-score, 9), a, b))
     return out
 
 
+def words_at(text):
+    """(begin, end) of every word, in characters."""
+    return [(m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)]
+
+
 def licensed(spark):
     t = licenses.TEMPLATES
     wrapped = "Intro line\n\n" + t["MIT"].replace(". ", ".\n") + "\n\nlast words here"
@@ -61,23 +85,89 @@ def licensed(spark):
     return spark.createDataFrame(odd.rows(texts), odd.SCHEMA)
 
 
+def found_in(text, templates=licenses.TEMPLATES, threshold=licenses.THRESHOLD):
+    return licenses._slice([b"before", (text or "").encode(), b"after"], licenses.Index.of(templates), threshold)[1][1]
+
+
 def test_licenses_are_those_of_brute_force(spark):
-    for docs in (licensed(spark), odd.documents(spark), spark.read.parquet(f"{SF}/documents.parquet")):
-        got = licenses.digest(docs).select("doc_id", "n_units", "license", "score").collect()
-        key = lambda r: str(tuple(r))
-        assert sorted(map(tuple, got), key=key) == sorted(license_rows(odd.pairs(docs)), key=key)
+    for docs in (licensed(spark), odd.documents(spark), spark.read.parquet(f"{SF}/documents.parquet").limit(400)):
+        for r in licenses.scan(docs, keep=["doc_id", "text"]).collect():
+            text = r["text"] or ""
+            at = words_at(text)
+            assert r["n_words"] == len(at)
+            unit = unit_matches(text)  # whatever stands as a line, paragraph or text is found at least as well
+            if unit:
+                assert r["matches"] and r["matches"][0]["score"] >= -unit[0] - 1e-9
+            if len(at) < 1500:
+                wanted = [(n, s, at[a][0], at[b][1]) for n, s, a, b in span_matches(text, SETS)]
+                assert [(m["license"], round(m["score"], 9), m["begin"], m["end"]) for m in r["matches"]] == wanted
     found = licenses.scan(licensed(spark)).filter("doc_id = 100").first()
     assert found["text"][found["matches"][0]["begin"]:found["matches"][0]["end"]] == licenses.TEMPLATES["MIT-short"][:-1]
     assert licenses.digest(odd.empty(spark)).count() == 0
-
-
-def test_license_size_bounds_drop_no_template():
-    index = licenses.Index.of(licenses.TEMPLATES)
-    for size in range(1, 400):
-        inside = set(index.candidates(size, 0.8))
-        for k, other in enumerate(index.sizes.tolist()):
-            reachable = 2 * min(size, other) / (size + other) >= 0.8
-            assert (k in inside) == reachable
+    rows = licenses.digest(odd.documents(spark)).filter("doc_id = 4").collect()
+    assert [tuple(r)[1:4] for r in rows] == [(0, 0, None)]
+
+
+def test_license_spans_of_random_texts_are_those_of_all_spans():
+    rng = np.random.default_rng(11)
+    templates = {"a": "one two three four five six seven eight", "b": "two three four nine", "c": "six six seven six eight one two", "d": "x"}
+    sets = {n: set(bigrams(t)) for n, t in templates.items() if bigrams(t)}
+    vocabulary = [*"one two three four five six seven eight nine ten eleven".split()]
+    hits = 0
+    for trial in range(600):
+        words = []
+        while len(words) < 60:
+            kind = rng.integers(4)
+            if kind == 0:
+                words += [w for w in templates["abc"[rng.integers(3)]].split() if rng.random() < 0.93]
+            elif kind == 1:  # filler, repeated so that wide gaps hold few distinct bigrams
+                words += ["ten", "eleven"] * int(rng.integers(1, 12))
+            else:
+                words += list(rng.choice(vocabulary, rng.integers(1, 6)))
+        text = " ".join(words)
+        at = words_at(text)
+        wanted = [(n, s, at[a][0], at[b][1]) for n, s, a, b in span_matches(text, sets)]
+        got = [(m["license"], round(m["score"], 9), m["begin"], m["end"]) for m in found_in(text, templates)]
+        assert got == wanted, text
+        hits += len(got)
+    assert hits > 300
+
+
+def test_licenses_in_the_usual_layouts():
+    t = licenses.TEMPLATES
+    other = " ".join(f"word{i % 307} text{i % 11}" for i in range(400))
+    mit = t["MIT"]
+    cut = [mit.index("The above"), mit.index("THE SOFTWARE IS")]
+    paragraphs = [mit[:cut[0]], mit[cut[0]:cut[1]], mit[cut[1]:]]
+
+    def wrapped(text, mark="", end="\n"):
+        w = text.split()
+        return end.join(mark + " ".join(w[i:i + 9]) for i in range(0, len(w), 9))
+
+    layouts = [
+        ("MIT", f"{other}\n\n" + "\n\n".join(paragraphs) + f"\n\n{other}"), ("MIT", f"{other}\n{wrapped(mit)}\nint main() {{ {other} }}"),
+        ("MIT", f"{other}\r\n\r\n" + "\r\n\r\n".join(wrapped(p, end="\r\n") for p in paragraphs) + f"\r\n{other}"),
+        ("MIT", f"{other}\n \n" + "\n \n".join(paragraphs) + f"\n\t\n{other}"), ("Apache-2.0-header", wrapped(t["Apache-2.0-header"], "# ") + "\n" + other),
+        ("Apache-2.0-header", f"/*\n{wrapped(t['Apache-2.0-header'], ' * ')}\n */\n{other}"), ("BSD-3-Clause", other + wrapped(t["BSD-3-Clause"], "// ") + "\n" + other),
+        ("MIT-short", f"{other} This dataset is released under the MIT License by the authors. {other}"), ("MPL-2.0-header", wrapped(t["MPL-2.0-header"], "-- ") + other),
+    ]
+    for name, text in layouts:
+        found = found_in(text)
+        assert [m["license"] for m in found] == [name], (name, found)
+        assert found[0]["score"] > 0.85
+    both = found_in(f"{other}\n{mit}\n{other}\n{t['ISC']}\n{other}\n{mit}")
+    assert sorted(m["license"] for m in both) == ["ISC", "MIT", "MIT"]
+    assert found_in(other * 3) == [] and found_in("") == [] and found_in(None) == []
+    assert [m["license"] for m in found_in((t["ISC"] + " ") * 40)] == ["ISC"] * 40
+
+
+def test_license_size_bounds_drop_no_span():
+    for size in range(1, 200):
+        need, most, foreign = licenses.bounds(size, 0.8)
+        for common in range(size + 1):
+            for others in (0, 1, foreign, foreign + 1, 2 * size):
+                if 2 * common / (common + others + size) >= 0.8:
+                    assert common >= need and common + others <= most and others <= foreign
 
 
 # ---- Voronoi join -------------------------------------------------------------------------------------------------------
