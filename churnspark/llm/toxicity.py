@@ -9,8 +9,12 @@ A hit is scored in its window of ``CONTEXT`` words on either side: hits that sta
 hits inside quotation marks are summed apart (quotation). A logistic regression over these sums and the length gives the
 score. Neither labels nor language, source or id are inputs of a score.
 
-Only the fit uses a sample, at most ``SAMPLE`` labelled documents of each class, chosen by the hash of their id; lexicon
-(``MOST_TERMS``) and automaton are therefore bounded and go to the tasks. Every text is scored whole, without a shuffle.
+Every term that passes the tests is in the lexicon. Tries are dealt out by ``TRIE_LETTERS``, an automaton each, so that a large
+lexicon costs its size. Terms shorter than ``FUZZY_FROM`` letters are within one edit of many ordinary words: such a hit counts
+only if the word is not one of several clean documents itself, and has a sum of its own in the score.
+
+Only the fit uses a sample, at most ``SAMPLE`` labelled documents of each class, chosen by the hash of their id; lexicon and
+automata are therefore bounded and go to the tasks. Every text is scored whole, without a shuffle.
 
 Rules for odd rows: a null text is an empty text and gets the score of a text without words; labels that are null are no
 labels, a document with several labels counts with each; without labels of both classes every score is 0.5.
@@ -33,7 +37,7 @@ from churnspark.llm.textcode import chunks
 
 THRESHOLD = 0.7
 SAMPLE = 4000
-MOST_TERMS = 160
+TRIE_LETTERS = 1200
 LEAST_DOCS = 6
 LEAST_ODDS = 1.2
 STEM = (4, 9)
@@ -147,15 +151,27 @@ class Model:
     stems: list[str] = field(default_factory=list)
     weight: np.ndarray = field(default_factory=lambda: np.zeros(0))  # of words, then of stems
     coef: np.ndarray | None = None
-    exact: list[Automaton] = field(default_factory=list)
+    known: set[str] = field(default_factory=set)  # ordinary words within one edit of a short term
+    automata: list[tuple[Automaton, int]] = field(default_factory=list)  # with the number of the first term
 
     def build(self) -> Model:
-        fuzzy = [w for w in self.words if len(w) >= FUZZY_FROM]
-        short = [w for w in self.words if len(w) < FUZZY_FROM]
-        self.words = fuzzy + short
-        self.exact = [Automaton.of(fuzzy, EDITS, False), Automaton.of(short, 0, False), Automaton.of(self.stems, 0, True)]
+        """Orders the terms and makes their automata."""
+        self.words = sorted(self.words)
+        self.stems = sorted(self.stems)
+        self.automata = []
+        for terms, edits, stems, first in ((self.words, EDITS, False, 0), (self.stems, 0, True, len(self.words))):
+            begin = size = 0
+            for k in range(len(terms) + 1):
+                if k > begin and (k == len(terms) or size + len(terms[k]) > TRIE_LETTERS):
+                    self.automata.append((Automaton.of(terms[begin:k], edits, stems), first + begin))
+                    begin, size = k, 0
+                size += len(terms[k]) if k < len(terms) else 0
         return self
 
+    def short(self) -> np.ndarray:
+        """Which terms are short words."""
+        return np.array([len(w) < FUZZY_FROM for w in self.words] + [False] * len(self.stems), bool)
+
 
 def _joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of lower-cased texts, separated by a line end, and the offset of every text."""
@@ -190,20 +206,20 @@ def find(texts: list[str | None], model: Model) -> Hits:
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     begin, end = edges[::2], edges[1::2]
     first = np.searchsorted(begin, offset)
-    parts, shift = [], 0
-    for a, size in zip(model.exact, (sum(len(w) >= FUZZY_FROM for w in model.words),
-                                     sum(len(w) < FUZZY_FROM for w in model.words), len(model.stems))):
-        if size:
-            state = a.run(points, begin, end)
-            at = np.flatnonzero(a.term[state] >= 0)
-            parts.append((at, a.term[state[at]] + shift, a.edits[state[at]]))
-        shift += size
+    parts = []
+    for a, shift in model.automata:
+        state = a.run(points, begin, end)
+        at = np.flatnonzero(a.term[state] >= 0)
+        parts.append((at, a.term[state[at]] + shift, a.edits[state[at]]))
     at, term, edits = (np.concatenate(c) for c in zip(*parts)) if parts else (np.empty(0, np.int64),) * 3
-    # A word that is a term itself is not counted as a stem as well.
-    stem = term >= len(model.words)
-    keep = ~(stem & np.isin(at, at[~stem]))
-    at, term, edits = at[keep], term[keep], edits[keep]
-    order = np.argsort(at, kind="stable")
+    near = model.short()[term] & (edits > 0) if len(term) else np.empty(0, bool)
+    common = np.zeros(len(at), bool)
+    for k in np.flatnonzero(near).tolist():
+        common[k] = "".join(map(chr, points[begin[at[k]]:end[at[k]]].tolist())) in model.known
+    at, term, edits, near = at[~common], term[~common], edits[~common], near[~common]
+    # One hit a word: a term, then its misspelling, then a stem, then what is near a short term.
+    order = np.lexsort((term, edits, np.where(near, 2, term >= len(model.words)), at))
+    order = order[np.concatenate([[True], at[order][1:] != at[order][:-1]])] if len(order) else order
     at, term, edits = at[order], term[order], edits[order]
     text = np.searchsorted(first, at, side="right") - 1
     # Inside quotation marks: an odd number of marks since the beginning of the line.
@@ -218,9 +234,11 @@ def features(h: Hits, model: Model) -> np.ndarray:
     n = len(h.n_words)
     w = model.weight[h.term] if len(h.term) else np.zeros(0)
     stem, fuzzy = h.term >= len(model.words), h.edits > 0
+    short = fuzzy & model.short()[h.term] if len(h.term) else fuzzy
+    fuzzy &= ~short
     # Weight of the hits in the window around each hit, itself included.
     place = h.text * (1 << 32) + h.word
-    total = np.concatenate([[0.0], np.cumsum(w)])
+    total = np.concatenate([[0.0], np.cumsum(np.where(short, 0.0, w))])
     near = (total[np.searchsorted(place, place + CONTEXT, side="right")]
             - total[np.searchsorted(place, place - CONTEXT, side="left")])
 
@@ -232,14 +250,14 @@ def features(h: Hits, model: Model) -> np.ndarray:
         np.maximum.at(out, h.text[mask], value[mask])
         return out
 
-    direct = ~stem & ~fuzzy & ~h.quoted
+    direct = ~stem & ~fuzzy & ~short & ~h.quoted
     length = np.log1p(h.n_words)
     stems = sums(stem & ~h.quoted, w)
     columns = [
         np.log1p(sums(direct, w)), most(direct, near) > 0, np.log1p(sums(fuzzy & ~h.quoted, w)),
         np.log1p(stems), np.log1p(most(stem & ~h.quoted, near)), np.log1p(sums(h.quoted, w)),
         np.log1p(100 * stems / np.maximum(h.n_words, 1)), np.log1p(most(direct, near)), length, length * np.log1p(stems),
-        np.log1p(stems) ** 2, np.ones(n),
+        np.log1p(stems) ** 2, np.log1p(sums(short & ~h.quoted, w)), np.ones(n),
     ]
     return np.stack([np.asarray(c, float) for c in columns], axis=1)
 
@@ -261,22 +279,30 @@ def fitted(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1.
 
 
 def lexicon(counts: pd.DataFrame, toxic: int, clean: int) -> Model:
-    """Terms with the highest significance among those that are common enough and tell the classes apart."""
+    """All terms that are common enough and tell the classes apart; of stems that begin alike the most significant one."""
     c = counts[counts["toxic"] >= LEAST_DOCS].copy()
     a, b = c["toxic"].to_numpy(float), c["clean"].to_numpy(float)
     c["odds"] = np.log((a + 0.5) / (toxic + 1)) - np.log((b + 0.5) / (clean + 1))
     c["z"] = c["odds"] / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
     c = c[(c["odds"] >= LEAST_ODDS) & (c["z"] >= 3)].sort_values(["z", "term"], ascending=[False, True])
-    words = c[~c["stem"]].head(MOST_TERMS)
-    stems, taken = [], []
+    words = c[~c["stem"]]
+    stems, begun = {}, set()
     for r in c[c["stem"]].itertuples():
-        if len(stems) < MOST_TERMS and not any(r.term.startswith(s) or s.startswith(r.term) for s in taken):
-            taken.append(r.term)
-            stems.append(r.odds)
-    m = Model(words=list(words["term"]), stems=taken)
+        beginnings = {r.term[:k] for k in range(1, len(r.term) + 1)}
+        if r.term not in begun and not beginnings & stems.keys():
+            stems[r.term] = r.odds
+            begun |= beginnings
     weight = dict(zip(words["term"], words["odds"]))
-    m.build()
-    m.weight = np.array([weight[w] for w in m.words] + stems)
+    m = Model(words=list(weight), stems=list(stems)).build()
+    m.weight = np.array([weight[w] for w in m.words] + [stems[t] for t in m.stems])
+    short = [w for w in m.words if len(w) < FUZZY_FROM]
+    ordinary = counts[~counts["stem"] & (counts["clean"] >= LEAST_DOCS) & (counts["term"].str.len() <= FUZZY_FROM)]["term"]
+    ordinary = sorted(set(ordinary) - set(short))
+    if short and ordinary:
+        points, offset = _joined(ordinary)
+        near = Automaton.of(short, EDITS, False)
+        state = near.run(points, offset[:-1], offset[1:] - 1)
+        m.known = {ordinary[k] for k in np.flatnonzero(near.term[state] >= 0)}
     return m
 
 
@@ -315,8 +341,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     counts = sample.mapInPandas(count, "term string, stem boolean, toxic long, clean long")
     counts = counts.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    # Terms of at least LEAST_DOCS sampled toxic documents: their number follows the size of the sample.
-    got = counts.filter((F.col("toxic") >= LEAST_DOCS) | (F.col("term") == "")).toPandas()
+    # Terms of at least LEAST_DOCS sampled toxic documents, or short ones of as many clean ones: their number follows the sample.
+    near_short = ~F.col("stem") & (F.length("term") <= FUZZY_FROM) & (F.col("clean") >= LEAST_DOCS)
+    got = counts.filter((F.col("toxic") >= LEAST_DOCS) | near_short | (F.col("term") == "")).toPandas()
     head = got[got["term"] == ""]
     model = lexicon(got[got["term"] != ""], int(head["toxic"].sum()), int(head["clean"].sum()))
 

@@ -257,6 +257,37 @@ def test_quotation_and_places():
     assert set(h.text.tolist()) == {1} and h.n_words.tolist() == [0, 10, 0]
 
 
+def test_large_lexicons_and_short_terms():
+    rng = np.random.default_rng(5)
+    letters = list("abcdefghijklmnop")
+    words = sorted({"".join(rng.choice(letters, rng.integers(5, 10))) for _ in range(1000)} | {"scum", "jerk"})
+    m = toxicity.Model(words=words, stems=["quzz"]).build()
+    m.weight = np.ones(len(words) + 1)
+    assert m.words == words and len(m.automata) > 5
+    m.known = {"perk"}
+    wrong = [w[:2] + "z" + w[3:] for w in words[::50] if len(w) > 4]
+    text = " ".join([*words, *wrong, "scun", "perk", "quzzical", "nothing"])
+    h = toxicity.find([text], m)
+    found = {(text[b:e]): ((m.words + ["quzz*"])[t], k) for b, e, t, k in zip(h.begin, h.end, h.term, h.edits)}
+    assert len(h.word) == len(set(h.word.tolist()))
+    for w in words:
+        assert found[w] == (w, 0)
+    for w in wrong:
+        best = min((distance(w, t), t) for t in words)
+        assert found[w] == (best[1], best[0])
+    assert found["scun"] == ("scum", 1) and found["quzzical"] == ("quzz*", 0) and "perk" not in found and "nothing" not in found
+
+
+def test_no_term_that_passes_the_tests_is_left_out():
+    rows = [(f"{c}{k}", False, 20 + k % 7, 1) for c in ("word", "abc") for k in range(600)] + [("scum", False, 40, 0), ("scud", False, 2, 30)]
+    rows += [(f"st{k:03d}", True, 30, 0) for k in range(500)] + [("st", True, 20, 0), ("st001x", True, 10, 0), ("the", False, 90, 900), ("rare", False, 5, 0)]
+    m = toxicity.lexicon(toxicity.pd.DataFrame(rows, columns=["term", "stem", "toxic", "clean"]), 100, 1000)
+    assert len(m.words) == 1201 and len(m.stems) == 500 and len(m.weight) == 1701 and m.known == {"scud"}
+    for k, t in enumerate(m.words + m.stems):
+        a, b = next((r[2], r[3]) for r in rows if r[0] == t)
+        assert m.weight[k] == pytest.approx(math.log((a + 0.5) / 101) - math.log((b + 0.5) / 1001))
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
