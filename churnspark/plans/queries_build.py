@@ -133,6 +133,19 @@ def align_features(t: Tables) -> DataFrame:
     return clean.align_features(t.model_table.drop("gender", "bd", "listen_full_share").withColumn("extra", F.lit(1)))
 
 
+@query("clean_features", oracle(
+    "SELECT msno, " + ", ".join(
+        "gender" if f == "gender" else r6(f"CASE WHEN msno % 97 = 5 THEN 0 ELSE coalesce({f}, 0) END" if f == "total_secs_sum" else f"coalesce({f}, 0)", f)
+        for f in C.FEATURES) + " FROM model_table", "model_table"))
+def clean_features(t: Tables) -> DataFrame:
+    """The features a table has, found by name and type, with NULL, NaN and infinities as 0."""
+    secs = F.when(F.col(C.KEY) % 97 == 5, float("inf")).otherwise(F.col("total_secs_sum"))
+    rows = t.model_table.withColumn("total_secs_sum", secs).withColumn("built_on", F.current_date())
+    found = clean.feature_columns(rows)
+    numbers = [f for f in found if f != "gender"]
+    return encode.clean_numeric(rows, numbers).select(C.KEY, *found)
+
+
 @query("missing_guardrail", oracle(
     """SELECT m.msno, CAST(n AS INT) AS n_missing, n > 19 AS mostly_missing FROM (
       SELECT t.msno, (CASE WHEN m.msno IS NULL THEN 4 ELSE 0 END) + (CASE WHEN m.bd IS NULL THEN 1 ELSE 0 END)
