@@ -370,3 +370,14 @@ def test_rolling_distinct(spark):
     got = sorted(map(tuple, distinct.rolling_distinct(days, ["msno"], 3).collect()))
     assert got == [(20240228, 1), (20240229, 2), (20240301, 2), (20240309, 1), (20240310, 1)]
     assert distinct.rolling_distinct(days.limit(0), ["msno"]).count() == 0
+
+
+def test_rolling_counts_are_exact_beyond_a_sketch(spark):
+    """More users than a sketch holds; gaps, days without rows, a NULL user, a user without a date, and nothing at all."""
+    n = 3 * 2 ** distinct.LG
+    rows = spark.range(n).select(F.col("id").alias("msno"), F.expr("CAST(20240227 + id % 3 AS INT)").alias("date"))
+    more = spark.createDataFrame([(1, 20240305), (1, 20240308), (1, 20240308), (None, 20240308), (None, 20240401), (7, None)], "msno long, date int")
+    got = {r.date: r.msno_nunique for r in distinct.rolling_exact(rows.unionByName(more), "msno").collect()}
+    third = n // 3
+    assert got == {20240227: third, 20240228: 2 * third, 20240229: n, 20240305: 2 * third, 20240308: 1, 20240401: 0, None: 0}
+    assert distinct.rolling_exact(rows.limit(0), "msno").count() == 0
