@@ -101,16 +101,54 @@ def boosted_trees(**params) -> Estimator:
     return GBTClassifier(**({"maxDepth": 10, "labelCol": C.LABEL, "seed": 42} | CHAMPION | params))
 
 
+def evenly(df: DataFrame) -> DataFrame:
+    """The rows in equal parts, one for each core: every pass of a fit is one round of equal tasks, whatever files they came in."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def counts_as_rows(estimator: Estimator) -> bool:
+    """Whether a row of weight n is to the estimator what n equal rows are. Resampling draws rows, and the least number of rows
+    of a node counts them unweighted."""
+    if isinstance(estimator, LogisticRegression):
+        return True
+    if isinstance(estimator, RandomForestClassifier) and estimator.getBootstrap():
+        return False
+    trees = isinstance(estimator, (DecisionTreeClassifier, RandomForestClassifier, GBTClassifier))
+    return trees and estimator.getMinInstancesPerNode() == 1 and (isinstance(estimator, DecisionTreeClassifier) or estimator.getSubsamplingRate() == 1)
+
+
+def _merged(rows: DataFrame, estimator: Estimator) -> tuple[DataFrame, Estimator]:
+    """Equal rows as one whose weight is their number, or their sum of weights."""
+    weighted = estimator.hasParam("weightCol") and estimator.isDefined("weightCol")
+    name = estimator.getOrDefault("weightCol") if weighted else "_n"
+    each = F.col(name) * F.col("_rows") if weighted else F.col("_rows").cast("double")
+    merged = stage(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_rows")).withColumn(name, each).drop("_rows"), "merged")
+    if merged.limit(2).count() < 2:  # trees take no more bins than rows, and need two
+        return rows, estimator
+    return merged, estimator.copy({estimator.weightCol: name})
+
+
+def _prepared(train: DataFrame, columns: Sequence[str], features: Sequence[str], scale: bool = False) -> tuple[DataFrame, PipelineModel]:
+    """The training rows, written once, and the fitted feature stages."""
+    rows = stage(evenly(as_model_input(train.select(*columns), features)), "train")
+    strings = string_features(rows, features)
+    return rows, Pipeline(stages=feature_stages([f for f in features if f not in strings], strings, scale)).fit(rows)
+
+
 def fit(train: DataFrame, estimator: Estimator, features: Sequence[str] = tuple(C.FEATURES),
         scale: bool = False) -> PipelineModel:
-    """Fit features and model together. The prepared table is written once, so iterations do not rebuild it."""
+    """Fit features and model together. The prepared table is written once, so iterations do not rebuild it.
+
+    When all features are strings, many rows are equal: iterations then go over the different ones, weighted by their numbers.
+    """
     columns = [*features, C.LABEL]
     if estimator.hasParam("validationIndicatorCol") and estimator.isDefined("validationIndicatorCol"):
         columns.append(estimator.getOrDefault("validationIndicatorCol"))
-    rows = stage(as_model_input(train.select(*columns), features), "train")
-    strings = string_features(rows, features)
-    stages = feature_stages([f for f in features if f not in strings], strings, scale)
-    return Pipeline(stages=[*stages, estimator]).fit(with_balanced_weight(rows, C.LABEL))
+    rows, prepared = _prepared(train, columns, features, scale)
+    weighted = with_balanced_weight(rows, C.LABEL)
+    if len(string_features(rows, features)) == len(features) and counts_as_rows(estimator):
+        weighted, estimator = _merged(weighted, estimator)
+    return PipelineModel([*prepared.stages, estimator.fit(prepared.transform(weighted))])
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (C.KEY,),
@@ -186,7 +224,8 @@ def _trees(nodes: DataFrame, begin: int, end: int, weights: Sequence[float]) ->
     trees = []
     for tree in range(begin, end):
         part = rows[rows.treeID == tree].sort_values("id")
-        left, right, count = (part[c].to_numpy(int) for c in ("leftChild", "rightChild", "rawCount"))
+        left, right = (part[c].to_numpy(int) for c in ("leftChild", "rightChild"))
+        count = part["impurityStats"].str[0].to_numpy(float)  # the sum of weights: a merged row stands for several
         share = np.ones(len(part))  # of the parent's training rows
         inner = np.flatnonzero(left >= 0)
         share[left[inner]], share[right[inner]] = count[left[inner]] / count[inner], count[right[inner]] / count[inner]

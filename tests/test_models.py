@@ -209,3 +209,31 @@ def test_halving_spends_its_budget_and_equals_fits_on_the_samples(spark, parts):
     for bad in ((trials, 0), ([], 1.0), ([trials[0], trials[0]], 1.0)):
         with pytest.raises(ValueError):
             models.halving_search(train, valid, *bad, features=FEATURES)
+
+
+@pytest.mark.parametrize("make", [
+    lambda: models.boosted_trees(maxIter=5, featureSubsetStrategy="all", minInstancesPerNode=1),
+    lambda: models.logistic_regression(tol=1e-12, maxIter=300), lambda: models.decision_tree(minInstancesPerNode=1),
+    lambda: models.random_forest(numTrees=3, minInstancesPerNode=1, bootstrap=False, featureSubsetStrategy="all")])
+def test_equal_rows_are_fitted_as_one(spark, table, monkeypatch, make):
+    """Fits on strings alone go over the different rows, with the scores of fits on all of them; others keep every row."""
+    rows = table.select("msno", "gender", F.when(F.col("txn_cnt") % 7 < 6, (F.col("txn_cnt") % 7).cast("string")).alias("kind"), "is_churn")
+    seen, merged = [], models._merged
+    monkeypatch.setattr(models, "_merged", lambda *a: seen.append(merged(*a)) or seen[-1])
+
+    def scores(*how):
+        fitted = models.fit(rows, make(), ["gender", "kind"], *how)
+        return [r.y_proba for r in models.score(fitted, rows, ["msno"], ["gender", "kind"]).orderBy("msno").collect()]
+
+    short = scores()
+    assert len(seen) == 1 and seen[0][0].count() <= 3 * 7 * 2
+    monkeypatch.setattr(models, "counts_as_rows", lambda _: False)
+    assert scores() == pytest.approx(short, abs=1e-6) and len(seen) == 1
+
+
+def test_rows_are_merged_only_where_weights_are_numbers_of_rows(spark, table):
+    assert not any(map(models.counts_as_rows, [models.random_forest(minInstancesPerNode=1), models.decision_tree(), models.boosted_trees(),
+                                               models.boosted_trees(minInstancesPerNode=1, subsamplingRate=0.5)]))
+    one = table.select(F.lit("x").alias("gender"), F.lit(1).alias("is_churn"))  # a single different row
+    model = models.fit(one, models.boosted_trees(maxIter=2, minInstancesPerNode=1), ["gender"])
+    assert models.score(model, one, ["is_churn"], ["gender"]).where("y_proba > 0.5").count() == 1500
