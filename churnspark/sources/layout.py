@@ -13,6 +13,8 @@ from churnspark import contract as C
 from churnspark.sources.staging import stage
 
 BUCKET_BYTES = 256 << 20
+# Buckets for each core at most, as long as they stay below BUCKET_BYTES: more would be tasks and files that cost more than their rows.
+CORE_BUCKETS = 8
 
 
 def stored_bytes(written: DataFrame) -> int:
@@ -25,6 +27,13 @@ def buckets_for(size: int, bucket_bytes: int = BUCKET_BYTES) -> int:
     return 1 << (max(1, -(-size // bucket_bytes)) - 1).bit_length()
 
 
+def buckets_on(spark: SparkSession, size: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """``buckets_for``, but not above ``CORE_BUCKETS`` for each core while a bucket then holds at most ``BUCKET_BYTES``: smaller
+    buckets grow with the table before their number does."""
+    enough = 1 << (CORE_BUCKETS * spark.sparkContext.defaultParallelism - 1).bit_length()
+    return min(buckets_for(size, bucket_bytes), max(enough, buckets_for(size)))
+
+
 def buckets_of(spark: SparkSession, table: str) -> int:
     """Buckets of a stored table; an error when it is not stored by key."""
     found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
@@ -49,7 +58,7 @@ def store_by_key(df: DataFrame, table: str, key: str = C.KEY, path: str | None =
     features, not for raw activity.
     """
     written = stage(df, "unbucketed")
-    buckets = buckets_of(df.sparkSession, like) if like else buckets_for(stored_bytes(written), bucket_bytes)
+    buckets = buckets_of(df.sparkSession, like) if like else buckets_on(df.sparkSession, stored_bytes(written), bucket_bytes)
     return _store(written, table, key, buckets, path)
 
 
@@ -57,7 +66,8 @@ def store_together(tables: dict[str, DataFrame], key: str = C.KEY, paths: dict[s
                    bucket_bytes: int = BUCKET_BYTES) -> int:
     """Stores several tables in equally many buckets, as many as the largest needs; returns their number."""
     written = {name: stage(df, "unbucketed") for name, df in tables.items()}
-    buckets = buckets_for(max(map(stored_bytes, written.values())), bucket_bytes)
+    spark = next(iter(written.values())).sparkSession
+    buckets = buckets_on(spark, max(map(stored_bytes, written.values())), bucket_bytes)
     for name, df in written.items():
         _store(df, name, key, buckets, (paths or {}).get(name))
     return buckets

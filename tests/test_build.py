@@ -381,3 +381,15 @@ def test_rolling_counts_are_exact_beyond_a_sketch(spark):
     third = n // 3
     assert got == {20240227: third, 20240228: 2 * third, 20240229: n, 20240305: 2 * third, 20240308: 1, 20240401: 0, None: 0}
     assert distinct.rolling_exact(rows.limit(0), "msno").count() == 0
+
+
+def test_small_buckets_grow_before_their_number_does(spark, tmp_path):
+    """A table of far more bytes than wanted buckets for each core: the number stays bounded up to full-sized buckets."""
+    cores = spark.sparkContext.defaultParallelism
+    most = 1 << (layout.CORE_BUCKETS * cores - 1).bit_length()
+    assert [layout.buckets_on(spark, n, 1 << 14) for n in (1 << 14, 1 << 16, 1 << 29, most << 28)] == [1, 4, most, most]
+    assert layout.buckets_on(spark, (most << 28) + 1, 1 << 14) == 2 * most == layout.buckets_for((most << 28) + 1)
+    rows = spark.range(3000).select(F.col("id").alias("msno"), F.xxhash64("id").alias("v"))
+    kept = layout.store_by_key(rows, "many_bytes", path=f"{tmp_path}/many_bytes", bucket_bytes=64)
+    assert layout.buckets_of(spark, "many_bytes") == most and kept.count() == 3000
+    assert layout.store_together({"many_too": rows}, paths={"many_too": f"{tmp_path}/many_too"}, bucket_bytes=64) == most
