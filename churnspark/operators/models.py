@@ -8,7 +8,8 @@ from itertools import combinations
 from math import factorial
 
 import numpy as np
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassificationModel,
@@ -27,7 +28,9 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,6 +131,52 @@ def _merged(rows: DataFrame, estimator: Estimator) -> tuple[DataFrame, Estimator
     return merged, estimator.copy({estimator.weightCol: name})
 
 
+# A forest keeps a row count and a node number in memory for every row and tree (8 bytes, 12 while a level is written). This
+# many pairs grow at once, about 3 GB over all executors; the other trees follow, one portion after another.
+FOREST_CELLS = 1 << 28
+
+
+class ForestVotes(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """The votes of forests that grew in portions, added up: the columns of the one forest of all their trees."""
+
+    parts = Param(Params._dummy(), "parts", "number of portions", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, parts: int = 1):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        columns = [f"rawPrediction_{i}" for i in range(self.getOrDefault("parts"))]
+        votes = vector_to_array(columns[0])
+        for c in columns[1:]:
+            votes = F.zip_with(votes, vector_to_array(c), lambda a, b: a + b)
+        total = F.aggregate("_votes", F.lit(0.0), lambda a, b: a + b)
+        out = dataset.withColumn("_votes", votes).withColumns({
+            "rawPrediction": array_to_vector("_votes"), "probability": array_to_vector(F.transform("_votes", lambda v: v / total)),
+            "prediction": (F.array_position("_votes", F.array_max("_votes")) - 1).cast("double")})
+        return out.drop("_votes", *columns, *[c.replace("rawPrediction", "probability") for c in columns])
+
+
+def forest_portions(rows: int, trees: int) -> list[int]:
+    """Trees of every portion: as equal as can be, and at most ``FOREST_CELLS`` cells each (a tree at least)."""
+    n = -(-trees // max(1, min(trees, FOREST_CELLS // max(1, rows))))
+    return [trees * (i + 1) // n - trees * i // n for i in range(n)]
+
+
+def _grown(ready: DataFrame, estimator: Estimator) -> list[Transformer]:
+    """The fitted estimator; a forest too large to grow at once, as its portions and the sum of their votes."""
+    sizes = forest_portions(ready.count(), estimator.getNumTrees()) if isinstance(estimator, RandomForestClassifier) else [0]
+    if len(sizes) == 1:
+        return [estimator.fit(ready)]
+    grown = []
+    for i, size in enumerate(sizes):
+        own = {estimator.numTrees: size, estimator.seed: estimator.getSeed() + i, estimator.rawPredictionCol: f"rawPrediction_{i}",
+               estimator.probabilityCol: f"probability_{i}", estimator.predictionCol: ""}
+        grown.append(estimator.copy(own).fit(ready))
+    return [*grown, ForestVotes(parts=len(sizes))]
+
+
 def _prepared(train: DataFrame, columns: Sequence[str], features: Sequence[str], scale: bool = False) -> tuple[DataFrame, PipelineModel]:
     """The training rows, written once, and the fitted feature stages."""
     rows = stage(evenly(as_model_input(train.select(*columns), features)), "train")
@@ -148,7 +197,7 @@ def fit(train: DataFrame, estimator: Estimator, features: Sequence[str] = tuple(
     weighted = with_balanced_weight(rows, C.LABEL)
     if len(string_features(rows, features)) == len(features) and counts_as_rows(estimator):
         weighted, estimator = _merged(weighted, estimator)
-    return PipelineModel([*prepared.stages, estimator.fit(prepared.transform(weighted))])
+    return PipelineModel([*prepared.stages, *_grown(prepared.transform(weighted), estimator)])
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (C.KEY,),
@@ -179,7 +228,8 @@ def slot_names(model: PipelineModel) -> list[str]:
 def model_importance(model: PipelineModel, df: DataFrame, top: int = 20,
                      features: Sequence[str] = tuple(C.FEATURES)) -> DataFrame:
     """Ranked importances of a tree model: at most as many rows as there are vector slots."""
-    values = model.stages[-1].featureImportances.toArray()
+    grown = [m for m in model.stages if hasattr(m, "featureImportances")]  # several where a forest grew in portions
+    values = np.average([m.featureImportances.toArray() for m in grown], axis=0, weights=[getattr(m, "getNumTrees", 1) for m in grown])
     rows = [(n, float(v)) for n, v in zip(slot_names(model), values)]
     table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
     return table.orderBy(F.col("importance").desc(), F.col("feature")).limit(top)

@@ -237,3 +237,22 @@ def test_rows_are_merged_only_where_weights_are_numbers_of_rows(spark, table):
     one = table.select(F.lit("x").alias("gender"), F.lit(1).alias("is_churn"))  # a single different row
     model = models.fit(one, models.boosted_trees(maxIter=2, minInstancesPerNode=1), ["gender"])
     assert models.score(model, one, ["is_churn"], ["gender"]).where("y_proba > 0.5").count() == 1500
+
+
+def test_a_forest_grows_in_portions_that_fit(spark, parts, monkeypatch, tmp_path):
+    """Counts and node numbers kept at once follow FOREST_CELLS, not rows x trees; all trees vote, also from the saved model."""
+    assert models.forest_portions(1000, 600) == [600] and models.forest_portions(0, 3) == [3]
+    assert models.forest_portions(4_500_000, 600) == [54, 55, 54, 55, 54, 55, 54, 55, 54, 55, 55] and models.forest_portions(1 << 40, 3) == [1, 1, 1]
+    train, valid = parts
+    monkeypatch.setattr(models, "FOREST_CELLS", 4 * train.count())
+    model = models.fit(train, models.random_forest(numTrees=10, maxDepth=5, minInstancesPerNode=5), FEATURES)
+    grown = [m for m in model.stages if hasattr(m, "getNumTrees")]
+    assert [m.getNumTrees for m in grown] == [3, 3, 4]
+    assert models.model_importance(model, train, 20, FEATURES).first().feature in ("txn_cnt", "cancel_rate")
+    assert quality(model, valid).average_precision > 0.9
+    model.write().save(f"{tmp_path}/forest")
+    for m in (model, PipelineModel.load(f"{tmp_path}/forest")):
+        out = m.transform(models.as_model_input(valid, FEATURES)).select("features", "probability", "prediction").limit(20).collect()
+        for r in out:
+            votes = sum(p.predictRaw(r.features).toArray() for p in grown)
+            assert r.probability.toArray() == pytest.approx(votes / 10) and r.prediction == votes.argmax()
