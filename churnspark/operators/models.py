@@ -572,12 +572,14 @@ def model_search(train: DataFrame, valid: DataFrame, trials: Sequence[tuple[str,
                  features: Sequence[str] = tuple(C.FEATURES)) -> DataFrame:
     """Fit every trial and rank by average precision on the validation rows; the budget is the number of trials."""
     spark = train.sparkSession
-    ready = stage(train.select(*features, C.LABEL), "search-train")
+    # Features are prepared once, for all trials.
+    rows, prepared = _prepared(train, [*features, C.LABEL], features)
+    ready = prepared.transform(with_balanced_weight(rows, C.LABEL))
     held = stage(valid.select(*features, C.LABEL), "search-valid")
 
     def run(trial: tuple[str, Estimator]) -> tuple:
         name, estimator = trial
-        scored = score(fit(ready, estimator, features), held, [C.LABEL], features)
+        scored = score(PipelineModel([*prepared.stages, *_grown(ready, estimator)]), held, [C.LABEL], features)
         got = ranking_metrics(scored, "y_proba", C.LABEL).first()
         return name, got["average_precision"], got["roc_auc"]
 

@@ -256,3 +256,16 @@ def test_a_forest_grows_in_portions_that_fit(spark, parts, monkeypatch, tmp_path
         for r in out:
             votes = sum(p.predictRaw(r.features).toArray() for p in grown)
             assert r.probability.toArray() == pytest.approx(votes / 10) and r.prediction == votes.argmax()
+
+
+def test_a_search_prepares_features_once(parts, monkeypatch):
+    """Every trial is fitted on the same prepared rows, and scores as a fit of its own does."""
+    train, valid = parts
+    calls, prepared = [], models._prepared
+    monkeypatch.setattr(models, "_prepared", lambda *a: calls.append(a) or prepared(*a))
+    trials = [("tree", models.decision_tree(maxDepth=4, minInstancesPerNode=1)), ("linear", models.logistic_regression()),
+              ("stump", models.decision_tree(maxDepth=1, minInstancesPerNode=1))]
+    got = {r.trial: r.average_precision for r in models.model_search(train, valid, trials, features=FEATURES).collect()}
+    assert len(calls) == 1
+    for name, estimator in trials:
+        assert quality(models.fit(train, estimator, FEATURES), valid).average_precision == pytest.approx(got[name])
