@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from churnspark import contract as C
 from churnspark.plans.adapters import Tables
@@ -12,7 +13,7 @@ from churnspark.plans.registry import LOG_DOUBLES, oracle, query, r6, replaced
 from churnspark.plans.queries_ml import DAY, GROUP, _saturated, _share_sql
 from churnspark.plans.queries_score import action_sql
 from churnspark.operators import features, models
-from churnspark.sources.staging import stage, stage_path
+from churnspark.sources.staging import stage_path
 from churnspark.streaming import jobs
 
 PLAYS = {"num_25": "view", "num_50": "click", "num_75": "signup", "num_985": "error", "num_100": "purchase"}
@@ -59,24 +60,32 @@ def log_features_stream(t: Tables) -> DataFrame:
     return jobs.read_users(t.spark, f"{root}/features")
 
 
-def _in_cuts(t: Tables, folder: str, order: tuple[int, ...]) -> DataFrame:
-    """Writes the thirds of the events, by time, to the folder, a file each, in this order; returns all events."""
+# Events of a file of a third, about: a third is read by as many tasks as it has files.
+CUT_FILE_ROWS = 250_000
+
+
+def _in_cuts(t: Tables, folder: str, order: tuple[int, ...]) -> tuple[StructType, int]:
+    """Writes the thirds of the events, by time, to the folder in this order; returns the schema and the number of files that
+    each third has: read so many at a time, a micro-batch is a third. A third of few events is filled up with empty files."""
     rows = activity(t.raw("events"))
-    ends = rows.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    third = (F.unix_micros("b") - F.unix_micros("a")) / 3
-    cut = F.least(F.lit(2), F.floor((F.unix_micros("ts") - F.unix_micros("a")) / third)).cast("int")
-    parted = stage(rows.crossJoin(F.broadcast(ends)).withColumn("cut", cut).drop("a", "b"), "cuts")
-    for k in order:
-        parted.where(F.col("cut") == k).drop("cut").coalesce(1).write.mode("append").parquet(folder)
-    return rows
+    micros = F.unix_micros("ts")
+    first, last, n = rows.agg(F.min(micros), F.max(micros), F.count(F.lit(1))).first()
+    third = F.nullif((F.lit(last).cast("bigint") - F.lit(first).cast("bigint")) / 3, F.lit(0.0))
+    cut = F.least(F.lit(2), F.floor((micros - F.lit(first).cast("bigint")) / third)).cast("int")
+    files = max(1, -(-n // (3 * CUT_FILE_ROWS)))
+    for i, k in enumerate(order, 1):
+        rows.where(cut == k).repartition(files, "event_id").coalesce(files).write.mode("append").parquet(folder)
+        for _ in range(i * files - len(t.spark.read.schema(rows.schema).parquet(folder).inputFiles())):
+            rows.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    return rows.schema, files
 
 
 @query("log_features_state", oracle(f"SELECT {replaced(LOG_DOUBLES)} FROM log_features", "log_features"))
 def log_features_state(t: Tables) -> DataFrame:
     """Features as running state over three micro-batches, cut in time order, and a replay of the last one."""
     root = stage_path(t.spark, "stream")
-    rows = _in_cuts(t, f"{root}/in", (0, 1, 2, 2))
-    events = jobs.distinct_events(jobs.read_events(t.spark, f"{root}/in", rows.schema, max_files=1))
+    schema, files = _in_cuts(t, f"{root}/in", (0, 1, 2, 2))
+    events = jobs.distinct_events(jobs.read_events(t.spark, f"{root}/in", schema, max_files=files))
     jobs.run_features(events, f"{root}/features", f"{root}/state", delay=None, part_rows=500).awaitTermination()
     return jobs.features_of_state(jobs.read_state(t.spark, f"{root}/features/users"))
 
@@ -100,8 +109,8 @@ def session_features(t: Tables) -> DataFrame:
 def session_features_stream(t: Tables) -> DataFrame:
     """Final sessions after three micro-batches: runs by user and day in the state, joined across days."""
     root = stage_path(t.spark, "stream")
-    schema = _in_cuts(t, f"{root}/in", (0, 1, 2)).schema
-    run = jobs.run_sessions(jobs.read_events(t.spark, f"{root}/in", schema, max_files=1), f"{root}/runs", f"{root}/state")
+    schema, files = _in_cuts(t, f"{root}/in", (0, 1, 2))
+    run = jobs.run_sessions(jobs.read_events(t.spark, f"{root}/in", schema, max_files=files), f"{root}/runs", f"{root}/state")
     run.awaitTermination()
     out = jobs.joined_sessions(t.spark.read.parquet(f"{root}/runs"), jobs.watermark_of(run))
     return out.select("msno", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"),
@@ -159,8 +168,8 @@ def _psi_sql(min_rows: int) -> str:
 def tier_windows_stream(t: Tables) -> DataFrame:
     """Drift of the closed days after three micro-batches that cut through days."""
     root = stage_path(t.spark, "stream")
-    schema = _in_cuts(t, f"{root}/in", (0, 1, 2)).schema
-    events = jobs.read_events(t.spark, f"{root}/in", schema, max_files=1)
+    schema, files = _in_cuts(t, f"{root}/in", (0, 1, 2))
+    events = jobs.read_events(t.spark, f"{root}/in", schema, max_files=files)
     secs = F.col("total_secs")
     scored = events.select("ts", F.when(secs >= 200, 1.0).otherwise(F.floor(secs * 5) / 1000).alias("y_proba"))
     jobs.run_tier_windows(scored, f"{root}/windows", f"{root}/state", min_rows=100).awaitTermination()

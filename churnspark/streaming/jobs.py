@@ -6,7 +6,8 @@ start goes on where the last one ended.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -23,6 +24,8 @@ from churnspark.operators.policy import assign_action
 from churnspark.sources.staging import stage
 
 USER_PARTS = 64
+SLICE_FILES = 8
+KEPT_VERSIONS = "spark.sql.streaming.maxBatchesToRetainInMemory"
 PROGRESS = "batch bigint, watermark string, read_rows bigint, state_rows bigint, dropped_rows bigint"
 DAY_SUMS = [f"{m}_sum_d" for m in C.LOG_METRICS]
 
@@ -85,14 +88,32 @@ def session_runs(events: DataFrame, ts: str = "ts", gap: str = "30 minutes", del
              "n_events", "total_secs")
 
 
+@contextmanager
+def _one_version_in_memory(spark: SparkSession) -> Iterator[None]:
+    """A stream started inside keeps the latest version of its state in memory instead of the latest two, unless the session
+    says how many. A stream takes the session's settings when it starts."""
+    if spark.conf.get(KEPT_VERSIONS, None):
+        yield
+        return
+    spark.conf.set(KEPT_VERSIONS, "1")
+    try:
+        yield
+    finally:
+        spark.conf.unset(KEPT_VERSIONS)
+
+
 def run_sessions(events: DataFrame, path: str, checkpoint: str, gap: str = "30 minutes", delay: str | None = "2 days",
                  slice_seconds: int = 86_400) -> StreamingQuery:
-    """Append mode: a run is written, to the folder of its slice, when the watermark has passed its end."""
-    return (
-        session_runs(events, gap=gap, delay=delay, slice_seconds=slice_seconds).writeStream.outputMode("append")
-        .format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("slice")
-        .trigger(availableNow=True).start()
-    )
+    """Append mode: a run is written, to the folder of its slice, when the watermark has passed its end. A micro-batch adds at
+    most ``SLICE_FILES`` files to a slice, however many parts the state has. The open runs, those of one micro-batch at
+    least, lie in the executors' memory; a session with RocksDB as its state store keeps them on disk."""
+    runs = session_runs(events, gap=gap, delay=delay, slice_seconds=slice_seconds)
+    few = runs.repartition("slice", F.pmod(F.xxhash64(C.KEY), F.lit(SLICE_FILES)))
+    with _one_version_in_memory(events.sparkSession):
+        return (
+            few.writeStream.outputMode("append").format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).partitionBy("slice").trigger(availableNow=True).start()
+        )
 
 
 def watermark_of(query: StreamingQuery) -> str | None:

@@ -270,3 +270,44 @@ def test_tier_windows_do_not_depend_on_the_cuts(spark, tmp_path):
         jobs.run_tier_windows(stream, str(tmp_path / f"{name}-out"), str(tmp_path / f"{name}-state"), min_rows=4).awaitTermination()
         assert sorted(map(tuple, spark.read.parquet(str(tmp_path / f"{name}-out")).collect())) == wanted
     assert all(r[2] == 8 for r in wanted)
+
+
+@pytest.mark.parametrize("n, files", [(40, 1), (400, 14)])
+def test_a_third_of_the_events_is_one_micro_batch_of_many_files(spark, tmp_path, monkeypatch, n, files):
+    from churnspark.plans import queries_stream
+    from churnspark.plans.adapters import Tables
+
+    monkeypatch.setattr(queries_stream, "CUT_FILE_ROWS", 10 if files > 1 else 250_000)
+    days = F.when(F.col("id") == 0, 0).when(F.col("id") < n // 4, 15).otherwise(29)  # one event in the first third
+    spark.range(n).select(F.col("id").alias("event_id"), F.timestamp_seconds(1_704_067_200 + days * 86_400 + F.col("id")).alias("ts"),
+                          (F.col("id") % 7).alias("user_id"), F.lit("view").alias("event_type"),
+                          F.lit(1.0).alias("value")).write.parquet(str(tmp_path / "events.parquet"))
+    t, folder = Tables(spark, str(tmp_path)), str(tmp_path / "in")
+    schema, each = queries_stream._in_cuts(t, folder, (0, 1, 2))
+    assert each == files and len(list((tmp_path / "in").glob("part-*.parquet"))) == 3 * files
+    sizes = []
+    jobs.read_events(spark, folder, schema, max_files=each).writeStream.foreachBatch(lambda b, _: sizes.append(b.count())).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert sizes == [1, n // 4 - 1, n - n // 4]
+    got = queries_stream.session_features_stream(t).collect()
+    assert sum(r.n_events for r in got) == n // 4  # all but those after the watermark
+
+
+def test_sessions_keep_one_version_of_their_state_and_write_few_files(spark, folder, tmp_path):
+    users = spark.range(3000).select(F.col("id").alias("event_id"), F.timestamp_seconds(1_704_067_200 + F.col("id")).alias("ts"),
+                                     F.col("id").cast("string").alias("msno"), F.lit(1.0).alias("total_secs"))
+    push = users.limit(1).withColumn("ts", F.timestamp_seconds(F.lit(1_705_067_200)))
+    drop(users, folder)
+    drop(push, folder)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        run = jobs.run_sessions(jobs.read_events(spark, folder, users.schema, max_files=1), str(tmp_path / "runs"), str(tmp_path / "state"))
+        run.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert spark.read.parquet(str(tmp_path / "runs")).count() == 3000
+    assert 1 < len(list((tmp_path / "runs").glob("slice=*/*.parquet"))) <= jobs.SLICE_FILES
+    first, last = (p["stateOperators"][0] for p in (run.recentProgress[0], run.lastProgress))
+    assert first["numRowsTotal"] == 3000 and last["numRowsTotal"] <= 1 and last["memoryUsedBytes"] < first["memoryUsedBytes"] / 2
+    assert spark.conf.get(jobs.KEPT_VERSIONS, None) is None
