@@ -15,6 +15,7 @@ from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import (
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 from churnspark import contract as C
 from churnspark.functions import columns as X
 from churnspark.functions.scorecard import rows_of
+from churnspark.operators import forest
 from churnspark.operators.encode import with_balanced_weight
 from churnspark.operators.metrics import evaluate, metrics_of_groups, ranking_metrics
 from churnspark.operators.rank import clean_score, running_totals
@@ -131,8 +133,9 @@ def _merged(rows: DataFrame, estimator: Estimator) -> tuple[DataFrame, Estimator
     return merged, estimator.copy({estimator.weightCol: name})
 
 
-# A forest keeps a row count and a node number in memory for every row and tree (8 bytes, 12 while a level is written). This
-# many pairs grow at once, about 3 GB over all executors; the other trees follow, one portion after another.
+# Spark's forest keeps a row count and a node number in memory for every row and tree (8 bytes, 12 while a level is written). This
+# many pairs grow at once, about 3 GB over all executors. A larger forest grows tree by tree (``forest``) and is kept in models of
+# as many trees, or, where only Spark's own will do, grows in these portions one after another.
 FOREST_CELLS = 1 << 28
 
 
@@ -165,15 +168,16 @@ def forest_portions(rows: int, trees: int) -> list[int]:
 
 
 def _grown(ready: DataFrame, estimator: Estimator) -> list[Transformer]:
-    """The fitted estimator; a forest too large to grow at once, as its portions and the sum of their votes."""
+    """The fitted estimator; a forest too large to grow at once, as models of its portions and the sum of their votes."""
     sizes = forest_portions(ready.count(), estimator.getNumTrees()) if isinstance(estimator, RandomForestClassifier) else [0]
     if len(sizes) == 1:
         return [estimator.fit(ready)]
-    grown = []
-    for i, size in enumerate(sizes):
-        own = {estimator.numTrees: size, estimator.seed: estimator.getSeed() + i, estimator.rawPredictionCol: f"rawPrediction_{i}",
-               estimator.probabilityCol: f"probability_{i}", estimator.predictionCol: ""}
-        grown.append(estimator.copy(own).fit(ready))
+    nodes, strategy = forest.grown_nodes(ready, estimator), estimator.getFeatureSubsetStrategy()
+    portions = [estimator.copy({
+        estimator.numTrees: size, estimator.seed: estimator.getSeed() + i, estimator.rawPredictionCol: f"rawPrediction_{i}",
+        estimator.probabilityCol: f"probability_{i}", estimator.predictionCol: "",
+        estimator.featureSubsetStrategy: "sqrt" if strategy == "auto" else strategy}) for i, size in enumerate(sizes)]  # not all for one tree
+    grown = [own.fit(ready) for own in portions] if nodes is None else forest.as_models(nodes, portions, ready)
     return [*grown, ForestVotes(parts=len(sizes))]
 
 
@@ -203,6 +207,12 @@ def fit(train: DataFrame, estimator: Estimator, features: Sequence[str] = tuple(
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (C.KEY,),
           features: Sequence[str] = tuple(C.FEATURES)) -> DataFrame:
     """keep..., y_proba: the positive-class probability of every row."""
+    if isinstance(model.stages[-1], ForestVotes):  # many trees: all rows go down one tree before the next
+        grown = [m for m in model.stages if isinstance(m, RandomForestClassificationModel)]
+        prepared = PipelineModel([m for m in model.stages[:-1] if m not in grown])
+        voted = forest.scored(grown, prepared.transform(as_model_input(df, features)), keep)
+        if voted is not None:
+            return voted
     return model.transform(as_model_input(df, features)).select(
         *keep, vector_to_array("probability")[1].alias("y_proba")
     )
