@@ -39,6 +39,7 @@ from churnspark import contract as C
 from churnspark.functions import columns as X
 from churnspark.functions.scorecard import rows_of
 from churnspark.operators import forest
+from churnspark.operators.calibration import calibrate, fit_calibration  # noqa: F401  also found here
 from churnspark.operators.encode import with_balanced_weight
 from churnspark.operators.metrics import evaluate, metrics_of_groups, ranking_metrics
 from churnspark.operators.rank import clean_score, running_totals
